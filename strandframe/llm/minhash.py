@@ -9,12 +9,14 @@ shifts, so two permutations give all signature coordinates.
 banded, so exact copies cost one row each, whatever their number.
 
 *Links.* Every bucket of a band is a star around its smallest id; the links
-are confirmed on the full sets (``100 * common >= 75 * union``). Buckets whose
-members are then still in different components are searched on: members
+are confirmed on the full sets (``100 * common >= 75 * union``) unless sizes
+or signatures rule them out. Buckets whose members are then still in different
+components are searched on. Those of more than 64 members, say documents that
+share a frequent passage, are first split by further bands; then members
 outside the bucket's largest component become pivots, 64 of a bucket a round,
-and each is verified against all members of other components, until every
-pair in a bucket is confirmed, refuted or connected. A hot bucket of true
-copies ends after its star; nothing is capped.
+and each is tested against all members of other components, until every pair
+in a bucket is confirmed, refuted or connected. A hot bucket of true copies
+ends after its star; nothing is capped.
 
 A pair at similarity 0.75 shares no bucket with probability
 (1 - 0.75**3)**24 = 2e-6.
@@ -27,7 +29,9 @@ are returned with null component and ``kept`` true. Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -106,7 +110,10 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: int, rows: int) -> DataFrame:
-    """(id, n, d1, d2, keys) per row: set size, 128-bit set digest, band keys (empty sets: none)."""
+    """(id, n, d1, d2, keys, sketch) per row: set size, 128-bit set digest, band keys, a byte per coordinate.
+
+    Empty sets have no keys and an empty sketch.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,25 +121,28 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: in
                 values, bounds = shingles(w, size)
                 n = np.diff(bounds)
                 full = np.flatnonzero(n)
-                keys = np.zeros((0, bands), _U)
+                keys, low = np.zeros((0, bands), _U), b""
                 digest = np.zeros((2, len(n)), _U)
                 if len(full):
                     held = np.append(bounds[full], bounds[-1])
                     for i, salt in enumerate((0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7)):
                         digest[i, full] = np.add.reduceat(mix64(values + _U(salt)), bounds[full])
-                    keys = band_keys(circulant_minhash(values, held, bands * rows), bands, rows)
+                    signature = circulant_minhash(values, held, bands * rows)
+                    keys, low = band_keys(signature, bands, rows), signature.astype(np.uint8).tobytes()
                 offsets = np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]).astype(np.int32)
+                ends = offsets * rows
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(w.first, w.last - w.first), pa.array(n, pa.int64()),
                         *(pa.array(d.view(np.int64)) for d in digest),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1).view(np.int64))),
+                        pa.array([low[s:e] for s, e in zip(ends[:-1], ends[1:], strict=True)], pa.binary()),
                     ],
-                    ["id", "n", "d1", "d2", "keys"],
+                    ["id", "n", "d1", "d2", "keys", "sketch"],
                 )
 
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "id long, n long, d1 long, d2 long, keys array<long>")
+    return slim.mapInArrow(run, "id long, n long, d1 long, d2 long, keys array<long>, sketch binary")
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -188,6 +198,51 @@ def verify(docs: DataFrame, pairs: DataFrame, scratch: Scratch, id_col: str, tex
     return out
 
 
+def _hopeful(pairs: DataFrame, sketches: DataFrame, coordinates: int, percent: int) -> DataFrame:
+    """The pairs whose signatures do not rule the similarity out (5.4 standard deviations)."""
+    share = percent / 100
+    least = math.ceil(coordinates * share - 5.4 * math.sqrt(coordinates * share * (1 - share)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, coordinates) for i in (2, 3))
+            keep = pa.array((x == y).sum(axis=1) >= least)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
+
+    wide = pairs.join(sketches.withColumnsRenamed({"id": "a", "sketch": "x"}), "a").join(sketches.withColumnsRenamed({"id": "b", "sketch": "y"}), "b")
+    return wide.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+
+
+def _open(buckets: DataFrame, comp: DataFrame) -> DataFrame:
+    """The buckets whose members are in different components: (key, id, n, comp)."""
+    at = buckets.join(comp, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
+    split = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    return at.join(split, "key")
+
+
+def _refined(scratch: Scratch, buckets: DataFrame, comp: DataFrame, keys: DataFrame, bands: int, levels: int = 3) -> DataFrame:
+    """The open buckets, those of more than PIVOTS members split by further bands.
+
+    A split bucket becomes six finer ones per member, each agreeing on one more
+    band; a linked pair stays together in one of them with probability 0.96, in
+    every bucket that it shares anew.
+    """
+    out = []
+    now = buckets.select("key", "id", "n")
+    for level in range(levels + 1):
+        here = scratch.save(_open(now, comp).select("key", "id", "n"), "level")
+        size = here.groupBy("key").count().withColumnRenamed("count", "members")
+        large = size.filter(F.col("members") > PIVOTS).select("key")
+        if level == levels or large.isEmpty():
+            out.append(here)
+            break
+        out.append(here.join(large, "key", "left_anti"))
+        picks = F.array(*(F.element_at("keys", F.pmod(F.pmod("key", F.lit(bands)) + 1 + 4 * k + level, F.lit(bands)).cast("int") + 1) for k in range(6)))
+        finer = here.join(large, "key").join(keys.dropDuplicates(["id"]), "id").select("id", "n", "key", F.explode(picks).alias("more")).filter("more != key")
+        now = finer.select(F.xxhash64("key", "more").alias("key"), "id", "n").distinct()
+    return scratch.save(reduce(DataFrame.unionByName, out), "pool")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     size: int = 5, percent: int = 75, bands: int = 24, rows: int = 3,
@@ -203,18 +258,19 @@ def near_duplicates(
     banded = banded.select("id", "n", F.explode("keys").alias("key"))
     shared = banded.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
     buckets = scratch.save(banded.join(shared.select("key", "first"), "key").distinct(), "buckets")
-    fits = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
     heads = buckets.filter("id = first").select("key", F.col("id").alias("b"), F.col("n").alias("n2"))
-    pairs = scratch.save(
-        buckets.filter("id > first").join(heads, "key").filter(fits).select(F.col("id").alias("a"), "b").distinct(), "stars"
-    )
+    fits = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
+    stars = buckets.filter("id > first").join(heads, "key").filter(fits).select(F.col("id").alias("a"), "b").distinct()
+    sketches = full.select("id", "sketch")
+    hopeful = lambda pairs, name: scratch.save(_hopeful(pairs, sketches, bands * rows, percent), name)
     check = lambda p: verify(docs, p, scratch, id_col, text_col, size, percent)
-    links, tested, spent = check(pairs).unionByName(copies), pairs, None
+    tested = hopeful(stars, "stars")
+    links, spent, pool = check(tested).unionByName(copies), None, None
     while True:
         comp = scratch.save(components(links, scratch), "components")
-        at = buckets.join(comp, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
-        split = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-        open_ = scratch.save(at.join(split, "key"), "open")
+        if pool is None:
+            pool = _refined(scratch, buckets, comp, full.select("id", "keys"), bands)
+        open_ = scratch.save(_open(pool, comp), "open")
         most = F.max(F.struct(F.col("count"), (-F.col("comp")).alias("least"))).alias("most")
         main = open_.groupBy("key", "comp").count().groupBy("key").agg(most).select("key", (-F.col("most.least")).alias("main"))
         rest = open_.join(main, "key").filter("comp != main")
@@ -226,7 +282,7 @@ def near_duplicates(
             break
         found = pivots.select("key", F.col("id").alias("p"), F.col("n").alias("n2"), F.col("comp").alias("pc")).join(open_, "key")
         found = found.filter("pc != comp").filter(fits).select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b")).distinct()
-        pairs = scratch.save(found.join(tested, ["a", "b"], "left_anti"), "pairs")
+        pairs = hopeful(found.join(tested, ["a", "b"], "left_anti"), "pairs")
         links = links.unionByName(check(pairs))
         tested = tested.unionByName(pairs)
         done = pivots.select("key", "id")
