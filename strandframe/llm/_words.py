@@ -23,6 +23,8 @@ _INVERSE = pow(_PRIME, -1, 1 << 64)
 _VALUES = np.random.default_rng(20240117).integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 for _c in range(65, 91):
     _VALUES[_c] = _VALUES[_c + 32]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _PUNCT = _BLANK.copy()
@@ -59,6 +61,7 @@ class Words:
     last: int
     hashes: np.ndarray  # uint64, one per word
     bounds: np.ndarray  # int64, last - first + 1 offsets into hashes
+    tails: np.ndarray  # uint8, the last byte of each word, lower-cased
 
     def doc_of(self) -> np.ndarray:
         return np.repeat(np.arange(self.last - self.first), np.diff(self.bounds))
@@ -90,7 +93,7 @@ def word_slices(column: pa.Array, punctuation: bool = False) -> Iterator[Words]:
 def _slice(raw: np.ndarray, offsets: np.ndarray, first: int, last: int, blank: np.ndarray) -> Words:
     n = len(raw)
     if not n:
-        return Words(first, last, np.zeros(0, _U), np.zeros(last - first + 1, np.int64))
+        return Words(first, last, np.zeros(0, _U), np.zeros(last - first + 1, np.int64), np.zeros(0, np.uint8))
     power, inverse = _power_tables(n + 1)
     inside = ~blank[raw]
     begins, ends = inside.copy(), np.zeros(n + 1, bool)
@@ -105,7 +108,7 @@ def _slice(raw: np.ndarray, offsets: np.ndarray, first: int, last: int, blank: n
     sums = np.zeros(n + 1, _U)
     np.cumsum(_VALUES[raw] * power[:n], out=sums[1:])
     hashes = mix64((sums[stop] - sums[start]) * inverse[start])
-    return Words(first, last, hashes, np.searchsorted(start, offsets))
+    return Words(first, last, hashes, np.searchsorted(start, offsets), _LOWER[raw[stop - 1]])
 
 
 def word_hashes(text: str, punctuation: bool = False) -> np.ndarray:

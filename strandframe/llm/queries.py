@@ -1,12 +1,17 @@
-"""The registered queries of the training-data operators, and their SQL."""
+"""The registered queries of the training-data operators, and their SQL.
+
+Each query applies one operator to its whole table and derives the columns of
+its result; the operators themselves keep their own outputs.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strandframe.llm import minhash
+from strandframe.llm import decontam, embeddings, hmm, licenses, lines, minhash, mixing, sharding, toxicity, warc
 from strandframe.sources.package import ship
 
 
@@ -20,9 +25,79 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources, weighing 1, 2, 3 in turn, takes of every document."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), weigh=mixing.rotating)
+    return mixed.select(
+        "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
+        F.col("__target").alias("target"), F.col("__taken").alias("taken"),
+    )
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines found on many sites, as counts and a digest of the text left."""
+    cleaned = lines.clean(_table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id", F.col("__lines").alias("n_lines"), F.col("__removed").alias("n_removed"),
+        F.length("__clean").cast("long").alias("kept_chars"), F.md5(F.col("__clean").cast("binary")).alias("kept_md5"),
+    )
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item found in it."""
+    return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents by a lexicon learned without the held-out rows."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    lexicon = toxicity.learn(docs, labels.filter(~toxicity.held_out("doc_id")))
+    scored = toxicity.scores(docs, lexicon)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back by their boundary chains."""
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op7_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and hidden Markov scores of all documents."""
+    return hmm.score(_table(spark, sf_dir, "documents"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical digest and license of every document, and the licenses its lines name."""
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.col("__digest").alias("digest"), F.col("__license").alias("license"), F.array_join("__notices", ",").alias("notices")
+    )
+
+
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot and shard of every document."""
+    return sharding.place(_table(spark, sf_dir, "documents").select("doc_id"), slot_name="slot")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash_near_dedup": op1_minhash_near_dedup}
+    return {
+        f.__name__: f
+        for f in (
+            op1_minhash_near_dedup, op2_mixing, op3_line_dedup, op4_decontamination, op5_toxicity,
+            op6_warc, op7_hmm_scoring, op8_license_scan, op9_embedding_near_dedup, op10_sharding,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_line_dedup": lines.ORACLE.format(sites=lines.SITES),
+        "op6_warc": warc.ORACLE,
+        "op8_license_scan": licenses.oracle(),
+        "op10_sharding": sharding.oracle("documents"),
+    }
