@@ -113,10 +113,8 @@ class Lexicon:
 
     def evidence(self, text: str | None, machine: ahocorasick.Automaton) -> tuple[float, int]:
         """(sum of the best weight of each matched word, number of words)."""
-        folded = fold(text or "")
-        if "  " in folded:
-            folded = " " + " ".join(folded.split()) + " "
-        words = max(0, folded.count(" ") - 1)
+        parts = fold(text or "").split()
+        words, folded = len(parts), " " + " ".join(parts) + " "
         if not len(machine) or not words:
             return 0.0, words
         best: dict[int, float] = {}
