@@ -8,15 +8,15 @@ shifts, so two permutations give all signature coordinates.
 *Classes.* Documents with the same set form one class; only its smallest id is
 banded, so exact copies cost one row each, whatever their number.
 
-*Links.* Every bucket of a band is a star around its smallest id; the links
-are confirmed on the full sets (``100 * common >= 75 * union``) unless sizes
-or signatures rule them out. Buckets whose members are then still in different
-components are searched on. Those of more than 64 members, say documents that
-share a frequent passage, are first split by further bands; then members
-outside the bucket's largest component become pivots, 64 of a bucket a round,
-and each is tested against all members of other components, until every pair
-in a bucket is confirmed, refuted or connected. A hot bucket of true copies
-ends after its star; nothing is capped.
+*Links.* Every bucket of a band is a star around its smallest id. Each member
+is compared with the centre on the full sets (``100 * common >= 75 * union``),
+exact copies aside. Around centres whose members are then still in different
+components the search goes on: what a member has and the centre lacks (few
+shingles, as a rule) decides which members outside the largest component can
+be linked with whom (see ``unsettled``); those pairs are verified on full sets
+too. A hot bucket of true copies ends after its star, and one that only shares
+a frequent passage after a join on rare shingles; nothing is capped and no
+bucket's pairs are all emitted.
 
 A pair at similarity 0.75 shares no bucket with probability
 (1 - 0.75**3)**24 = 2e-6.
@@ -31,7 +31,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +44,6 @@ from strandframe.llm._words import Words, mix64, word_slices
 
 _U, _U32 = np.uint64, np.uint32
 _WEIGHTS = np.random.default_rng(5).integers(1, 1 << 62, 64, dtype=np.uint64) * _U(2) + _U(1)
-PIVOTS = 64
 
 
 def shingles(words: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -145,57 +143,86 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: in
     return slim.mapInArrow(run, "id long, n long, d1 long, d2 long, keys array<long>, sketch binary")
 
 
-def shingle_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, items): the sorted distinct shingle hashes of each row as packed 64-bit words."""
+def bloom(ids: DataFrame, most_bits: int = 1 << 26) -> tuple[np.ndarray, int]:
+    """A Bloom filter of the column id, as 64-bit words of at most most_bits bits (8 MB).
+
+    It only spares work: beyond its capacity it lets everything pass.
+    """
+    count = ids.count()
+    bits = min(most_bits, 1 << max(16, math.ceil(math.log2(max(1, count))) + 4))
+    at = F.explode(F.array(*(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(bits)) for k in range(2)))).alias("at")
+    words = ids.select(at).groupBy((F.col("at") / 64).cast("long").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(at % 64 as int)))").alias("v"))
+    table = words.toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[table.column("w").to_numpy()] = table.column("v").to_numpy()
+    return out, bits
+
+
+def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """(id, items): the sorted distinct shingle hashes, as packed 64-bit words, of the rows with the given ids.
+
+    Rows are picked by a Bloom filter before any set is built, so that only the
+    sets of candidates are shuffled, never all texts.
+    """
+    bits_of, bits = bloom(ids)
+    shared = docs.sparkSession.sparkContext.broadcast(bits_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = shared.value
         for batch in batches:
-            for w in word_slices(batch.column(1)):
+            maybe = np.ones(len(batch), bool)
+            for k in (2, 3):
+                at = batch.column(k).to_numpy()
+                maybe &= words[at >> 6] >> (at & 63) & 1 == 1
+            picked = batch.filter(pa.array(maybe))
+            for w in word_slices(picked.column(1)):
                 values, bounds = shingles(w, size)
                 items = pa.array([values[s:e].tobytes() for s, e in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(w.first, w.last - w.first), items], ["id", "items"])
+                yield pa.RecordBatch.from_arrays([picked.column(0).slice(w.first, w.last - w.first), items], ["id", "items"])
+
+    spots = (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(bits)).alias(f"at{k}") for k in range(2))
+    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
+    found = slim.select("id", "text", *spots).mapInArrow(run, "id long, items binary")
+    return found.join(ids, "id", "left_semi")
 
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "id long, items binary")
 
+def _compared(percent: int, novel: bool):
+    """Pairs with the sizes of both sets and of what they share; novel: what a has and b lacks."""
 
-def _confirmed(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column(2), batch.column(3)
-            keep = np.zeros(len(left), bool)
-            for i in range(len(left)):
+            numbers, fresh = np.zeros((len(batch), 3), np.int64), []
+            for i in range(len(batch)):
                 x, y = np.frombuffer(left[i].as_buffer(), _U), np.frombuffer(right[i].as_buffer(), _U)
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep[i] = 100 * common >= percent * (len(both) - common) and len(both) > 0
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+                shared = np.isin(x, y, assume_unique=True) if novel else None
+                if novel:
+                    numbers[i] = len(x), len(y), np.count_nonzero(shared)
+                    fresh.append(x[~shared].view(np.int64))
+                else:
+                    both = np.concatenate([x, y])
+                    both.sort()
+                    numbers[i] = len(x), len(y), np.count_nonzero(both[1:] == both[:-1])
+            na, nb, both = numbers.T
+            linked = (100 * both >= percent * (na + nb - both)) & (na > 0) & (nb > 0)
+            columns = [batch.column(0), batch.column(1), pa.array(na), pa.array(both), pa.array(linked)]
+            if novel:
+                columns.append(pa.array(fresh, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n", "common", "linked", "novel"][: len(columns)])
 
     return run
 
 
-def verify(docs: DataFrame, pairs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity, as a written table.
+def compare(pairs: DataFrame, sets: DataFrame, percent: int, novel: bool = False) -> DataFrame:
+    """(a, b, n, common, linked[, novel]) of pairs on their full sets.
 
-    The texts of the ids in question are shuffled once; their sets, not the
-    texts, travel to the pairs. Centres with many members are hot keys of a
-    sort-merge join, which splits them at run time.
+    Sets travel to the pairs by sort-merge joins; a b with many partners is a
+    hot key that is split at run time.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("__id")).distinct()
-    slim = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
-    sets = scratch.save(shingle_sets(slim.join(ids, "__id"), "__id", "__text", size), "sets")
-    out = scratch.save(
-        pairs.select("a", "b")
-        .join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
-        .join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
-        .select("a", "b", "x", "y")
-        .mapInArrow(_confirmed(percent), "a long, b long")
-        .distinct(),
-        "links",
-    )
-    scratch.drop(sets)
-    return out
+    wide = pairs.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
+    wide = wide.join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b").select("a", "b", "x", "y")
+    schema = "a long, b long, n long, common long, linked boolean" + ", novel array<long>" * novel
+    return wide.mapInArrow(_compared(percent, novel), schema)
 
 
 def _hopeful(pairs: DataFrame, sketches: DataFrame, coordinates: int, percent: int) -> DataFrame:
@@ -213,34 +240,47 @@ def _hopeful(pairs: DataFrame, sketches: DataFrame, coordinates: int, percent: i
     return wide.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
-def _open(buckets: DataFrame, comp: DataFrame) -> DataFrame:
-    """The buckets whose members are in different components: (key, id, n, comp)."""
-    at = buckets.join(comp, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
-    split = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    return at.join(split, "key")
+def unsettled(stars: DataFrame, comp: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Pairs (a, b) around one centre, in different components, that their deltas to it allow to be linked.
 
-
-def _refined(scratch: Scratch, buckets: DataFrame, comp: DataFrame, keys: DataFrame, bands: int, levels: int = 3) -> DataFrame:
-    """The open buckets, those of more than PIVOTS members split by further bands.
-
-    A split bucket becomes six finer ones per member, each agreeing on one more
-    band; a linked pair stays together in one of them with probability 0.96, in
-    every bucket that it shares anew.
+    Of two sets x, y around a centre h, what they share inside h is at most
+    min(|x & h|, |y & h|). Either that alone can reach the similarity, which
+    depends on four numbers and is joined on their distinct values, or x and y
+    share novel shingles (outside h): then their rarest common one is among the
+    first ``novel - needed + 1`` of each, rarest first, and they meet in a join on
+    it. Members of a centre's largest component are not paired with each other.
     """
-    out = []
-    now = buckets.select("key", "id", "n")
-    for level in range(levels + 1):
-        here = scratch.save(_open(now, comp).select("key", "id", "n"), "level")
-        size = here.groupBy("key").count().withColumnRenamed("count", "members")
-        large = size.filter(F.col("members") > PIVOTS).select("key")
-        if level == levels or large.isEmpty():
-            out.append(here)
-            break
-        out.append(here.join(large, "key", "left_anti"))
-        picks = F.array(*(F.element_at("keys", F.pmod(F.pmod("key", F.lit(bands)) + 1 + 4 * k + level, F.lit(bands)).cast("int") + 1) for k in range(6)))
-        finer = here.join(large, "key").join(keys.dropDuplicates(["id"]), "id").select("id", "n", "key", F.explode(picks).alias("more")).filter("more != key")
-        now = finer.select(F.xxhash64("key", "more").alias("key"), "id", "n").distinct()
-    return scratch.save(reduce(DataFrame.unionByName, out), "pool")
+    p = percent
+    group = stars.select(F.col("b").alias("h"), F.col("a").alias("id"), "n", F.col("common").alias("i"), "novel").join(comp, "id", "left")
+    group = group.withColumn("comp", F.coalesce("component", "id")).drop("component")
+    split = group.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("h")
+    group = scratch.save(group.join(split, "h"), "group")
+    most = F.max(F.struct(F.col("count"), (-F.col("comp")).alias("least"))).alias("most")
+    main = group.groupBy("h", "comp").count().groupBy("h").agg(most).select("h", (-F.col("most.least")).alias("main"))
+    marked = group.join(main, "h").withColumn("aside", F.col("comp") != F.col("main")).drop("main")
+
+    x = lambda c: F.col(f"x_{c}")
+    fits = F.least(F.col("n"), x("n")) * 100 >= F.greatest(F.col("n"), x("n")) * p
+    needed = p * (F.col("n") + x("n"))  # of (100 + p) * shared
+    reach = F.least(F.col("i"), x("i"))
+    as_x = lambda df, *cols: df.filter("aside").select("h", *(F.col(c).alias(f"x_{c}") for c in cols))
+
+    inside = marked.select("h", "n", "i", "aside").distinct()
+    numbers = inside.select("h", "n", "i").distinct().join(as_x(inside, "n", "i").distinct(), "h").filter(fits & (reach * (100 + p) >= needed))
+    members = marked.select("h", "id", "n", "i", "comp")
+    by_numbers = numbers.join(members, ["h", "n", "i"]).join(as_x(marked, "id", "n", "i", "comp"), ["h", "x_n", "x_i"])
+
+    rows = marked.select("h", "id", "n", "i", "comp", "aside", F.size("novel").alias("m"), F.explode("novel").alias("s"))
+    rarity = rows.groupBy("h", "s").agg(F.count("*").alias("f")).filter("f > 1")
+    rank = F.row_number().over(Window.partitionBy("h", "id").orderBy("f", "s"))
+    # Shingles that one member alone has come first and meet nothing; they only use up places.
+    shared = rows.join(rarity, ["h", "s"]).withColumn("alone", F.col("m") - F.count("*").over(Window.partitionBy("h", "id")))
+    least = F.greatest(F.lit(1), F.ceil(F.col("n") * p / 100) - F.col("i"))
+    first = shared.withColumn("r", rank + F.col("alone")).filter(F.col("r") <= F.col("m") - least + 1).select("h", "s", "id", "n", "i", "comp", "aside", "m")
+    both = (reach + F.least(F.col("m"), x("m"))) * (100 + p) >= needed
+    by_novel = first.join(as_x(first, "s", "id", "n", "i", "comp", "m").withColumnRenamed("x_s", "s"), ["h", "s"]).filter(fits & both)
+    found = [df.filter("comp != x_comp").select(F.greatest("id", "x_id").alias("a"), F.least("id", "x_id").alias("b")) for df in (by_numbers, by_novel)]
+    return found[0].unionByName(found[1]).distinct()
 
 
 def near_duplicates(
@@ -255,39 +295,20 @@ def near_duplicates(
     copies = full.join(rep.filter("c > 1"), ["d1", "d2", "n"]).filter("id > rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
 
     banded = full.join(rep.select("d1", "d2", "n", F.col("rep").alias("id")), ["d1", "d2", "n", "id"], "left_semi")
-    banded = banded.select("id", "n", F.explode("keys").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
-    buckets = scratch.save(banded.join(shared.select("key", "first"), "key").distinct(), "buckets")
-    heads = buckets.filter("id = first").select("key", F.col("id").alias("b"), F.col("n").alias("n2"))
-    fits = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * percent
-    stars = buckets.filter("id > first").join(heads, "key").filter(fits).select(F.col("id").alias("a"), "b").distinct()
-    sketches = full.select("id", "sketch")
-    hopeful = lambda pairs, name: scratch.save(_hopeful(pairs, sketches, bands * rows, percent), name)
-    check = lambda p: verify(docs, p, scratch, id_col, text_col, size, percent)
-    tested = hopeful(stars, "stars")
-    links, spent, pool = check(tested).unionByName(copies), None, None
-    while True:
-        comp = scratch.save(components(links, scratch), "components")
-        if pool is None:
-            pool = _refined(scratch, buckets, comp, full.select("id", "keys"), bands)
-        open_ = scratch.save(_open(pool, comp), "open")
-        most = F.max(F.struct(F.col("count"), (-F.col("comp")).alias("least"))).alias("most")
-        main = open_.groupBy("key", "comp").count().groupBy("key").agg(most).select("key", (-F.col("most.least")).alias("main"))
-        rest = open_.join(main, "key").filter("comp != main")
-        if spent is not None:
-            rest = rest.join(spent, ["key", "id"], "left_anti")
-        order = Window.partitionBy("key").orderBy("id")
-        pivots = scratch.save(rest.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= PIVOTS).drop("r"), "pivots")
-        if pivots.isEmpty():
-            break
-        found = pivots.select("key", F.col("id").alias("p"), F.col("n").alias("n2"), F.col("comp").alias("pc")).join(open_, "key")
-        found = found.filter("pc != comp").filter(fits).select(F.greatest("id", "p").alias("a"), F.least("id", "p").alias("b")).distinct()
-        pairs = hopeful(found.join(tested, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(check(pairs))
-        tested = tested.unionByName(pairs)
-        done = pivots.select("key", "id")
-        spent = done if spent is None else spent.unionByName(done)
-        scratch.drop(open_, comp)
+    banded = banded.select("id", F.explode("keys").alias("key"))
+    shared = banded.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("key", "first")
+    stars = banded.join(shared, "key").filter("id > first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    stars = scratch.save(stars.distinct(), "stars")
+    ids = stars.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = scratch.save(shingle_sets(docs, scratch.save(ids, "ids"), id_col, text_col, size), "sets")
+    compared = scratch.save(compare(stars, sets, percent, novel=True), "compared")
+    links = scratch.save(compared.filter("linked").select("a", "b").unionByName(copies).distinct(), "links")
+    comp = scratch.save(components(links, scratch), "components")
+    pairs = _hopeful(unsettled(compared, comp, scratch, percent), full.select("id", "sketch"), bands * rows, percent)
+    more = scratch.save(compare(scratch.save(pairs, "pairs"), sets, percent).filter("linked").select("a", "b").distinct(), "more")
+    if not more.isEmpty():
+        comp = scratch.save(components(links.unionByName(more), scratch), "components")
+    scratch.drop(sets)
     out = sig.select("id", "n").join(comp, "id", "left")
     return out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"),

@@ -65,9 +65,21 @@ def test_components_match_all_pairs(spark):
         assert (r.n_shingles, r.component_id, r.kept) == (sizes[r.doc_id], want[r.doc_id], r.doc_id == want[r.doc_id])
 
 
-def test_pivots_are_searched_until_nothing_is_open(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "PIVOTS", 1)
-    rows = made()[:84]
+def test_chains_past_the_centre_are_found(spark):
+    """Members too far from the smallest id that are linked with each other, and shortened copies."""
+    rnd = random.Random(8)
+    vocab = [f"v{i}" for i in range(900)]
+    rows = []
+    for _ in range(12):
+        base = [rnd.choice(vocab) for _ in range(150)]
+        for _ in range(25):
+            t = list(base)
+            for _ in range(rnd.randint(0, 9)):
+                t[rnd.randrange(150)] = rnd.choice(vocab)
+            lo = rnd.randint(0, 25)
+            rows.append((len(rows), " ".join(t[lo : 150 - rnd.randint(0, 25)])))
+    passage = " ".join(rnd.choice(vocab) for _ in range(40))
+    rows += [(1000 + i, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(1, 30))) + " " + passage) for i in range(60)]
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in got} == brute(rows)
 
