@@ -12,7 +12,8 @@ with a parsable header is a candidate record start; its length field names
 the offset of its successor. Pointer jumping from offset 0 (each round doubles
 the distance of all pointers) marks the candidates that the chain reaches. A
 separator inside a payload is not reached, whatever it looks like, and is
-joined back into the record it lies in.
+joined back into the record it lies in. Payloads are only shuffled when they are
+asked for (``read``) or cut by a separator; their digests are taken on the spot.
 
 Rounds are logarithmic in the number of records of a file, and each writes its
 pointers to the shared folder.
@@ -25,6 +26,7 @@ to the break. Empty tables give an empty archive. Other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -36,6 +38,9 @@ from pyspark.sql.window import Window
 from strandframe.llm._store import Scratch
 
 MAGIC = "WARC/1."
+HEADS = "file string, block long, position long, size long, body long, length long, type string, record_id string, refers string, digest string, sha string"
+#: Groups of equal payloads up to which they are sent to all tasks.
+SMALL = 100_000
 _FIELD = re.compile(rb"^([A-Za-z-]+):[ \t]*(.*)$")
 
 
@@ -46,6 +51,8 @@ def decide(pages: DataFrame, id_col: str, payload_col: str, url_col: str | None,
     rows = rows.withColumn("size", F.octet_length("payload").cast("long")).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
     groups = rows.filter((F.col("size") >= least) & F.col("id").isNotNull()).groupBy("digest").agg(F.max("id").alias("last"), F.count("*").alias("c"))
     groups = groups.filter("c > 1").select("digest", "last")
+    if groups.limit(SMALL + 1).count() <= SMALL:
+        groups = F.broadcast(groups)  # else payloads are shuffled by digest
     refers = F.when((F.col("id") != F.col("last")) & (F.col("size") >= least), F.col("last"))
     return rows.join(groups, "digest", "left").select("id", "url", "payload", "size", "digest", refers.alias("refers_to"))
 
@@ -89,10 +96,10 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates: where the record would end, and its fields."""
+    """Candidates: where the record would end, its fields, and the digest of a payload that the piece holds whole."""
     for batch in batches:
         out: list[list] = [[] for _ in range(8)]
-        for i, value in enumerate(batch.column(3)):
+        for value in batch.column(3):
             piece = bytes(value.as_buffer())
             end = piece.find(b"\r\n\r\n")
             fields, length = {}, None
@@ -102,18 +109,16 @@ def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         fields.setdefault(m[1].lower(), m[2].decode("utf-8", "replace"))
                 text = fields.get(b"content-length", "")
                 length = int(text) if text.isascii() and text.isdigit() and len(text) < 16 else None
-            head = len(MAGIC) + end + 4
+            body = end + 4
+            held = length is not None and body + length <= len(piece)
             row = (
-                i, None if length is None else head, None if length is None else head + length + 4, length, fields.get(b"warc-type"),
-                fields.get(b"warc-record-id"), fields.get(b"warc-refers-to"), fields.get(b"warc-payload-digest"),
+                len(piece), None if length is None else body, length, fields.get(b"warc-type"), fields.get(b"warc-record-id"), fields.get(b"warc-refers-to"),
+                fields.get(b"warc-payload-digest"), hashlib.sha1(piece[body : body + length]).hexdigest() if held else None,
             )
             for column, v in zip(out, row, strict=True):
                 column.append(v)
-        types = (pa.int64(), pa.int64(), pa.int64(), *[pa.string()] * 4)
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], *(pa.array(v, t) for v, t in zip(out[1:], types, strict=True)), pa.array([len(p.as_buffer()) for p in batch.column(3)], pa.int64())],
-            ["file", "block", "position", "head", "reach", "length", "type", "record_id", "refers", "digest", "size"],
-        )
+        types = (*[pa.int64()] * 3, *[pa.string()] * 5)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(v, t) for v, t in zip(out, types, strict=True))], [f.split()[0] for f in HEADS.split(", ")])
 
 
 def reachable(candidates: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFrame:
@@ -135,36 +140,65 @@ def reachable(candidates: DataFrame, scratch: Scratch, rounds: int = 60) -> Data
     return found
 
 
+class Archive:
+    """The verified chains of the archives below a path.
+
+    records: (file, start, body, length, type, record_id, refers, digest, sha);
+    sha is null where a separator inside the payload cut it into pieces.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.scratch, self.raw = Scratch(spark, "warc"), pieces(spark, path)
+        heads = self.scratch.save(self.raw.mapInArrow(_headers, HEADS), "heads")
+        order = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        base = heads.groupBy("file", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("bytes"))
+        self.base = self.scratch.save(base.select("file", "block", F.coalesce(F.sum("bytes").over(order), F.lit(0)).alias("base")), "blocks")
+        # The first piece of a file stands before its first separator and is empty in an archive.
+        self.start = (F.col("base") + F.col("position") - len(MAGIC)).alias("start")
+        self.placed = self.scratch.save(heads.join(self.base, ["file", "block"]).select("*", self.start).filter("start >= 0"), "placed")
+        next_ = F.col("start") + len(MAGIC) + F.col("body") + F.col("length") + 4
+        candidates = self.placed.filter("length is not null").select("file", "start", next_.alias("next"))
+        found = reachable(candidates, self.scratch)
+        kept = self.placed.filter("length is not null").join(found, ["file", "start"], "left_semi")
+        self.records = self.scratch.save(kept.select("file", "start", "body", "length", "type", "record_id", "refers", "digest", "sha", "size"), "records")
+
+    def payloads(self, some: DataFrame) -> DataFrame:
+        """(file, start, payload) of the records (file, start) in some, put together from all their pieces."""
+        marks = self.placed.select("file", "start").join(self.records.select("file", "start", F.lit(True).alias("real")), ["file", "start"], "left")
+        back = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+        # A piece lies in the last record that starts at or before it.
+        owner = marks.select("file", F.col("start").alias("at"), F.last(F.when(F.col("real"), F.col("start")), True).over(back).alias("start"))
+        owner = self.scratch.save(owner.filter("start is not null").join(some.select("file", "start"), ["file", "start"], "left_semi"), "owners")
+        located = self.raw.join(self.base, ["file", "block"]).select("file", self.start.alias("at"), "piece").join(owner, ["file", "at"])
+        parts = owner.groupBy("file", "start").agg(F.count("*").alias("parts"))
+        located = located.join(parts, ["file", "start"])
+        whole = located.filter("parts = 1").select("file", "start", "piece")
+        several = located.filter("parts > 1").groupBy("file", "start").agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("list"))
+        joined = F.array_join(F.transform("list", lambda x: x["piece"].cast("string")), MAGIC).cast("binary")
+        pieces_of = whole.unionByName(several.select("file", "start", joined.alias("piece")))
+        content = F.substring(F.col("piece"), (F.col("body") + 1).cast("int"), F.col("length").cast("int"))
+        return self.records.select("file", "start", "body", "length").join(pieces_of, ["file", "start"]).select("file", "start", content.alias("payload"))
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(file, start, type, record_id, refers, digest, payload) of every record on a chain."""
-    scratch = Scratch(spark, "warc")
-    raw = pieces(spark, path)
-    schema = "file string, block long, position long, head long, reach long, length long, type string, record_id string, refers string, digest string, size long"
-    heads = scratch.save(raw.mapInArrow(_headers, schema), "heads")
-    order = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    base = heads.groupBy("file", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("bytes"))
-    base = scratch.save(base.select("file", "block", F.coalesce(F.sum("bytes").over(order), F.lit(0)).alias("base")), "blocks")
-    # The first piece of a file stands before its first separator and is empty in an archive.
-    start = F.col("base") + F.col("position") - len(MAGIC)
-    placed = heads.join(base, ["file", "block"]).withColumn("start", start)
-    starts = placed.filter("start >= 0 and reach is not null").withColumn("next", F.col("start") + F.col("reach"))
-    starts = scratch.save(starts.select("file", "start", "next", "head", "length", "type", "record_id", "refers", "digest"), "candidates")
-    chain = starts.join(reachable(starts, scratch), ["file", "start"], "left_semi")
-    # A piece lies in the last record that starts at or before it. Few pieces are not starts.
-    cuts = placed.filter("start >= 0").select("file", "start", "size").join(chain.select("file", "start", "head", "length", F.lit(True).alias("real")), ["file", "start"], "left")
-    back = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
-    owner = scratch.save(
-        cuts.select("file", "start", F.last(F.when(F.col("real"), F.col("start")), True).over(back).alias("record")).filter("record is not null"), "owners"
-    )
-    located = raw.join(base, ["file", "block"]).select("file", start.alias("start"), "piece").join(owner, ["file", "start"])
-    lone = located.groupBy("file", "record").agg(F.count("*").alias("parts"))
-    split = lone.filter("parts > 1").select("file", "record")
-    whole = located.join(split, ["file", "record"], "left_anti").select("file", F.col("record").alias("start"), "piece")
-    parts = located.join(split, ["file", "record"], "left_semi").groupBy("file", "record").agg(F.array_sort(F.collect_list(F.struct("start", "piece"))).alias("list"))
-    joined = parts.select("file", F.col("record").alias("start"), F.array_join(F.transform("list", lambda x: x["piece"].cast("string")), MAGIC).cast("binary").alias("piece"))
-    bytes_of = whole.unionByName(joined)
-    content = F.substring(F.col("piece"), (F.col("head") - len(MAGIC) + 1).cast("int"), F.col("length").cast("int"))
-    return chain.join(bytes_of, ["file", "start"]).select("file", "start", "type", "record_id", "refers", "digest", content.alias("payload"))
+    archive = Archive(spark, path)
+    return archive.records.select("file", "start", "type", "record_id", "refers", "digest").join(archive.payloads(archive.records), ["file", "start"])
+
+
+def describe(spark: SparkSession, path: str) -> DataFrame:
+    """(type, record_id, refers, digest, bytes, sha) of every record on a chain.
+
+    Payloads are digested where they are read; only those cut by a separator are shuffled.
+    """
+    archive = Archive(spark, path)
+    cols = ("type", "record_id", "refers", "digest")
+    done = archive.records.filter("sha is not null").select(*cols, F.col("length").alias("bytes"), "sha")
+    cut = archive.records.filter("sha is null")
+    if cut.isEmpty():
+        return done
+    put = cut.join(archive.payloads(cut), ["file", "start"])
+    return done.unionByName(put.select(*cols, F.octet_length("payload").cast("long").alias("bytes"), F.sha1("payload").alias("sha")))
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", payload_col: str = "html", url_col: str | None = "url", least: int = 1000) -> DataFrame:
@@ -179,10 +213,9 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", payload_col: str = "ht
     write(pages, path, id_col, payload_col, url_col, least)
     number = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d+)>", 1)
     as_id = lambda c: F.when(number(c) != "", number(c).cast("long"))
-    got = read(spark, path).select(
-        as_id("record_id").alias("id"), F.col("type").alias("record_type"), as_id("refers").alias("refers_to"),
-        F.octet_length("payload").cast("long").alias("bytes"), F.sha1("payload").alias("sha"), F.expr("substring(digest, 6)").alias("stated"),
-    )
+    got = describe(spark, path).select(
+        as_id("record_id").alias("id"), F.col("type").alias("record_type"), as_id("refers").alias("refers_to"), "bytes", "sha", F.expr("substring(digest, 6)").alias("stated")
+    )
     got = scratch.save(got, "described")
     sizes = got.filter("record_type = 'response' and id is not null").groupBy(F.col("id").alias("of"), F.col("sha").alias("sum")).agg(F.max("bytes").alias("full"))
     is_revisit = F.col("record_type") == "revisit"
