@@ -43,6 +43,8 @@ from strandframe.llm._store import Scratch
 from strandframe.llm._words import Words, mix64, word_slices
 
 _U, _U32 = np.uint64, np.uint32
+#: A shingle that one in so many members of a bucket centre have belongs to the centre.
+COMMON = 3
 _WEIGHTS = np.random.default_rng(5).integers(1, 1 << 62, 64, dtype=np.uint64) * _U(2) + _U(1)
 
 
@@ -243,10 +245,12 @@ def _hopeful(pairs: DataFrame, sketches: DataFrame, coordinates: int, percent: i
 def unsettled(stars: DataFrame, comp: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
     """Pairs (a, b) around one centre, in different components, that their deltas to it allow to be linked.
 
-    Of two sets x, y around a centre h, what they share inside h is at most
-    min(|x & h|, |y & h|). Either that alone can reach the similarity, which
-    depends on four numbers and is joined on their distinct values, or x and y
-    share novel shingles (outside h): then their rarest common one is among the
+    The centre h is its document's set and what a third of its members have
+    besides, so that one odd document is as good a centre as any. Of two sets
+    x, y around it, what they share inside h is at most min(|x & h|, |y & h|).
+    Either that alone can reach the similarity, which depends on four numbers
+    and is joined on their distinct values, or x and y share novel shingles
+    (outside h): then their rarest common one is among the
     first ``novel - needed + 1`` of each, rarest first, and they meet in a join on
     it. Members of a centre's largest component are not paired with each other.
     """
@@ -254,7 +258,13 @@ def unsettled(stars: DataFrame, comp: DataFrame, scratch: Scratch, percent: int)
     group = stars.select(F.col("b").alias("h"), F.col("a").alias("id"), "n", F.col("common").alias("i"), "novel").join(comp, "id", "left")
     group = group.withColumn("comp", F.coalesce("component", "id")).drop("component")
     split = group.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("h")
-    group = scratch.save(group.join(split, "h"), "group")
+    group = group.join(split, "h")
+    size = group.groupBy("h").agg(F.count("*").alias("size"))
+    common = group.select("h", F.explode("novel").alias("s")).groupBy("h", "s").agg(F.count("*").alias("f")).join(size, "h")
+    common = common.filter(F.col("f") * COMMON > F.col("size")).filter("f > 1").groupBy("h").agg(F.collect_list("s").alias("usual"))
+    outside = F.when(F.col("usual").isNull(), F.col("novel")).otherwise(F.array_except("novel", "usual"))
+    group = group.join(common, "h", "left").withColumn("own", outside).withColumn("i", F.col("i") + F.size("novel") - F.size("own"))
+    group = scratch.save(group.select("h", "id", "n", "i", F.col("own").alias("novel"), "comp"), "group")
     most = F.max(F.struct(F.col("count"), (-F.col("comp")).alias("least"))).alias("most")
     main = group.groupBy("h", "comp").count().groupBy("h").agg(most).select("h", (-F.col("most.least")).alias("main"))
     marked = group.join(main, "h").withColumn("aside", F.col("comp") != F.col("main")).drop("main")
