@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from strandframe.plans import queries_demux, queries_enrich, queries_sequence
+from strandframe.plans import queries_demux, queries_enrich, queries_explore, queries_sequence
 from strandframe.sources.package import ship
 
-_MODULES = (queries_sequence, queries_demux, queries_enrich)
+_MODULES = (queries_sequence, queries_demux, queries_enrich, queries_explore)
 
 
 def _shipped(f: Callable) -> Callable:

@@ -309,3 +309,44 @@ def test_weighted_sample_prefers_weight(spark):
     d = spark.range(2000).withColumn("w", F.when(F.col("id") < 100, 1000).otherwise(1))
     got = [r.id for r in common.weighted_sample(d, 100, "w").collect()]
     assert len(set(got)) == 100 and np.mean([i < 100 for i in got]) > 0.7
+
+
+def test_pairwise_alignment(spark):
+    from strandframe.operators import explore
+
+    rnd = random.Random(9)
+
+    def plain(a, b):
+        """Best global score by trying every split into pair, gap and gap (memoised)."""
+        from functools import cache
+
+        @cache
+        def go(i, j, state):
+            if i == len(a) and j == len(b):
+                return 0
+            out = -(10**9)
+            if i < len(a) and j < len(b):
+                out = max(out, (2 if a[i] == b[j] else -4) + go(i + 1, j + 1, 0))
+            if i < len(a):
+                out = max(out, (-2 if state == 1 else -6) + go(i + 1, j, 1))
+            if j < len(b):
+                out = max(out, (-2 if state == 2 else -6) + go(i, j + 1, 2))
+            return out
+
+        return go(0, 0, 0)
+
+    rows = [("".join(rnd.choice("ACG") for _ in range(rnd.randint(1, 7))), "".join(rnd.choice("ACG") for _ in range(rnd.randint(1, 7)))) for _ in range(40)]
+    got = explore.align_pairs(spark.createDataFrame(rows, "ref string, seq string")).collect()
+    for r in got:
+        assert r.score == plain(r.ref, r.seq)
+        assert r.aligned_ref.replace("-", "") == r.ref and r.aligned_seq.replace("-", "") == r.seq and len(r.aligned_ref) == len(r.aligned_seq)
+    local = explore.align("TTTACGTACGTTT", "GGACGTACGGG", 2, -4, -4, -2, True)
+    assert local[1:] == ("ACGTACG", "ACGTACG") and local[0] == 14
+
+
+def test_structure_uses_the_best_chain(spark):
+    from strandframe.operators import explore
+
+    pos = spark.createDataFrame([("A", p, p + 10, p != 1, 3) for p in range(1, 4)] + [("B", p, p + 20, True, 3) for p in range(1, 4)], "chain string, position long, residue int, wt_match boolean, coverage int")
+    prof = spark.createDataFrame([(2, 0.5)], "position long, frequency double")
+    assert sorted((r.chain, r.residue, r.frequency) for r in explore.on_structure(prof, pos).collect()) == [("B", 21, 0.0), ("B", 22, 0.5), ("B", 23, 0.0)]
