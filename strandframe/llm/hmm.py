@@ -3,8 +3,8 @@
 *Tokens.* Words (A-Z lower-cased) and one end per text.
 
 *Counts.* Every word of every training text is counted in a distributed
-aggregation. The ``lookup`` most frequent words (a bounded table) are sent to
-the tasks; all rarer ones are joined by key when texts are scored.
+aggregation. The most frequent words, ``lookup`` at most, are sent to the tasks;
+all rarer ones are joined by key when texts are scored.
 
 *Classes.* The ``symbols`` most frequent words are symbols of their own; every
 other word belongs to the class of its last letter's byte. A state emits a
@@ -109,6 +109,7 @@ class Vocabulary:
     distinct: int  # V
     class_tokens: np.ndarray  # by tail, without symbols
     class_distinct: np.ndarray
+    least: int | None = None  # the lowest count bin that keys holds
 
     def __post_init__(self):
         self.table = Table(self.keys)
@@ -141,22 +142,36 @@ def count_words(train: DataFrame, text_col: str) -> DataFrame:
     return rows.groupBy("h").agg(F.min("tail").alias("tail"), F.sum("c").alias("c"))
 
 
+def _bin(c):
+    """Counts by 64ths of a doubling: some 3000 bins whatever the corpus."""
+    return F.floor(F.log2(c) * 64)
+
+
 def vocabulary(counts: DataFrame, lookup: int, symbols: int) -> Vocabulary:
+    """The words of the highest count bins that hold lookup words together at most, and sums over all."""
     end = F.col("h") == F.lit(int(END.astype(np.int64)))
-    top = counts.orderBy((~end).cast("int"), F.desc("c"), "h").limit(lookup).collect()
-    keys = np.array([r.h for r in top], np.int64).view(_U) if top else np.array([END])
-    own = np.array([r.c for r in top], np.int64) if top else np.zeros(1, np.int64)
-    tails = np.array([r.tail for r in top], np.int64) if top else np.zeros(1, np.int64)
+    least, held = None, 0
+    for b, n in sorted(((r.b, r.n) for r in counts.groupBy(_bin(F.col("c")).alias("b")).agg(F.count("*").alias("n")).collect()), reverse=True):
+        if held + n > lookup:
+            break
+        least, held = b, held + n
+    often = end if least is None else end | (_bin(F.col("c")) >= least)
+    table = counts.filter(often).toArrow()
+    keys, own, tails = (table.column(k).to_numpy() for k in ("h", "c", "tail"))
+    order = np.lexsort((keys, -own, keys != END.astype(np.int64)))
+    keys, own, tails = keys[order].view(_U), own[order], tails[order].astype(np.int64)
+    if not len(keys):
+        keys, own, tails = np.array([END]), np.zeros(1, np.int64), np.zeros(1, np.int64)
     by_tail = counts.groupBy("tail").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()
     symbols = min(symbols, len(keys))
     tokens, distinct = np.zeros(TAILS, np.int64), np.zeros(TAILS, np.int64)
     for r in by_tail:
         tokens[r.tail], distinct[r.tail] = r.c, r.v
     total, kinds = int(tokens.sum()), int(distinct.sum())
-    if top:
+    if total:
         np.subtract.at(tokens, tails[:symbols], own[:symbols])
         np.subtract.at(distinct, tails[:symbols], 1)
-    return Vocabulary(keys, own, symbols, total, kinds, tokens, distinct)
+    return Vocabulary(keys, own, symbols, total, kinds, tokens, distinct, least)
 
 
 @dataclass
@@ -362,7 +377,7 @@ def score(
         slim.mapInArrow(run, "row long, id long, out boolean, n long, found long, base double, hmm double, rare array<long>"), "local"
     )
     rare = local.select("row", F.explode("rare").alias("h"))
-    seldom = counts.filter(F.col("c") <= int(words.counts[-1])).select("h", "c")
+    seldom = (counts if words.least is None else counts.filter(_bin(F.col("c")) < words.least)).select("h", "c")
     more = rare.join(seldom, "h").groupBy("row").agg(F.sum(F.log10(F.col("c") + 1)).alias("gain"), F.count("*").alias("more"))
     joined = local.drop("rare").join(more, "row", "left").fillna({"gain": 0.0, "more": 0})
     return joined.select(
