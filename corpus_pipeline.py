@@ -17,8 +17,9 @@ from strandframe.sources.package import ship
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the toxicity threshold."""
-    lexicon = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Documents that score below the toxicity threshold; held-out labels teach nothing."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    lexicon = toxicity.learn(docs, labels.filter(~toxicity.held_out("doc_id")))
     return toxicity.drop_toxic(docs, lexicon)
 
 
