@@ -12,6 +12,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strandframe.sources.package import ship
+
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_DEFAULT_BATCH = ("64MB", "64m", "67108864b", "67108864")
+
+
+def ready(spark: SparkSession) -> None:
+    """Send the package to the workers, and keep their text batches small where the session has no own limit."""
+    ship(spark)
+    if spark.conf.get(_BATCH_BYTES, None) in _DEFAULT_BATCH:
+        spark.conf.set(_BATCH_BYTES, "16m")
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the session; a temporary one where none is set (tests)."""

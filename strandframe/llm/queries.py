@@ -12,11 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandframe.llm import decontam, embeddings, hmm, licenses, lines, minhash, mixing, sharding, toxicity, warc
-from strandframe.sources.package import ship
+from strandframe.llm._store import ready
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship(spark)
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
