@@ -12,12 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strandframe.llm import decontam, minhash, mixing, sharding, toxicity
-from strandframe.llm._store import Scratch
-from strandframe.sources.package import ship
+from strandframe.llm._store import Scratch, ready
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the toxicity threshold; held-out labels teach nothing."""
+    ready(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     lexicon = toxicity.learn(docs, labels.filter(~toxicity.held_out("doc_id")))
     return toxicity.drop_toxic(docs, lexicon)
@@ -25,16 +25,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of every near-duplicate group."""
+    ready(spark)
     return minhash.keep_first(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found."""
+    ready(spark)
     return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents resampled to the target weights 1, 2, 3, ... of the sources in order."""
+    ready(spark)
     return mixing.resample(docs, weigh=mixing.rotating)
 
 
@@ -57,7 +60,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages applied to documents."""
-    ship(spark)
+    ready(spark)
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
