@@ -40,6 +40,22 @@ def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def ranked(df: DataFrame, by: list[str], coarse: list[Column], fine: list[Column], name: str = "rank") -> DataFrame:
+    """df with the 1-based place of every row in its group, by the coarse keys, then the fine ones.
+
+    Coarse keys (ascending, not null) cut a group into runs whose
+    sizes are summed first; rows are numbered inside a run. So a group that
+    holds most rows is spread over tasks, and no task sorts a whole group.
+    """
+    keys = [f"__k{i}" for i in range(len(coarse))]
+    rows = df.withColumns(dict(zip(keys, coarse, strict=True)))
+    sizes = rows.groupBy(*by, *keys).agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(*by).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*by, *keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    inside = F.row_number().over(Window.partitionBy(*by, *keys).orderBy(*fine))
+    return rows.join(starts, [*by, *keys]).withColumn(name, (F.col("__start") + inside).cast("long")).drop(*keys, "__start")
+
+
 def keep_quantile(df: DataFrame, col: str, q: float, upper: bool = True, by: list[str] | None = None) -> DataFrame:
     """Rows at or above (or below) a linear-interpolated quantile of col, per group if given."""
     edge = df.groupBy(*(by or [])).agg(F.percentile(col, F.lit(q)).alias("__edge"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandframe.functions import seq as S
-from strandframe.operators.common import small
+from strandframe.operators.common import ranked, small
 
 FAILS = ("context_not_present_in_reference_sequence", "barcode_not_in_fasta", "low_confidence_barcode_identification")
 
@@ -167,8 +167,7 @@ def discover(found: DataFrame, n: int | None = None, min_distance: int = 0) -> D
 
         counted = cluster(counted.select(F.col("barcode_type").alias("reference_name"), F.col("seq").alias("umi"), F.col("count").alias("umi_count")), min_distance - 1)
         counted = counted.filter("umi = final_umi").select(F.col("reference_name").alias("barcode_type"), F.col("umi").alias("seq"), F.col("final_umi_count").alias("count"))
-    rank = F.row_number().over(Window.partitionBy("barcode_type").orderBy(F.desc("count"), "seq"))
-    out = counted.withColumn("ord", rank).withColumn("name", F.concat(F.lit("bc"), F.col("ord").cast("string")))
+    out = ranked(counted, ["barcode_type"], [-F.col("count"), F.substring("seq", 1, 4)], [F.col("seq")], "ord").withColumn("name", F.concat(F.lit("bc"), F.col("ord").cast("string")))
     return out.filter(F.col("ord") <= n) if n else out
 
 

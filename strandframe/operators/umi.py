@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandframe.functions import seq as S
-from strandframe.operators.common import distribution, fill_both_ways
+from strandframe.operators.common import distribution, fill_both_ways, ranked
 
 
 def extract(reads: DataFrame, contexts: list[str]) -> DataFrame:
@@ -64,7 +64,7 @@ def cluster(umis: DataFrame, mismatches: int = 1) -> DataFrame:
     group = Window.partitionBy("reference_name", "final_umi")
     out = root.withColumn("final_umi_count", F.sum("umi_count").over(group))
     ids = out.select("reference_name", "final_umi", "final_umi_count").distinct()
-    ids = ids.withColumn("unique_id", F.row_number().over(Window.partitionBy("reference_name").orderBy(F.desc("final_umi_count"), "final_umi")) - 1)
+    ids = ranked(ids, ["reference_name"], [-F.col("final_umi_count"), F.substring("final_umi", 1, 4)], [F.col("final_umi")], "unique_id").withColumn("unique_id", F.col("unique_id") - 1)
     return out.join(ids.drop("final_umi_count"), ["reference_name", "final_umi"])
 
 

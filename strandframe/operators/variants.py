@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strandframe.functions import seq as S
-from strandframe.operators.common import distribution, small
+from strandframe.operators.common import distribution, ranked, small
 
 LATE, EARLY = "alignment starts past trimmed reference start", "alignment ends before trimmed reference end"
 MUTATION_COLUMNS = ["NT_substitutions", "NT_substitutions_count", "NT_insertions", "NT_deletions", "NT_insertion_length", "NT_deletion_length"]
@@ -146,10 +145,13 @@ def genotypes(called: DataFrame, by: list[str] | None = None, aa: bool = True) -
     made = called.groupBy(*by, *cols).agg(F.count("*").alias("count"), best.alias("best_read"))
     wild = (F.col("NT_substitutions") == "") & (F.col("NT_insertions") == "") & (F.col("NT_deletions") == "")
     made = made.withColumn("wild", wild)
-    order = Window.partitionBy(*by).orderBy(F.desc("wild"), F.desc("count"), "NT_substitutions_count", "NT_substitutions", "NT_insertions", "NT_deletions")
-    rank = F.row_number().over(order) - F.max(F.col("wild").cast("int")).over(Window.partitionBy(*by))
-    name = F.when(F.col("wild"), "wildtype").otherwise(rank.cast("string"))
-    return made.withColumn("genotype_rank", rank.cast("long")).withColumn("genotype_ID", name).drop("wild")
+    coarse = [~F.col("wild"), -F.col("count"), F.col("NT_substitutions_count"), F.substring("NT_substitutions", 1, 5)]
+    placed = ranked(made, by, coarse, [F.col(c) for c in ("NT_substitutions", "NT_insertions", "NT_deletions", *cols)], "place")
+    # The wild type is alone in front, so one small row per group says whether the others start at 1.
+    has_wild = made.filter("wild").select(*by, F.lit(1).alias("__w")).distinct()
+    placed = placed.join(small(has_wild), by, "left").withColumn("genotype_rank", F.col("place") - F.coalesce("__w", F.lit(0)))
+    name = F.when(F.col("wild"), "wildtype").otherwise(F.col("genotype_rank").cast("string"))
+    return placed.withColumn("genotype_ID", name).drop("wild", "place", "__w")
 
 
 def seq_ids(called: DataFrame, condensed: DataFrame, by: list[str] | None = None, aa: bool = True) -> DataFrame:
