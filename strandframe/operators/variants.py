@@ -144,7 +144,8 @@ def genotypes(called: DataFrame, by: list[str] | None = None, aa: bool = True) -
     best = F.max_by("read_id", F.struct(F.col("avg_quality"), F.col("read_id")))
     made = called.groupBy(*by, *cols).agg(F.count("*").alias("count"), best.alias("best_read"))
     wild = (F.col("NT_substitutions") == "") & (F.col("NT_insertions") == "") & (F.col("NT_deletions") == "")
-    made = made.withColumn("wild", wild)
+    # Ranking reads the genotypes three times; the calls behind them are made once.
+    made = made.withColumn("wild", wild).persist()
     coarse = [~F.col("wild"), -F.col("count"), F.col("NT_substitutions_count"), F.substring("NT_substitutions", 1, 5)]
     placed = ranked(made, by, coarse, [F.col(c) for c in ("NT_substitutions", "NT_insertions", "NT_deletions", *cols)], "place")
     # The wild type is alone in front, so one small row per group says whether the others start at 1.

@@ -200,7 +200,9 @@ DISTRIBUTION = CALLS + f"SELECT reference_name, x::INT AS x, total::BIGINT AS to
 
 def mutation_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full statistics row of every reference: the flagship query."""
-    called, refs, by = _called(spark, sf_dir).persist(), T.references(spark), ["reference_name"]
+    refs, by = T.references(spark), ["reference_name"]
+    # Six tables come from the calls: they are kept once, without sequences and qualities.
+    called = _called(spark, sf_dir).select("read_id", "reference_name", "nt", "aa_changes", "avg_quality", *variants.MUTATION_COLUMNS, *variants.AA_COLUMNS).persist()
     out = stats.mutation_stats(
         by, variants.mutation_distribution(called), variants.tidy_counts(called, refs), variants.genotypes(called), variants.failures(_trimmed(spark, sf_dir)),
         variants.mutation_distribution(called, "AA"), variants.tidy_counts(called, refs, "AA"),

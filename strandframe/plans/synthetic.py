@@ -88,6 +88,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than cores dealt out anew; larger tables are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _with_views(spark: SparkSession, sf_dir: str, text: str, names: tuple[str, ...]) -> DataFrame:
     frames = {n: table(spark, sf_dir, n) for n in names}
     for n in names:
@@ -100,7 +106,7 @@ def references(spark: SparkSession) -> DataFrame:
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _with_views(spark, sf_dir, READS, ("orders",))
+    df = spread(_with_views(spark, sf_dir, READS, ("orders",)))
     n = F.length(S.aligned_query(F.col("query_seq"), S.cigar_ops(F.col("cigar"))))
     q = lambda i: (10 + (F.col("read_id").cast("long") * 31 + i * 17) % 31).cast("int")
     pad = F.when(F.col("cigar").startswith("3S"), F.array_repeat(F.lit(2), 3)).otherwise(F.array().cast("array<int>"))
