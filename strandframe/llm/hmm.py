@@ -11,11 +11,12 @@ other word belongs to the class of its last letter's byte. A state emits a
 symbol or a class, a class emits its words by their smoothed counts, so the
 model is a proper distribution over words, with one unknown word per class.
 
-*Training.* Baum-Welch: forward and backward passes give expected transition,
-start and emission counts, which are summed over partitions; ``passes`` passes
-go over all training texts. The start of the first pass is fitted to at most
-``init_docs`` texts (those with the smallest hash of their id) only to break the
-symmetry between states.
+*Training.* Baum-Welch from emissions disturbed by a seeded noise, which breaks
+the symmetry between states without looking at a text. Forward and backward
+passes give expected transition, start and emission counts, which are summed
+over partitions; every one of the ``START_ROUNDS + passes`` rounds goes over all
+training texts. The texts' symbols and classes are written once and read by
+every round.
 
 *Scoring.* The scaled forward recursion gives the exact likelihood. Texts are
 cut into pieces of ``PIECE`` tokens whose transfer matrices are multiplied for
@@ -39,12 +40,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandframe.llm._store import Scratch
-from strandframe.llm._words import word_slices
+from strandframe.llm._words import text_buffers, word_slices
 
 _U = np.uint64
 END = _U(0x2545F4914F6CDD1D)
 PIECE, RESCALE = 32, 8
+TOKENS = 1 << 17
 TAILS = 256
+START_ROUNDS = 12
 
 
 def held_out(id_col: str, parts: int = 7, part: int = 2):
@@ -284,49 +287,84 @@ def reestimate(starts, moves, emits, prior: np.ndarray, strength: float = 200.0)
     return Model(starts / starts.sum(), moves / moves.sum(axis=1)[:, None], emits / emits.sum(axis=0))
 
 
-def first_model(texts: list[str | None], words: Vocabulary, states: int, rounds: int = 12) -> Model:
-    """Broken symmetry: a few rounds on a few texts from random emissions."""
+def first_model(words: Vocabulary, states: int) -> Model:
+    """Broken symmetry: emissions of every state off the prior by a seeded noise."""
     rnd, prior = np.random.default_rng(7), words.prior()
     emit = prior[:, None] * np.exp(0.5 * rnd.standard_normal((len(prior), states)))
     move = np.full((states, states), 0.2 / states) + np.eye(states) * 0.8
-    model = Model(np.full(states, 1 / states), move / move.sum(axis=1)[:, None], emit / emit.sum(axis=0))
-    parts = [(words.classes(words.table.find(h), t), b) for _, _, h, t, b in token_slices(pa.array(texts, pa.string()))]
-    for _ in range(rounds if parts else 0):
-        sums = [Lattice(model, c, b).expected() for c, b in parts]
-        model = reestimate(*(sum(x) for x in zip(*sums, strict=True)), prior)
-    return model
+    return Model(np.full(states, 1 / states), move / move.sum(axis=1)[:, None], emit / emit.sum(axis=0))
+
 
+def _code_type(words: Vocabulary) -> np.dtype:
+    return np.dtype("<u2" if words.size <= 1 << 16 else "<u4")
 
-def baum_welch(train: DataFrame, text_col: str, words: Vocabulary, model: Model) -> Model:
-    """One pass over all rows of train; the counts are summed by class over partitions."""
-    context, states = train.sparkSession.sparkContext, len(model.start)
-    shared = context.broadcast((words, model))
+
+def encode(train: DataFrame, text_col: str, words: Vocabulary) -> DataFrame:
+    """(codes): the symbols and classes of every row's tokens, as fixed-width numbers."""
+    shared, kind = train.sparkSession.sparkContext.broadcast(words), _code_type(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, model = shared.value
-        total = np.zeros((words.size + 1 + states, states))
+        words = shared.value
         for batch in batches:
             for _, _, h, t, b in token_slices(batch.column(0)):
-                starts, moves, emits = Lattice(model, words.classes(words.table.find(h), t), b).expected()
-                total[: words.size] += emits
-                total[words.size] += starts
-                total[words.size + 1 :] += moves
+                codes = words.classes(words.table.find(h), t).astype(kind)
+                offsets = pa.py_buffer((b * kind.itemsize).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(b) - 1, [None, offsets, pa.py_buffer(codes)])], ["codes"])
+
+    return train.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "codes binary")
+
+
+def code_slices(column: pa.Array, kind: np.dtype) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(classes, bounds) of encoded rows, in slices of whole rows."""
+    data, offsets = text_buffers(column)
+    first = 0
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + TOKENS * kind.itemsize, "right")) - 1)
+        part = np.frombuffer(data[offsets[first] : offsets[last]].tobytes(), kind)
+        yield part.astype(np.int64), (offsets[first : last + 1] - offsets[first]) // kind.itemsize
+        first = last
+
+
+def baum_welch(coded: DataFrame, words: Vocabulary, model: Model) -> Model:
+    """One pass over all encoded rows; the counts are summed by class over partitions."""
+    context, states, size, kind = coded.sparkSession.sparkContext, len(model.start), words.size, _code_type(words)
+    shared = context.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        total = np.zeros((size + 1 + states, states))
+        for batch in batches:
+            for classes, b in code_slices(batch.column(0), kind):
+                starts, moves, emits = Lattice(model, classes, b).expected()
+                total[:size] += emits
+                total[size] += starts
+                total[size + 1 :] += moves
         some = np.flatnonzero(total.sum(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(total[some, k]) for k in range(states))], names)
 
     names = ["row", *(f"s{k}" for k in range(states))]
-    rows = train.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "row int, " + ", ".join(f"{n} double" for n in names[1:]))
+    rows = coded.mapInArrow(run, "row int, " + ", ".join(f"{n} double" for n in names[1:]))
     got = rows.groupBy("row").agg(*(F.sum(n).alias(n) for n in names[1:])).collect()
     shared.unpersist()
-    total = np.zeros((words.size + 1 + states, states))
+    total = np.zeros((size + 1 + states, states))
     for r in got:
         total[r.row] = r[1:]
-    return reestimate(total[words.size], total[words.size + 1 :], total[: words.size], words.prior())
+    return reestimate(total[size], total[size + 1 :], total[:size], words.prior())
+
+
+def fit(train: DataFrame, text_col: str, words: Vocabulary, states: int, rounds: int, scratch: Scratch) -> Model:
+    """The model after so many rounds over all rows of train."""
+    model = first_model(words, states)
+    coded = scratch.save(encode(train, text_col, words), "codes")
+    for _ in range(rounds if words.tokens else 1):
+        model = baum_welch(coded, words, model)
+    scratch.drop(coded)
+    return model
 
 
 def score(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train=None,
-    states: int = 4, symbols: int = 16_384, lookup: int = 262_144, passes: int = 2, init_docs: int = 768,
+    states: int = 4, symbols: int = 16_384, lookup: int = 262_144, passes: int = 2,
 ) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row; logs base 10.
 
@@ -337,10 +375,7 @@ def score(
     learned = docs.filter(~out_of)
     counts = scratch.save(count_words(learned, text_col), "counts")
     words = vocabulary(counts, lookup, symbols)
-    picked = learned.select(F.col(text_col).cast("string").alias("t"), F.xxhash64(id_col, text_col).alias("k")).orderBy("k").limit(init_docs)
-    model = first_model([r.t for r in picked.collect()], words, states)
-    for _ in range(passes):
-        model = baum_welch(learned, text_col, words, model)
+    model = fit(learned, text_col, words, states, START_ROUNDS + passes, scratch)
     shared = docs.sparkSession.sparkContext.broadcast((words, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

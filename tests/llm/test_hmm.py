@@ -122,3 +122,17 @@ def test_nulls_empty_texts_and_tables(spark):
 
 def token_rows(texts):
     return [n for _, _, _, _, b in hmm.token_slices(pa.array(texts, pa.string())) for n in np.diff(b).tolist()]
+
+
+def test_every_round_covers_all_training_texts(spark):
+    rnd = np.random.default_rng(3)
+    texts = [" ".join(f"{'ab'[i % 2]}{rnd.integers(0, 30)}" for _ in range(int(rnd.integers(0, 50)))) for i in range(1200)]
+    train = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    words = hmm.vocabulary(hmm.count_words(train, "text"), 1000, 40)
+    want = hmm.first_model(words, 3)
+    parts = [(words.classes(words.table.find(h), t), b) for _, _, h, t, b in hmm.token_slices(pa.array(texts, pa.string()))]
+    for _ in range(4):
+        sums = [hmm.Lattice(want, c, b).expected() for c, b in parts]
+        want = hmm.reestimate(*(sum(x) for x in zip(*sums, strict=True)), words.prior())
+    got = hmm.fit(train, "text", words, 3, 4, hmm.Scratch(spark, "hmm"))
+    assert np.allclose(got.start, want.start) and np.allclose(got.move, want.move) and np.allclose(got.emit, want.emit)
