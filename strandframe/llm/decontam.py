@@ -15,8 +15,11 @@ edits cost few mismatches, so edit distance turns into Hamming distance.
 
 *LSH.* Each repetition walks anew and samples ``SAMPLED`` coordinates; a
 window and an item of its length that agree on them are a candidate pair. The
-number of repetitions follows from ``recall``: the collision rate is measured
-on copies of the items with the most edits allowed.
+repetitions that an item length needs follow from ``recall``: texts of that
+length with the most edits allowed are searched for with the keys in use, until
+so few are missed. All items of a block get the most that any of their lengths
+needs. A length that needs more than ``MOST_REPETITIONS`` does without LSH: all
+of its windows are verified.
 
 *Verification.* Candidates are aligned exactly (semi-global edit distance).
 
@@ -32,7 +35,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +46,7 @@ from strandframe.llm._words import mix64, word_hashes, word_slices
 
 _U = np.uint64
 SAMPLED, SHIFTS, MOST_REPETITIONS = 2, 2, 48
+TRIALS = 600
 _PAD = _U(0x5851F42D4C957F2D)
 _BITS = 20
 
@@ -61,21 +65,70 @@ def walk(windows: np.ndarray, seed: int) -> np.ndarray:
     return out
 
 
-def lsh_keys(windows: np.ndarray, repetitions: int) -> np.ndarray:
-    """(rows, repetitions): sampled coordinates of a new walk each, as one key."""
+def lsh_key(windows: np.ndarray, r: int) -> np.ndarray:
+    """(rows,): sampled coordinates of the walk of repetition r, as one key."""
     count, n = windows.shape
-    keys = np.empty((count, repetitions), _U)
+    seed = 1000003 * n + r
+    picks = np.random.default_rng(seed + 1).integers(0, 3 * n, SAMPLED)
+    key = np.full(count, seed, _U)
+    walked = walk(windows, seed)
+    for p in picks:
+        key = mix64(key ^ walked[:, p])
+    return key
+
+
+def lsh_keys(windows: np.ndarray, repetitions: int) -> np.ndarray:
+    """(rows, repetitions): the keys of all repetitions."""
+    keys = np.empty((len(windows), repetitions), _U)
     for r in range(repetitions):
-        seed = 1000003 * n + r
-        picks = np.random.default_rng(seed + 1).integers(0, 3 * n, SAMPLED)
-        key = np.full(count, seed, _U)
-        walked = walk(windows, seed)
-        for p in picks:
-            key = mix64(key ^ walked[:, p])
-        keys[:, r] = key
+        keys[:, r] = lsh_key(windows, r)
     return keys
 
 
+def _trial(rnd: np.random.Generator, n: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """An item of n random words, and the windows that a search for it tries in a text with k edits of it."""
+    item = rnd.integers(1, 1 << 62, n).astype(_U)
+    words, origin = item.tolist(), list(range(n))
+    for _ in range(k):
+        p, kind = int(rnd.integers(len(words))), int(rnd.integers(3))
+        words[p : p + (kind > 0)] = [] if kind == 1 else [int(rnd.integers(1, 1 << 62))]
+        origin[p : p + (kind > 0)] = [] if kind == 1 else [-1]
+    size, at = n // (k + 1), {o: p for p, o in enumerate(origin) if o >= 0}
+    whole = [s for s in range(0, size * (k + 1), size) if s in at and origin[at[s] : at[s] + size] == list(range(s, s + size))]
+    starts = np.array(sorted({at[s] - s + d for s in whole for d in range(-SHIFTS, SHIFTS + 1)}), np.int64)
+    around = n + k + SHIFTS
+    text = np.concatenate([rnd.integers(1, 1 << 62, around).astype(_U), np.array(words, _U), rnd.integers(1, 1 << 62, around).astype(_U)])
+    return item, text[(around + starts)[:, None] + np.arange(n)]
+
+
+@lru_cache(maxsize=None)
+def enough(n: int, k: int, recall: float) -> int | None:
+    """Repetitions that find items of n words with k edits, by trial; None beyond MOST_REPETITIONS.
+
+    Half the misses that recall allows are taken, as a margin for the trials' own error.
+    """
+    if not k:
+        return 4
+    rnd = np.random.default_rng(1000003 * n + k)
+    trials = [_trial(rnd, n, k) for _ in range(TRIALS)]
+    for r in range(MOST_REPETITIONS):
+        left, lo = [], 0
+        while lo < len(trials):
+            part, rows = [], 0
+            while lo < len(trials) and (not part or rows < 4096):
+                part.append(trials[lo])
+                rows, lo = rows + len(trials[lo][1]), lo + 1
+            items, windows = lsh_key(np.stack([i for i, _ in part]), r), lsh_key(np.concatenate([w for _, w in part]), r)
+            owner = np.repeat(np.arange(len(part)), [len(w) for _, w in part])
+            met = np.zeros(len(part), bool)
+            met[owner[windows == items[owner]]] = True
+            left += [t for t, m in zip(part, met, strict=True) if not m]
+        trials = left
+        if len(trials) <= TRIALS * (1 - recall) / 2:
+            return max(4, r + 1)
+    return None
+
+
 def closest(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """(distance, start, end): the run of text nearest to item; ties: shortest, then first."""
     width = len(text) + 1
@@ -100,7 +153,11 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, np.ndarray]], rate: float, recall: float):
         self.items = [(i, w) for i, w in items if len(w)]
         self.edits = [math.floor(rate * len(w) + 1e-9) for _, w in self.items]
-        self.repetitions = self._enough(recall)
+        lengths = {len(w): k for (_, w), k in zip(self.items, self.edits, strict=True)}
+        needed = {n: enough(n, k, recall) for n, k in sorted(lengths.items())}
+        # Edits of real passages are not spread like those of the trials: no length gets fewer than another needs.
+        most = max((r for r in needed.values() if r), default=4)
+        self.repetitions = {n: r and most for n, r in needed.items()}
         seeds: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
         by_length: dict[int, list[int]] = defaultdict(list)
         for x, ((_, words), k) in enumerate(zip(self.items, self.edits, strict=True)):
@@ -116,34 +173,21 @@ class ItemIndex:
             self.seeds[size] = (maybe, keys, [table[int(k)] for k in keys])
         self.keys = {}
         for n, members in by_length.items():
-            keys = lsh_keys(np.stack([self.items[x][1] for x in members]), self.repetitions)
-            self.keys[n] = [defaultdict(list) for _ in range(self.repetitions)]
+            if self.repetitions[n] is None:
+                continue
+            keys = lsh_keys(np.stack([self.items[x][1] for x in members]), self.repetitions[n])
+            self.keys[n] = [defaultdict(list) for _ in range(self.repetitions[n])]
             for row, x in zip(keys, members, strict=True):
                 for r, key in enumerate(row.tolist()):
                     self.keys[n][r][key].append(x)
 
-    def _enough(self, recall: float) -> int:
-        """Repetitions that reach the recall at the most edits allowed, by trial."""
-        rnd, hits, trials = np.random.default_rng(11), 0, 0
-        for (_, words), k in list(zip(self.items, self.edits, strict=True))[:40]:
-            if not k:
-                continue
-            for _ in range(4):
-                words2 = list(words)
-                for _ in range(k):
-                    p, kind = int(rnd.integers(len(words2))), int(rnd.integers(3))
-                    new = _U(rnd.integers(1 << 62))
-                    words2[p : p + (kind > 0)] = [] if kind == 1 else [new] if kind == 2 else [new]
-                row = np.full(len(words), _PAD, _U)
-                row[: min(len(words), len(words2))] = words2[: len(words)]
-                both = lsh_keys(np.stack([words, row]), 8)
-                hits, trials = hits + int((both[0] == both[1]).sum()), trials + 8
-        p = hits / trials if trials else 1.0
-        return MOST_REPETITIONS if p <= 0 else max(4, min(MOST_REPETITIONS, math.ceil(math.log(1 - recall) / math.log(max(1e-9, 1 - p))))) if p < 1 else 4
-
-    def windows(self, words: np.ndarray, bounds: np.ndarray) -> dict[int, set[tuple[int, int]]]:
-        """By item length: (row, start in words) of windows on the diagonal of an untouched segment."""
+    def windows(self, words: np.ndarray, bounds: np.ndarray) -> tuple[dict[int, set[tuple[int, int]]], set[tuple[int, int, int]]]:
+        """By item length: (row, start in words) of windows on the diagonal of an untouched segment.
+
+        For lengths without LSH: (row, item, start).
+        """
         found: dict[int, set[tuple[int, int]]] = defaultdict(set)
+        direct: set[tuple[int, int, int]] = set()
         for size, (maybe, keys, places) in self.seeds.items():
             if len(words) < size:
                 continue
@@ -156,14 +200,21 @@ class ItemIndex:
             whole = at + size <= bounds[rows + 1]
             for p, s, row in zip(at[whole].tolist(), slot[whole].tolist(), rows[whole].tolist(), strict=True):
                 for x, offset in places[s]:
-                    found[len(self.items[x][1])].add((row, p - offset))
-        return found
+                    n = len(self.items[x][1])
+                    if self.repetitions[n] is None:
+                        direct.add((row, x, p - offset))
+                    else:
+                        found[n].add((row, p - offset))
+        return found, direct
 
     def search(self, words: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """(row, item, distance, start, end) of the best run for each row and item within reach."""
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         checked = set()
-        for n, diagonals in self.windows(words, bounds).items():
+        found, direct = self.windows(words, bounds)
+        for row, x, s in sorted(direct):
+            self._verify(words, bounds, row, x, s, best)
+        for n, diagonals in found.items():
             spots = sorted({(row, s + shift) for row, s in diagonals for shift in range(-SHIFTS, SHIFTS + 1)})
             for lo in range(0, len(spots), 2048):
                 part = np.array(spots[lo : lo + 2048])
@@ -171,7 +222,7 @@ class ItemIndex:
                 index = part[:, 1][:, None] + np.arange(n)
                 inside = (index >= low[:, None]) & (index < high[:, None])
                 windows = np.where(inside, words[np.clip(index, 0, len(words) - 1)], _PAD)
-                keys = lsh_keys(windows, self.repetitions)
+                keys = lsh_keys(windows, self.repetitions[n])
                 for r, table in enumerate(self.keys[n]):
                     for w, key in enumerate(keys[:, r].tolist()):
                         for x in table.get(key, ()):

@@ -95,3 +95,38 @@ def test_dropping_keeps_clean_rows_and_empty_tables(spark):
     assert left.columns == docs.columns and sorted(r.text or "" for r in left.collect()) == ["", "clean", "clean text"]
     assert decontam.drop_contaminated(docs.limit(0), items).count() == 0
     assert decontam.drop_contaminated(docs, items.limit(0)).count() == 5
+
+
+class Candidates(decontam.ItemIndex):
+    """Takes every candidate pair as found."""
+
+    def _verify(self, words, bounds, row, x, s, best):
+        best[row, x] = (0, s, s)
+
+
+def found_share(n, items=300, recall=0.99):
+    """Share of items of n random words that are candidates in a text with the most edits allowed."""
+    rnd = random.Random(n)
+    fresh = lambda count: [rnd.getrandbits(62) | 1 for _ in range(count)]
+    every = [(i, np.array(fresh(n), np.uint64)) for i in range(items)]
+    # Items too short for edits come first; they must not settle the repetitions of the others.
+    short = [(-i, np.array(fresh(3), np.uint64)) for i in range(1, 41)]
+    index = Candidates(short + every, 0.2, recall)
+    hits = 0
+    for i, item in every:
+        words = item.tolist()
+        for _ in range(n // 5):
+            p, kind = rnd.randrange(len(words)), rnd.randrange(3)
+            words[p : p + (kind > 0)] = [] if kind == 1 else fresh(1)
+        text = np.array(fresh(40) + words + fresh(40), np.uint64)
+        hits += any(index.items[x][0] == i for _, x, *_ in index.search(text, np.array([0, len(text)])))
+    return hits / items
+
+
+def test_every_length_reaches_the_recall_at_the_most_edits():
+    assert min(found_share(n) for n in (15, 30, 50)) >= 0.98
+
+
+def test_lengths_beyond_the_repetitions_verify_all_windows(monkeypatch):
+    monkeypatch.setattr(decontam, "enough", lambda n, k, recall: None)
+    assert found_share(60, items=100) == 1
