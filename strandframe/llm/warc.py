@@ -21,7 +21,7 @@ pointers to the shared folder.
 Defined cases: a null payload is empty. Null ids are written as empty ids and read
 back as null; they are never the response that others refer to. Repeated ids
 are records of their own. An archive whose chain breaks gives the records up
-to the break. Empty tables give an empty archive. Other columns are ignored.
+to the break; ``round_trip`` raises then. Empty tables give an empty archive. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -62,7 +62,8 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str
     rows = decide(pages, id_col, payload_col, url_col, least)
     is_revisit = F.col("refers_to").isNotNull()
     body = F.when(is_revisit, F.lit("")).otherwise(F.col("payload"))
-    uri = F.regexp_replace("url", r"[\x00-\x20\x7F]", "")
+    # A separator in a header would cut it; %57 is the same URI as W.
+    uri = F.replace(F.regexp_replace("url", r"[\x00-\x20\x7F]", ""), F.lit(MAGIC), F.lit("%57" + MAGIC[1:]))
     header = F.concat(
         F.lit(MAGIC + "1\r\nWARC-Type: "), F.when(is_revisit, "revisit").otherwise("response"),
         F.lit("\r\nWARC-Record-ID: <urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(">\r\nWARC-Target-URI: "), uri,
@@ -217,6 +218,9 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", payload_col: str = "ht
         as_id("record_id").alias("id"), F.col("type").alias("record_type"), as_id("refers").alias("refers_to"), "bytes", "sha", F.expr("substring(digest, 6)").alias("stated")
     )
     got = scratch.save(got, "described")
+    written, back = pages.count(), got.count()
+    if written != back:
+        raise ValueError(f"{written} pages written, {back} records read back")
     sizes = got.filter("record_type = 'response' and id is not null").groupBy(F.col("id").alias("of"), F.col("sha").alias("sum")).agg(F.max("bytes").alias("full"))
     is_revisit = F.col("record_type") == "revisit"
     joined = got.join(sizes, (F.col("refers_to") == F.col("of")) & (F.col("stated") == F.col("sum")), "left")

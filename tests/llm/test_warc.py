@@ -47,3 +47,9 @@ def test_empty_table_and_broken_chain(spark, tmp_path):
     (tmp_path / "x.warc").write_bytes(good * 3 + b"WARC/1.0\r\nContent-Length: 99999\r\n\r\nlost" + good)
     got = warc.read(spark, f"file://{tmp_path}/x.warc").orderBy("start").collect()
     assert [bytes(r.payload) for r in got[:3]] == [b"ab"] * 3 and len(got) == 4
+
+
+def test_separators_in_urls_lose_no_record(spark):
+    rows = [(i, f"text {i} " * 200) for i in range(40)]
+    pages = spark.createDataFrame([(i, f"http://h/WARC/1.1/{i}?WA RC/1.=WARC/1." if i % 5 == 3 else "http://h/", h) for i, h in rows], "page_id long, url string, html string").coalesce(1)
+    assert sorted(tuple(r) for r in warc.round_trip(pages).collect()) == expected(rows)
