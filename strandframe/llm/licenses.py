@@ -9,7 +9,8 @@ their own digest, entire text against entire text.
 A license notice is often one line of a longer text, so each line of a document
 is looked up too, as an entire text of its own: ``notices`` lists the licenses
 named by such lines. Only the few lines that can be notices (they hold one of
-the words every known notice holds) are put in canonical form.
+a few words, derived from the table so that every known text holds one) are put
+in canonical form.
 
 Defined cases: null and empty texts, and texts whose canonical form is empty,
 match nothing. Repeated rows and null ids are looked up row by row.
@@ -19,6 +20,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,15 +124,32 @@ def known_digests(known: dict = KNOWN) -> list[tuple[str, str]]:
     return sorted(rows.items())
 
 
+def hints(known: dict = KNOWN) -> list[str]:
+    """Few strings of which every known text holds one, in any of its spellings."""
+    # Respelt words are cut to what all their spellings share; all others stand in a raw text as they are.
+    stems = {"license": "licen", "sublicense": "licen", "noncommercial": "commercial", "merchantability": "merchant"}
+
+    def stem(word: str) -> str:
+        return next((new for old, new in stems.items() if old in word), word)
+
+    left, out = [{stem(w) for w in canonical_text(t).split()} for texts in known.values() for t in texts], []
+    left = [words for words in left if words]
+    while left:
+        count = Counter(w for words in left for w in words)
+        out.append(max(count, key=lambda w: (count[w], len(w), w)))
+        left = [words for words in left if out[-1] not in words]
+    return out
+
+
 def scan(docs: DataFrame, text_col: str = "text", known: dict = KNOWN) -> DataFrame:
     """docs with __license (of the entire text), __digest (canonical) and __notices (licenses of lines)."""
     rows = known_digests(known)
-    longest = max(len(t) for texts in known.values() for t in texts) * 4
+    some = hints(known)
     table = F.broadcast(docs.sparkSession.createDataFrame(rows, "__known string, __name string"))
     named = F.create_map(*(F.lit(x) for r in rows for x in r))
     bare = canonical(F.col(text_col))
     out = docs.withColumn("__bare", bare).withColumn("__digest", F.when(F.length("__bare") > 0, F.md5(F.col("__bare").cast("binary"))))
-    lines = F.filter(F.split(F.col(text_col), "\n"), lambda x: (F.length(x) < longest) & F.lower(x).contains(_HINT))
+    lines = F.filter(F.split(F.col(text_col), "\n"), lambda x: reduce(Column.__or__, (F.lower(x).contains(h) for h in some), F.lit(False)))
     lines = F.transform(lines, lambda x: F.element_at(named, F.md5(canonical(x).cast("binary"))))
     out = out.withColumn("__notices", F.array_sort(F.array_distinct(F.filter(F.coalesce(lines, F.array().cast("array<string>")), lambda x: x.isNotNull()))))
     return out.join(table, F.col("__digest") == F.col("__known"), "left").withColumnRenamed("__name", "__license").drop("__known", "__bare")

@@ -51,6 +51,15 @@ def test_license_spellings_and_odd_rows(spark):
     assert got == {1: ("MIT", []), 2: (None, ["MIT"]), 3: (None, []), 4: (None, []), 5: (None, []), 6: (None, []), 7: ("MIT", []), None: ("CC-BY-NC-4.0", ["CC-BY-NC-4.0"])}
 
 
+def test_notices_without_the_word_license_and_long_lines(spark):
+    flat = {n: " ".join(licenses.KNOWN[n][0].split()) for n in ("ISC", "Zlib")}
+    rows = [(1, "intro\n" + flat["ISC"] + "\nmore"), (2, "intro\n" + flat["Zlib"]), (3, "intro\nReleased under the MIT License" + "." * 20_000), (4, "intro\nPlain Words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r["__notices"] for r in licenses.scan(docs).collect()} == {1: ["ISC"], 2: ["Zlib"], 3: ["MIT"], 4: []}
+    own = licenses.scan(docs, known={"Own": ("plain words",)})
+    assert {r.doc_id: r["__notices"] for r in own.collect()} == {1: [], 2: [], 3: [], 4: ["Own"]}
+
+
 def test_sharding_is_even_and_stable(spark):
     table = sharding.fill(sharding.SHARDS, sharding.SLOTS)
     sizes = [table.count(i) for i in range(len(sharding.SHARDS))]
