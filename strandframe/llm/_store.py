@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strandframe.sources.package import ship
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_roots: dict[str, list[str]] = {}
 _DEFAULT_BATCH = ("64MB", "64m", "67108864b", "67108864")
 
 
@@ -26,20 +27,33 @@ def ready(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a temporary one where none is set (tests)."""
+    """The shared folder of the session.
+
+    Where none is set a local session (tests) gets a folder of its own; on a
+    cluster that is an error, as no folder is known to be shared.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="strandframe-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
 
 
 class Scratch:
-    """A set of named tables of one operator call, each written once and read back."""
+    """A set of named tables of one operator call, each written once and read back.
+
+    Operators drop the tables that their result does not read. The others stay,
+    as the result is lazy: whoever has used it deletes the folder ``root``, or
+    all of them at once with ``sweep``.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
+        ready(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        _roots.setdefault(spark.sparkContext.applicationId, []).append(self.root)
         self._n = 0
 
     def path(self, name: str) -> str:
@@ -65,3 +79,9 @@ def delete(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete all tables that operators of this session have left; their results cannot be read afterwards."""
+    for root in _roots.pop(spark.sparkContext.applicationId, ()):
+        delete(spark, root)

@@ -11,7 +11,8 @@ is filled once on the driver, as its turns are sequential; rows are placed by
 SQL functions alone.
 
 Defined cases: a null key is placed as the empty string is. Equal keys share a
-shard. Shard names must be different and not null; at least one is needed.
+shard; an empty table gives an empty one. An input column named as an output is
+kept with ``_in`` appended. Shard names must be different and not null; at least one is needed.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandframe.llm._names import all_of, col, make_room, prefix
+
 SLOTS = 4093
 SHARDS = tuple(f"shard-{i:02d}" for i in range(24))
 
@@ -53,12 +56,17 @@ def slot_of(key: Column, slots: int) -> Column:
 
 
 def place(docs: DataFrame, key_col: str = "doc_id", shards: tuple[str, ...] = SHARDS, slots: int = SLOTS, name: str = "shard", slot_name: str | None = None) -> DataFrame:
-    """docs with the shard of every row; no shuffle."""
+    """docs with the shard of every row, and with its slot if slot_name is given; no shuffle.
+
+    Input columns named as these are kept with ``_in`` appended.
+    """
+    docs = make_room(docs, [name, *([slot_name] if slot_name else [])], [key_col])
+    p, names = prefix(docs), docs.columns
     rows = [(i, shards[s]) for i, s in enumerate(fill(shards, slots))]
-    table = docs.sparkSession.createDataFrame(rows, "__slot int, __shard string")
-    out = docs.withColumn("__at", slot_of(F.col(key_col), slots)).join(F.broadcast(table), F.col("__at") == F.col("__slot"), "left")
-    extra = [F.col("__at").alias(slot_name)] if slot_name else []
-    return out.select(*(c for c in docs.columns if c not in (name, slot_name)), *extra, F.col("__shard").alias(name))
+    table = docs.sparkSession.createDataFrame(rows, f"{p}slot int, {p}shard string")
+    out = docs.withColumn(f"{p}at", slot_of(col(key_col), slots)).join(F.broadcast(table), F.col(f"{p}at") == F.col(f"{p}slot"), "left")
+    extra = [F.col(f"{p}at").alias(slot_name)] if slot_name else []
+    return out.select(*all_of(names), *extra, F.col(f"{p}shard").alias(name))
 
 
 def oracle(table: str, shards: tuple[str, ...] = SHARDS, slots: int = SLOTS) -> str:

@@ -1,5 +1,8 @@
 """Queries with SQL: the same rows as DuckDB on the same tables."""
 
+import os
+import textwrap
+
 import duckdb
 import pytest
 
@@ -51,6 +54,46 @@ def test_license_spellings_and_odd_rows(spark):
     assert got == {1: ("MIT", []), 2: (None, ["MIT"]), 3: (None, []), 4: (None, []), 5: (None, []), 6: (None, []), 7: ("MIT", []), None: ("CC-BY-NC-4.0", ["CC-BY-NC-4.0"])}
 
 
+@pytest.mark.parametrize("width", [60, 72, 80, 120, 10**9])
+def test_known_texts_are_found_however_they_are_wrapped(spark, width):
+    rows, want = [], {}
+    for name, texts in licenses.KNOWN.items():
+        for t in texts:
+            by_paragraph = "\n\n".join(textwrap.fill(p, width) for p in t.split("\n\n"))
+            for v in (by_paragraph, textwrap.fill(t, width), textwrap.indent(by_paragraph, " * ", lambda line: True), by_paragraph.replace("\n", "\r\n")):
+                want[len(rows)] = name
+                rows.append((len(rows), v))
+    got = {r.doc_id: r["__license"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
+def test_stock_files(spark):
+    stock = "MIT License\n\nCopyright (c) 2023 A. Person, B. Person and the\nWidget contributors\n\n" + licenses.KNOWN["MIT"][0]
+    bsd = "Copyright 2011-2020, Some Group, Inc.\nAll rights reserved.\n\n" + textwrap.fill(licenses.KNOWN["BSD-3-Clause"][0], 78)
+    close = "Copyright (c) 2020 X\n\n" + licenses.KNOWN["MIT"][0].replace("COPYRIGHT HOLDERS", "")
+    rows = [(1, stock.replace("and the\n", "and the ")), (2, bsd), (3, close), (4, "no license\n" * 3000 + "SPDX-License-Identifier: MIT\n" + "x" * 100_000)]
+    got = {r.doc_id: (r["__license"], r["__notices"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ("MIT", []), 2: ("BSD-3-Clause", []), 3: (None, []), 4: (None, ["MIT"])}
+
+
+def test_long_licenses_are_known_by_digest(spark):
+    folder, files = "/usr/share/common-licenses", {"Apache-2.0": "Apache-2.0", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    if not all(os.path.exists(f"{folder}/{f}") for f in files.values()):
+        pytest.skip("no license files on this machine")
+    texts = {n: open(f"{folder}/{f}").read() for n, f in files.items()}
+    rows = [(n, v) for n, t in texts.items() for v in (t, " ".join(t.split()), t.replace("\n", "\r\n"))]
+    assert "license" in licenses.canonical_text(texts["MPL-2.0"])
+    got = licenses.scan(spark.createDataFrame(rows, "name string, text string")).collect()
+    assert [r["__license"] for r in got] == [r["name"] for r in got]
+
+
+def test_license_rows_that_repeat_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "SPDX-License-Identifier: MIT")] * 3 + [(None, None)] * 2, "doc_id long, text string")
+    got = licenses.scan(docs).collect()
+    assert len(got) == 5 and sum(r["__license"] == "MIT" for r in got) == 3
+    assert licenses.scan(docs.limit(0)).count() == 0
+
+
 def test_notices_without_the_word_license_and_long_lines(spark):
     flat = {n: " ".join(licenses.KNOWN[n][0].split()) for n in ("ISC", "Zlib")}
     rows = [(1, "intro\n" + flat["ISC"] + "\nmore"), (2, "intro\n" + flat["Zlib"]), (3, "intro\nReleased under the MIT License" + "." * 20_000), (4, "intro\nPlain Words")]
@@ -70,6 +113,10 @@ def test_sharding_is_even_and_stable(spark):
     docs = spark.createDataFrame([(None, "a", 1), (1, "b", 2), (1, "b", 2)], "doc_id long, shard string, slot int")
     got = sharding.place(docs, slot_name="slot").collect()
     assert len(got) == 3 and len({r.shard for r in got if r.doc_id == 1}) == 1
+    assert sorted((r.shard_in, r.slot_in) for r in got) == [("a", 1), ("b", 2), ("b", 2)]
+    assert sharding.place(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        sharding.place(docs, key_col="shard")
     with pytest.raises(ValueError):
         sharding.fill(("a", "a"), 11)
     with pytest.raises(ValueError):
