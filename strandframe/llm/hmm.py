@@ -44,7 +44,7 @@ from strandframe.llm._words import text_buffers, word_slices
 
 _U = np.uint64
 END = _U(0x2545F4914F6CDD1D)
-PIECE, RESCALE = 32, 8
+PIECE, RESCALE = 64, 8
 TOKENS = 1 << 17
 TAILS = 256
 START_ROUNDS = 12
@@ -189,12 +189,16 @@ class Model:
 
 
 class Lattice:
-    """The pieces of a slice's token classes, and the passes over them."""
+    """The pieces of a slice's token classes, and the passes over them.
+
+    Arrays hold a row per state and a column per piece; tokens are ordered by
+    their place in the piece, pieces by falling length, so a step of all pieces
+    works on one contiguous run of columns.
+    """
 
     def __init__(self, model: Model, classes: np.ndarray, bounds: np.ndarray):
-        self.model, self.classes = model, classes
+        self.model = model
         scaled, logs = model.scaled()
-        self.emitted = scaled[classes]
         self.log_top = np.add.reduceat(logs[classes], bounds[:-1])
         lengths = np.diff(bounds)
         per_doc = -(-lengths // PIECE)
@@ -203,8 +207,12 @@ class Lattice:
         begin = np.repeat(bounds[:-1], per_doc) + within * PIECE
         size = np.minimum(PIECE, np.repeat(bounds[1:], per_doc) - begin)
         order = np.argsort(-size, kind="stable")
-        self.begin, size = begin[order], size[order]
-        self.active = [int(np.searchsorted(-size, -t, "left")) for t in range(PIECE)]  # pieces longer than t
+        begin, size = begin[order], size[order]
+        self.pieces = len(order)
+        self.active = [a for t in range(PIECE) if (a := int(np.searchsorted(-size, -t, "left")))]  # pieces longer than t
+        self.classes = classes[np.concatenate([begin[:a] + t for t, a in enumerate(self.active)])]
+        self.emitted = np.take(np.ascontiguousarray(scaled.T), self.classes, axis=1)
+        self.at = np.concatenate([[0], np.cumsum(self.active)])
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.docs = np.argsort(-per_doc, kind="stable")
@@ -214,30 +222,34 @@ class Lattice:
             some = self.docs[: int(np.searchsorted(-many, -j, "left"))]
             self.chain.append(place[first[some] + j])
 
+    def step(self, t: int) -> np.ndarray:
+        """Scaled emissions of the t-th tokens of all pieces."""
+        return self.emitted[:, self.at[t] : self.at[t + 1]]
+
     def forward(self) -> np.ndarray:
         """Natural log-likelihood of every document."""
-        s, pieces = len(self.model.start), len(self.begin)
-        transfer = np.broadcast_to(np.eye(s), (pieces, s, s)).copy()
-        logs = np.zeros(pieces)
-        for t, a in enumerate(self.active):
-            if not a:
-                break
-            step = (transfer[:a].reshape(a * s, s) @ self.model.move).reshape(a, s, s)
-            step *= self.emitted[self.begin[:a] + t][:, None, :]
+        s, move = len(self.model.start), self.model.move.T
+        self.transfer, logs = np.empty((s, s, self.pieces)), np.zeros(self.pieces)  # (to, from, piece)
+        now = move[:, :, None] * self.step(0)[:, None, :]
+        for t, a in enumerate(self.active[1:], 1):
+            if a < now.shape[2]:
+                self.transfer[:, :, a : now.shape[2]] = now[:, :, a:]
+            now = (move @ now[:, :, :a].reshape(s, s * a)).reshape(s, s, a)
+            now *= self.step(t)[:, None, :]
             if t % RESCALE == RESCALE - 1:
-                top = step.max(axis=(1, 2))
-                step /= top[:, None, None]
+                top = now.max(axis=(0, 1))
+                now /= top
                 logs[:a] += np.log(top)
-            transfer[:a] = step
-        self.transfer, self.entering = transfer, np.empty((pieces, s))
-        v = np.tile(self.model.start, (len(self.docs), 1))
+        self.transfer[:, :, : now.shape[2]] = now
+        self.entering = np.empty((s, self.pieces))
+        v = np.repeat(self.model.start[:, None], len(self.docs), axis=1)
         out = np.zeros(len(self.docs))
         for at in self.chain:
             n = len(at)
-            self.entering[at] = v[:n]
-            w = np.einsum("ns,nst->nt", v[:n], transfer[at])
-            total = w.sum(axis=1)
-            v[:n] = w / total[:, None]
+            self.entering[:, at] = v[:, :n]
+            w = (self.transfer[:, :, at] * v[:, :n]).sum(axis=1)
+            total = w.sum(axis=0)
+            v[:, :n] = w / total
             out[:n] += np.log(total) + logs[at]
         result = np.empty(len(self.docs))
         result[self.docs] = out
@@ -246,38 +258,39 @@ class Lattice:
     def expected(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected counts of starts (S,), moves (S, S) and emissions (classes, S)."""
         self.forward()
-        move, s, pieces = self.model.move, len(self.model.start), len(self.begin)
-        leaving = np.ones((pieces, s))
-        beta = np.ones((len(self.docs), s))
+        move, s = self.model.move, len(self.model.start)
+        leaving, beta = np.ones((s, self.pieces)), np.ones((s, len(self.docs)))
         for at in reversed(self.chain):
             n = len(at)
-            leaving[at] = beta[:n]
-            b = np.einsum("nst,nt->ns", self.transfer[at], beta[:n])
-            beta[:n] = b / b.sum(axis=1)[:, None]
-        alphas, alpha = [], self.entering
+            leaving[:, at] = beta[:, :n]
+            b = (self.transfer[:, :, at] * beta[:, None, :n]).sum(axis=0)
+            beta[:, :n] = b / b.sum(axis=0)
+        alphas, norms, alpha = [], [], self.entering
         for t, a in enumerate(self.active):
-            if not a:
-                break
-            alpha = (alpha[:a] @ move) * self.emitted[self.begin[:a] + t]
-            alpha /= alpha.sum(axis=1)[:, None]
+            alpha = move.T @ alpha[:, :a]
+            alpha *= self.step(t)
+            norm = alpha.sum(axis=0)
+            alpha /= norm
             alphas.append(alpha)
-        seen, moves = np.empty((len(self.classes), s)), np.zeros((s, s))
+            norms.append(norm)
+        seen, moves = np.empty_like(self.emitted), np.zeros((s, s))
         beta = leaving
         for t in range(len(alphas) - 1, -1, -1):
             a = self.active[t]
-            post = alphas[t] * beta[:a]
-            seen[self.begin[:a] + t] = post / post.sum(axis=1)[:, None]
-            w = self.emitted[self.begin[:a] + t] * beta[:a]
-            before = (alphas[t - 1] if t else self.entering)[:a]
-            z = np.einsum("ns,ns->n", before @ move, w)
-            moves += (before / z[:, None]).T @ w
-            b = w @ move.T
-            beta[:a] = b / b.sum(axis=1)[:, None]
+            post = alphas[t] * beta[:, :a]
+            total = post.sum(axis=0)
+            np.divide(post, total, out=seen[:, self.at[t] : self.at[t + 1]])
+            w = self.step(t) * beta[:, :a]
+            before = (alphas[t - 1] if t else self.entering)[:, :a]
+            moves += (before / (norms[t] * total)) @ w.T
+            b = move @ w
+            b /= b.sum(axis=0)
+            beta[:, :a] = b
         at = self.chain[0]
-        post = self.entering[at] * beta[at]
-        starts = (post / post.sum(axis=1)[:, None]).sum(axis=0)
+        post = self.entering[:, at] * beta[:, at]
+        starts = (post / post.sum(axis=0)).sum(axis=1)
         n = len(self.model.emit)
-        emits = np.stack([np.bincount(self.classes, weights=seen[:, k], minlength=n) for k in range(s)], axis=1)
+        emits = np.stack([np.bincount(self.classes, weights=seen[k], minlength=n) for k in range(s)], axis=1)
         return starts, moves * move, emits
 
 
