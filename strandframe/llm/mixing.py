@@ -4,39 +4,46 @@
 ``repeats`` times its words; what a capped source cannot give is shared by
 weight among the others until none is above its cap.
 
-*Quotas.* The budget is cut into blocks of ``block`` words. Blocks go one by
-one to the source with the highest quotient target / (2j + 1), j blocks held.
-Consecutive runs of ``shard_blocks`` awards are the shards of the mix; because
-the method never takes a block back when more are awarded, the quota of a
-source in a shard is the difference of its quotas at the shard's ends.
+*Quotas.* The budget is cut into blocks of ``block`` words, and the mix into
+``shards`` runs of blocks. Blocks go one by one to the source with the highest
+quotient target / (2j + 1), j blocks held. The method never takes a block back
+when more are awarded, so the quota of a source in a shard is the difference of
+its quotas at the shard's ends.
 
 *Blocks.* A source's documents, in the order of a seeded hash, are one line of
-words, cut into blocks. A source that gives its words more than once is passed
-over whole that many times; the remaining blocks are picked by a seeded
-permutation of its block numbers.
-
-The line is laid out by two-level prefix sums (hash buckets, then documents of
-a bucket), so a source that holds most rows is spread over tasks.
-
-Defined cases: a null or blank text has size 0 and nothing is taken of it. A
-null source is a source of its own. Sources of size 0 get nothing. Repeated
-rows are separate stock. Rows with equal hash, id and text are interchangeable.
-Null weights count as 0; when all weights are 0 nothing is taken.
+words, cut into blocks, which a seeded permutation puts in order. Shard after
+shard takes as many blocks as its quota says, from where the last one stopped,
+and begins anew at the first block when all are used: no block is taken twice
+more often than another.
+
+The line is laid out by two-level prefix sums (hash buckets of some ``PER_BUCKET``
+rows, then documents of a bucket), so a source that holds most rows is spread
+over tasks. Only ids and sizes are laid out; ``resample`` joins the texts last.
+
+Outputs are named as ``OUTPUTS``; input columns of such names are kept with ``_in``
+appended. Defined cases: a null or blank text has size 0 and nothing is taken of
+it. A null source is a source of its own. Sources of size 0 get nothing. Repeated
+rows are separate stock; rows with equal hash, id and size are interchangeable.
+Null weights count as 0; when all weights are 0 nothing is taken. An empty table
+gives an empty one.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandframe.llm._names import all_of, col, make_room, prefix
 from strandframe.llm._store import Scratch
 
-BUCKETS = 1024
+OUTPUTS = ("__size", "__source_size", "__target", "__quota", "__taken", "__by_shard")
+#: Rows of a bucket, about; at least LEAST_BUCKETS buckets are made.
+PER_BUCKET, LEAST_BUCKETS = 1 << 15, 1024
 #: Sources that the driver apportions among; each needs some hundred bytes.
 MOST_SOURCES = 1_000_000
 
@@ -91,77 +98,112 @@ def sainte_lague(votes: np.ndarray, seats: int) -> np.ndarray:
     return low + np.bincount(party[order], minlength=len(votes))
 
 
-def shard_quotas(votes: np.ndarray, blocks: int, shard_blocks: int) -> np.ndarray:
+def shard_ends(blocks: int, shards: int) -> list[int]:
+    """Blocks awarded up to the end of each shard."""
+    return [-(-blocks * (j + 1) // shards) for j in range(shards)]
+
+
+def shard_quotas(votes: np.ndarray, blocks: int, shards: int) -> np.ndarray:
     """(shards, sources) integer quotas; their sum is the apportionment of all blocks."""
-    ends = [*range(shard_blocks, blocks, shard_blocks), blocks]
-    at = np.stack([sainte_lague(votes, n) for n in ends])
+    at = np.stack([sainte_lague(votes, n) for n in shard_ends(blocks, shards)])
     return np.diff(np.concatenate([np.zeros((1, len(votes)), np.int64), at]), axis=0)
 
 
-def _step(n: int, seed: int) -> int:
-    """A multiplier that permutes 0..n-1, near the golden section of n."""
-    step = max(1, int(n * 0.6180339887498949) + seed % 97)
-    while math.gcd(step, n) != 1:
-        step += 1
-    return step
+def _order(source: str | None, blocks: int, seed: int) -> tuple[int, int]:
+    """Factor and shift of a source's block order, drawn by the seed; their products with block numbers fit 64 bits."""
+    draw = hashlib.md5(f"{seed}:{source is None}:{source}".encode()).digest()
+    most = min(blocks, 1 << 20)
+    step = int.from_bytes(draw[:8], "big") % most + 1
+    while math.gcd(step, blocks) != 1:
+        step = step % most + 1
+    return step, int.from_bytes(draw[8:], "big") % blocks
 
 
-def plan(stock: list[tuple], weights: dict, budget: float | None, repeats: float, block: int) -> pd.DataFrame:
-    """source, size, target, whole passes, blocks, picked blocks, step and shift per source."""
+def _reach(words: int, size: int, blocks: int, block: int) -> int:
+    """Blocks, whole passes and the start of another, that come nearest to so many words of a source."""
+    if not size:
+        return 0
+    passes, rest = divmod(words, size)
+    return passes * blocks + min(round(rest / block), blocks)
+
+
+def plan(stock: list[tuple], weights: dict, budget: float | None, repeats: float, block: int, shards: int, seed: int) -> list[tuple]:
+    """(source, size, target, quota, blocks, step, shift, reach) per source; reach: blocks taken by the end of each shard."""
     sizes = np.array([s for _, s in stock], float)
     total = sizes.sum() if budget is None else budget
     goal = targets(sizes, np.array([weights.get(s, 0.0) or 0.0 for s, _ in stock], float), total, repeats)
-    quota = sainte_lague(goal, round(goal.sum() / block))
+    quotas = shard_quotas(goal, round(goal.sum() / block), shards).cumsum(axis=0)
     rows = []
-    for (source, size), target, q in zip(stock, goal, quota.tolist(), strict=True):
-        words = min(q * block, math.floor(repeats * size))
-        passes = int(words // size) if size else 0
-        blocks = -(-size // block)
-        picked = round((words - passes * size) / block) if passes < repeats else 0
-        rows.append((source, size, target, q, passes, blocks, min(picked, blocks), _step(blocks, 17) if blocks else 1, 0x5BD1 % max(1, blocks)))
-    return pd.DataFrame(rows, columns=["source", "size", "target", "quota", "passes", "blocks", "picked", "step", "shift"])
+    for x, ((source, size), target) in enumerate(zip(stock, goal.tolist(), strict=True)):
+        most, blocks = math.floor(repeats * size), max(1, -(-size // block))
+        reach = [_reach(min(q * block, most), size, blocks, block) for q in quotas[:, x].tolist()]
+        rows.append((source, size, target, int(quotas[-1, x]), blocks, *_order(source, blocks, seed), reach))
+    return rows
 
 
-def mix(
-    docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    budget: float | None = None, repeats: float = 3.0, block: int = 64, seed: int = 1, weigh=None,
-) -> DataFrame:
-    """Every row of docs with __size, __source_size, __target, __quota and __taken.
+def _rows(docs: DataFrame, p: str, names: list[str], id_col: str, text_col: str, source_col: str, seed: int, whole: bool) -> DataFrame:
+    """The named columns with key (of the id and text, or of the whole row), source, size and id."""
+    parts = all_of(docs.columns) if whole else [col(id_col), col(text_col)]
+    key = F.xxhash64(F.lit(seed), *parts)
+    return docs.select(*all_of(names), key.alias(f"{p}key"), col(source_col).cast("string").alias(f"{p}s"), size_of(col(text_col)).alias("__size"), col(id_col).alias(f"{p}id"))
 
-    weights: by source (None for the null source); or weigh: from the sources
-    found, by code point and null last, to such a dict.
-    """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "mix")
-    line = docs.withColumn("__size", size_of(F.col(text_col))).withColumn("__key", F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)))
-    slim = line.select(F.col(source_col).alias("s"), "__key", F.col("__size").alias("n"), F.pmod(F.col("__key"), F.lit(BUCKETS)).alias("b"))
+
+def _lay_out(rows: DataFrame, scratch: Scratch, p: str, buckets: int, weights, weigh, budget, repeats, block: int, shards: int, seed: int) -> DataFrame:
+    """rows with the outputs and where they start on their source's line."""
+    spark = scratch.spark
+    rows = rows.withColumn(f"{p}b", F.pmod(F.col(f"{p}key"), F.lit(buckets)))
+    slim = rows.select(F.col(f"{p}s").alias("s"), F.col(f"{p}b").alias("b"), F.col("__size").alias("n"))
     sums = scratch.save(slim.groupBy("s", "b").agg(F.sum("n").alias("n")), "sums")
     per_source = sums.groupBy("s").agg(F.sum("n").cast("long").alias("n")).limit(MOST_SOURCES + 1).collect()
     if len(per_source) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources; group them first")
     stock = sorted(((r.s, r.n) for r in per_source), key=lambda r: (r[0] is None, r[0] or ""))
     weights = weigh([s for s, _ in stock]) if weigh else weights or {s: 1.0 for s, _ in stock}
-    table = plan(stock, weights, budget, repeats, block)
-    schema = "s string, size long, target double, quota long, passes long, blocks long, picked long, step long, shift long"
-    quotas = spark.createDataFrame(table.to_records(index=False).tolist(), schema) if len(table) else spark.createDataFrame([], schema)
+    schema = "qs string, __source_size long, __target double, __quota long, blocks long, step long, shift long, reach array<long>"
+    quotas = spark.createDataFrame(plan(stock, weights, budget, repeats, block, shards, seed) if stock else [], schema)
     before = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("s", "b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("bucket_start"))
-    offsets = offsets.join(quotas, offsets["s"].eqNullSafe(quotas["s"])).drop(quotas["s"])
-    offsets = offsets.select(F.col("s").alias("__s"), F.col("b").alias("__b"), *(F.col(c).alias(f"__{c}") for c in ("bucket_start", "size", "target", "quota", "passes", "blocks", "picked", "step", "shift")))
-    offsets = offsets.withColumnRenamed("__size", "__source_size")
-
-    line = line.withColumn("__b", F.pmod(F.col("__key"), F.lit(BUCKETS)))
-    joined = line.join(offsets, line[source_col].eqNullSafe(F.col("__s")) & (line["__b"] == offsets["__b"])).drop(offsets["__b"])
-    inside = Window.partitionBy("__s", "__b").orderBy("__key", id_col, "__size").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("__bucket_start") + F.coalesce(F.sum("__size").over(inside), F.lit(0))
-    placed = joined.withColumn("__start", start.cast("long"))
-    lo, hi, width = F.col("__start"), F.col("__start") + F.col("__size"), F.lit(block)
-    chosen = lambda k: F.pmod(k * F.col("__step") + F.col("__shift"), F.greatest(F.col("__blocks"), F.lit(1))) < F.col("__picked")
-    overlap = lambda k: F.least(hi, (k + 1) * width) - F.greatest(lo, k * width)
+    offsets = sums.select("s", "b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    offsets = offsets.join(quotas, F.col("s").eqNullSafe(F.col("qs"))).drop("qs")
+    inner = ("s", "b", "begin", "blocks", "step", "shift", "reach")
+    offsets = offsets.withColumnsRenamed({c: f"{p}o_{c}" for c in inner})
+    o = {c: F.col(f"{p}o_{c}") for c in inner}
+
+    joined = rows.join(offsets, F.col(f"{p}s").eqNullSafe(o["s"]) & (F.col(f"{p}b") == o["b"]))
+    inside = Window.partitionBy(f"{p}s", f"{p}b").orderBy(f"{p}key", f"{p}id", "__size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = joined.withColumn(f"{p}start", (o["begin"] + F.coalesce(F.sum("__size").over(inside), F.lit(0))).cast("long"))
+    lo, hi, width = F.col(f"{p}start"), F.col(f"{p}start") + F.col("__size"), F.lit(block).cast("long")
     numbers = F.sequence(F.floor(lo / width).cast("long"), F.floor((hi - 1) / width).cast("long"))
-    some = F.aggregate(numbers, F.lit(0).cast("long"), lambda acc, k: acc + F.when(chosen(k), overlap(k)).otherwise(0).cast("long"))
-    taken = F.when(F.col("__size") > 0, F.col("__passes") * F.col("__size") + some).otherwise(0)
-    return placed.withColumn("__taken", taken.cast("long"))
+    # Each block of the row: its words in the row, and its place in the order.
+    pieces = F.transform(
+        numbers,
+        lambda k: F.struct((F.least(hi, (k + 1) * width) - F.greatest(lo, k * width)).alias("n"), F.pmod(k * o["step"] + o["shift"], o["blocks"]).alias("r")),
+    )
+    placed = placed.withColumn(f"{p}pieces", F.when(F.col("__size") > 0, pieces))
+    times = lambda q, r: F.floor((q - r + o["blocks"] - 1) / o["blocks"]).cast("long")
+    words = lambda q: F.aggregate(F.col(f"{p}pieces"), F.lit(0).cast("long"), lambda acc, x: acc + x["n"] * times(q, x["r"]))
+    placed = placed.withColumn(f"{p}upto", F.transform(o["reach"], lambda q: F.coalesce(words(q), F.lit(0).cast("long"))))
+    by_shard = F.transform(f"{p}upto", lambda x, i: x - F.coalesce(F.get(F.col(f"{p}upto"), i - 1), F.lit(0).cast("long")))
+    return placed.withColumn("__by_shard", by_shard).withColumn("__taken", F.get(F.col(f"{p}upto"), F.lit(shards - 1)))
+
+
+def mix(
+    docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    budget: float | None = None, repeats: float = 3.0, block: int = 64, shards: int = 16, seed: int = 1, weigh=None,
+) -> DataFrame:
+    """Every row of docs with the columns OUTPUTS: its words, its source's words, target and quota, and the words taken, in all and by shard.
+
+    weights: by source (None for the null source); or weigh: from the sources
+    found, by code point and null last, to such a dict.
+    """
+    docs = make_room(docs, list(OUTPUTS), [id_col, text_col, source_col])
+    p, scratch = prefix(docs), Scratch(docs.sparkSession, "mix")
+    rows = _rows(docs, p, docs.columns, id_col, text_col, source_col, seed, False)
+    out = _lay_out(rows, scratch, p, _buckets(docs), weights, weigh, budget, repeats, block, shards, seed)
+    return out.select(*all_of(docs.columns), *OUTPUTS)
+
+
+def _buckets(docs: DataFrame) -> int:
+    return max(LEAST_BUCKETS, docs.count() // PER_BUCKET)
 
 
 def rotating(sources: list) -> dict:
@@ -169,11 +211,25 @@ def rotating(sources: list) -> dict:
     return {s: float(i % 3 + 1) for i, s in enumerate(sources)}
 
 
-def resample(docs: DataFrame, seed: int = 1, **options) -> DataFrame:
-    """The mix as whole documents: each row as often as words taken / size, the fraction by a seeded draw."""
-    mixed = mix(docs, seed=seed, **options)
+def resample(
+    docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    budget: float | None = None, repeats: float = 3.0, block: int = 64, shards: int = 16, seed: int = 1, weigh=None,
+) -> DataFrame:
+    """The mix as whole documents: each row as often as words taken / size, the fraction by a seeded draw.
+
+    The copies of a row are decided without its text, which is joined by a hash
+    of the whole row; rows equal in all columns share what they are given.
+    """
+    p, scratch, names = prefix(docs), Scratch(docs.sparkSession, "resample"), docs.columns
+    rows = _rows(docs, p, [], id_col, text_col, source_col, seed, True)
+    laid = _lay_out(rows, scratch, p, _buckets(docs), weights, weigh, budget, repeats, block, shards, seed)
+    draw = F.pmod(F.xxhash64(F.lit(seed + 1), f"{p}key", f"{p}start"), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("__size") > 0, F.col("__taken") / F.col("__size")).otherwise(0.0)
-    draw = F.pmod(F.xxhash64(F.lit(seed + 1), "__key", "__start"), F.lit(1 << 30)) / float(1 << 30)
-    times = F.floor(share + draw).cast("int")
-    names = docs.columns
-    return mixed.withColumn("__times", times).filter("__times > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*names)
+    times = laid.select(F.col(f"{p}key").alias(f"{p}of"), F.floor(share + draw).cast("long").alias("t"))
+    times = times.groupBy(f"{p}of").agg(F.sum("t").alias(f"{p}t"), F.count("*").alias(f"{p}c")).filter(F.col(f"{p}t") > 0)
+    keyed = docs.withColumn(f"{p}key", F.xxhash64(F.lit(seed), *all_of(names)))
+    joined = keyed.join(times, F.col(f"{p}key") == F.col(f"{p}of"))
+    nth = F.row_number().over(Window.partitionBy(f"{p}key").orderBy(f"{p}key"))
+    own = F.floor(F.col(f"{p}t") / F.col(f"{p}c")) + (nth <= F.col(f"{p}t") % F.col(f"{p}c")).cast("long")
+    joined = joined.withColumn(f"{p}own", own.cast("int")).filter(F.col(f"{p}own") > 0)
+    return joined.withColumn(f"{p}copy", F.explode(F.sequence(F.lit(1), F.col(f"{p}own")))).select(*all_of(names))

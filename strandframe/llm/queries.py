@@ -30,7 +30,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"), weigh=mixing.rotating)
     return mixed.select(
         "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
-        F.col("__target").alias("target"), F.col("__taken").alias("taken"),
+        F.col("__target").alias("target"), F.col("__taken").alias("taken"), F.col("__by_shard").alias("taken_by_shard"),
     )
 
 

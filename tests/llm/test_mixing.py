@@ -27,11 +27,37 @@ def test_apportionment_is_that_of_one_by_one_awards():
 def test_shard_quotas_are_integers_that_add_up():
     votes = np.array([5.0, 3.0, 1.0, 0.0, 11.0])
     quotas = mixing.shard_quotas(votes, 103, 10)
-    assert quotas.shape == (11, 5) and (quotas >= 0).all()
-    assert quotas.sum(axis=1).tolist() == [10] * 10 + [3]
+    assert quotas.shape == (10, 5) and (quotas >= 0).all()
+    assert set(quotas.sum(axis=1).tolist()) == {10, 11}
     assert quotas.sum(axis=0).tolist() == plain_sainte_lague(votes, 103)
 
 
+def test_words_taken_by_shard_are_the_quotas(spark):
+    sizes = {"a": 64 * 40, "b": 64 * 9, "c": 64 * 25}
+    rows = [(i, "w " * 32, s) for s, n in sizes.items() for i in range(n // 32)]
+    docs = spark.createDataFrame([(k, *r[1:]) for k, r in enumerate(rows)], "doc_id long, text string, source string").repartition(3)
+    weights = {"a": 1.0, "b": 2.0, "c": 3.0}
+    goal = mixing.targets(np.array([*sizes.values()]), np.array([*weights.values()]), sum(sizes.values()), 3)
+    quotas = mixing.shard_quotas(goal, round(goal.sum() / 64), 16)
+
+    def run(seed):
+        got = mixing.mix(docs, weights, seed=seed).collect()
+        by = {s: np.sum([r["__by_shard"] for r in got if r.source == s], axis=0).tolist() for s in sizes}
+        assert all(sum(r["__by_shard"]) == r["__taken"] for r in got)
+        return by, {r.doc_id: r["__taken"] for r in got}
+
+    (by, one), (_, two) = run(1), run(2)
+    assert by == {s: (quotas[:, x] * 64).tolist() for x, s in enumerate(sizes)}
+    assert one != two and sum(one.values()) == sum(two.values()) and run(1)[1] == one
+
+
+def test_the_order_of_blocks_is_a_seeded_permutation():
+    for blocks in (1, 2, 7, 100, 4097):
+        orders = [[(k * step + shift) % blocks for k in range(blocks)] for step, shift in (mixing._order("s", blocks, seed) for seed in (1, 2, 3))]
+        assert all(sorted(o) == list(range(blocks)) for o in orders)
+    assert len({tuple(o) for o in orders}) == 3
+
+
 def test_targets_stop_at_the_cap_and_share_the_excess():
     got = mixing.targets(np.array([100, 10, 1000, 0]), np.array([1.0, 5.0, 2.0, 9.0]), 1110, 3)
     assert got[1] == 30 and got[3] == 0 and abs(got.sum() - 1110) < 1e-9
@@ -75,6 +101,9 @@ def test_odd_rows_and_whole_documents(spark):
     assert len(got) == len(rows) and all(r["__taken"] == 0 for r in got if r.source == "c")
     total = sum(r["__size"] for r in got)
     assert abs(sum(r["__taken"] for r in got) - total) < 3 * 64
+    same = spark.createDataFrame([(7, "same words here", "a")] * 400 + [(i, "x y z", "b") for i in range(400)], "doc_id long, text string, source string")
+    copies = [r.source for r in mixing.resample(same, weigh=mixing.rotating).collect()]
+    assert abs(copies.count("a") - 800 / 3) < 64 and abs(copies.count("b") - 1600 / 3) < 64
     whole = mixing.resample(docs, weigh=mixing.rotating)
     assert whole.columns == docs.columns
     words = sum(len(WORD.findall(r.text)) for r in whole.collect())
