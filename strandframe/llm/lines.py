@@ -5,17 +5,19 @@ are nobody's boilerplate. The spread of a line is the number of different sites
 whose documents hold it. Lines with a spread of ``sites`` or more are boilerplate
 and are removed from every document.
 
-Lines are reduced to 64-bit hashes. A line that occurs fewer times than
-``sites``, or on one site only, is out without a sketch. The others get an HLL
-sketch of their sites, merged by aggregation; estimates that differ from the
-threshold by less than ``margin`` of it are counted exactly. Sites of one line
-are reduced to distinct pairs before they meet, so a line found everywhere
-costs a row per site and task, not per document. SQL functions only.
-
-Defined cases: a null text stays null with no lines, an empty one empty. A
-null site counts for no spread, but its documents are cleaned. Repeated rows
-and null ids are cleaned row by row. Columns other than the id, text and site
-are kept as they are.
+Lines are reduced to 64-bit hashes. Every line gets an HLL sketch of its sites,
+built where its rows are read and merged by aggregation, with the number of its
+documents beside it. Estimates that differ from the threshold by less than
+``margin`` of it are replaced by exact distinct counts, for these lines alone; a
+line in fewer documents than ``sites`` is out without an estimate. The texts are
+read twice: for the lines, which are written once as hashes, and for the removal.
+SQL functions only.
+
+Outputs are named ``__lines``, ``__removed`` and ``__clean``; an input column of such a
+name is kept with ``_in`` appended. Defined cases: a null text stays null with no
+lines, an empty one empty. A null site counts for no spread, but its documents are
+cleaned. Repeated rows and null ids are cleaned row by row, and an empty table
+gives an empty one. All columns are kept as they are. Texts are worked off whole.
 """
 
 from __future__ import annotations
@@ -23,6 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandframe.llm._names import all_of, col, make_room, prefix
+from strandframe.llm._store import Scratch
+
 SITES = 5
 MARGIN = 0.25
 
@@ -33,22 +38,32 @@ def line_key(line: Column) -> Column:
 
 def _keys(text: Column) -> Column:
     """Hash of every line of a text; null for blank lines."""
-    return F.transform(F.split(text, "\n"), lambda x: F.when(x.rlike(r"[^\x20\x09-\x0D]"), line_key(x)))
-
-
-def boilerplate(docs: DataFrame, text_col: str = "text", site_col: str = "source", sites: int = SITES, margin: float = MARGIN) -> DataFrame:
-    """(key, spread) of the lines found on sites different sites or more."""
-    site = F.col(site_col).cast("string")
-    held = docs.select(site.alias("site"), F.explode(F.array_distinct(_keys(F.col(text_col)))).alias("key")).filter("key is not null and site is not null")
-    pairs = held.groupBy("key", "site").agg(F.count("*").alias("c"))
-    often = held.groupBy("key").agg(F.count("*").alias("c"), F.min("site").alias("lo"), F.max("site").alias("hi"))
-    often = often.filter((F.col("c") >= sites) & (F.col("lo") != F.col("hi"))).select("key") if sites > 1 else often.select("key")
-    wide = pairs.join(often, "key", "left_semi")
-    sketched = wide.groupBy("key").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(12))).alias("estimate"))
+    return F.transform(F.split(text, "\n"), lambda x: F.when(_filled(x), line_key(x)))
+
+
+def _filled(line: Column) -> Column:
+    return line.rlike(r"[^\x20\x09-\x0D]")
+
+
+def line_sites(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
+    """(row, key, site): the different lines of every row; row names it by a hash of id and text."""
+    keys = F.explode(F.array_distinct(_keys(col(text_col))))
+    return docs.select(_row(id_col, text_col).alias("row"), keys.alias("key"), col(site_col).cast("string").alias("site")).filter("key is not null")
+
+
+def _row(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(col(id_col), col(text_col))
+
+
+def boilerplate(held: DataFrame, sites: int = SITES, margin: float = MARGIN) -> DataFrame:
+    """(key, spread) of the lines (key, site) found on sites different sites or more."""
+    per = held.groupBy("key").agg(F.count("site").alias("c"), F.hll_sketch_agg("site", F.lit(12)).alias("sketch"))
+    sketched = per.filter(F.col("c") >= sites).select("key", F.hll_sketch_estimate("sketch").alias("estimate"))
+    sketched = sketched.filter(F.col("estimate") > sites * (1 - margin))
     sure = sketched.filter(F.col("estimate") >= sites * (1 + margin)).select("key", F.col("estimate").alias("spread"))
-    close = sketched.filter((F.col("estimate") < sites * (1 + margin)) & (F.col("estimate") > sites * (1 - margin))).select("key")
-    exact = wide.join(close, "key", "left_semi").groupBy("key").agg(F.count("*").alias("spread")).filter(F.col("spread") >= sites)
-    return sure.unionByName(exact)
+    close = sketched.filter(F.col("estimate") < sites * (1 + margin)).select("key")
+    pairs = held.filter("site is not null").join(close, "key", "left_semi").select("key", "site").distinct()
+    return sure.unionByName(pairs.groupBy("key").agg(F.count("*").alias("spread")).filter(F.col("spread") >= sites))
 
 
 def clean(
@@ -56,17 +71,21 @@ def clean(
     sites: int = SITES, margin: float = MARGIN,
 ) -> DataFrame:
     """docs with __lines, __removed (numbers of lines) and __clean (the text left)."""
-    found = boilerplate(docs, text_col, site_col, sites, margin).select(F.col("key").alias("__bad"))
-    rows = docs.withColumn("__keys", _keys(F.col(text_col))).withColumn("__row", F.xxhash64(F.col(id_col), F.col(text_col)))
-    hits = rows.select("__row", F.explode(F.array_distinct("__keys")).alias("__bad")).filter("__bad is not null")
-    bad = hits.join(found, "__bad", "left_semi").groupBy("__row").agg(F.collect_set("__bad").alias("__bad"))
-    joined = rows.join(bad.withColumnRenamed("__row", "__of"), F.col("__row") == F.col("__of"), "left")
-    lines = F.split(F.col(text_col), "\n")
-    left = F.filter(lines, lambda x, i: ~F.coalesce(F.array_contains("__bad", F.get("__keys", i)), F.lit(False)))
-    out = joined.withColumn("__lines", F.coalesce(F.size("__keys"), F.lit(0)).cast("long"))
-    out = out.withColumn("__left", F.when(F.col("__bad").isNull(), lines).otherwise(left))
-    out = out.withColumn("__removed", F.coalesce(F.col("__lines") - F.size("__left"), F.lit(0)).cast("long"))
-    return out.withColumn("__clean", F.array_join("__left", "\n")).drop("__keys", "__row", "__of", "__bad", "__left")
+    docs = make_room(docs, ["__lines", "__removed", "__clean"], [id_col, text_col, site_col])
+    p, names, scratch = prefix(docs), docs.columns, Scratch(docs.sparkSession, "lines")
+    held = scratch.save(line_sites(docs, id_col, text_col, site_col), "lines")
+    found = scratch.save(boilerplate(held, sites, margin).select("key"), "boilerplate")
+    bad = held.join(found, "key", "left_semi").groupBy(F.col("row").alias(f"{p}of")).agg(F.collect_set("key").alias(f"{p}bad"))
+    joined = docs.withColumn(f"{p}row", _row(id_col, text_col)).join(bad, F.col(f"{p}row") == F.col(f"{p}of"), "left")
+    lines, worse = F.split(col(text_col), "\n"), F.col(f"{p}bad").isNotNull()
+    left = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(f"{p}bad", line_key(x)) & _filled(x), F.lit(False)))
+    out = joined.withColumn(f"{p}left", F.when(worse, left).otherwise(lines))
+    count = F.coalesce(F.size(lines), F.lit(0)).cast("long")
+    return out.select(
+        *all_of(names), F.when(col(text_col).isNull(), F.lit(0)).otherwise(count).cast("long").alias("__lines"),
+        F.when(worse, count - F.size(f"{p}left")).otherwise(F.lit(0)).cast("long").alias("__removed"),
+        F.when(worse, F.array_join(f"{p}left", "\n")).otherwise(col(text_col)).alias("__clean"),
+    )
 
 
 ORACLE = """
