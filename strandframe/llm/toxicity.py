@@ -8,12 +8,14 @@ separates words. Lexicon and text are folded alike.
 *Lexicon.* Learned from labelled rows: whole words and word beginnings of 4 to
 6 letters, weighed by the smoothed log-odds of the texts that hold them. At
 most ``train_rows`` labelled rows are used, those with the smallest hash of
-their id. Only entries found in ``support`` toxic texts or more, and in
-``support_share`` of them, with a weight of at least ``least_weight`` stay, at
-most ``entries``.
+their id; they are written once as a table of their own. Only entries found in
+``support`` toxic texts or more, and in ``support_share`` of them, with a weight of at
+least ``least_weight`` stay, the ``entries`` of the highest weight.
 
 *Score.* Each word counts with its best entry, unless it lies in an exception
-phrase (``EXCEPTIONS``: harmless uses of lexicon words). The sum is divided by
+phrase: harmless uses of lexicon words, given (``EXCEPTIONS``) or learned (a
+lexicon word and its neighbour that ``spare`` harmless training texts or more
+hold, and no toxic one). The sum is divided by
 a power of the length in words; the mildest power that fits the training rows
 about as well as any is taken, with a logistic curve. 1 means toxic.
 
@@ -21,7 +23,9 @@ Defined cases: null and empty texts have length 0 and get the score of a text
 without matches. Labels that are null or whose text is missing teach nothing.
 Without toxic or without harmless training rows the lexicon is empty and every
 score is the share of toxic labels (0 without labels). Repeated rows are scored
-each; several labels of one document all count. Null ids are scored too.
+each; of the texts of one id the least teaches; several labels of one document all
+count. Null ids are scored too. Other columns are ignored or kept as they are; an
+empty table gives an empty one. Texts are scored whole, however long.
 """
 
 from __future__ import annotations
@@ -38,6 +42,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+
+from strandframe.llm._names import all_of, col
+from strandframe.llm._store import Scratch, ready
 
 # Letters of other scripts that look like Latin ones, in the order of the Latin row.
 _ALIKE = (("авсԁеһіјӏкмнопԛрѕтуѵхԝɡαβεικνορτυχγη", "abcdehijlkmhonqpstyvxwgabeiknoptuxyn"),)
@@ -114,9 +122,23 @@ class Lexicon:
     def evidence(self, text: str | None, machine: ahocorasick.Automaton) -> tuple[float, int]:
         """(sum of the best weight of each matched word, number of words)."""
         parts = fold(text or "").split()
-        words, folded = len(parts), " " + " ".join(parts) + " "
-        if not len(machine) or not words:
-            return 0.0, words
+        return sum(self._matched(parts, machine).values()), len(parts)
+
+    def neighbours(self, text: str, machine: ahocorasick.Automaton) -> set[str]:
+        """Every matched word with the word before it, and with the one behind."""
+        parts, out, at = fold(text).split(), set(), 0
+        matched = self._matched(parts, machine)
+        for x, word in enumerate(parts):
+            if at in matched:
+                out.update(" ".join(pair) for pair in (parts[x - 1 : x + 1] if x else [], parts[x : x + 2]) if len(pair) == 2)
+            at += len(word) + 1
+        return out
+
+    def _matched(self, parts: list[str], machine: ahocorasick.Automaton) -> dict[int, float]:
+        """The best weight of each matched word, by the place of the blank before it."""
+        if not len(machine) or not parts:
+            return {}
+        folded = " " + " ".join(parts) + " "
         best: dict[int, float] = {}
         spared: list[tuple[int, int]] = []
         for end, (size, weight) in machine.iter(folded):
@@ -128,7 +150,7 @@ class Lexicon:
         for lo, hi in spared:
             for start in [s for s in best if lo <= s < hi]:
                 del best[start]
-        return sum(best.values()), words
+        return best
 
     def density(self, total: np.ndarray, words: np.ndarray) -> np.ndarray:
         return total / np.maximum(words, 1.0) ** self.power
@@ -153,42 +175,35 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
 def learn(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     train_rows: int = 16_000, support: int = 4, support_share: float = 0.006, least_weight: float = 3.0, entries: int = 20_000,
-    exceptions: tuple[str, ...] = EXCEPTIONS,
+    spare: int = 5, exceptions: tuple[str, ...] = EXCEPTIONS,
 ) -> Lexicon:
     """Fit a lexicon on at most train_rows labelled rows."""
-    marks = labels.select(F.col(id_col).cast("long").alias("__id"), F.col(label_col).cast("int").alias("__y")).filter("__id is not null and __y in (0, 1)")
-    picked = marks.distinct().orderBy(F.xxhash64("__id"), "__id", "__y").limit(train_rows)
-    texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    rows = texts.join(F.broadcast(picked), "__id").select("__y", F.coalesce("__text", F.lit("")).alias("__text"))
+    scratch = Scratch(docs.sparkSession, "toxicity")
+    marks = labels.select(col(id_col).cast("long").alias("id"), col(label_col).cast("int").alias("y")).filter("id is not null and y in (0, 1)")
+    picked = scratch.save(marks.distinct().orderBy(F.xxhash64("id"), "id", "y").limit(train_rows), "picked")
+    texts = docs.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
+    texts = texts.join(F.broadcast(picked.select("id").distinct()), "id").groupBy("id").agg(F.min("text").alias("text"))
+    rows = scratch.save(texts.join(F.broadcast(picked), "id").select("y", "text"), "train")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen, sizes = (Counter(), Counter()), Counter()
-            for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen[y].update(entries_of(text))
-                sizes[y] += 1
-            keys = [*(set(seen[0]) | set(seen[1])), ""]
-            columns = [[seen[y][k] if k else sizes[y] for k in keys] for y in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(c, pa.int64()) for c in columns)], ["entry", "no", "yes"])
+        yield from _counted(batches, entries_of)
 
     counted = rows.mapInArrow(count, "entry string, no long, yes long").groupBy("entry").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes"))
-    table = counted.filter((F.col("entry") == "") | (F.col("yes") >= support))
-    table = table.filter((F.col("entry") == "") | (F.col("yes") * 4 > F.col("no"))).orderBy((F.col("entry") != ""), F.desc(F.col("yes") / (F.col("no") + 1)), "entry")
-    got = table.limit(entries * 4).collect()
-    if not got:
-        return Lexicon({}, exceptions, offset=-30.0)
-    no, yes = got[0].no, got[0].yes
-    if not no or not yes:
-        return Lexicon({}, exceptions, slope=0.0, offset=30.0 if yes else -30.0)
-    weights = {}
-    for r in got[1:]:
-        weight = math.log((r.yes + 0.5) / (yes + 1)) - math.log((r.no + 0.5) / (no + 1))
-        if weight >= least_weight and r.yes >= support_share * yes:
-            weights[r.entry] = weight
-    weights = _specific({r.entry: r.yes for r in got[1:]}, weights)
-    weights = dict(sorted(weights.items(), key=lambda kv: (-kv[1], kv[0]))[:entries])
-    lexicon = Lexicon(weights, exceptions)
-    seen = evidence(rows.select("__text", "__y"), lexicon, "__text", ["__y"]).select("__y", "total", "words").collect()
+    counted = scratch.save(counted.filter((F.col("entry") == "") | (F.col("yes") >= support)), "counts")
+    sizes = counted.filter("entry = ''").first()
+    if not sizes or not sizes.no or not sizes.yes:
+        scratch.drop(picked, rows, counted)
+        if not sizes:
+            return Lexicon({}, exceptions, offset=-30.0)
+        return Lexicon({}, exceptions, slope=0.0, offset=30.0 if sizes.yes else -30.0)
+    weight = F.log((F.col("yes") + 0.5) / (sizes.yes + 1)) - F.log((F.col("no") + 0.5) / (sizes.no + 1))
+    found = counted.filter((F.col("entry") != "") & (F.col("yes") * 4 > F.col("no")))
+    strong = _specific(found).withColumn("weight", weight).filter((F.col("weight") >= least_weight) & (F.col("yes") >= support_share * sizes.yes))
+    got = strong.orderBy(F.desc("weight"), "entry").select("entry", "weight").limit(entries).collect()
+    lexicon = Lexicon({r.entry: r.weight for r in got}, exceptions)
+    lexicon.exceptions = (*exceptions, *_spared(rows, lexicon, spare))
+    seen = evidence(rows, lexicon, "text", ["y"]).collect()
+    scratch.drop(picked, rows, counted)
     y, total, words = (np.array([r[i] for r in seen], float) for i in range(3))
     fits = []
     for power in (0.125, 0.25, 0.5, 0.75, 1.0):
@@ -200,18 +215,42 @@ def learn(
     return lexicon
 
 
-def _specific(found: dict[str, int], weights: dict[str, float]) -> dict[str, float]:
-    """weights without beginnings that are found hardly more often than one longer entry alone."""
-    longest: dict[str, int] = {}
-    for entry, n in found.items():
-        for size in range(_LOW + 1, min(len(entry), _HIGH + 2)):
-            longest[entry[:size]] = max(longest.get(entry[:size], 0), n)
-    return {e: w for e, w in weights.items() if e.endswith(" ") or found[e] > 1.1 * longest.get(e, 0)}
+def _counted(batches: Iterator[pa.RecordBatch], of) -> Iterator[pa.RecordBatch]:
+    """(entry, no, yes): harmless and toxic rows (y, text) that hold each entry; the entry '' is held by all."""
+    for batch in batches:
+        seen = (Counter(), Counter())
+        for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            seen[y].update(of(text) | {""})
+        keys = sorted(set(seen[0]) | set(seen[1]))
+        columns = [pa.array([seen[y][k] for k in keys], pa.int64()) for y in (0, 1)]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *columns], ["entry", "no", "yes"])
+
+
+def _spared(rows: DataFrame, lexicon: Lexicon, spare: int) -> list[str]:
+    """Lexicon words with a neighbour that only harmless rows (y, text) hold, spare of them or more."""
+    shared = rows.sparkSession.sparkContext.broadcast(lexicon)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = shared.value.automaton()
+        yield from _counted(batches, lambda text: shared.value.neighbours(text, machine))
+
+    counted = rows.mapInArrow(run, "entry string, no long, yes long").groupBy("entry").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes"))
+    return sorted(r.entry for r in counted.filter((F.col("entry") != "") & (F.col("no") >= spare) & (F.col("yes") == 0)).collect())
+
+
+def _specific(found: DataFrame) -> DataFrame:
+    """found (entry, no, yes) without beginnings that are found hardly more often than one longer entry alone."""
+    sizes = F.sequence(F.lit(_LOW + 1), F.least(F.length("entry") - 1, F.lit(_HIGH + 1)))
+    starts = found.filter(F.length("entry") > _LOW + 1).select("entry", "yes", F.explode(sizes).alias("n"))
+    longest = starts.groupBy(F.expr("substring(entry, 1, n)").alias("start")).agg(F.max("yes").alias("most"))
+    joined = found.join(longest, F.col("entry") == F.col("start"), "left")
+    return joined.filter(F.col("entry").endswith(" ") | (F.col("yes") > 1.1 * F.coalesce("most", F.lit(0)))).select("entry", "no", "yes")
 
 
 def evidence(docs: DataFrame, lexicon: Lexicon, text_col: str, keep: list[str]) -> DataFrame:
     """keep columns, total and words of every row."""
-    slim = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
+    ready(docs.sparkSession)
+    slim = docs.select(*all_of(keep), col(text_col).cast("string"))
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,24 +260,26 @@ def evidence(docs: DataFrame, lexicon: Lexicon, text_col: str, keep: list[str])
             extra = [pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *extra], [*keep, "total", "words"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields[:-1])
-    return slim.mapInArrow(run, f"{schema}, total double, words long")
+    schema = StructType([*slim.schema.fields[:-1], StructField("total", DoubleType()), StructField("words", LongType())])
+    return slim.mapInArrow(run, schema)
 
 
 def scores(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """(id, score, predicted, total, words) per row."""
     z = F.lit(lexicon.offset) + F.lit(lexicon.slope) * F.col("total") / F.pow(F.greatest(F.col("words").cast("double"), F.lit(1.0)), F.lit(lexicon.power))
-    out = evidence(docs, lexicon, text_col, [id_col]).withColumn("score", 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z)))))
+    out = evidence(docs, lexicon, text_col, [id_col])
+    out = out.withColumn("score", 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z)))))
     return out.select(id_col, "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "total", "words")
 
 
 def held_out(id_col: str, parts: int = 4, part: int = 2):
     """Whether a row is kept from learning: crc32 of the id as text. Null ids are not."""
-    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts)) == part, F.lit(False))
+    return F.coalesce(F.pmod(F.crc32(col(id_col).cast("string").cast("binary")), F.lit(parts)) == part, F.lit(False))
 
 
 def drop_toxic(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows of docs that score below the threshold, with their columns."""
+    ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
     where = docs.columns.index(text_col)
 
