@@ -1,6 +1,7 @@
 """Near-duplicate vectors: int8 tile products with rigorous error bounds.
 
-*Classes.* Equal vectors of a label form one class; only classes are compared.
+*Classes.* Equal vectors of a label, told by their SHA-256, form one class; only
+classes are compared.
 
 *Quantisation.* A unit vector x is stored as int8 q with scale s; its error
 norm e = |x - s q| is measured, not assumed. For two vectors
@@ -10,18 +11,21 @@ their bound, and only the others are recomputed in double precision from the
 original components.
 
 *Tiles.* The classes of a label, ordered by the signs of random projections, are
-cut into blocks of ``tile`` vectors. A block has a centre and a radius; a pair
-of blocks whose caps are too far apart to hold a linked pair is not built.
-The rest are tasks of bounded size whatever the label's share of the rows. A
-tile returns link counts per vector and the edges of a spanning forest, never
-its pairs, so dense groups cost a row per vector and tile.
+cut into blocks of about ``span`` vectors by the counts of their sign patterns;
+a pattern that many share is dealt over blocks by the digest. Every two blocks of
+a label are a task of bounded size, whatever the label's share of the rows: a
+vector travels once per block of its label, class count / span times. Within a task,
+strips of ``tile`` vectors with a centre and a radius are compared; two strips whose
+caps are too far apart to hold a linked pair are passed over. A task returns link
+counts per vector and each vector's link to the first of its group, never its
+pairs, so dense groups cost a row per vector and task.
 
 Defined cases: null, empty, zero vectors and vectors with null or non-finite
 components, and rows with null label or null id, link with nothing. Vectors of
 different lengths do not link. Rows that repeat an id and vector are separate
 vectors for counts (each other's copies); each row is returned with the sum of
 its id's links. Null ids get null components and are kept. Other columns are
-ignored.
+ignored; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -36,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandframe.llm._graph import components
+from strandframe.llm._names import col
 from strandframe.llm._store import Scratch
 
 _BITS = 30
@@ -43,23 +48,31 @@ _EPS = 1e-9
 
 
 def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, label, vec, code): components as packed doubles, null when unusable; code orders by direction."""
+    """(id, label, vec, code): components packed, null when unusable; code orders by direction."""
     planes: dict[int, np.ndarray] = {}
     for batch in batches:
-        vecs, codes = [], []
-        for value in batch.column(2).to_pylist():
-            x = None if value is None or None in value else np.array(value, np.float64)
-            usable = x is not None and len(x) and np.isfinite(x).all() and x.any()
-            if usable:
-                if len(x) not in planes:
-                    planes[len(x)] = np.random.default_rng(len(x)).standard_normal((len(x), _BITS))
-                bits = (x / np.abs(x).max()) @ planes[len(x)] > 0
-                codes.append(int(np.packbits(bits, bitorder="little").astype(np.int64) @ (256 ** np.arange(len(bits) // 8 + 1))))
-                vecs.append((x + 0.0).tobytes())
-            else:
-                codes.append(None)
-                vecs.append(None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(vecs, pa.binary()), pa.array(codes, pa.int64())], ["id", "label", "vec", "code"])
+        lists = batch.column(2)
+        offsets, null = lists.offsets.to_numpy(), np.array(lists.is_null())
+        lengths, flat = np.where(null, 0, np.diff(offsets)), lists.values
+        gaps = np.concatenate([[0], np.cumsum(np.array(flat.is_null()))])
+        values = flat.fill_null(0).to_numpy(zero_copy_only=False)
+        whole = (lengths > 0) & (gaps[offsets[:-1] + lengths] == gaps[offsets[:-1]])
+        vecs, codes = np.full(len(batch), None, object), np.zeros(len(batch), np.int64)
+        for n in np.unique(lengths[whole]).tolist():
+            rows = np.flatnonzero(whole & (lengths == n))
+            x = values[offsets[rows][:, None] + np.arange(n)] + 0
+            usable = np.isfinite(x).all(axis=1) & x.any(axis=1)
+            rows, x = rows[usable], x[usable] + x.dtype.type(0)
+            if not len(rows):
+                continue
+            if n not in planes:
+                planes[n] = np.random.default_rng(n).standard_normal((n, _BITS))
+            bits = (x / np.abs(x).max(axis=1, keepdims=True)).astype(np.float64) @ planes[n] > 0
+            codes[rows] = bits @ (1 << np.arange(_BITS, dtype=np.int64))
+            raw, size = x.tobytes(), n * x.itemsize
+            vecs[rows] = [raw[k : k + size] for k in range(0, len(raw), size)]
+        columns = [batch.column(0), batch.column(1), pa.array(vecs, pa.binary()), pa.array(codes)]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "label", "vec", "code"])
 
 
 def unit(vecs: np.ndarray) -> np.ndarray:
@@ -76,133 +89,111 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q, scale, error * (1 + 1e-12) + 1e-15
 
 
-def tile_links(x: np.ndarray, y: np.ndarray, same: bool, threshold: float, step: int = 512) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def caps(x: np.ndarray, tile: int) -> list[tuple[slice, np.ndarray, float]]:
+    """Strips of rows with their centre and the angle that holds all of them."""
+    out = []
+    for lo in range(0, len(x), tile):
+        part = x[lo : lo + tile]
+        centre = part.mean(axis=0)
+        centre = unit(centre[None])[0] if np.abs(centre).max() > 1e-12 else part[0]
+        out.append((slice(lo, lo + len(part)), centre, float(np.arccos(np.clip((part @ centre).min(), -1, 1)))))
+    return out
+
+
+def tile_links(x: np.ndarray, y: np.ndarray, same: bool, threshold: float, tile: int = 512) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of linked rows of two blocks of unit vectors (above the diagonal if same)."""
     qx, sx, ex = quantise(x)
     qy, sy, ey = (qx, sx, ex) if same else quantise(y)
     fx, fy = qx.astype(np.float32), qy.astype(np.float32)
-    for lo in range(0, len(x), step):
-        for at in range(lo if same else 0, len(y), step):
-            a, b = slice(lo, lo + step), slice(at, at + step)
+    width, reach = fx.shape[1], float(np.arccos(np.clip(threshold, -1, 1))) + 1e-6
+    strips_x = caps(x, tile)
+    strips_y = strips_x if same else caps(y, tile)
+    for k, (a, cx, rx) in enumerate(strips_x):
+        for b, cy, ry in strips_y[k:] if same else strips_y:
+            if float(np.arccos(np.clip(cx @ cy, -1, 1))) - rx - ry > reach:
+                continue
             # Products of int8 codes are integers below 2**24 for up to 1024 components: exact in float32.
-            width = fx.shape[1]
-            product = sum(fx[a, c : c + 1024].astype(np.float32) @ fy[b, c : c + 1024].T.astype(np.float64 if width > 1024 else np.float32) for c in range(0, width, 1024))
+            parts = [fx[a, c : c + 1024] @ fy[b, c : c + 1024].T for c in range(0, width, 1024)]
+            product = parts[0] if len(parts) == 1 else sum(part.astype(np.float64) for part in parts)
             near = product * sx[a, None] * sy[None, b]
             bound = ex[a, None] + ey[None, b] + ex[a, None] * ey[None, b] + _EPS
             i, j = np.nonzero(near >= threshold - bound)
             if same:
-                upper = i + lo < j + at
+                upper = i + a.start < j + b.start
                 i, j = i[upper], j[upper]
             exact = near[i, j] < threshold + bound[i, j]
             keep = ~exact
             if exact.any():
-                keep[exact] = np.einsum("nd,nd->n", x[i[exact] + lo], y[j[exact] + at]) >= threshold
-            yield i[keep] + lo, j[keep] + at
-
+                keep[exact] = np.einsum("nd,nd->n", x[i[exact] + a.start], y[j[exact] + b.start]) >= threshold
+            yield i[keep] + a.start, j[keep] + b.start
 
-def _forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], weights_x: np.ndarray, weights_y: np.ndarray, shift: int):
-    """Link weights per row of both blocks, and a spanning forest; rows of y are shifted by shift."""
-    root = np.arange(n)
 
-    def find(v: int) -> int:
-        while root[v] != v:
-            root[v] = root[root[v]]
-            v = root[v]
-        return v
-
-    links, edges = np.zeros(n, np.int64), []
+def group(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], copies: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+    """Linked copies per row of both blocks, and the first row of each row's group; rows of y begin at shift."""
+    links, first = np.zeros(n), np.arange(n)
     for i, j in pairs:
         j = j + shift
-        np.add.at(links, i, weights_y[j - shift])
-        np.add.at(links, j, weights_x[i])
-        label = np.array([find(v) for v in np.unique(np.concatenate([i, j]))]) if len(i) else np.zeros(0, int)
-        if not len(label):
-            continue
-        for u, v in zip(i.tolist(), j.tolist(), strict=True):
-            a, b = find(u), find(v)
-            if a != b:
-                root[max(a, b)] = min(a, b)
-                edges.append((u, v))
-    return links, edges
+        links += np.bincount(i, copies[j], n) + np.bincount(j, copies[i], n)
+        a, b = first[i], first[j]
+        while len(a := a[(apart := a != b)]):
+            b = b[apart]
+            np.minimum.at(first, np.maximum(a, b), np.minimum(a, b))
+            while (first[first] != first).any():
+                first = first[first]
+            a, b = first[a], first[b]
+    return links.astype(np.int64), first
 
 
 def near_vectors(
     vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
-    threshold: float = 0.93, tile: int = 1024,
+    threshold: float = 0.93, tile: int = 512, span: int = 8192,
 ) -> DataFrame:
     """(id, n_links, component_id, kept) per row of vectors; see the module for the cases."""
     scratch = Scratch(vectors.sparkSession, "vectors")
-    slim = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"), F.col(vec_col).cast("array<double>").alias("v"))
-    rows = scratch.save(slim.mapInArrow(_prepare, "id long, label string, vec binary, code long"), "rows")
-    good = rows.filter("id is not null and label is not null and vec is not null")
-    # A class is named by its smallest id; ids that repeat with other vectors are told apart by the vector.
-    classes = good.groupBy("label", "vec").agg(F.min("id").alias("head"), F.count("*").alias("copies"), F.first("code").alias("code"))
-    width = F.octet_length("vec")
-    spot = classes.withColumn("width", width)
-    buckets = spot.withColumn("range", F.shiftright("code", _BITS - 10))
-    counts = buckets.groupBy("label", "width", "range").agg(F.count("*").alias("c"))
-    before = Window.partitionBy("label", "width").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offset = counts.select("label", "width", "range", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("label", "width", "range").orderBy("code", "head", "vec")
-    numbered = buckets.withColumn("r", F.row_number().over(inside)).join(offset, ["label", "width", "range"])
-    blocks = scratch.save(
-        numbered.select("label", "width", ((F.col("offset") + F.col("r") - 1) / tile).cast("long").alias("block"), "head", "copies", "vec"), "blocks"
+    single = vectors.select(col(vec_col)).schema[0].dataType.simpleString() == "array<float>"
+    kind = np.dtype(np.float32 if single else np.float64)
+    slim = vectors.select(
+        col(id_col).cast("long").alias("id"), col(label_col).cast("string").alias("label"), col(vec_col).cast("array<float>" if single else "array<double>").alias("v")
     )
-
-    def summary(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = unit(np.stack([np.frombuffer(v) for v in pdf["vec"]]))
-        centre = x.mean(axis=0)
-        centre = unit(centre[None])[0] if np.abs(centre).max() > 1e-12 else x[0]
-        radius = float(np.arccos(np.clip((x @ centre).min(), -1, 1)))
-        return pd.DataFrame({"label": [pdf["label"].iloc[0]], "width": [pdf["width"].iloc[0]], "block": [pdf["block"].iloc[0]], "centre": [centre.tobytes()], "radius": [radius]})
-
-    caps = scratch.save(blocks.groupBy("label", "width", "block").applyInPandas(summary, "label string, width int, block long, centre binary, radius double"), "caps")
-    reach = float(np.arccos(threshold))
-
-    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for cx, cy, rx, ry in zip(*(batch.column(c).to_pylist() for c in ("centre", "centre2", "radius", "radius2")), strict=True):
-                angle = float(np.arccos(np.clip(np.frombuffer(cx) @ np.frombuffer(cy), -1, 1)))
-                keep.append(angle - rx - ry <= reach + 1e-6)
-            yield batch.select(["label", "width", "block", "other"]).filter(pa.array(keep, pa.bool_()))
-
-    twin = caps.select("label", "width", F.col("block").alias("other"), F.col("centre").alias("centre2"), F.col("radius").alias("radius2"))
-    duos = caps.join(twin, ["label", "width"]).filter("block <= other").select("label", "width", "block", "other", "centre", "centre2", "radius", "radius2")
-    tiles = scratch.save(duos.mapInArrow(close, "label string, width int, block long, other long"), "tiles")
-    sides = tiles.select("label", "width", "block", "other", F.explode(F.when(F.col("block") == F.col("other"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))).alias("side"))
-    sides = sides.withColumn("own", F.when(F.col("side") == 0, F.col("block")).otherwise(F.col("other")))
-    filled = sides.join(blocks.withColumnRenamed("block", "own"), ["label", "width", "own"]).select("label", "width", "block", "other", "side", "head", "copies", "vec")
+    rows = slim.mapInArrow(_prepare, "id long, label string, vec binary, code long")
+    rows = scratch.save(rows.withColumn("digest", F.sha2("vec", 256)), "rows")
+    good = rows.filter("id is not null and label is not null and vec is not null")
+    same = good.groupBy("label", "digest").agg(F.min("id").alias("head"), F.count("*").alias("copies"), F.first("code").alias("code"), F.first("vec").alias("vec"))
+    classes = same.withColumn("width", F.octet_length("vec")).withColumn("range", F.shiftright("code", _BITS - 10))
+    classes = scratch.save(classes, "classes")
+
+    counts = classes.groupBy("label", "width", "range").agg(F.count("*").alias("c"))
+    whole = Window.partitionBy("label", "width")
+    before = whole.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    spots = counts.withColumn("begin", F.coalesce(F.sum("c").over(before), F.lit(0))).withColumn("total", F.sum("c").over(whole))
+    spots = scratch.save(spots.withColumn("blocks", F.ceil(F.col("total") / span)), "spots")
+    dealt = F.pmod(F.xxhash64("digest"), F.lit(1 << 20)) / float(1 << 20)
+    block = F.least(F.col("blocks") - 1, F.floor((F.col("begin") + dealt * F.col("c")) * F.col("blocks") / F.col("total")))
+    placed = classes.join(spots, ["label", "width", "range"]).withColumn("block", block)
+    placed = placed.select("label", "width", "block", "digest", "head", "copies", "code", "vec", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    tiles = placed.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
 
     def product(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        same = pdf["block"].iloc[0] == pdf["other"].iloc[0]
-        y = x if same else y
-        ux = unit(np.stack([np.frombuffer(v) for v in x["vec"]]))
-        uy = ux if same else unit(np.stack([np.frombuffer(v) for v in y["vec"]]))
-        both = x if same else pd.concat([x, y])
-        shift = 0 if same else len(x)
-        links, edges = _forest(len(both), tile_links(ux, uy, same, threshold), x["copies"].to_numpy(), y["copies"].to_numpy(), shift)
-        heads, vecs = both["head"].to_numpy(), both["vec"].to_numpy()
-        some = np.flatnonzero(links)
-        a = np.concatenate([heads[some], np.array([heads[u] for u, _ in edges], np.int64)])
-        b = np.concatenate([np.full(len(some), -1, np.int64), np.array([heads[v] for _, v in edges], np.int64)])
-        n = np.concatenate([links[some], np.zeros(len(edges), np.int64)])
-        vec = [*vecs[some], *([None] * len(edges))]
-        return pd.DataFrame({"label": pdf["label"].iloc[0], "a": a, "b": b, "n": n, "vec": vec, "edge": [False] * len(some) + [True] * len(edges)})
-
-    found = scratch.save(
-        filled.groupBy("label", "width", "block", "other").applyInPandas(product, "label string, a long, b long, n long, vec binary, edge boolean"), "found"
-    )
-    counted = found.filter("not edge").groupBy("label", "vec").agg(F.sum("n").alias("n"))
-    members = scratch.save(
-        good.join(classes.select("label", "vec", "head", "copies"), ["label", "vec"]).join(counted, ["label", "vec"], "left")
-        .select("id", "head", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n")), "members"
-    )
-    edges = found.filter("edge and a != b").select("a", "b").unionByName(members.filter("id != head").select(F.col("id").alias("a"), F.col("head").alias("b")))
-    comp = components(edges, scratch)
+        same = pdf["lo"].iloc[0] == pdf["hi"].iloc[0]
+        pdf = pdf.sort_values(["block", "code", "digest"])
+        shift = 0 if same else int((pdf["block"] == pdf["lo"]).sum())
+        x = unit(np.frombuffer(b"".join(pdf["vec"]), kind).reshape(len(pdf), -1).astype(np.float64))
+        pairs = tile_links(x, x, True, threshold, tile) if same else tile_links(x[:shift], x[shift:], False, threshold, tile)
+        links, first = group(len(pdf), pairs, pdf["copies"].to_numpy(np.float64), shift)
+        some, heads = np.flatnonzero(links), pdf["head"].to_numpy()
+        columns = {"label": pdf["label"].iloc[0], "digest": pdf["digest"].to_numpy()[some], "n": links[some], "a": heads[some], "b": heads[first[some]]}
+        return pd.DataFrame(columns)
+
+    found = tiles.groupBy("label", "width", "lo", "hi").applyInPandas(product, "label string, digest string, n long, a long, b long")
+    found = scratch.save(found, "found")
+    counted = found.groupBy("label", "digest").agg(F.sum("n").alias("n"))
+    members = good.join(classes.select("label", "digest", "head", "copies"), ["label", "digest"]).join(counted, ["label", "digest"], "left")
+    members = scratch.save(members.select("id", "head", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n")), "members")
+    copied = members.filter("id != head").select(F.col("id").alias("a"), F.col("head").alias("b"))
+    comp = scratch.save(components(found.filter("a != b").select("a", "b").unionByName(copied), scratch), "components")
     per_id = members.groupBy("id").agg(F.sum("n").alias("n"))
     out = rows.select("id").join(per_id, "id", "left").join(comp, "id", "left")
+    scratch.drop(classes, spots, found)
     return out.select(
         F.col("id").alias(id_col), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"),

@@ -39,7 +39,7 @@ def made():
 def test_links_and_components_match_all_pairs(spark):
     rows = made()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
-    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in e.near_vectors(df, tile=16).collect()}
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in e.near_vectors(df, tile=16, span=50).collect()}
     assert got == brute(rows)
 
 
@@ -49,6 +49,28 @@ def test_whole_small_table_matches_all_pairs(spark, sf):
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in e.near_vectors(df).collect()} == brute(rows)
 
 
+def test_one_direction_and_hot_label(spark):
+    rnd, base = np.random.default_rng(4), np.random.default_rng(5).standard_normal(24)
+    rows = [(i, (base + rnd.standard_normal(24) * 0.01 * (1 + i % 60)).tolist(), int(i % 10 == 0)) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4)
+    rows = [(r.vec_id, r.embedding, r.label) for r in df.collect()]
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in e.near_vectors(df, tile=32, span=128).collect()} == brute(rows)
+
+
+def test_groups_are_those_of_the_pairs():
+    rnd = np.random.default_rng(6)
+    for n in (5, 40, 300):
+        i, j = (np.sort(rnd.integers(0, n, (2, n // 2)), axis=0)).tolist()
+        pairs = sorted({(a, b) for a, b in zip(i, j, strict=True) if a != b})
+        arrays = np.array(pairs, np.int64).reshape(-1, 2)
+        links, first = e.group(n, iter([(arrays[::2, 0], arrays[::2, 1]), (arrays[1::2, 0], arrays[1::2, 1])]), np.ones(n), 0)
+        comp = list(range(n))
+        for a, b in pairs:
+            lo, hi = sorted((comp[a], comp[b]))
+            comp = [lo if c == hi else c for c in comp]
+        assert first.tolist() == comp and links.tolist() == [sum(v in p for p in pairs) for v in range(n)]
+
+
 def test_bounds_hold():
     x = e.unit(np.random.default_rng(2).standard_normal((300, 64)))
     q, s, err = e.quantise(x)
