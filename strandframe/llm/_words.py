@@ -4,12 +4,14 @@ A word is a longest run of bytes outside ``\\x20 \\x09-\\x0D`` (with
 ``punctuation=True`` ASCII punctuation separates too), A-Z lower-cased. Its
 hash is a polynomial over random byte values modulo 2**64, finished with a
 bijective mixer: prefix sums give every word of a slice at once, so no Python
-code runs per word. Texts are worked off in slices of about ``SLICE`` bytes
+code runs per word. Words of more than ``LONGEST`` bytes, for which such a polynomial
+can be made to collide, are rare and hashed by BLAKE2b one by one. Texts are worked off in slices of about ``SLICE`` bytes
 that always hold whole texts, which bounds the memory by the longest text.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE = 1 << 19
+LONGEST = 32
 _U = np.uint64
 _PRIME = 0x9E3779B97F4A7C15
 _INVERSE = pow(_PRIME, -1, 1 << 64)
@@ -108,6 +111,9 @@ def _slice(raw: np.ndarray, offsets: np.ndarray, first: int, last: int, blank: n
     sums = np.zeros(n + 1, _U)
     np.cumsum(_VALUES[raw] * power[:n], out=sums[1:])
     hashes = mix64((sums[stop] - sums[start]) * inverse[start])
+    for k in np.flatnonzero(stop - start > LONGEST).tolist():
+        word = _LOWER[raw[start[k] : stop[k]]].tobytes()
+        hashes[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
     return Words(first, last, hashes, np.searchsorted(start, offsets), _LOWER[raw[stop - 1]])
 
 

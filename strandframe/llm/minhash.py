@@ -19,12 +19,14 @@ a frequent passage after a join on rare shingles; nothing is capped and no
 bucket's pairs are all emitted.
 
 A pair at similarity 0.75 shares no bucket with probability
-(1 - 0.75**3)**24 = 2e-6.
+(1 - 0.75**3)**24 = 2e-6; one that is not found by its centre's star is passed over
+with probability 1e-7 more, as its signatures are compared before its sets.
 
 Defined cases: null or empty text and text without words have an empty set,
 ``n_shingles`` 0 and no links. Repeated rows of one id count as one document
 whose links are those of all its rows; each row is returned. Rows with null id
-are returned with null component and ``kept`` true. Other columns are ignored.
+are returned with null component and ``kept`` true. Other columns are ignored; an
+empty table gives an empty one. Texts are compared whole, however long.
 """
 
 from __future__ import annotations
@@ -39,12 +41,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandframe.llm._graph import components
+from strandframe.llm._names import all_of, col, prefix
 from strandframe.llm._store import Scratch
 from strandframe.llm._words import Words, mix64, word_slices
 
 _U, _U32 = np.uint64, np.uint32
 #: A shingle that one in so many members of a bucket centre have belongs to the centre.
 COMMON = 3
+#: Tasks that the rows of one bucket centre are dealt over.
+SALTS = 16
 _WEIGHTS = np.random.default_rng(5).integers(1, 1 << 62, 64, dtype=np.uint64) * _U(2) + _U(1)
 
 
@@ -141,7 +146,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int, bands: in
                     ["id", "n", "d1", "d2", "keys", "sketch"],
                 )
 
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text"))
     return slim.mapInArrow(run, "id long, n long, d1 long, d2 long, keys array<long>, sketch binary")
 
 
@@ -183,7 +188,7 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, si
                 yield pa.RecordBatch.from_arrays([picked.column(0).slice(w.first, w.last - w.first), items], ["id", "items"])
 
     spots = (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(bits)).alias(f"at{k}") for k in range(2))
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
+    slim = docs.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text")).filter("id is not null")
     found = slim.select("id", "text", *spots).mapInArrow(run, "id long, items binary")
     return found.join(ids, "id", "left_semi")
 
@@ -227,8 +232,11 @@ def compare(pairs: DataFrame, sets: DataFrame, percent: int, novel: bool = False
     return wide.mapInArrow(_compared(percent, novel), schema)
 
 
-def _hopeful(pairs: DataFrame, sketches: DataFrame, coordinates: int, percent: int) -> DataFrame:
-    """The pairs whose signatures do not rule the similarity out (5.4 standard deviations)."""
+def _hopeful(pairs: DataFrame, coordinates: int, percent: int) -> DataFrame:
+    """The different pairs (a, b) of rows (a, b, x, y) whose signatures x, y do not rule the similarity out (5.4 standard deviations).
+
+    Signatures are compared where the pairs arise; only those left are shuffled.
+    """
     share = percent / 100
     least = math.ceil(coordinates * share - 5.4 * math.sqrt(coordinates * share * (1 - share)))
 
@@ -238,12 +246,18 @@ def _hopeful(pairs: DataFrame, sketches: DataFrame, coordinates: int, percent: i
             keep = pa.array((x == y).sum(axis=1) >= least)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(keep)
 
-    wide = pairs.join(sketches.withColumnsRenamed({"id": "a", "sketch": "x"}), "a").join(sketches.withColumnsRenamed({"id": "b", "sketch": "y"}), "b")
-    return wide.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+    return pairs.mapInArrow(run, "a long, b long").distinct()
+
+
+def _join_centres(rows: DataFrame, by: list[str], centres: DataFrame, how: str = "inner") -> DataFrame:
+    """rows joined to the few rows of their centre h; the rows of one centre are dealt over SALTS tasks by columns."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
+    copies = centres.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, ["h", "salt"], how).drop("salt")
 
 
-def unsettled(stars: DataFrame, comp: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """Pairs (a, b) around one centre, in different components, that their deltas to it allow to be linked.
+def unsettled(stars: DataFrame, comp: DataFrame, sketches: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
+    """Pairs (a, b, x, y) around one centre, in different components, that their deltas to it allow to be linked; x, y: signatures.
 
     The centre h is its document's set and what a third of its members have
     besides, so that one odd document is as good a centre as any. Of two sets
@@ -253,21 +267,24 @@ def unsettled(stars: DataFrame, comp: DataFrame, scratch: Scratch, percent: int)
     (outside h): then their rarest common one is among the
     first ``novel - needed + 1`` of each, rarest first, and they meet in a join on
     it. Members of a centre's largest component are not paired with each other.
+    Nothing is dealt by the centre alone: sums have a map side, and joins are
+    salted. What is usual around a centre is bounded by the length of its texts.
     """
     p = percent
     group = stars.select(F.col("b").alias("h"), F.col("a").alias("id"), "n", F.col("common").alias("i"), "novel").join(comp, "id", "left")
     group = group.withColumn("comp", F.coalesce("component", "id")).drop("component")
-    split = group.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("h")
-    group = group.join(split, "h")
-    size = group.groupBy("h").agg(F.count("*").alias("size"))
-    common = group.select("h", F.explode("novel").alias("s")).groupBy("h", "s").agg(F.count("*").alias("f")).join(size, "h")
-    common = common.filter(F.col("f") * COMMON > F.col("size")).filter("f > 1").groupBy("h").agg(F.collect_list("s").alias("usual"))
+    split = group.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size")).filter("lo < hi").select("h", "size")
+    group = scratch.save(_join_centres(group, ["id"], scratch.save(split, "split")), "members")
+    counted = group.select("h", "size", F.explode("novel").alias("s")).groupBy("h", "s", "size").agg(F.count("*").alias("f"))
+    common = counted.filter((F.col("f") * COMMON > F.col("size")) & (F.col("f") > 1)).groupBy("h").agg(F.collect_list("s").alias("usual"))
+    group = _join_centres(group.drop("size"), ["id"], common, "left")
     outside = F.when(F.col("usual").isNull(), F.col("novel")).otherwise(F.array_except("novel", "usual"))
-    group = group.join(common, "h", "left").withColumn("own", outside).withColumn("i", F.col("i") + F.size("novel") - F.size("own"))
+    group = group.withColumn("own", outside).withColumn("i", F.col("i") + F.size("novel") - F.size("own"))
     group = scratch.save(group.select("h", "id", "n", "i", F.col("own").alias("novel"), "comp"), "group")
     most = F.max(F.struct(F.col("count"), (-F.col("comp")).alias("least"))).alias("most")
     main = group.groupBy("h", "comp").count().groupBy("h").agg(most).select("h", (-F.col("most.least")).alias("main"))
-    marked = group.join(main, "h").withColumn("aside", F.col("comp") != F.col("main")).drop("main")
+    marked = _join_centres(group, ["id"], main).withColumn("aside", F.col("comp") != F.col("main")).drop("main")
+    marked = scratch.save(marked.join(sketches, ["id", "n"]), "marked")
 
     x = lambda c: F.col(f"x_{c}")
     fits = F.least(F.col("n"), x("n")) * 100 >= F.greatest(F.col("n"), x("n")) * p
@@ -276,21 +293,25 @@ def unsettled(stars: DataFrame, comp: DataFrame, scratch: Scratch, percent: int)
     as_x = lambda df, *cols: df.filter("aside").select("h", *(F.col(c).alias(f"x_{c}") for c in cols))
 
     inside = marked.select("h", "n", "i", "aside").distinct()
-    numbers = inside.select("h", "n", "i").distinct().join(as_x(inside, "n", "i").distinct(), "h").filter(fits & (reach * (100 + p) >= needed))
-    members = marked.select("h", "id", "n", "i", "comp")
-    by_numbers = numbers.join(members, ["h", "n", "i"]).join(as_x(marked, "id", "n", "i", "comp"), ["h", "x_n", "x_i"])
+    numbers = _join_centres(inside.select("h", "n", "i").distinct(), ["n", "i"], as_x(inside, "n", "i").distinct())
+    numbers = numbers.filter(fits & (reach * (100 + p) >= needed))
+    members = marked.select("h", "id", "n", "i", "comp", "sketch")
+    by_numbers = numbers.join(members, ["h", "n", "i"]).join(as_x(marked, "id", "n", "i", "comp", "sketch"), ["h", "x_n", "x_i"])
 
-    rows = marked.select("h", "id", "n", "i", "comp", "aside", F.size("novel").alias("m"), F.explode("novel").alias("s"))
+    rows = marked.select("h", "id", "n", "i", "comp", "aside", "sketch", F.size("novel").alias("m"), F.explode("novel").alias("s"))
     rarity = rows.groupBy("h", "s").agg(F.count("*").alias("f")).filter("f > 1")
-    rank = F.row_number().over(Window.partitionBy("h", "id").orderBy("f", "s"))
+    rank = F.row_number().over(Window.partitionBy("h", "id", "n").orderBy("f", "s"))
     # Shingles that one member alone has come first and meet nothing; they only use up places.
-    shared = rows.join(rarity, ["h", "s"]).withColumn("alone", F.col("m") - F.count("*").over(Window.partitionBy("h", "id")))
+    shared = rows.join(rarity, ["h", "s"]).withColumn("alone", F.col("m") - F.count("*").over(Window.partitionBy("h", "id", "n")))
     least = F.greatest(F.lit(1), F.ceil(F.col("n") * p / 100) - F.col("i"))
-    first = shared.withColumn("r", rank + F.col("alone")).filter(F.col("r") <= F.col("m") - least + 1).select("h", "s", "id", "n", "i", "comp", "aside", "m")
+    first = shared.withColumn("r", rank + F.col("alone")).filter(F.col("r") <= F.col("m") - least + 1).select("h", "s", "id", "n", "i", "comp", "aside", "m", "sketch")
     both = (reach + F.least(F.col("m"), x("m"))) * (100 + p) >= needed
-    by_novel = first.join(as_x(first, "s", "id", "n", "i", "comp", "m").withColumnRenamed("x_s", "s"), ["h", "s"]).filter(fits & both)
-    found = [df.filter("comp != x_comp").select(F.greatest("id", "x_id").alias("a"), F.least("id", "x_id").alias("b")) for df in (by_numbers, by_novel)]
-    return found[0].unionByName(found[1]).distinct()
+    by_novel = first.join(as_x(first, "s", "id", "n", "i", "comp", "m", "sketch").withColumnRenamed("x_s", "s"), ["h", "s"]).filter(fits & both)
+    found = [
+        df.filter("comp != x_comp").select(F.greatest("id", "x_id").alias("a"), F.least("id", "x_id").alias("b"), F.col("sketch").alias("x"), F.col("x_sketch").alias("y"))
+        for df in (by_numbers, by_novel)
+    ]
+    return found[0].unionByName(found[1])
 
 
 def near_duplicates(
@@ -314,7 +335,7 @@ def near_duplicates(
     compared = scratch.save(compare(stars, sets, percent, novel=True), "compared")
     links = scratch.save(compared.filter("linked").select("a", "b").unionByName(copies).distinct(), "links")
     comp = scratch.save(components(links, scratch), "components")
-    pairs = _hopeful(unsettled(compared, comp, scratch, percent), full.select("id", "sketch"), bands * rows, percent)
+    pairs = _hopeful(unsettled(compared, comp, full.select("id", "n", "sketch"), scratch, percent), bands * rows, percent)
     more = scratch.save(compare(scratch.save(pairs, "pairs"), sets, percent).filter("linked").select("a", "b").distinct(), "more")
     if not more.isEmpty():
         comp = scratch.save(components(links.unionByName(more), scratch), "components")
@@ -329,9 +350,22 @@ def near_duplicates(
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that near_duplicates keeps, with all their columns.
 
-    Of rows that repeat the kept id one stays (arbitrary among equal ids);
-    rows with null id stay.
+    Rows that share a kept id are documents of their own here: of those with
+    texts that are linked, however indirectly, the one with the least hash of id and
+    text stays, and of rows equal in id and text that with the least hash of all
+    columns. Differing texts are never lost. Rows with null id stay.
     """
-    gone = near_duplicates(docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("__gone")).distinct()
-    left = docs.join(gone, docs[id_col].cast("long") == F.col("__gone"), "left_anti")
-    return left.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(left.filter(F.col(id_col).isNull()))
+    p, scratch, names = prefix(docs), Scratch(docs.sparkSession, "first"), docs.columns
+    gone = near_duplicates(docs, id_col, text_col).filter("not kept").select(col(id_col).alias(f"{p}gone")).distinct()
+    left = docs.join(gone, col(id_col).cast("long") == F.col(f"{p}gone"), "left_anti")
+    many = left.filter(col(id_col).isNotNull()).groupBy(col(id_col).alias(f"{p}id")).agg(F.count("*").alias("c")).filter("c > 1")
+    many = scratch.save(many.select(f"{p}id"), "repeated")
+    if many.isEmpty():
+        return left
+    once = left.join(many, col(id_col) == F.col(f"{p}id"), "left_anti")
+    again = left.join(many, col(id_col) == F.col(f"{p}id"), "left_semi")
+    whole = F.min_by(F.struct(*all_of(names)), F.xxhash64(*all_of(names))).alias("row")
+    key = F.xxhash64(col(id_col), col(text_col))
+    texts = scratch.save(again.groupBy(key.alias("key"), col(text_col).alias("text")).agg(whole), "texts")
+    kept = near_duplicates(texts, "key", "text").filter("kept").select("key").distinct()
+    return once.unionByName(texts.join(kept, "key", "left_semi").select("row.*"))

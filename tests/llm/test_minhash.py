@@ -99,6 +99,28 @@ def test_empty_table_and_extra_columns(spark):
     assert sorted(r.n or 0 for r in kept) == [0, 7]
 
 
+def test_rows_that_share_an_id_lose_no_differing_text(spark):
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(60)]
+    near = " ".join(base[:59]) + " other"
+    rows = [(1, " ".join(base), "a"), (1, " ".join(base), "b"), (1, near, "c"), (1, " ".join(rnd.sample(base, 60)), "d"), (2, " ".join(base), "e"), (3, "x y", "f"), (3, "x z", "g")]
+    rows += [(3, "x y", "h")] * 3 + [(4, None, "i"), (4, "", "j")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _xgone string").repartition(4)
+    got = sorted((r.doc_id, r.text or "", r["_xgone"]) for r in minhash.keep_first(docs).collect())
+    again = sorted((r.doc_id, r.text or "", r["_xgone"]) for r in minhash.keep_first(docs.repartition(2)).collect())
+    assert got == again and {r[0] for r in got} == {1, 3, 4}
+    assert len([r for r in got if r[0] == 1]) == 2 and {r[1] for r in got if r[0] == 3} == {"x y", "x z"} and len([r for r in got if r[0] == 3]) == 2
+    assert {r[1] for r in got if r[0] == 1} & {rows[3][1]}
+
+
+def test_long_words_that_polynomials_confuse_differ():
+    a, b = "a", "b"
+    for _ in range(11):
+        a, b = a + b, b + a
+    assert _words.word_hashes(a)[0] != _words.word_hashes(b)[0]
+    assert _words.word_hashes(a.upper())[0] == _words.word_hashes("q " + a)[1]
+
+
 def test_circulant_signature_estimates_similarity():
     rnd = np.random.default_rng(0)
     x = rnd.integers(0, 1 << 63, 1000).astype(np.uint64)
