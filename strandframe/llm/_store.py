@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,3 +87,14 @@ def sweep(spark: SparkSession) -> None:
     """Delete all tables that operators of this session have left; their results cannot be read afterwards."""
     for root in _roots.pop(spark.sparkContext.applicationId, ()):
         delete(spark, root)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables that operators write inside, once what is computed from them has been saved elsewhere."""
+    roots = _roots.setdefault(spark.sparkContext.applicationId, [])
+    before = len(roots)
+    yield
+    for root in roots[before:]:
+        delete(spark, root)
+    del roots[before:]

@@ -5,9 +5,10 @@ punctuation). An item of ``n`` words is found in a document when some run of
 the document's words is within ``floor(rate * n)`` word edits of it.
 
 *Windows.* An item's alignment with at most ``k`` edits leaves one of its
-``k + 1`` equal segments untouched (pigeonhole), so only item-sized windows
-on the diagonal of such a segment, and up to ``SHIFTS`` words beside it, can
-be the start of a hit; no other window is looked at, and none is lost.
+``k + 1`` equal segments untouched (pigeonhole), so every hit has such a segment in
+it. Item-sized windows are tried on the diagonal of each segment found and up to
+``SHIFTS`` words beside it; edits before the segment may move the item's start up to
+``k`` words farther, which the embedding bears with and ``recall`` accounts for.
 
 *Embedding.* A random walk (CGK) reads a window and repeats or advances at
 each of ``3n`` steps as a random function of step and word says; a few word
@@ -25,9 +26,11 @@ of its windows are verified.
 
 Defined cases: null or empty texts, on either side, match nothing. Items with
 fewer than ``1 / rate`` words need an exact run. Repeated rows give repeated
-results; null ids are carried through. Other columns are ignored. Item sets of
-more than ``block`` rows are worked off in blocks, each over all documents, so
-what is sent to the tasks is bounded.
+results; null ids are carried through. Other columns are ignored, or kept as they
+are by ``drop_contaminated``, which judges every row by its own text. Empty tables
+on either side give no hits. Texts are searched whole, however long. Item sets of
+more than ``block`` rows or ``block_bytes`` bytes are worked off in blocks, each over all
+documents, so what is sent to the tasks is bounded (by the longest item, at least).
 """
 
 from __future__ import annotations
@@ -42,6 +45,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandframe.llm._names import col, filter_batches
+from strandframe.llm._store import ready
 from strandframe.llm._words import mix64, word_hashes, word_slices
 
 _U = np.uint64
@@ -253,7 +258,7 @@ def gram(words: np.ndarray, size: int) -> np.ndarray:
     return value
 
 
-def _find(index, id_type) -> object:
+def _find(index) -> object:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [[] for _ in range(6)]
@@ -269,43 +274,53 @@ def _find(index, id_type) -> object:
     return run
 
 
+def _spare(index, where: int) -> object:
+    """The rows in whose text, column where, no item is found."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(len(batch), bool)
+            for w in word_slices(batch.column(where), punctuation=True):
+                keep[[w.first + row for row, *_ in index.value.search(w.hashes, w.bounds)]] = False
+            yield batch.filter(pa.array(keep))
+
+    return run
+
+
+def _indexes(items: DataFrame, item_col: str, item_text: str, rate: float, recall: float, block: int, block_bytes: int) -> Iterator:
+    """Broadcast indexes of the blocks of items."""
+    spark = items.sparkSession
+    ready(spark)
+    texts = items.select(col(item_col).cast("long").alias("i"), col(item_text).cast("string").alias("t")).filter("t is not null")
+    size = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("bytes")).first()
+    blocks = max(1, math.ceil(size.n / block), math.ceil(size.bytes / block_bytes))
+    for b in range(blocks):
+        part = texts.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).distinct().collect()
+        rows = sorted(((r.i, r.t) for r in part), key=lambda r: (r[0] is None, r))
+        yield spark.sparkContext.broadcast(ItemIndex([(i, word_hashes(t, True)) for i, t in rows], rate, recall))
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text: str = "text", rate: float = 0.2, recall: float = 0.99, block: int = 20_000,
+    item_col: str = "item_id", item_text: str = "text", rate: float = 0.2, recall: float = 0.99, block: int = 20_000, block_bytes: int = 1 << 25,
 ) -> DataFrame:
     """One row per document and benchmark item found in it.
 
     (id, item_id, distance, item_words, start_word, end_word); the run of words
     is half open and counted from 0.
     """
-    spark = docs.sparkSession
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = items.select(F.col(item_col).cast("long").alias("i"), F.col(item_text).cast("string").alias("t")).filter("t is not null")
-    blocks = max(1, math.ceil(texts.count() / block))
-    found = []
-    for b in range(blocks):
-        part = texts.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b).distinct().collect()
-        rows = sorted(((r.i, r.t) for r in part), key=lambda r: (r[0] is None, r))
-        index = spark.sparkContext.broadcast(ItemIndex([(i, word_hashes(t, True)) for i, t in rows], rate, recall))
-        found.append(
-            slim.mapInArrow(_find(index, None), "id long, item_id long, distance int, item_words int, start_word int, end_word int")
-        )
+    slim = docs.select(col(id_col).cast("long").alias("id"), col(text_col).cast("string").alias("text"))
+    schema = "id long, item_id long, distance int, item_words int, start_word int, end_word int"
+    found = [slim.mapInArrow(_find(index), schema) for index in _indexes(items, item_col, item_text, rate, recall, block, block_bytes)]
     return reduce(DataFrame.unionByName, found).withColumnRenamed("id", id_col)
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs in which no item is found; rows with null id are judged by their own text.
-
-    A null id cannot be joined on: such rows are searched in a pass of their own
-    and kept or dropped together with equal texts.
-    """
-    text_col = options.get("text_col", "text")
-    hits = contaminated(docs.filter(F.col(id_col).isNotNull()), items, id_col, **options)
-    gone = hits.select(F.col(id_col).alias("__gone")).distinct()
-    named = docs.filter(F.col(id_col).isNotNull())
-    kept = named.join(gone, named[id_col].cast("long") == F.col("__gone"), "left_anti")
-    bare = docs.filter(F.col(id_col).isNull())
-    marked = bare.select(F.xxhash64(text_col).alias("__key"), F.col(text_col).alias("__text")).distinct()
-    bad = contaminated(marked, items, "__key", text_col="__text", **{k: v for k, v in options.items() if k != "text_col"})
-    bad = bad.select("__key").distinct()
-    return kept.unionByName(bare.join(bad, F.xxhash64(bare[text_col]) == F.col("__key"), "left_anti"))
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+    rate: float = 0.2, recall: float = 0.99, block: int = 20_000, block_bytes: int = 1 << 25,
+) -> DataFrame:
+    """The rows of docs in whose text no item is found, with all their columns; no shuffle."""
+    where = docs.columns.index(text_col)
+    for index in _indexes(items, item_col, item_text, rate, recall, block, block_bytes):
+        docs = filter_batches(docs, _spare(index, where))
+    return docs

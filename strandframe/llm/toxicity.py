@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from strandframe.llm._names import all_of, col
+from strandframe.llm._names import all_of, col, filter_batches
 from strandframe.llm._store import Scratch, ready
 
 # Letters of other scripts that look like Latin ones, in the order of the Latin row.
@@ -290,4 +290,4 @@ def drop_toxic(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", thresh
             score = shared.value.score(np.array([g[0] for g in got], float), np.array([g[1] for g in got], float))
             yield batch.filter(pa.array(score < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return filter_batches(docs, run)

@@ -16,12 +16,17 @@ joined back into the record it lies in. Payloads are only shuffled when they are
 asked for (``read``) or cut by a separator; their digests are taken on the spot.
 
 Rounds are logarithmic in the number of records of a file, and each writes its
-pointers to the shared folder.
-
-Defined cases: a null payload is empty. Null ids are written as empty ids and read
-back as null; they are never the response that others refer to. Repeated ids
-are records of their own. An archive whose chain breaks gives the records up
-to the break; ``round_trip`` raises then. Empty tables give an empty archive. Other columns are ignored.
+pointers to the shared folder. Pointers are joined by sorting, never broadcast.
+``round_trip`` deletes the archive and all its tables but the one it returns;
+after ``read`` and ``describe`` that is left to the caller (``_store.sweep``).
+
+Record ids hold the page's id and a hash of the row, so those of repeated page ids
+differ unless the rows are equal. Defined cases: a null payload is empty. Null ids
+are written as empty ids and read back as null; they are never the response that
+others refer to. Repeated ids are records of their own. An archive whose chain
+breaks gives the records before the one that is not followed by another or by the
+end of its file; ``round_trip`` raises then. Empty tables give an empty archive.
+Other columns are ignored. Payloads are handled whole, however long.
 """
 
 from __future__ import annotations
@@ -35,26 +40,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandframe.llm._store import Scratch
+from strandframe.llm._names import col
+from strandframe.llm._store import Scratch, delete
 
 MAGIC = "WARC/1."
 HEADS = "file string, block long, position long, size long, body long, length long, type string, record_id string, refers string, digest string, sha string"
-#: Groups of equal payloads up to which they are sent to all tasks.
+#: Groups of equal payloads, of some 80 bytes each, up to which they are sent to all tasks.
 SMALL = 100_000
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _FIELD = re.compile(rb"^([A-Za-z-]+):[ \t]*(.*)$")
 
 
 def decide(pages: DataFrame, id_col: str, payload_col: str, url_col: str | None, least: int) -> DataFrame:
-    """(id, url, payload, size, digest, refers_to): refers_to is null for responses."""
-    url = F.col(url_col).cast("string") if url_col else F.lit("")
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(url, F.lit("")).alias("url"), F.coalesce(F.col(payload_col).cast("string"), F.lit("")).alias("payload"))
+    """(id, url, payload, size, digest, tag, refers_to, refers_tag): refers_to is null for responses; tag tells rows of one id apart."""
+    scratch = Scratch(pages.sparkSession, "digests")
+    url = F.coalesce(col(url_col).cast("string"), F.lit("")) if url_col else F.lit("")
+    rows = pages.select(col(id_col).cast("long").alias("id"), url.alias("url"), F.coalesce(col(payload_col).cast("string"), F.lit("")).alias("payload"))
     rows = rows.withColumn("size", F.octet_length("payload").cast("long")).withColumn("digest", F.sha1(F.col("payload").cast("binary")))
-    groups = rows.filter((F.col("size") >= least) & F.col("id").isNotNull()).groupBy("digest").agg(F.max("id").alias("last"), F.count("*").alias("c"))
-    groups = groups.filter("c > 1").select("digest", "last")
-    if groups.limit(SMALL + 1).count() <= SMALL:
+    rows = rows.withColumn("tag", F.lower(F.hex(F.xxhash64("id", "url", "digest"))))
+    groups = rows.filter((F.col("size") >= least) & F.col("id").isNotNull()).groupBy(F.col("digest").alias("same"))
+    groups = groups.agg(F.max(F.struct("id", "tag")).alias("last"), F.count("*").alias("c")).filter("c > 1").select("same", "last")
+    groups = scratch.save(groups, "groups")
+    if groups.count() <= SMALL:
         groups = F.broadcast(groups)  # else payloads are shuffled by digest
-    refers = F.when((F.col("id") != F.col("last")) & (F.col("size") >= least), F.col("last"))
-    return rows.join(groups, "digest", "left").select("id", "url", "payload", "size", "digest", refers.alias("refers_to"))
+    revisits = (F.col("id") != F.col("last.id")) & (F.col("size") >= least)
+    joined = rows.join(groups, F.col("digest") == F.col("same"), "left")
+    refers = (F.when(revisits, F.col(f"last.{c}")).alias(f"refers_{n}") for c, n in (("id", "to"), ("tag", "tag")))
+    return joined.select("id", "url", "payload", "size", "digest", "tag", *refers)
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str = "html", url_col: str | None = "url", least: int = 1000, per_file: int = 4096) -> None:
@@ -62,13 +74,15 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", payload_col: str
     rows = decide(pages, id_col, payload_col, url_col, least)
     is_revisit = F.col("refers_to").isNotNull()
     body = F.when(is_revisit, F.lit("")).otherwise(F.col("payload"))
+    name = lambda i, tag: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(i).cast("string"), F.lit("")), F.lit(":"), F.col(tag), F.lit(">"))
+    refers = F.concat(F.lit(f"\r\nWARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), name("refers_to", "refers_tag"))
     # A separator in a header would cut it; %57 is the same URI as W.
     uri = F.replace(F.regexp_replace("url", r"[\x00-\x20\x7F]", ""), F.lit(MAGIC), F.lit("%57" + MAGIC[1:]))
     header = F.concat(
         F.lit(MAGIC + "1\r\nWARC-Type: "), F.when(is_revisit, "revisit").otherwise("response"),
-        F.lit("\r\nWARC-Record-ID: <urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(">\r\nWARC-Target-URI: "), uri,
+        F.lit("\r\nWARC-Record-ID: "), name("id", "tag"), F.lit("\r\nWARC-Target-URI: "), uri,
         F.lit("\r\nWARC-Date: 1970-01-01T00:00:00Z\r\nWARC-Payload-Digest: sha1:"), F.col("digest"),
-        F.when(is_revisit, F.concat(F.lit("\r\nWARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))).otherwise(F.lit("")),
+        F.when(is_revisit, refers).otherwise(F.lit("")),
         F.lit("\r\nWARC-Identified-Payload-Type: text/html\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"),
     )
     records = rows.select(F.concat(header, body, F.lit("\r\n")).alias("value"))
@@ -131,13 +145,14 @@ def reachable(candidates: DataFrame, scratch: Scratch, rounds: int = 60) -> Data
         if jump.isEmpty():
             break
         here, there = found.withColumnRenamed("start", "at"), jump.withColumnRenamed("start", "at")
-        more = there.join(here, ["file", "at"], "left_semi").select("file", F.col("to").alias("start")).join(known, ["file", "start"], "left_semi")
+        more = there.join(here.hint("merge"), ["file", "at"], "left_semi").select("file", F.col("to").alias("start")).join(known.hint("merge"), ["file", "start"], "left_semi")
         grown = scratch.save(found.unionByName(more).distinct(), "reached")
         second = jump.select("file", F.col("start").alias("mid"), F.col("to").alias("end"))
         first = jump.select("file", "start", F.col("to").alias("mid"))
-        farther = scratch.save(first.join(second, ["file", "mid"]).select("file", "start", F.col("end").alias("to")), "pointers")
+        farther = scratch.save(first.join(second.hint("merge"), ["file", "mid"]).select("file", "start", F.col("end").alias("to")), "pointers")
         scratch.drop(found, jump)
         found, jump = grown, farther
+    scratch.drop(jump, known)
     return found
 
 
@@ -157,11 +172,16 @@ class Archive:
         # The first piece of a file stands before its first separator and is empty in an archive.
         self.start = (F.col("base") + F.col("position") - len(MAGIC)).alias("start")
         self.placed = self.scratch.save(heads.join(self.base, ["file", "block"]).select("*", self.start).filter("start >= 0"), "placed")
+        # A record ends where the next one starts, or with its file; the last piece has no separator behind it.
+        whole = heads.groupBy("file").agg((F.sum(F.col("size") + len(MAGIC)) - len(MAGIC)).alias("end"))
         next_ = F.col("start") + len(MAGIC) + F.col("body") + F.col("length") + 4
         candidates = self.placed.filter("length is not null").select("file", "start", next_.alias("next"))
+        ends = candidates.select("file", F.col("start").alias("next")).unionByName(whole.select("file", F.col("end").alias("next"))).distinct()
+        candidates = self.scratch.save(candidates.join(ends.hint("merge"), ["file", "next"], "left_semi"), "candidates")
         found = reachable(candidates, self.scratch)
-        kept = self.placed.filter("length is not null").join(found, ["file", "start"], "left_semi")
+        kept = self.placed.filter("length is not null").join(found.hint("merge"), ["file", "start"], "left_semi")
         self.records = self.scratch.save(kept.select("file", "start", "body", "length", "type", "record_id", "refers", "digest", "sha", "size"), "records")
+        self.scratch.drop(heads, candidates, found)
 
     def payloads(self, some: DataFrame) -> DataFrame:
         """(file, start, payload) of the records (file, start) in some, put together from all their pieces."""
@@ -192,7 +212,10 @@ def describe(spark: SparkSession, path: str) -> DataFrame:
 
     Payloads are digested where they are read; only those cut by a separator are shuffled.
     """
-    archive = Archive(spark, path)
+    return _describe(Archive(spark, path))
+
+
+def _describe(archive: Archive) -> DataFrame:
     cols = ("type", "record_id", "refers", "digest")
     done = archive.records.filter("sha is not null").select(*cols, F.col("length").alias("bytes"), "sha")
     cut = archive.records.filter("sha is null")
@@ -212,12 +235,15 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", payload_col: str = "ht
     scratch = Scratch(spark, "archive")
     path = scratch.path("records")
     write(pages, path, id_col, payload_col, url_col, least)
-    number = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d+)>", 1)
+    archive = Archive(spark, path)
+    number = lambda c: F.regexp_extract(c, r"<urn:page:(-?\d+):", 1)
     as_id = lambda c: F.when(number(c) != "", number(c).cast("long"))
-    got = describe(spark, path).select(
+    got = _describe(archive).select(
         as_id("record_id").alias("id"), F.col("type").alias("record_type"), as_id("refers").alias("refers_to"), "bytes", "sha", F.expr("substring(digest, 6)").alias("stated")
     )
     got = scratch.save(got, "described")
+    delete(spark, archive.scratch.root)
+    delete(spark, path)
     written, back = pages.count(), got.count()
     if written != back:
         raise ValueError(f"{written} pages written, {back} records read back")

@@ -23,13 +23,26 @@ def plain_distance(item, text):
     return min(row)
 
 
+def row_distance(item, text):
+    """plain_distance, a row of the table at a time."""
+    ramp = np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, np.int64)
+    for i, w in enumerate(item):
+        new = row + 1
+        new[1:] = np.minimum(new[1:], row[:-1] + (text != w))
+        new[0] = i + 1
+        row = np.minimum.accumulate(new - ramp) + ramp
+    return int(row.min())
+
+
 def brute(docs, items, rate=0.2):
-    out = {}
+    number, out = {}, {}
+    as_numbers = lambda text: np.array([number.setdefault(w, len(number)) for w in words_of(text)], np.int64)
+    wanted = [(i, as_numbers(item)) for i, item in items]
     for d, text in docs:
-        have = words_of(text)
-        for i, item in items:
-            want = words_of(item)
-            if want and (n := plain_distance(want, have)) <= int(rate * len(want) + 1e-9) and have:
+        have = as_numbers(text)
+        for i, want in wanted:
+            if len(want) and len(have) and (n := row_distance(want, have)) <= int(rate * len(want) + 1e-9):
                 out[d, i] = n
     return out
 
@@ -47,7 +60,7 @@ def test_closest_is_the_plain_distance():
     for _ in range(200):
         item, text = rnd.integers(0, 6, rnd.integers(1, 9)).astype(np.uint64), rnd.integers(0, 6, rnd.integers(1, 15)).astype(np.uint64)
         d, s, e = decontam.closest(item, text)
-        assert d == plain_distance(item.tolist(), text.tolist()) and 0 <= s <= e <= len(text)
+        assert d == plain_distance(item.tolist(), text.tolist()) == row_distance(item, text) and 0 <= s <= e <= len(text)
         best = [0] if s == e else [plain_distance(item.tolist(), text[s:e].tolist())]
         assert best[0] <= d or s == e
 
@@ -80,11 +93,24 @@ def test_edited_passages_are_found_and_nothing_else(spark):
 def test_whole_small_table_matches_brute_force(spark, sf):
     docs, items = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    short = [(i, t) for i, t in rows if len(t or "") < 6000]
     got = {(r.doc_id, r.item_id): r.distance for r in decontam.contaminated(docs, items).collect()}
-    want = brute(short, [(r.item_id, r.text) for r in items.collect()])
-    ids = {i for i, _ in short}
-    assert {k: v for k, v in got.items() if k[0] in ids} == want
+    assert max(len(t or "") for _, t in rows) > 6000
+    assert got == brute(rows, [(r.item_id, r.text) for r in items.collect()])
+
+
+def test_very_long_texts_are_searched_whole(spark):
+    rnd = random.Random(9)
+    vocab = [f"w{i}" for i in range(2000)]
+    items = [(i, " ".join(rnd.choice(vocab) for _ in range(40))) for i in range(6)]
+    text = [rnd.choice(vocab) for _ in range(300_000)]
+    for i, item in items[:5]:
+        at = 50_000 * (i + 1)
+        text[at : at + 40] = edited(rnd, item.split(), 6)
+    docs = [(1, " ".join(text)), (1, " ".join(text)), (2, "x" * 3_000_000)]
+    df, it = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = [(r.doc_id, r.item_id, r.distance) for r in decontam.contaminated(df, it).collect()]
+    want = brute(docs[:1], items)
+    assert len(got) == 10 and set(got) == {(d, i, n) for (d, i), n in want.items()}
 
 
 def test_dropping_keeps_clean_rows_and_empty_tables(spark):
@@ -95,6 +121,10 @@ def test_dropping_keeps_clean_rows_and_empty_tables(spark):
     assert left.columns == docs.columns and sorted(r.text or "" for r in left.collect()) == ["", "clean", "clean text"]
     assert decontam.drop_contaminated(docs.limit(0), items).count() == 0
     assert decontam.drop_contaminated(docs, items.limit(0)).count() == 5
+    many = spark.createDataFrame([(i, f"{item} {i}") for i in range(9)], "item_id long, text string")
+    assert decontam.drop_contaminated(docs, many, block=2).count() == decontam.drop_contaminated(docs, many, block_bytes=60).count() == 3
+    same = spark.createDataFrame([(1, item), (1, "other"), (1, "other")], "doc_id long, text string")
+    assert [r.text for r in decontam.drop_contaminated(same, items).collect()] == ["other"] * 2
 
 
 class Candidates(decontam.ItemIndex):

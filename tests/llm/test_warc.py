@@ -46,7 +46,23 @@ def test_empty_table_and_broken_chain(spark, tmp_path):
     good = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
     (tmp_path / "x.warc").write_bytes(good * 3 + b"WARC/1.0\r\nContent-Length: 99999\r\n\r\nlost" + good)
     got = warc.read(spark, f"file://{tmp_path}/x.warc").orderBy("start").collect()
-    assert [bytes(r.payload) for r in got[:3]] == [b"ab"] * 3 and len(got) == 4
+    assert [bytes(r.payload) for r in got] == [b"ab"] * 3
+    (tmp_path / "y.warc").write_bytes(good * 3 + good[:-3])
+    assert [bytes(r.payload) for r in warc.read(spark, f"file://{tmp_path}/y.warc").collect()] == [b"ab"] * 3
+    (tmp_path / "z.warc").write_bytes(good * 3)
+    assert [bytes(r.payload) for r in warc.read(spark, f"file://{tmp_path}/z.warc").collect()] == [b"ab"] * 3
+
+
+def test_record_headers(spark, tmp_path):
+    big = "b" * 1200
+    pages = spark.createDataFrame([(1, "u1", big), (1, "u2", big), (1, "u3", "c"), (2, "u4", big), (3, "u5", big)], "page_id long, url string, html string")
+    warc.write(pages, f"file://{tmp_path}/a")
+    got = warc.read(spark, f"file://{tmp_path}/a").collect()
+    assert len({r.record_id for r in got}) == 5
+    response = {r.record_id for r in got if r.type == "response" and len(r.payload) == 1200}
+    assert {r.refers for r in got if r.type == "revisit"} == response and len(response) == 1
+    text = "".join(p.read_bytes().decode() for p in (tmp_path / "a").glob("part-*"))
+    assert text.count("WARC-Profile: " + warc.PROFILE) == text.count("WARC-Type: revisit") == 3
 
 
 def test_separators_in_urls_lose_no_record(spark):
