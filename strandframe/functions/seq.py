@@ -18,13 +18,9 @@ NT_ALPHABET, AA_ALPHABET = "ATGC-N", "ACDEFGHIKLMNPQRSTVWY*-X"
 _ORF = r"ATG(?:(?!TAA|TAG|TGA)...)*(?:TAA|TAG|TGA)"
 
 
-def _codon_map() -> Column:
-    return F.create_map(*(F.lit(x) for kv in CODONS.items() for x in kv))
-
-
 def chars(c: Column) -> Column:
     """Characters of a string as an array."""
-    return F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
+    return F.filter(F.split(c, ""), lambda x: x != "")
 
 
 def reverse_complement(c: Column) -> Column:
@@ -32,8 +28,10 @@ def reverse_complement(c: Column) -> Column:
 
 
 def translate_codon(c: Column) -> Column:
-    """One amino acid; X for what is no codon of A, C, G, T."""
-    return F.coalesce(F.element_at(_codon_map(), c), F.lit("X"))
+    """One amino acid; X for what is no codon of A, C, G, T. A codon is a number of three digits to the base 4."""
+    known = (F.length(c) == 3) & (F.translate(c, "TCAG", "") == "")
+    place = F.conv(F.translate(c, "TCAG", "0123"), 4, 10).cast("int") + 1
+    return F.when(known, F.substring(F.lit(AMINO_ACIDS), place, F.lit(1))).otherwise("X")
 
 
 def translate_nt(c: Column) -> Column:

@@ -6,13 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rows up to which a lookup side is broadcast; beyond, the join is left to the optimizer.
-SMALL = 100_000
+#: Bytes, by the optimizer's estimate, up to which a lookup side is broadcast.
+SMALL = 64 << 20
 
 
-def small(df: DataFrame, rows: int = SMALL) -> DataFrame:
-    """df with a broadcast hint if it has been checked to be small."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, size: int = SMALL) -> DataFrame:
+    """df with a broadcast hint if its plan is known to give no more than so many bytes.
+
+    Nothing is computed for the check. Sides of unknown size are left to the
+    optimizer, which measures them at run time.
+    """
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if estimate <= size else df
 
 
 def distribution(df: DataFrame, x: str, by: list[str] | None = None, weight: str | None = None, trim: bool = True) -> DataFrame:
@@ -78,11 +83,16 @@ def missing(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
 
 
 def weighted_sample(df: DataFrame, size: int, weight: str | None = None, seed: int = 0) -> DataFrame:
-    """size rows without replacement, by weight if given (Efraimidis-Spirakis keys)."""
-    u = F.rand(seed)
-    key = -F.ln(F.greatest(u, F.lit(1e-300))) / F.col(weight) if weight else u
+    """size rows without replacement, by weight if given (Efraimidis-Spirakis keys).
+
+    The draw of a row is a hash of its content and the seed, so it does not
+    depend on partitions or row order; equal rows draw alike.
+    """
+    names = [F.col(f"`{c}`") for c in df.columns]
+    u = (F.pmod(F.xxhash64(F.lit(seed), *names), F.lit(1 << 53)) + 0.5) / float(1 << 53)
+    key = -F.ln(u) / F.col(weight) if weight else u
     picked = df.filter(F.col(weight) > 0) if weight else df
-    return picked.withColumn("__key", key).orderBy("__key").limit(size).drop("__key")
+    return picked.withColumn("__key", key).orderBy("__key", F.xxhash64(*names)).limit(size).drop("__key")
 
 
 def runs(df: DataFrame, by: list[str], pos: str) -> DataFrame:

@@ -123,7 +123,8 @@ def statistics(reads: DataFrame, types: list[Barcode], partition_groups: DataFra
     out = counted.withColumn("demuxed_count", F.sum("barcodes_count").over(file))
     if partition_groups is not None:
         seen = out.filter("named_by_group").select(F.col("output_file_barcodes").alias("group"), "tag").distinct()
-        wanted = partition_groups.select("group").distinct().crossJoin(F.broadcast(reads.select("tag").distinct().limit(10_000)))
+        # Every group with every tag, however many: the groups come from a definition file.
+        wanted = out.select("tag").distinct().crossJoin(small(partition_groups.select("group").distinct()))
         empty = wanted.join(seen, ["group", "tag"], "left_anti").select(
             "tag", F.col("group").alias("output_file_barcodes"), F.lit(True).alias("named_by_group"), F.lit("n/a").alias("reference_name"),
             *(F.lit("n/a").alias(n) for n in names), F.lit("none").alias("label_barcodes"), F.lit(0).cast("long").alias("barcodes_count"),

@@ -79,10 +79,13 @@ def hamming_distribution(genotypes: DataFrame, by: tuple[str, ...] = ("reference
     genotypes: by, id, count, points; different ids are different genotypes.
     The distance of two is n_i + n_j minus shared positions minus shared
     (position, letter), so only genotypes that share a position are joined; the
-    pairs that share none are counted from the histogram of n. compat counts a
-    pair with the count of the genotype of the larger id alone.
+    pairs that share none are counted from the histogram of n. Points are taken
+    from the consensus first: a change that most genotypes have is nobody's point,
+    and those without it have one, which leaves all distances as they are and no
+    position where most meet. compat counts a pair with the count of the
+    genotype of the larger id alone.
     """
-    g = genotypes.select(*by, "id", F.col("count").cast("long").alias("count"), "points", F.size("points").alias("n"))
+    g = _from_consensus(genotypes.select(*by, "id", F.col("count").cast("long").alias("count"), "points"), by).withColumn("n", F.size("points"))
     sites = g.select(*by, "id", "count", "n", F.explode("points").alias("p")).select(*by, "id", "count", "n", "p.pos", "p.mut")
     left = sites.select(*by, "pos", F.col("id").alias("i"), F.col("count").alias("ci"), F.col("n").alias("ni"), F.col("mut").alias("mi"))
     shared = sites.join(left, [*by, "pos"]).filter(F.col("i") < F.col("id"))
@@ -93,11 +96,9 @@ def hamming_distribution(genotypes: DataFrame, by: tuple[str, ...] = ("reference
     own = g.groupBy(*by, F.lit(0).alias("d")).agg(F.sum((F.col("count") * (F.col("count") - 1) / 2).cast("long")).alias("w"))
     if compat:
         # Pairs by (n of the earlier, n of the later genotype): a running count of the earlier ones.
-        earlier = Window.partitionBy(*by).orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
         ns = g.select(*by, F.col("n").alias("m")).distinct()
         pairs = g.join(ns, list(by)).withColumn("k", F.sum((F.col("n") == F.col("m")).cast("long")).over(Window.partitionBy(*by, "m").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)))
         every = pairs.groupBy(*by, (F.col("n") + F.col("m")).alias("d")).agg(F.sum(F.col("count") * F.coalesce("k", F.lit(0))).alias("w"))
-        del earlier
     else:
         hist = g.groupBy(*by, "n").agg(F.sum("count").alias("a"), F.sum(F.col("count") * F.col("count")).alias("sq"))
         other = hist.select(*by, F.col("n").alias("m"), F.col("a").alias("b"))
@@ -108,6 +109,20 @@ def hamming_distribution(genotypes: DataFrame, by: tuple[str, ...] = ("reference
     return distribution(total, "d", list(by), "w")
 
 
+def _from_consensus(g: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """g with points (pos, mut) counted from the letters that most genotypes have; "=" is the reference's letter."""
+    whole = g.groupBy(*by).agg(F.count("*").alias("__all"))
+    point = F.explode("points").alias("p")
+    often = g.select(*by, point).groupBy(*by, "p").agg(F.count("*").alias("__c")).join(whole, list(by)).filter(F.col("__c") * 2 > F.col("__all"))
+    often = often.groupBy(*by).agg(F.collect_list(F.struct(F.col("p.pos").alias("pos"), F.col("p.mut").alias("mut"))).alias("__often"))
+    plain = F.transform("points", lambda x: F.struct(x["pos"].alias("pos"), x["mut"].alias("mut")))
+    rows = g.withColumn("points", plain).join(often, list(by), "left")
+    changed = F.transform("points", lambda x: x["pos"])
+    lacks = F.transform(F.filter("__often", lambda x: ~F.array_contains(changed, x["pos"])), lambda x: F.struct(x["pos"].alias("pos"), F.lit("=").alias("mut")))
+    turned = F.concat(F.filter("points", lambda x: ~F.array_contains("__often", x)), lacks)
+    return rows.withColumn("points", F.when(F.col("__often").isNull(), F.col("points")).otherwise(turned)).drop("__often")
+
+
 def abundance_bins(genotypes: DataFrame, by: tuple[str, ...] = (), count: str = "count") -> DataFrame:
     """Reads by order of magnitude of their genotype's count: bins (0,1], (1,10], (10,100], ..."""
     log = F.when(F.col(count) <= 1, 0).otherwise(F.length((F.col(count) - 1).cast("string")))
@@ -169,16 +184,19 @@ def conspicuous(tidy: DataFrame, positions: int, common: bool = True, ranges: st
 def embed(genotypes: DataFrame, sites: int = 2000, dimensions: int = 2, by_id: str = "genotype_ID") -> DataFrame:
     """PCA of the one-hot (position, letter) matrix; a linear substitute for non-linear embeddings.
 
-    The sites commonest changes are its columns, so the matrix stays bounded.
+    All changes are its columns, as sparse vectors, if they are sites at most;
+    more would need a matrix of their number squared on the driver, so that is an
+    error: raise sites, or choose changes before.
     """
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.feature import PCA, CountVectorizer
+    from pyspark.ml.functions import vector_to_array
 
-    seen = genotypes.select(F.explode("points").alias("p")).groupBy("p").count().orderBy(F.desc("count"), "p").limit(sites).collect()
-    columns = F.array(*(F.struct(F.lit(r.p.pos).alias("pos"), F.lit(r.p.mut).alias("mut")) for r in seen))
-    dense = genotypes.withColumn("__v", array_to_vector(F.transform(columns, lambda c: F.array_contains("points", c).cast("double"))))
-    if len(seen) < dimensions:
+    found = genotypes.select(F.explode("points").alias("p")).distinct().limit(sites + 1).count()
+    if found > sites:
+        raise ValueError(f"more than {sites} different changes")
+    if found < dimensions:
         raise ValueError("fewer changes than dimensions")
-    model = PCA(k=dimensions, inputCol="__v", outputCol="__p").fit(dense)
-    out = model.transform(dense).withColumn("__p", vector_to_array("__p"))
+    named = genotypes.withColumn("__t", F.transform("points", lambda x: F.concat(x["pos"].cast("string"), F.lit(":"), x["mut"])))
+    counted = CountVectorizer(inputCol="__t", outputCol="__v", vocabSize=sites, binary=True).fit(named).transform(named)
+    out = PCA(k=dimensions, inputCol="__v", outputCol="__p").fit(counted).transform(counted).withColumn("__p", vector_to_array("__p"))
     return out.select(*genotypes.columns, *(F.col("__p")[k].alias(f"PCA{k + 1}") for k in range(dimensions)))

@@ -109,13 +109,15 @@ def spectrum(stats: DataFrame, ref: str, background: DataFrame | None = None) ->
     """id columns, wt_nt, mut_nt, share: the twelve changes, normalised to bases and to sum 1.
 
     background: one row of statistics, subtracted per sequence; what is less than nothing is 0.
+    Several rows are an error, none subtracts nothing.
     """
     factor = base_factors(ref)
     ids = [c for c in stats.columns if c not in (*CHANGES, "total_seqs", "total_NT_mutations")]
     rows = stats
     if background is not None:
-        back = background.select(*((F.col(f"`{c}`") / F.col("total_seqs")).alias(f"__{c}") for c in CHANGES)).limit(1)
-        rows = rows.crossJoin(F.broadcast(back))
+        one = F.assert_true(F.count("*") <= 1, "the background has several rows").alias("__one")
+        means = (F.coalesce(F.max(F.col(f"`{c}`") / F.col("total_seqs")), F.lit(0.0)).alias(f"__{c}") for c in CHANGES)
+        rows = rows.crossJoin(F.broadcast(background.agg(*means, one))).filter("__one is null")
 
     def value(c: str):
         n = F.col(f"`{c}`")

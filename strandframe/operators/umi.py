@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from strandframe.functions import seq as S
 from strandframe.operators.common import distribution, fill_both_ways, ranked
+from strandframe.scratch import Scratch
 
 
 def extract(reads: DataFrame, contexts: list[str]) -> DataFrame:
@@ -32,35 +33,58 @@ def extract_summary(log: DataFrame, contexts: int, by: tuple[str, ...] = ("tag",
     return log.groupBy(*by).agg(*(F.sum(c).alias(c) for c in ("success", "failure", *(f"umi_{k}_failure" for k in range(1, contexts + 1)))))
 
 
+def _masked(umis: DataFrame, mismatches: int) -> DataFrame:
+    """umis by key: their text with each choice of that many letters masked."""
+    rows = umis.select("reference_name", "umi", "umi_count", F.length("umi").alias("n"), F.col("umi").alias("key"), F.lit(0).alias("last"))
+    for _ in range(mismatches):
+        # A text shorter than the number of masks is masked as far as it goes.
+        places = F.sequence(F.col("last") + 1, F.greatest(F.col("n"), F.col("last") + 1))
+        rows = rows.withColumn("at", F.explode(places)).withColumn("last", F.col("at"))
+        rows = rows.withColumn("key", F.overlay("key", F.lit("."), F.col("at"))).drop("at")
+    return rows.drop("last")
+
+
+def _segments(umis: DataFrame, mismatches: int) -> DataFrame:
+    """umis by key: each of mismatches + 1 equal segments with its number."""
+    cut = mismatches + 1
+    step = F.greatest(F.lit(1), F.floor(F.length("umi") / cut)).cast("int")
+    part = lambda k: F.substring(F.col("umi"), F.lit(k) * step + 1, F.when(F.lit(k == mismatches), F.length("umi")).otherwise(step))
+    keys = F.array(*(F.concat(F.lit(f"{k}:"), part(k)) for k in range(cut)))
+    return umis.select("reference_name", "umi", "umi_count", F.length("umi").alias("n"), F.explode(keys).alias("key"))
+
+
 def cluster(umis: DataFrame, mismatches: int = 1) -> DataFrame:
     """(reference_name, umi, umi_count, final_umi, final_umi_count, unique_id).
 
     umis: reference_name, umi, umi_count. Directional adjacency: a UMI joins a
     neighbour within mismatches that has at least twice its reads minus one;
     the most frequent neighbour is taken, the first of equals. Following these
-    choices upward ends at the UMI that names the group. Neighbours are found
-    by a join on mismatches + 1 equal segments, and the upward walk doubles its
-    steps each round, so no group has to fit into one task.
+    choices upward ends at the UMI that names the group. With one or two
+    mismatches, neighbours are UMIs that are equal but for that many masked
+    letters, so only true neighbours meet; with more they are found by a join on
+    mismatches + 1 equal segments. The upward walk doubles its steps each round
+    and writes each round, so no group has to fit into one task.
     """
-    cut = mismatches + 1
-    step = F.greatest(F.lit(1), F.floor(F.length("umi") / cut)).cast("int")
-    piece = lambda k: F.struct(F.lit(k).alias("k"), F.substring(F.col("umi"), F.lit(k) * step + 1, F.when(F.lit(k == mismatches), F.length("umi")).otherwise(step)).alias("part"))
-    rows = umis.select("reference_name", "umi", "umi_count", F.explode(F.array(*(piece(k) for k in range(cut)))).alias("p"))
-    rows = rows.select("reference_name", F.length("umi").alias("n"), F.col("p.k").alias("k"), F.col("p.part").alias("part"), "umi", "umi_count")
-    other = rows.select("reference_name", "n", "k", "part", F.col("umi").alias("up"), F.col("umi_count").alias("up_count"))
+    keyed = _masked(umis, mismatches) if 1 <= mismatches <= 2 else _segments(umis, mismatches)
+    other = keyed.select("reference_name", "n", "key", F.col("umi").alias("up"), F.col("umi_count").alias("up_count"))
     more = (F.col("up_count") > F.col("umi_count")) | ((F.col("up_count") == F.col("umi_count")) & (F.col("up") < F.col("umi")))
-    near = rows.join(other, ["reference_name", "n", "k", "part"]).filter((F.col("up_count") >= 2 * F.col("umi_count") - 1) & more)
-    near = near.filter(S.hamming(F.col("umi"), F.col("up")) <= mismatches)
+    near = keyed.join(other, ["reference_name", "n", "key"]).filter((F.col("up_count") >= 2 * F.col("umi_count") - 1) & more)
+    if mismatches > 2:
+        near = near.filter(S.hamming(F.col("umi"), F.col("up")) <= mismatches)
     parent = near.groupBy("reference_name", "umi").agg(F.min(F.struct((-F.col("up_count")).alias("c"), F.col("up"))).alias("m")).select("reference_name", "umi", F.col("m.up").alias("up"))
-    root = umis.join(parent, ["reference_name", "umi"], "left").select("reference_name", "umi", "umi_count", F.coalesce("up", "umi").alias("final_umi"))
+    scratch = Scratch(umis.sparkSession, "umis")
+    root = scratch.save(umis.join(parent, ["reference_name", "umi"], "left").select("reference_name", "umi", "umi_count", F.coalesce("up", "umi").alias("final_umi")))
     # A parent has more reads, or as many and comes first: the walk cannot turn in circles.
     for _ in range(64):
         hop = root.select("reference_name", F.col("umi").alias("final_umi"), F.col("final_umi").alias("next"))
-        moved = root.join(hop, ["reference_name", "final_umi"]).select("reference_name", "umi", "umi_count", F.col("next").alias("new"), "final_umi").persist()
-        changed = not moved.filter("new != final_umi").isEmpty()
+        moved = root.join(hop, ["reference_name", "final_umi"]).select("reference_name", "umi", "umi_count", F.col("next").alias("new"), (F.col("next") != F.col("final_umi")).alias("moves"))
+        moved = scratch.save(moved)
+        scratch.drop(1)
         root = moved.select("reference_name", "umi", "umi_count", F.col("new").alias("final_umi"))
-        if not changed:
+        if moved.filter("moves").isEmpty():
             break
+    else:
+        raise RuntimeError("the walk to the groups' names did not end")
     group = Window.partitionBy("reference_name", "final_umi")
     out = root.withColumn("final_umi_count", F.sum("umi_count").over(group))
     ids = out.select("reference_name", "final_umi", "final_umi_count").distinct()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strandframe.functions import seq as S
 from strandframe.operators.common import distribution, ranked, small
+from strandframe.scratch import Scratch
 
 LATE, EARLY = "alignment starts past trimmed reference start", "alignment ends before trimmed reference end"
 MUTATION_COLUMNS = ["NT_substitutions", "NT_substitutions_count", "NT_insertions", "NT_deletions", "NT_insertion_length", "NT_deletion_length"]
@@ -97,13 +98,20 @@ def _touched_codons() -> Column:
     return F.concat(ins, dels)
 
 
-def call(trimmed: DataFrame, min_quality: int = 0, aa: bool = True) -> DataFrame:
-    """Usable reads with nt (pos, wt, mut), aa_changes, the genotype columns and the mean quality."""
-    rows = trimmed.filter("failure_reason is null")
-    pairs = F.arrays_zip(S.chars(F.col("ref")).alias("wt"), S.chars(F.col("query")).alias("mut"))
+def call(trimmed: DataFrame, min_quality: int = 0, aa: bool = True, keep_failed: bool = False) -> DataFrame:
+    """Usable reads with nt (pos, wt, mut), aa_changes, the genotype columns and the mean quality.
+
+    keep_failed: unusable reads stay, so that one pass gives calls and failures;
+    their call columns mean nothing.
+    """
+    rows = trimmed if keep_failed else trimmed.filter("failure_reason is null")
     q = lambda i: F.coalesce(F.get("quals", i), F.lit(1 << 20))
-    spots = F.transform(pairs, lambda x, i: F.struct(i.alias("pos"), x["wt"].alias("wt"), x["mut"].alias("mut")))
-    rows = rows.withColumn("nt", F.filter(spots, lambda x: (x["wt"] != x["mut"]) & (x["mut"] != "-") & (q(x["pos"]) >= min_quality)))
+    # Bases are compared as they are; only those that differ become structs. A read equal to its reference is done at once.
+    none = F.array().cast("array<struct<pos:int,wt:string,mut:string>>")
+    pairs = F.zip_with(F.split("ref", ""), F.split("query", ""), lambda r, m: F.when((r != m) & (m != "-"), F.concat(r, m)))
+    spots = F.transform(pairs, lambda x, i: F.when(x.isNotNull(), F.struct(i.alias("pos"), F.left(x, F.lit(1)).alias("wt"), F.right(x, F.lit(1)).alias("mut"))))
+    found = F.filter(spots, lambda x: x.isNotNull() & (q(x["pos"]) >= min_quality))
+    rows = rows.withColumn("nt", F.when(F.col("ref") == F.col("query"), none).otherwise(found))
     rows = rows.withColumn("NT_substitutions", F.array_join(F.transform("nt", lambda x: F.concat(x["wt"], (x["pos"] + 1).cast("string"), x["mut"])), ", "))
     rows = rows.withColumn("NT_substitutions_count", F.size("nt").cast("long"))
     rows = rows.withColumn("NT_insertions", F.array_join(F.transform("insertions", lambda x: F.concat(x["pos"].cast("string"), F.lit("ins"), x["seq"])), ", "))
@@ -145,7 +153,7 @@ def genotypes(called: DataFrame, by: list[str] | None = None, aa: bool = True) -
     made = called.groupBy(*by, *cols).agg(F.count("*").alias("count"), best.alias("best_read"))
     wild = (F.col("NT_substitutions") == "") & (F.col("NT_insertions") == "") & (F.col("NT_deletions") == "")
     # Ranking reads the genotypes three times; the calls behind them are made once.
-    made = made.withColumn("wild", wild).persist()
+    made = Scratch(called.sparkSession, "genotypes").save(made.withColumn("wild", wild))
     coarse = [~F.col("wild"), -F.col("count"), F.col("NT_substitutions_count"), F.substring("NT_substitutions", 1, 5)]
     placed = ranked(made, by, coarse, [F.col(c) for c in ("NT_substitutions", "NT_insertions", "NT_deletions", *cols)], "place")
     # The wild type is alone in front, so one small row per group says whether the others start at 1.

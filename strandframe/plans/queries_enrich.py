@@ -39,10 +39,10 @@ def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entity_timepoint_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities by time point, missing counts 0."""
-    return enrich.wide(_counts(spark, sf_dir), "timepoint", "c", [0.0, 10.0, 20.0], ["sample_label", "entity"], "_count").fillna(0)
+    return enrich.wide(_counts(spark, sf_dir), "timepoint", "c", list(T.TIMEPOINTS), ["sample_label", "entity"], "_count").fillna(0)
 
 
-PIVOT = DENSE + ", p AS (SELECT sample_label, entity, " + ", ".join(f'coalesce(sum(c) FILTER (WHERE timepoint = {t}), 0)::BIGINT AS "{t}_count"' for t in ("0.0", "10.0", "20.0")) + " FROM dense GROUP BY 1, 2) SELECT * FROM p"
+PIVOT = DENSE + ", p AS (SELECT sample_label, entity, " + ", ".join(f'coalesce(sum(c) FILTER (WHERE timepoint = {t}), 0)::BIGINT AS "{t}_count"' for t in T.TIMEPOINTS) + " FROM dense GROUP BY 1, 2) SELECT * FROM p"
 
 
 def enrich_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,13 +108,12 @@ SELECT entity, round(any_value(m.s), 6) AS mean, round(stddev_samp(v.s), 6) AS s
 
 def replicate_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit and R squared of every two replicates."""
-    s = enrich.enrichment(_counts(spark, sf_dir)).filter("sample_label in ('s0', 's1')")
-    a = enrich.replicate_agreement(s)
+    a = enrich.replicate_agreement(enrich.enrichment(_counts(spark, sf_dir)).withColumn("replicate", F.col("sample_label")))
     return a.select("a", "b", "n", *(F.round(c, 6).alias(c) for c in ("slope", "intercept", "r2", "r2_identity")))
 
 
-AGREEMENT = DENSE + """, b AS (SELECT a.enrichment_score AS x, b.enrichment_score AS y FROM final a JOIN final b USING (entity) WHERE a.sample_label = 's0' AND b.sample_label = 's1')
-SELECT 0 AS a, 1 AS b, count(*) AS n, round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept, round(regr_r2(y, x), 6) AS r2, round(1 - sum((x - y) ** 2) / (var_pop(x) * count(*)), 6) AS r2_identity FROM b HAVING count(*) > 0"""
+AGREEMENT = DENSE + """, b AS (SELECT a.sample_label AS a, b.sample_label AS b, a.enrichment_score AS x, b.enrichment_score AS y FROM final a JOIN final b USING (entity) WHERE a.sample_label < b.sample_label)
+SELECT a, b, count(*) AS n, round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept, round(regr_r2(y, x), 6) AS r2, round(1 - sum((x - y) ** 2) / (var_pop(x) * count(*)), 6) AS r2_identity FROM b GROUP BY a, b"""
 
 
 def timepoint_layout(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,12 +32,12 @@ COUNTS = CALLS + "SELECT reference_name, count(*) AS sequences FROM called GROUP
 
 def read_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length and quality of the reads of every reference."""
-    r = explore.read_summary(T.reads(spark, sf_dir).filter("not startswith(cigar, '3S')").withColumn("seq", F.col("query_seq")), ["reference_name"])
+    r = explore.read_summary(T.reads(spark, sf_dir).withColumn("seq", F.col("query_seq")), ["reference_name"])
     return r.select("reference_name", "reads", "bases", F.round("mean_length", 6).alias("mean_length"), "median_length", F.round("mean_quality", 6).alias("mean_quality"), "n50")
 
 
-SUMMARY = CALLS + f""", n AS (SELECT reference_name, read_id, length(query_seq) AS n FROM reads WHERE cigar NOT LIKE '3S%'),
-q AS (SELECT reference_name, sum({T.QUALITY}) AS q FROM (SELECT reference_name, read_id, unnest(range(1, n + 1)) AS i FROM n) GROUP BY 1),
+SUMMARY = CALLS + f""", n AS (SELECT reference_name, read_id, length(query_seq) AS n, CASE WHEN cigar LIKE '3S%' THEN 3 ELSE 0 END AS clipped FROM reads),
+q AS (SELECT reference_name, sum(CASE WHEN i <= 0 THEN 2 ELSE {T.QUALITY} END) AS q FROM (SELECT reference_name, read_id, unnest(range(1 - clipped, n - clipped + 1)) AS i FROM n) GROUP BY 1),
 s AS (SELECT reference_name, n, sum(n * k) OVER (PARTITION BY reference_name ORDER BY n DESC) AS seen, sum(n * k) OVER (PARTITION BY reference_name) AS total FROM (SELECT reference_name, n, count(*) AS k FROM n GROUP BY 1, 2))
 SELECT reference_name, count(*) AS reads, sum(n)::BIGINT AS bases, round(avg(n), 6) AS mean_length, quantile_cont(n::DOUBLE, 0.5) AS median_length, round(any_value(q) / sum(n), 6) AS mean_quality, any_value(n50)::BIGINT AS n50
 FROM n JOIN q USING (reference_name) JOIN (SELECT reference_name, max(n) AS n50 FROM s WHERE seen * 2 >= total GROUP BY 1) USING (reference_name) GROUP BY 1"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandframe.functions import seq as S
+from strandframe.scratch import Scratch
 from strandframe.operators import stats, variants
 from strandframe.operators.common import distribution
 from strandframe.plans import synthetic as T
@@ -201,10 +202,12 @@ DISTRIBUTION = CALLS + f"SELECT reference_name, x::INT AS x, total::BIGINT AS to
 def mutation_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full statistics row of every reference: the flagship query."""
     refs, by = T.references(spark), ["reference_name"]
-    # Six tables come from the calls: they are kept once, without sequences and qualities.
-    called = _called(spark, sf_dir).select("read_id", "reference_name", "nt", "aa_changes", "avg_quality", *variants.MUTATION_COLUMNS, *variants.AA_COLUMNS).persist()
+    # Seven tables come from one pass over the reads: it is written once, without sequences and qualities.
+    states = variants.call(_trimmed(spark, sf_dir), MIN_Q, keep_failed=True)
+    states = Scratch(spark, "calls").save(states.select("read_id", "reference_name", "failure_reason", "failure_index", "nt", "aa_changes", "avg_quality", *variants.MUTATION_COLUMNS, *variants.AA_COLUMNS))
+    called = states.filter("failure_reason is null")
     out = stats.mutation_stats(
-        by, variants.mutation_distribution(called), variants.tidy_counts(called, refs), variants.genotypes(called), variants.failures(_trimmed(spark, sf_dir)),
+        by, variants.mutation_distribution(called), variants.tidy_counts(called, refs), variants.genotypes(called), variants.failures(states),
         variants.mutation_distribution(called, "AA"), variants.tidy_counts(called, refs, "AA"),
     )
     return out.select(*(F.col(f"`{c}`").cast("long").alias(c) if t == "bigint" else F.col(f"`{c}`") for c, t in out.dtypes))

@@ -84,6 +84,9 @@ FROM events GROUP BY 1, 2, 3, 4
 """
 
 
+TIMEPOINTS = (0.0, 10.0, 20.0, 30.0, 40.0, 50.0, 60.0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
