@@ -85,14 +85,15 @@ def missing(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
 def weighted_sample(df: DataFrame, size: int, weight: str | None = None, seed: int = 0) -> DataFrame:
     """size rows without replacement, by weight if given (Efraimidis-Spirakis keys).
 
-    The draw of a row is a hash of its content and the seed, so it does not
-    depend on partitions or row order; equal rows draw alike.
+    The draw of a row is an MD5 of the seed and its columns as text, so it does
+    not depend on partitions or row order; equal rows draw alike.
     """
-    names = [F.col(f"`{c}`") for c in df.columns]
-    u = (F.pmod(F.xxhash64(F.lit(seed), *names), F.lit(1 << 53)) + 0.5) / float(1 << 53)
+    text = F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns))
+    drawn = F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("long")
+    u = (drawn + 0.5) / float(1 << 48)
     key = -F.ln(u) / F.col(weight) if weight else u
     picked = df.filter(F.col(weight) > 0) if weight else df
-    return picked.withColumn("__key", key).orderBy("__key", F.xxhash64(*names)).limit(size).drop("__key")
+    return picked.withColumn("__key", key).orderBy("__key", text).limit(size).drop("__key")
 
 
 def runs(df: DataFrame, by: list[str], pos: str) -> DataFrame:

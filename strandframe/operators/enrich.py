@@ -155,7 +155,8 @@ def merge_with_genotypes(ids: DataFrame, genotypes: DataFrame, scores: DataFrame
     if drop_missing:
         table = table.na.drop("any")
     table = table.withColumn("reference_name", F.get("__k", F.lit(0))).withColumn("label_barcodes", F.get("__k", F.lit(1))).drop("__k")
-    joined = ids.dropDuplicates(["genotype_ID", "reference_name", "label_barcodes"]).join(genotypes, ["genotype_ID", "reference_name"], "left")
+    # Of the reads of a genotype and label the one of the smallest id stands for all.
+    joined = ids.groupBy("genotype_ID", "reference_name", "label_barcodes").agg(F.min("seq_ID").alias("seq_ID")).join(genotypes, ["genotype_ID", "reference_name"], "left")
     return joined.join(table, ["reference_name", "label_barcodes"], "left")
 
 

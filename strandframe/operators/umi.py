@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -158,14 +159,31 @@ def merge_pairs(forward: DataFrame, backward: DataFrame, overlap: int = 10, mism
 
     def run(frames):
         for pdf in frames:
-            rows = []
-            for rid, a, qa, b, qb in pdf[["read_id", "a", "qa", "b", "qb"]].itertuples(index=False):
-                b, qb = b.upper().translate(turn)[::-1], list(qb)[::-1]
-                for n in range(min(len(a), len(b)), overlap - 1, -1):
-                    if sum(x != y for x, y in zip(a[-n:], b[:n], strict=True)) <= mismatch * n:
-                        mid = [(x, p) if p >= q else (y, q) for x, p, y, q in zip(a[-n:], qa[-n:], b[:n], qb[:n], strict=True)]
-                        rows.append((rid, a[:-n] + "".join(m[0] for m in mid) + b[n:], [int(v) for v in [*qa[:-n], *(m[1] for m in mid), *qb[n:]]], n))
-                        break
-            yield pd.DataFrame(rows, columns=["read_id", "seq", "quals", "overlap"])
+            pdf["b"] = [b.upper().translate(turn)[::-1] for b in pdf["b"]]
+            parts = [_overlapped(part, overlap, mismatch) for _, part in pdf.groupby([pdf["a"].str.len(), pdf["b"].str.len()])]
+            yield pd.concat(parts) if parts else pd.DataFrame(columns=["read_id", "seq", "quals", "overlap"])
 
     return both.mapInPandas(run, "read_id string, seq string, quals array<int>, overlap int")
+
+
+def _overlapped(pairs: pd.DataFrame, overlap: int, mismatch: float) -> pd.DataFrame:
+    """Merged pairs of one length each; a longer overlap is tried before a shorter one, for all pairs at once."""
+    a, b = (np.array([list(t) for t in pairs[c]], dtype="U1").reshape(len(pairs), -1) for c in "ab")
+    p, q = np.stack(pairs["qa"].to_numpy()), np.stack(pairs["qb"].to_numpy())[:, ::-1]
+    found = np.zeros(len(pairs), np.int64)
+    for n in range(min(a.shape[1], b.shape[1]), overlap - 1, -1):
+        left = np.flatnonzero(found == 0)
+        if not len(left):
+            break
+        apart = (a[left, a.shape[1] - n :] != b[left, :n]).sum(axis=1)
+        found[left[apart <= mismatch * n]] = n
+    out = []
+    for n in np.unique(found[found > 0]).tolist():
+        rows = np.flatnonzero(found == n)
+        head, x, y, tail = a[rows, : a.shape[1] - n], a[rows, a.shape[1] - n :], b[rows, :n], b[rows, n:]
+        px, py = p[rows, a.shape[1] - n :], q[rows, :n]
+        seq = np.concatenate([head, np.where(px >= py, x, y), tail], axis=1)
+        quals = np.concatenate([p[rows, : a.shape[1] - n], np.maximum(px, py), q[rows, n:]], axis=1)
+        names = pairs["read_id"].to_numpy()[rows]
+        out.append(pd.DataFrame({"read_id": names, "seq": ["".join(t) for t in seq], "quals": [[int(v) for v in t] for t in quals], "overlap": n}))
+    return pd.concat(out) if out else pd.DataFrame(columns=["read_id", "seq", "quals", "overlap"])

@@ -234,11 +234,21 @@ first_value(v IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROW
 
 
 def umi_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Directional clusters of all codes; tests compare with a plain version."""
+    """Directional clusters of all codes."""
     u = _umis(spark, sf_dir).groupBy("reference_name", "umi").agg(F.count("*").alias("umi_count"))
     return umi.cluster(u, 1)
 
 
+CLUSTERS = f"""WITH RECURSIVE u AS (SELECT (o_orderkey % 2)::VARCHAR AS reference_name, {_UMI} AS umi, count(*) AS n FROM orders GROUP BY 1, 2),
+up AS (SELECT a.reference_name, a.umi, first(b.umi ORDER BY b.n DESC, b.umi) AS parent FROM u a JOIN u b ON a.reference_name = b.reference_name AND a.umi <> b.umi AND hamming(a.umi, b.umi) <= 1
+       AND b.n >= 2 * a.n - 1 AND (b.n > a.n OR b.n = a.n AND b.umi < a.umi) GROUP BY 1, 2),
+walk AS (SELECT reference_name, umi, umi AS at FROM u UNION ALL SELECT w.reference_name, w.umi, up.parent FROM walk w JOIN up ON up.reference_name = w.reference_name AND up.umi = w.at),
+roots AS (SELECT w.reference_name, w.umi, w.at AS final_umi FROM walk w LEFT JOIN up ON up.reference_name = w.reference_name AND up.umi = w.at WHERE up.parent IS NULL),
+sums AS (SELECT reference_name, final_umi, sum(n)::BIGINT AS final_umi_count FROM roots JOIN u USING (reference_name, umi) GROUP BY 1, 2),
+ids AS (SELECT *, row_number() OVER (PARTITION BY reference_name ORDER BY final_umi_count DESC, final_umi) - 1 AS unique_id FROM sums)
+SELECT reference_name, umi, n AS umi_count, final_umi, final_umi_count, unique_id FROM roots JOIN u USING (reference_name, umi) JOIN ids USING (reference_name, final_umi)"""
+
+
 def umi_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Majority sequence of every UMI group."""
     d = T.tagged(spark, sf_dir).withColumn("unique_id", F.col("read_id").cast("long") % 50)
@@ -288,6 +298,6 @@ QUERIES = {
         (barcode_identify, IDENTIFY), (barcode_exact, EXACT), (barcode_nearest, NEAREST), (barcode_group_match, GROUPED), (demux_stats, STATS), (demux_banish, BANISH),
         (demux_zero_fill, ZERO), (label_barcode_stats, LABELS), (top_references, TOP_REFS), (anti_missing, ANTI), (barcode_discovery, DISCOVERY), (coverage_bins, COVERAGE),
         (umi_extract, EXTRACT), (umi_extract_summary, SUMMARY), (umi_group_distribution, GROUP_SIZES), (umi_downsample, DOWNSAMPLE), (umi_ffill, FFILL),
-        (umi_cluster, None), (umi_consensus, CONSENSUS), (rca_filter, RCA), (top_n, TOP_N), (name_parsing, NAMES),
+        (umi_cluster, CLUSTERS), (umi_consensus, CONSENSUS), (rca_filter, RCA), (top_n, TOP_N), (name_parsing, NAMES),
     )
 }

@@ -145,6 +145,11 @@ def merge_with_genotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("reference_name", "label_barcodes").agg(F.count("*").alias("rows"), F.max("g_score").alias("score"))
 
 
+MERGED_GENOTYPES = CALLS + """, ids AS (SELECT DISTINCT CASE WHEN wild THEN 'wildtype' ELSE genotype_rank::VARCHAR END AS g, c.reference_name, (c.read_id::BIGINT % 3)::VARCHAR AS label_barcodes
+  FROM called c JOIN ranked r USING (reference_name, NT_substitutions, NT_insertions, NT_deletions, AA_substitutions_nonsynonymous, AA_substitutions_synonymous))
+SELECT reference_name, label_barcodes, count(*) AS rows, max(CASE WHEN label_barcodes IN ('0', '1') THEN label_barcodes::DOUBLE + CASE WHEN reference_name = 'refB' THEN 0.5 ELSE 0 END END) AS score FROM ids GROUP BY 1, 2"""
+
+
 def quantile_filter_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines in the upper tenth of the price of their return flag."""
     d = T.table(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_extendedprice").cast("double").alias("p"))
@@ -380,7 +385,12 @@ FRACTIONS = "SELECT o_orderkey, round(ln((o_custkey + 0.5::DOUBLE) / (o_orderkey
 
 def sampled_genotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fifty genotypes drawn by their reads without replacement."""
-    return weighted_sample(_geno(spark, sf_dir), 50, "count").select("id", "count")
+    return weighted_sample(_geno(spark, sf_dir).select("id", "count", "NT_substitutions"), 50, "count").select("id", "count")
+
+
+SAMPLED = f"""WITH g AS (SELECT id, n_reads AS "count", concat_ws(', ', nullif(s1, ''), nullif(s2, '')) AS t FROM ({T.GENOTYPES})),
+d AS (SELECT *, concat_ws('|', '0', id, "count", t) AS row_text FROM g)
+SELECT id, "count" FROM d ORDER BY -ln((('0x' || substr(md5(row_text), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656::DOUBLE) / "count", row_text LIMIT 50"""
 
 
 def genotype_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -392,11 +402,11 @@ QUERIES = {
     f.__name__: (f, sql)
     for f, sql in (
         (entity_timepoint_pivot, PIVOT), (enrich_normalize, NORMALIZE), (enrich_wls, WLS), (enrich_auto_reference, AUTO), (enrich_by_reference, BY_REFERENCE), (enrich_mean, MEAN),
-        (enrich_mean_compat, MEAN_COMPAT), (replicate_agreement, AGREEMENT), (timepoint_layout, LAYOUT), (left_merge_scores, MERGE), (merge_with_genotypes, None),
+        (enrich_mean_compat, MEAN_COMPAT), (replicate_agreement, AGREEMENT), (timepoint_layout, LAYOUT), (left_merge_scores, MERGE), (merge_with_genotypes, MERGED_GENOTYPES),
         (quantile_filter_grouped, QUANTILE), (quantile_filter, QUANTILE_ALL), (genotype_abundance_bins, BINS), (genotype_sequences, SEQUENCES), (identity_counts, IDENTITIES),
         (consensus, CONSENSUS), (hamming_distribution, _distances("a.n_reads * b.n_reads")), (hamming_distribution_compat, _distances("a.n_reads")), (moi_labels, MOI),
         (conspicuous_positions, CONSPICUOUS), (deletion_runs, RUNS), (mutation_rate_regr, RATE), (mutation_rate_p, None), (mutation_rate_summary, RATE_SUMMARY),
         (mutation_spectrum, SPECTRUM), (melt, MELT), (union_label, UNION), (reference_abundance, ABUNDANCE), (point_sizes, SIZES), (throughput, THROUGHPUT),
-        (log_fractions, FRACTIONS), (sampled_genotypes, None), (genotype_pca, None),
+        (log_fractions, FRACTIONS), (sampled_genotypes, SAMPLED), (genotype_pca, None),
     )
 }

@@ -316,6 +316,14 @@ def top_genotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.genotype_alignments(t, called, variants.genotypes(called), 5).select("reference_name", "genotype_ID", "count", "match", "query")
 
 
+TOP_GENOTYPES = CALLS + """, means AS (SELECT read_id, sum(q) / count(*) AS avg_q FROM full_ GROUP BY 1),
+best AS (SELECT c.reference_name, CASE WHEN wild THEN 'wildtype' ELSE genotype_rank::VARCHAR END AS genotype_ID, "count", c.read_id,
+    row_number() OVER (PARTITION BY c.reference_name, genotype_rank ORDER BY avg_q DESC, c.read_id DESC) AS k
+  FROM called c JOIN means USING (read_id) JOIN ranked r USING (reference_name, NT_substitutions, NT_insertions, NT_deletions, AA_substitutions_nonsynonymous, AA_substitutions_synonymous) WHERE genotype_rank <= 5)
+SELECT b.reference_name, genotype_ID, "count", string_agg(CASE WHEN base = '-' THEN ' ' WHEN base = wt THEN '|' ELSE '.' END, '' ORDER BY pos) AS match, string_agg(base, '' ORDER BY pos) AS query
+FROM best b JOIN full_ f USING (read_id) WHERE k = 1 GROUP BY ALL"""
+
+
 def alignment_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lengths and identity of the alignments, with one mismatch noted for every odd order."""
     sam = T.reads(spark, sf_dir).withColumn("nm", (F.col("read_id").cast("long") % 2).cast("int"))
@@ -331,7 +339,7 @@ QUERIES = {
     for f, sql in (
         (mutation_stats, STATS), (cigar_fold, CIGAR_FOLD), (gapped_reference, GAPPED), (mutation_calls, CALLED), (genotype_rank, RANKED), (seq_ids, SEQ_IDS),
         (genotype_best_quality, BEST), (failure_log, FAILED), (nt_mutations_tidy, TIDY), (aa_mutations_tidy, AA_TIDY), (mutation_distribution, DISTRIBUTION),
-        (distribution_moments, MOMENTS), (merged_distribution, MERGED), (top_genotypes, None), (alignment_stats, ALIGNED), (seq_revcomp, REVCOMP),
+        (distribution_moments, MOMENTS), (merged_distribution, MERGED), (top_genotypes, TOP_GENOTYPES), (alignment_stats, ALIGNED), (seq_revcomp, REVCOMP),
         (seq_translate, TRANSLATE), (seq_hamming, HAMMING), (longest_orf, None), (natural_sort, NATURAL), (dist_to_df, DIST),
     )
 }

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from strandframe.plans import queries_demux, queries_enrich, queries_explore, queries_sequence
+from strandframe.plans import queries_demux, queries_enrich, queries_explore, queries_sequence, queries_sources
 from strandframe.sources.package import ship
 
-_MODULES = (queries_sequence, queries_demux, queries_enrich, queries_explore)
+_MODULES = (queries_sequence, queries_demux, queries_enrich, queries_explore, queries_sources)
 
 
 def _shipped(f: Callable) -> Callable:

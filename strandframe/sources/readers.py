@@ -7,6 +7,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandframe.sources.ranges import SPLIT, BamSource, FastqSource, load
+
 FASTQ_ENDINGS = (".fastq.gz", ".fq.gz", ".fastq")
 ALIGNMENTS = "read_id string, tag string, reference_name string, ref_start int, flag int, cigar string, query_seq string, quals array<int>, bc string, nm int"
 
@@ -45,14 +47,16 @@ def choose_source(tag: dict) -> str:
     raise ValueError("a tag needs fwdReads, runname or bs_project_ID")
 
 
-def read_fastq(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(read_id, description, seq, quals). Records start at a line that begins with @, so large plain files are split."""
-    raw = spark.read.option("lineSep", "\n@").text(paths)
-    lines = F.split(F.regexp_replace(F.regexp_replace("value", "^@", ""), "\r", ""), "\n")
-    rows = raw.select(lines.alias("l")).filter(F.size("l") >= 4)
-    head = F.split(F.get("l", F.lit(0)), " ", 2)
-    quals = F.transform(F.regexp_extract_all(F.get("l", F.lit(3)), F.lit("(?s)."), F.lit(0)), lambda c: F.ascii(c) - 33)
-    return rows.select(F.get(head, F.lit(0)).alias("read_id"), F.get(head, F.lit(1)).alias("description"), F.get("l", F.lit(1)).alias("seq"), quals.alias("quals"))
+def read_fastq(spark: SparkSession, paths: str | list[str], split: int = SPLIT) -> DataFrame:
+    """(read_id, description, seq, quals) of files or folders of four-line records; plain files are split by bytes."""
+    return load(spark, FastqSource, paths, split)
+
+
+def read_bam(spark: SparkSession, paths: str | list[str], tag: str | None = None, reference: str | None = None, split: int = SPLIT) -> DataFrame:
+    """Alignments of BAM files or folders in the alignment schema; reference picks one. Files are split by bytes."""
+    rows = load(spark, BamSource, paths, split).withColumn("tag", F.lit(tag).cast("string"))
+    rows = rows.filter(F.col("reference_name") == reference) if reference else rows
+    return rows.select(*(f.split()[0] for f in ALIGNMENTS.split(", ")))
 
 
 def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -1,10 +1,20 @@
-"""Writers: CSV without index, FASTA, partitioned alignments, alignment text."""
+"""Writers: CSV without index, FASTA, FASTQ, SAM, BAM, partitioned alignments, alignment text."""
 
 from __future__ import annotations
 
+import struct
+import uuid
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandframe.sources.package import ship
+from strandframe.sources.ranges import BASES, END_BLOCK, OPS, opened
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
@@ -30,3 +40,83 @@ def write_alignments(df: DataFrame, path: str) -> None:
     """Three lines per genotype of ``genotype_alignments``, most abundant first."""
     head = F.concat(F.lit("> "), "reference_name", F.lit(" "), "genotype_ID", F.lit(" x"), F.col("count").cast("string"))
     df.orderBy("reference_name", "genotype_rank").select(F.concat_ws("\n", head, "ref", "match", "query").alias("value")).write.mode("overwrite").text(path)
+
+
+def _symbols(quals: str):
+    return F.array_join(F.transform(quals, lambda q: F.char(q + 33)), "")
+
+
+def write_fastq(df: DataFrame, path: str, gzip: bool = False) -> None:
+    """Four-line records of read_id, description, seq and quals."""
+    head = F.concat_ws(" ", F.concat(F.lit("@"), "read_id"), "description")
+    out = df.select(F.concat_ws("\n", head, "seq", F.lit("+"), _symbols("quals")).alias("value")).write.mode("overwrite")
+    (out.option("compression", "gzip") if gzip else out).text(path)
+
+
+def write_sam(df: DataFrame, path: str) -> None:
+    """Alignment lines without a header."""
+    text = lambda c, none: F.coalesce(F.col(c).cast("string"), F.lit(none))
+    quals = F.when(F.col("quals").isNull(), "*").otherwise(_symbols("quals"))
+    tags = (F.when(F.col(c).isNotNull(), F.concat(F.lit(f"{t}:"), F.col(c).cast("string"))) for c, t in (("nm", "NM:i"), ("bc", "BC:Z")))
+    fields = ["read_id", text("flag", "0"), text("reference_name", "*"), (F.col("ref_start") + 1).cast("string"), F.lit("255"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), "query_seq", quals, *tags]
+    df.select(F.concat_ws("\t", *fields).alias("value")).write.mode("overwrite").text(path)
+
+
+def _block(data: bytes) -> bytes:
+    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = packer.compress(data) + packer.flush()
+    head = struct.pack("<4BIBBHBBHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25)
+    return head + body + struct.pack("<II", zlib.crc32(data), len(data))
+
+
+def _packed(r: dict, place: dict[str, int]) -> bytes:
+    name, seq, quals = r["read_id"].encode() + b"\0", r["query_seq"], r["quals"]
+    seq = "" if seq == "*" else seq
+    ops, number = [], ""
+    for c in "" if r["cigar"] == "*" else r["cigar"]:
+        if c.isdigit():
+            number += c
+        else:
+            ops.append(int(number) << 4 | OPS.index(c))
+            number = ""
+    codes = [max(0, BASES.find(c)) for c in seq] + [0] * (len(seq) % 2)
+    body = struct.pack("<iiBBHHHiiii", place.get(r["reference_name"], -1), r["ref_start"], len(name), 255, 4680, len(ops), r["flag"] or 0, len(seq), -1, -1, 0)
+    body += name + struct.pack(f"<{len(ops)}I", *ops) + bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2], strict=True))
+    body += bytes(quals) if quals is not None else b"\xff" * len(seq)
+    if r["nm"] is not None:
+        body += b"NMi" + struct.pack("<i", r["nm"])
+    if r["bc"] is not None:
+        body += b"BCZ" + r["bc"].encode() + b"\0"
+    return struct.pack("<i", len(body)) + body
+
+
+def write_bam(df: DataFrame, path: str, references: dict[str, int]) -> int:
+    """Alignments as one BAM file per partition below path; references: lengths by name. Returns the number of rows.
+
+    A task writes beside its file and renames at its end, so one that is run again leaves one file.
+    """
+    ship(df.sparkSession)
+    place = {name: k for k, name in enumerate(references)}
+    text = "@HD\tVN:1.6\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in references.items())
+    head = b"BAM\1" + struct.pack("<i", len(text)) + text.encode() + struct.pack("<i", len(references))
+    head += b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in references.items())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = opened(path)
+        store.create_dir(folder, recursive=True)
+        final = f"{folder.rstrip('/')}/part-{TaskContext.get().partitionId():05d}.bam"
+        beside, count, data = f"{folder.rstrip('/')}/.{uuid.uuid4().hex}", 0, head
+        with store.open_output_stream(beside) as out:
+            for batch in batches:
+                for r in batch.to_pylist():
+                    data += _packed(r, place)
+                    count += 1
+                    while len(data) > 60_000:
+                        out.write(_block(data[:60_000]))
+                        data = data[60_000:]
+            out.write(_block(data) + END_BLOCK)
+        store.move(beside, final)
+        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], ["n"])
+
+    wanted = ["read_id", "reference_name", "ref_start", "flag", "cigar", "query_seq", "quals", "bc", "nm"]
+    return df.select(*wanted).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -311,6 +311,99 @@ def test_weighted_sample_prefers_weight(spark):
     assert len(set(got)) == 100 and np.mean([i < 100 for i in got]) > 0.7
 
 
+def test_weighted_sample_does_not_depend_on_partitions(spark):
+    d = spark.range(500).withColumn("w", F.col("id") % 7)
+    runs = [sorted(r.id for r in common.weighted_sample(x, 40, "w", seed).collect()) for x, seed in ((d, 1), (d.repartition(7), 1), (d.orderBy(F.desc("id")), 1), (d, 2))]
+    assert runs[0] == runs[1] == runs[2] != runs[3]
+
+
+def test_every_tag_has_its_rows_of_zeros(spark):
+    types = [demux.Barcode("fwd", "CCGNNNNNGCA")]
+    columns = [F.col("id").cast("string").alias("tag"), F.lit("g1").alias("output_file_barcodes"), F.lit(True).alias("named_by_group"), F.lit("r").alias("reference_name"), F.lit("f1").alias("fwd"), F.lit("none").alias("label_barcodes")]
+    counters = [F.lit(0).alias(f"fwd{c}") for c in (":not_exact_match", *(f"_failed:{f}" for f in demux.FAILS))]
+    groups = spark.createDataFrame([(0, "g1", {"fwd": "f1"}), (1, "g2", {"fwd": "f2"})], "group_order int, group string, members map<string,string>")
+    got = demux.statistics(spark.range(10_050).select(*columns, *counters), types, groups)
+    assert got.filter("demuxed_count = 0 and output_file_barcodes = 'g2'").select("tag").distinct().count() == 10_050
+
+
+def test_background_of_several_rows_is_an_error(spark):
+    from strandframe.operators.stats import CHANGES
+
+    rows = spark.range(2).select(F.lit(10).alias("total_seqs"), F.lit(30).alias("total_NT_mutations"), F.col("id").alias("sample"), *(F.lit(2).alias(c) for c in CHANGES))
+    assert rates.spectrum(rows, "ACGT", rows.filter("sample = 0").drop("sample")).count() == 24
+    with pytest.raises(Exception, match="several rows"):
+        rates.spectrum(rows, "ACGT", rows.drop("sample")).collect()
+
+
+def test_hamming_with_a_position_that_most_have_changed(spark):
+    rnd = random.Random(12)
+    seqs = list({"C" + "".join(rnd.choice("AAAAAAAG") for _ in range(30)) if k % 10 else "A" + "".join(rnd.choice("AAAT") for _ in range(30)) for k in range(400)})
+    rows = [("r", i, 1 + i % 3, [(p, c) for p, c in enumerate(s) if c != "A"]) for i, s in enumerate(seqs)]
+    g = spark.createDataFrame(rows, "reference_name string, id int, count long, points array<struct<pos:int,mut:string>>")
+    want = Counter({0: sum(c * (c - 1) // 2 for _, _, c, _ in rows)})
+    for i in range(len(rows)):
+        for j in range(i):
+            want[sum(a != b for a, b in zip(seqs[i], seqs[j], strict=True))] += rows[i][2] * rows[j][2]
+    assert {r.x: r.total for r in diversity.hamming_distribution(g).collect() if r.total} == {k: v for k, v in want.items() if v}
+    turned = diversity._from_consensus(g, ("reference_name",))
+    assert turned.select(F.explode("points").alias("p")).groupBy("p.pos").count().agg(F.max("count")).first()[0] <= len(rows) / 2
+
+
+@pytest.mark.parametrize("mismatches", [1, 2, 3])
+def test_many_umis_of_one_reference_are_clustered_by_true_neighbours(spark, mismatches):
+    rnd = random.Random(mismatches)
+    umis = {"".join(rnd.choice("ACGT") for _ in range(10)): rnd.choice([1, 2, 5, 40]) for _ in range(700)}
+    dist = lambda a, b: sum(x != y for x, y in zip(a, b, strict=True))
+    up = {}
+    for u, n in umis.items():
+        near = [(-m, v) for v, m in umis.items() if v != u and m >= 2 * n - 1 and (m > n or (m == n and v < u)) and dist(u, v) <= mismatches]
+        up[u] = min(near)[1] if near else u
+    root = lambda u: u if up[u] == u else root(up[u])
+    got = umi.cluster(spark.createDataFrame([("r", u, n) for u, n in umis.items()], "reference_name string, umi string, umi_count long"), mismatches)
+    assert {r.umi: r.final_umi for r in got.collect()} == {u: root(u) for u in umis}
+
+
+def test_a_hundred_thousand_umis_of_one_reference(spark):
+    codes = F.translate(F.substring(F.md5(F.col("id").cast("string").cast("binary")), 1, 10), "0123456789abcdef", "ACGTACGTACGTACGT")
+    u = spark.range(100_000).select(F.lit("r").alias("reference_name"), codes.alias("umi")).groupBy("reference_name", "umi").agg(F.count("*").alias("umi_count"))
+    met = umi._masked(u, 1).groupBy("reference_name", "n", "key").count().agg(F.max("count")).first()[0]
+    assert met <= 4 and umi.cluster(u).agg(F.sum("umi_count")).first()[0] == 100_000
+
+
+def test_components_are_those_of_the_plain_matrix(spark):
+    rnd = np.random.default_rng(3)
+    rows = [(i, [(int(p), str(rnd.choice(list("ACG")))) for p in rnd.choice(12, rnd.integers(0, 6), replace=False)]) for i in range(80)]
+    g = spark.createDataFrame(rows, "id int, points array<struct<pos:int,mut:string>>")
+    got = np.array([(r.PCA1, r.PCA2) for r in diversity.embed(g).orderBy("id").collect()])
+    columns = sorted({p for _, points in rows for p in points})
+    x = np.array([[float(c in points) for c in columns] for _, points in rows])
+    axes = np.linalg.svd(x - x.mean(axis=0), full_matrices=False)[2][:2]
+    assert np.allclose(np.abs(got), np.abs(x @ axes.T), atol=1e-6)
+    with pytest.raises(ValueError):
+        diversity.embed(g, sites=3)
+
+
+def test_best_hits_on_both_strands(spark):
+    from strandframe.operators import explore
+
+    rnd = random.Random(4)
+    refs = {n: "".join(rnd.choice("ACGT") for _ in range(120)) for n in ("a", "b", "c")}
+    turn = str.maketrans("ACGT", "TGCA")
+    reads = []
+    for k in range(60):
+        name = rnd.choice(list(refs))
+        lo = rnd.randrange(40)
+        seq = list(refs[name][lo : lo + 70])
+        seq[rnd.randrange(70)] = rnd.choice("ACGT")
+        del seq[rnd.randrange(70)]
+        text = "".join(seq)
+        reads.append((f"{name}{'-+'[k % 2]}{k}", text if k % 2 else text.translate(turn)[::-1]))
+    got = explore.best_hits(spark.createDataFrame([*reads, ("none", "ACGTA"), ("null", None)], "read_id string, seq string"), spark.createDataFrame(refs.items(), "reference_name string, alignment_seq string"))
+    rows = got.collect()
+    assert len(rows) == 60 and all((r.reference_name, r.strand) == (r.read_id[0], r.read_id[1]) for r in rows)
+    assert all(r.score == max(explore.align(ref, s, 2, -4, -4, -2, True)[0] for ref in refs.values() for s in (dict(reads)[r.read_id], dict(reads)[r.read_id].translate(turn)[::-1])) for r in rows[:8])
+
+
 def test_pairwise_alignment(spark):
     from strandframe.operators import explore
 
