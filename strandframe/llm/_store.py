@@ -7,13 +7,13 @@ so a lost executor costs the tasks it was running and nothing else.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strandframe.scratch import shared_dir
 from strandframe.sources.package import ship
 
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -28,21 +28,6 @@ def ready(spark: SparkSession) -> None:
         spark.conf.set(_BATCH_BYTES, "16m")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the session.
-
-    Where none is set a local session (tests) gets a folder of its own; on a
-    cluster that is an error, as no folder is known to be shared.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="strandframe-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
 class Scratch:
     """A set of named tables of one operator call, each written once and read back.
 
