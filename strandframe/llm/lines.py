@@ -55,11 +55,12 @@ def _row(id_col: str, text_col: str) -> Column:
     return F.xxhash64(col(id_col), col(text_col))
 
 
-def boilerplate(held: DataFrame, sites: int = SITES, margin: float = MARGIN) -> DataFrame:
+def boilerplate(held: DataFrame, scratch: Scratch, sites: int = SITES, margin: float = MARGIN) -> DataFrame:
     """(key, spread) of the lines (key, site) found on sites different sites or more."""
     per = held.groupBy("key").agg(F.count("site").alias("c"), F.hll_sketch_agg("site", F.lit(12)).alias("sketch"))
     sketched = per.filter(F.col("c") >= sites).select("key", F.hll_sketch_estimate("sketch").alias("estimate"))
-    sketched = sketched.filter(F.col("estimate") > sites * (1 - margin))
+    # Written, so that the few lines left are known to be few when they are joined to all rows of a line.
+    sketched = scratch.save(sketched.filter(F.col("estimate") > sites * (1 - margin)), "estimates")
     sure = sketched.filter(F.col("estimate") >= sites * (1 + margin)).select("key", F.col("estimate").alias("spread"))
     close = sketched.filter(F.col("estimate") < sites * (1 + margin)).select("key")
     pairs = held.filter("site is not null").join(close, "key", "left_semi").select("key", "site").distinct()
@@ -74,7 +75,7 @@ def clean(
     docs = make_room(docs, ["__lines", "__removed", "__clean"], [id_col, text_col, site_col])
     p, names, scratch = prefix(docs), docs.columns, Scratch(docs.sparkSession, "lines")
     held = scratch.save(line_sites(docs, id_col, text_col, site_col), "lines")
-    found = scratch.save(boilerplate(held, sites, margin).select("key"), "boilerplate")
+    found = scratch.save(boilerplate(held, scratch, sites, margin).select("key"), "boilerplate")
     bad = held.join(found, "key", "left_semi").groupBy(F.col("row").alias(f"{p}of")).agg(F.collect_set("key").alias(f"{p}bad"))
     joined = docs.withColumn(f"{p}row", _row(id_col, text_col)).join(bad, F.col(f"{p}row") == F.col(f"{p}of"), "left")
     lines, worse = F.split(col(text_col), "\n"), F.col(f"{p}bad").isNotNull()
