@@ -13,6 +13,8 @@ from pyspark.sql.window import Window
 
 from strandframe.functions import seq as S
 from strandframe.operators.common import small
+from strandframe.operators.diversity import apply_genotype, consensus, identities
+from strandframe.sources.writers import write_csv, write_fasta
 
 
 def select_genotypes(
@@ -74,6 +76,39 @@ def decode(codes: Column, alphabet: str) -> Column:
     return F.array_join(F.transform(codes, lambda i: F.substring(F.lit(alphabet), i + 1, F.lit(1))), "")
 
 
+def structure_positions(structure: DataFrame, protein: str) -> DataFrame:
+    """(chain, position, residue, wt_match, coverage): residues at the positions (from 1) of a protein, each chain aligned end to end.
+
+    structure: chain, residue, insertion, aa. coverage counts a chain's residues that have a position.
+    """
+    order = F.array_sort(F.collect_list(F.struct("residue", "insertion", "aa")))
+    chains = structure.groupBy("chain").agg(order.alias("r")).withColumn("seq", F.array_join(F.transform("r", lambda x: x["aa"]), "")).withColumn("ref", F.lit(protein))
+    pairs = F.arrays_zip(S.chars(F.col("aligned_ref")).alias("p"), S.chars(F.col("aligned_seq")).alias("q"))
+    cells = align_pairs(chains).select("chain", "r", F.posexplode(pairs).alias("k", "x"))
+    upto = Window.partitionBy("chain").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    at = lambda c: F.sum((F.col(c) != "-").cast("int")).over(upto)
+    rows = cells.select("chain", at("x.p").cast("long").alias("position"), F.get("r", at("x.q") - 1)["residue"].alias("residue"), "x.p", "x.q").filter("p <> '-' and q <> '-'")
+    return rows.select("chain", "position", "residue", (F.col("p") == F.col("q")).alias("wt_match"), F.count("*").over(Window.partitionBy("chain")).cast("int").alias("coverage"))
+
+
+def export(genotypes: DataFrame, refs: DataFrame, path: str, name: str = "genotype_ID") -> dict[str, str]:
+    """A selection of genotypes in all the forms that a viewer offers, below one folder; returns the paths by form.
+
+    genotypes: reference_name, name, count, points and any columns; refs: reference_name, seq.
+    genotypes (CSV), nt and aa (FASTA), consensus (FASTA, weighed by count), mutations (CSV, every changed letter).
+    """
+    out = {form: f"{path.rstrip('/')}/{form}" for form in ("genotypes", "nt", "aa", "consensus", "mutations")}
+    spelled = genotypes.join(small(refs.select("reference_name", "seq")), "reference_name").withColumn("seq", apply_genotype(F.col("seq"), F.col("points")))
+    plain = F.replace("seq", F.lit("-"), F.lit(""))
+    counts = identities(genotypes, refs)
+    write_csv(genotypes.drop("points"), out["genotypes"])
+    write_fasta(spelled.select(F.col(name).alias("id"), plain.alias("seq")), out["nt"])
+    write_fasta(spelled.select(F.col(name).alias("id"), S.translate_nt(plain).alias("seq")), out["aa"])
+    write_fasta(consensus(counts).select(F.col("reference_name").alias("id"), F.replace("consensus", F.lit("-"), F.lit("")).alias("seq")), out["consensus"])
+    write_csv(counts.filter("wt <> mutation and n > 0"), out["mutations"])
+    return out
+
+
 def on_structure(profile: DataFrame, positions: DataFrame, least_identity: float = 0.95) -> DataFrame:
     """Position frequencies on the residues of the best chain.
 

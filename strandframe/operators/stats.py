@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,13 +84,16 @@ def alignment_stats(sam: DataFrame) -> DataFrame:
     )
 
 
-def throughput(stages: dict[str, DataFrame]) -> DataFrame:
-    """(pipeline_step, sequences): rows of each stage."""
-    out = None
+def throughput(stages: dict[str, DataFrame], timed: bool = False) -> DataFrame:
+    """(pipeline_step, sequences): rows of each stage; timed runs them now, one by one, and adds seconds."""
+    out, rows = None, []
     for name, df in stages.items():
         row = df.agg(F.count("*").alias("sequences")).select(F.lit(name).alias("pipeline_step"), "sequences")
+        if timed:
+            begun = time.perf_counter()
+            rows.append((name, row.first().sequences, time.perf_counter() - begun))
         out = row if out is None else out.unionByName(row)
-    return out
+    return out.sparkSession.createDataFrame(rows, "pipeline_step string, sequences long, seconds double") if timed else out
 
 
 def point_sizes(df: DataFrame, col: str, lo: float = 1.0, hi: float = 20.0) -> DataFrame:

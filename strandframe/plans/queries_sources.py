@@ -9,7 +9,8 @@ from strandframe import config
 from strandframe.functions import seq as S
 from strandframe.operators import enrich, explore, umi, variants
 from strandframe.plans import synthetic as T
-from strandframe.plans.queries_sequence import CALLS, MIN_Q
+from strandframe.plans.queries_enrich import GENO, _geno, _geno_ref
+from strandframe.plans.queries_sequence import _CODONS, CALLS, MIN_Q
 from strandframe.scratch import Scratch
 from strandframe.sources import readers, writers
 
@@ -189,6 +190,44 @@ c AS (SELECT entity, timepoint, count(*) AS c FROM e GROUP BY 1, 2)
 SELECT entity, timepoint, coalesce(c, 0)::BIGINT AS c FROM (SELECT DISTINCT entity FROM e) a CROSS JOIN (SELECT DISTINCT timepoint FROM e) b LEFT JOIN c USING (entity, timepoint)"""
 
 
+def exported_genotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All genotypes exported in every form, and read back as (form, name, content)."""
+    forms = explore.export(_geno(spark, sf_dir), _geno_ref(spark), _folder(spark, "export"), "id")
+    fasta = lambda form: readers.read_fasta(spark, forms[form]).select(F.lit(form).alias("form"), F.col("id").alias("name"), F.col("seq").alias("content"))
+    table = readers.read_csv(spark, forms["genotypes"]).select(F.lit("genotypes").alias("form"), F.col("id").alias("name"), F.col("count").alias("content"))
+    cells = readers.read_csv(spark, forms["mutations"]).select(F.lit("mutations").alias("form"), F.concat("wt", "position", "mutation").alias("name"), F.col("n").alias("content"))
+    return fasta("nt").unionByName(fasta("aa")).unionByName(fasta("consensus")).unionByName(table).unionByName(cells)
+
+
+EXPORTED = GENO + f""", codes(codon, aa) AS (VALUES {_CODONS}),
+v AS (SELECT p, arg_max(c, n * 10 - strpos('ATGC', c)) AS c FROM (SELECT p, c, sum(n_reads) AS n FROM pts GROUP BY 1, 2) GROUP BY 1)
+SELECT 'nt' AS form, id::VARCHAR AS name, s AS content FROM seqs
+UNION ALL SELECT 'aa', id::VARCHAR, string_agg(aa, '' ORDER BY k.k) FROM seqs, range(0, 4) k(k) JOIN codes ON codon = substr(s, (k.k * 3 + 1)::INT, 3) GROUP BY id
+UNION ALL SELECT 'consensus', 'refA', string_agg(c, '' ORDER BY p) FROM v
+UNION ALL SELECT 'genotypes', id::VARCHAR, n_reads::VARCHAR FROM g
+UNION ALL SELECT 'mutations', name, sum(n_reads)::BIGINT::VARCHAR FROM muts GROUP BY name"""
+
+_PROTEIN = "".join(S.CODONS[T.REFERENCES[0][3][k : k + 3]] for k in range(0, len(T.REFERENCES[0][3]), 3)).rstrip("*")
+
+
+def _residue(chain: str, k: int, letter: str) -> str:
+    name = next(n for n, one in readers.RESIDUES.items() if one == letter)
+    return f"ATOM  {k:5d}  CA  {name} {chain}{100 + k:4d}      11.000  12.000  13.000  1.00  0.00           C"
+
+
+def structure_residues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Residues of two chains of a structure file at the positions of the protein: one whole, one cut and changed."""
+    path = _folder(spark, "structure.pdb")
+    lines = [_residue("A", k, c) for k, c in enumerate(_PROTEIN, 1)] + [_residue("B", k, "W" if k == 5 else c) for k, c in enumerate(_PROTEIN, 1) if k > 2]
+    noise = [line.replace(" CA ", " CB ") for line in lines] + ["HETATM 9999  O   HOH A 900      11.000  12.000  13.000", "TER"]
+    spark.createDataFrame([(x,) for x in [*lines, *noise]], "value string").write.text(path)
+    return explore.structure_positions(readers.read_structure(spark, path), _PROTEIN)
+
+
+_CHAINS = ", ".join(f"('{c}', {k}::BIGINT, {100 + k}, {str(not (c == 'B' and k == 5)).upper()}, {len(_PROTEIN) - (0 if c == 'A' else 2)})" for c in "AB" for k in range(1 if c == "A" else 3, len(_PROTEIN) + 1))
+STRUCTURE = f"SELECT * FROM (VALUES {_CHAINS}) t(chain, position, residue, wt_match, coverage)"
+
+
 def configuration_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the checks of a configuration say of one with faults."""
     info = {"a": {"context": "ACNNT", "fasta": "f"}, "b": {"context": "ACT", "fasta": "f"}}
@@ -206,6 +245,6 @@ QUERIES = {
     for f, sql in (
         (fastq_source, FASTQ), (sam_source, ALIGNMENTS), (bam_source, ALIGNMENTS), (bam_by_reference, BY_REFERENCE), (fasta_source, FASTA), (msa_source, MSA), (csv_source, CSV),
         (references_source, REFERENCES), (paired_reads_merged, PAIRS), (best_hits, HITS), (global_alignment, GLOBAL), (calls_without_qualities, NO_QUALITIES), (path_columns, PATHS),
-        (screened_counts, SCREENED), (configuration_errors, CONFIGURATION),
+        (screened_counts, SCREENED), (exported_genotypes, EXPORTED), (structure_residues, STRUCTURE), (configuration_errors, CONFIGURATION),
     )
 }

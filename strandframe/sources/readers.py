@@ -93,6 +93,25 @@ def read_sam(spark: SparkSession, paths: str | list[str], tag: str | None = None
     return out.filter(F.col("reference_name") == reference) if reference else out
 
 
+# Three-letter names of the amino acids and their letters.
+RESIDUES = dict(zip("ALA CYS ASP GLU PHE GLY HIS ILE LYS LEU MET ASN PRO GLN ARG SER THR VAL TRP TYR".split(), "ACDEFGHIKLMNPQRSTVWY", strict=True))
+
+
+def read_structure(spark: SparkSession, path: str) -> DataFrame:
+    """(chain, residue, insertion, aa): the residues of a PDB or mmCIF file, by their alpha carbons; X for unknown ones."""
+    lines = spark.read.text(path).filter(F.col("value").startswith("ATOM"))
+    if path.endswith((".cif", ".cif.gz")):
+        f = F.split(F.trim("value"), r"\s+")
+        atom, name, chain, residue, insertion = (F.get(f, F.lit(k)) for k in (3, 5, 18, 16, 9))
+        insertion = F.when(insertion.isin("?", "."), "").otherwise(insertion)
+    else:
+        atom, name, chain, residue, insertion = (F.trim(F.substring("value", at, n)) for at, n in ((13, 4), (18, 3), (22, 1), (23, 4), (27, 1)))
+    letters = F.create_map(*(F.lit(x) for kv in RESIDUES.items() for x in kv))
+    rows = lines.filter(atom == "CA").select(chain.alias("chain"), residue.cast("int").alias("residue"), insertion.alias("insertion"), F.coalesce(F.element_at(letters, name), F.lit("X")).alias("aa"))
+    # Other places of an atom and other models repeat a residue.
+    return rows.groupBy("chain", "residue", "insertion").agg(F.min("aa").alias("aa"))
+
+
 def read_csv(spark: SparkSession, path: str, tag: str | None = None, required: tuple[str, ...] = (), defaults: dict | None = None, lists: tuple[str, ...] = ()) -> DataFrame:
     """A layout table as strings: byte order mark dropped, rows of one tag, blanks filled, lists split."""
     df = spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path)

@@ -443,3 +443,15 @@ def test_structure_uses_the_best_chain(spark):
     pos = spark.createDataFrame([("A", p, p + 10, p != 1, 3) for p in range(1, 4)] + [("B", p, p + 20, True, 3) for p in range(1, 4)], "chain string, position long, residue int, wt_match boolean, coverage int")
     prof = spark.createDataFrame([(2, 0.5)], "position long, frequency double")
     assert sorted((r.chain, r.residue, r.frequency) for r in explore.on_structure(prof, pos).collect()) == [("B", 21, 0.0), ("B", 22, 0.5), ("B", 23, 0.0)]
+
+
+def test_structure_files(spark, tmp_path):
+    cif = ["ATOM 1 N N . MET A 1 1 ? 1.0 2.0 3.0 1.00 9.0 ? 7 MET A N 1", "ATOM 2 C CA . MET A 1 1 ? 1.0 2.0 3.0 1.00 9.0 ? 7 MET A CA 1", "ATOM 3 C CA . ZZZ A 1 2 ? 1.0 2.0 3.0 1.00 9.0 ? 8 ZZZ A CA 1", "HETATM 4 O O . HOH B 2 . ? 1 1 1 1 1 ? 1 HOH A O 1"]
+    (tmp_path / "x.cif").write_text("data_x\nloop_\n" + "\n".join(cif) + "\n")
+    got = readers.read_structure(spark, str(tmp_path / "x.cif")).orderBy("residue").collect()
+    assert [tuple(r) for r in got] == [("A", 7, "", "M"), ("A", 8, "", "X")]
+
+
+def test_throughput_with_seconds(spark):
+    got = stats.throughput({"a": spark.range(5), "b": spark.range(2)}, timed=True).collect()
+    assert [(r.pipeline_step, r.sequences) for r in got] == [("a", 5), ("b", 2)] and all(r.seconds > 0 for r in got)
