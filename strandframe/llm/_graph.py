@@ -3,8 +3,10 @@
 Large-star hangs every larger neighbour of a node on the smallest node around
 it, small-star every smaller neighbour; the two alternate until every edge
 joins a member to the smallest node of its component. Only minima are
-aggregated and joined back: no neighbour list is gathered in a task, and both
-joins are plain sort-merge joins whose hot keys can be split at run time.
+aggregated and joined back: no neighbour list is gathered in a task. The minima
+are written before they are joined, so that few are sent to all tasks, and many
+meet the edges in a join of two plain shuffles, whose hot nodes can be split at run
+time (an aggregate in the same stage would forbid that).
 """
 
 from __future__ import annotations
@@ -15,18 +17,21 @@ from pyspark.sql import functions as F
 from strandframe.llm._store import Scratch
 
 
-def _star(edges: DataFrame) -> DataFrame:
+def _star(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Edges (a > b) with each a hung on the smallest node around it."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = scratch.save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     large = both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a > b")
-    large = large.distinct()
-    down = large.groupBy("a").agg(F.min("b").alias("m"))
-    return (
+    large = scratch.save(large.distinct(), "large")
+    down = scratch.save(large.groupBy("a").agg(F.min("b").alias("m")), "down")
+    out = (
         large.join(down, "a")
         .select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         .select("e.a", "e.b").filter("a > b").distinct()
     )
+    out = scratch.save(out, "stars")
+    scratch.drop(edges, least, large, down)
+    return out
 
 
 def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFrame:
@@ -44,7 +49,6 @@ def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFram
         if tuple(seen) == mark or not seen[0]:
             root = now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
             return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(root)
-        mark, before = tuple(seen), now
-        now = scratch.save(_star(before), "stars")
-        scratch.drop(before)
+        mark = tuple(seen)
+        now = _star(now, scratch)
     raise RuntimeError(f"components did not converge in {rounds} rounds")

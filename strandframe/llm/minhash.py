@@ -338,7 +338,8 @@ def near_duplicates(
     pairs = _hopeful(unsettled(compared, comp, full.select("id", "n", "sketch"), scratch, percent), bands * rows, percent)
     more = scratch.save(compare(scratch.save(pairs, "pairs"), sets, percent).filter("linked").select("a", "b").distinct(), "more")
     if not more.isEmpty():
-        comp = scratch.save(components(links.unionByName(more), scratch), "components")
+        known = comp.filter("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+        comp = scratch.save(components(known.unionByName(more), scratch), "components")
     scratch.drop(sets)
     out = sig.select("id", "n").join(comp, "id", "left")
     return out.select(
