@@ -291,6 +291,19 @@ def digest_of(text: str) -> str:
     return hashlib.md5(canonical_text(text).encode()).hexdigest()
 
 
+#: What a text must hold, one of each, for the steps up to the last to change it.
+_HELD = (("\r",), ("copyright", "(c)", "©"), ("copyright", "(c)", "©"), ("rights",), ("licence",), ("sub-",), ("non-",), ("merchantibility",), ("http",))
+
+
+def with_canonical(docs: DataFrame, text: Column, name: str) -> DataFrame:
+    """docs with the canonical form; steps that cannot change a text are not tried on it."""
+    out = docs.withColumn(name, F.lower(text))
+    for (pattern, new), held in zip(STEPS, _HELD, strict=False):
+        some = reduce(Column.__or__, (F.contains(F.col(name), F.lit(h)) for h in held))
+        out = out.withColumn(name, F.when(some, F.regexp_replace(name, pattern, new.replace("{1}", "$1"))).otherwise(F.col(name)))
+    return out.withColumn(name, F.trim(F.regexp_replace(name, *STEPS[-1])))
+
+
 def known_digests(known: dict = KNOWN, digests: dict = DIGESTS) -> list[tuple[str, str]]:
     rows = {digest_of(t): name for name, texts in known.items() for t in texts}
     rows.update({d: name for name, some in digests.items() for d in some})
@@ -325,7 +338,7 @@ def scan(docs: DataFrame, text_col: str = "text", known: dict = KNOWN, digests:
     some = sorted({*hints(known), *(["licen"] if digests else [])})
     table = F.broadcast(docs.sparkSession.createDataFrame(rows, f"{p}known string, __license string"))
     named = F.create_map(*(F.lit(x) for r in rows for x in r))
-    out = docs.withColumn(f"{p}bare", canonical(col(text_col).cast("string")))
+    out = with_canonical(docs, col(text_col).cast("string"), f"{p}bare")
     out = out.withColumn("__digest", F.when(F.length(f"{p}bare") > 0, F.md5(F.col(f"{p}bare").cast("binary")))).drop(f"{p}bare")
     lines = F.filter(F.split(col(text_col), "\n"), lambda x: reduce(Column.__or__, (F.lower(x).contains(h) for h in some), F.lit(False)))
     lines = F.transform(lines, lambda x: F.element_at(named, F.md5(canonical(x).cast("binary"))))
