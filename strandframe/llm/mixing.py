@@ -188,18 +188,20 @@ def _lay_out(rows: DataFrame, scratch: Scratch, p: str, buckets: int, weights, w
 
 def mix(
     docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    budget: float | None = None, repeats: float = 3.0, block: int = 64, shards: int = 16, seed: int = 1, weigh=None,
+    budget: float | None = None, repeats: float = 3.0, block: int = 64, shards: int = 16, seed: int = 1, weigh=None, columns: list[str] | None = None,
 ) -> DataFrame:
     """Every row of docs with the columns OUTPUTS: its words, its source's words, target and quota, and the words taken, in all and by shard.
 
     weights: by source (None for the null source); or weigh: from the sources
-    found, by code point and null last, to such a dict.
+    found, by code point and null last, to such a dict. columns: those of docs to
+    return, all by default; if they leave out the text, it is read once.
     """
     docs = make_room(docs, list(OUTPUTS), [id_col, text_col, source_col])
-    p, scratch = prefix(docs), Scratch(docs.sparkSession, "mix")
-    rows = _rows(docs, p, docs.columns, id_col, text_col, source_col, seed, False)
-    out = _lay_out(rows, scratch, p, _buckets(docs), weights, weigh, budget, repeats, block, shards, seed)
-    return out.select(*all_of(docs.columns), *OUTPUTS)
+    p, scratch, names = prefix(docs), Scratch(docs.sparkSession, "mix"), docs.columns if columns is None else columns
+    rows = _rows(docs, p, names, id_col, text_col, source_col, seed, False)
+    rows = rows if text_col in names else scratch.save(rows, "rows")
+    out = _lay_out(rows, scratch, p, _buckets(rows), weights, weigh, budget, repeats, block, shards, seed)
+    return out.select(*all_of(names), *OUTPUTS)
 
 
 def _buckets(docs: DataFrame) -> int:
@@ -221,8 +223,8 @@ def resample(
     of the whole row; rows equal in all columns share what they are given.
     """
     p, scratch, names = prefix(docs), Scratch(docs.sparkSession, "resample"), docs.columns
-    rows = _rows(docs, p, [], id_col, text_col, source_col, seed, True)
-    laid = _lay_out(rows, scratch, p, _buckets(docs), weights, weigh, budget, repeats, block, shards, seed)
+    rows = scratch.save(_rows(docs, p, [], id_col, text_col, source_col, seed, True), "rows")
+    laid = _lay_out(rows, scratch, p, _buckets(rows), weights, weigh, budget, repeats, block, shards, seed)
     draw = F.pmod(F.xxhash64(F.lit(seed + 1), f"{p}key", f"{p}start"), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("__size") > 0, F.col("__taken") / F.col("__size")).otherwise(0.0)
     times = laid.select(F.col(f"{p}key").alias(f"{p}of"), F.floor(share + draw).cast("long").alias("t"))

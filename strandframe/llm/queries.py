@@ -27,7 +27,7 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all sources, weighing 1, 2, 3 in turn, takes of every document."""
-    mixed = mixing.mix(_table(spark, sf_dir, "documents"), weigh=mixing.rotating)
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), weigh=mixing.rotating, columns=["doc_id"])
     return mixed.select(
         "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"),
         F.col("__target").alias("target"), F.col("__taken").alias("taken"), F.col("__by_shard").alias("taken_by_shard"),
