@@ -187,13 +187,15 @@ def near_vectors(
     found = tiles.groupBy("label", "width", "lo", "hi").applyInPandas(product, "label string, digest string, n long, a long, b long")
     found = scratch.save(found, "found")
     counted = found.groupBy("label", "digest").agg(F.sum("n").alias("n"))
-    members = good.join(classes.select("label", "digest", "head", "copies"), ["label", "digest"]).join(counted, ["label", "digest"], "left")
+    # One join on the digest, of two plain shuffles, so that the rows of a hot vector can be split at run time.
+    known = scratch.save(classes.select("label", "digest", "head", "copies").join(counted, ["label", "digest"], "left"), "known")
+    members = good.join(known, ["label", "digest"])
     members = scratch.save(members.select("id", "head", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n")), "members")
     copied = members.filter("id != head").select(F.col("id").alias("a"), F.col("head").alias("b"))
     comp = scratch.save(components(found.filter("a != b").select("a", "b").unionByName(copied), scratch), "components")
     per_id = members.groupBy("id").agg(F.sum("n").alias("n"))
     out = rows.select("id").join(per_id, "id", "left").join(comp, "id", "left")
-    scratch.drop(classes, spots, found)
+    scratch.drop(classes, spots, found, known)
     return out.select(
         F.col("id").alias(id_col), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"),
