@@ -33,7 +33,7 @@ MARGIN = 0.25
 
 
 def line_key(line: Column) -> Column:
-    return F.xxhash64(F.trim(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")))
+    return F.xxhash64(F.trim(F.regexp_replace(line, r"\A[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z", "")))
 
 
 def _keys(text: Column) -> Column:
