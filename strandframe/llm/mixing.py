@@ -229,9 +229,16 @@ def resample(
     share = F.when(F.col("__size") > 0, F.col("__taken") / F.col("__size")).otherwise(0.0)
     times = laid.select(F.col(f"{p}key").alias(f"{p}of"), F.floor(share + draw).cast("long").alias("t"))
     times = times.groupBy(f"{p}of").agg(F.sum("t").alias(f"{p}t"), F.count("*").alias(f"{p}c")).filter(F.col(f"{p}t") > 0)
+    times = scratch.save(times, "times")
     keyed = docs.withColumn(f"{p}key", F.xxhash64(F.lit(seed), *all_of(names)))
-    joined = keyed.join(times, F.col(f"{p}key") == F.col(f"{p}of"))
-    nth = F.row_number().over(Window.partitionBy(f"{p}key").orderBy(f"{p}key"))
-    own = F.floor(F.col(f"{p}t") / F.col(f"{p}c")) + (nth <= F.col(f"{p}t") % F.col(f"{p}c")).cast("long")
-    joined = joined.withColumn(f"{p}own", own.cast("int")).filter(F.col(f"{p}own") > 0)
-    return joined.withColumn(f"{p}copy", F.explode(F.sequence(F.lit(1), F.col(f"{p}own")))).select(*all_of(names))
+    matched = F.col(f"{p}key") == F.col(f"{p}of")
+    copies = F.explode(F.sequence(F.lit(1), F.col(f"{p}t").cast("int")))
+    out = keyed.join(times.filter(F.col(f"{p}c") == 1), matched).withColumn(f"{p}copy", copies).select(*all_of(names))
+    repeated = times.filter(F.col(f"{p}c") > 1)
+    if repeated.isEmpty():
+        return out
+    # One row stands for its equals, found by partial aggregation; the second hash keeps differing rows of one key apart.
+    same = F.concat_ws(":", F.col(f"{p}key"), F.xxhash64(F.lit(~seed), *all_of(names))).alias(f"{p}same")
+    row = F.first(F.struct(*all_of(names))).alias(f"{p}row")
+    ones = keyed.join(repeated, matched).groupBy(same).agg(row, F.first(f"{p}t").alias(f"{p}t"))
+    return out.unionByName(ones.withColumn(f"{p}copy", copies).select(f"{p}row.*"))
