@@ -328,6 +328,7 @@ def near_duplicates(
     banded = full.join(rep.select("d1", "d2", "n", F.col("rep").alias("id")), ["d1", "d2", "n", "id"], "left_semi")
     banded = banded.select("id", F.explode("keys").alias("key"))
     shared = banded.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("key", "first")
+    shared = scratch.save(shared, "firsts")  # a join of two plain shuffles: the rows of a hot key can be split at run time
     stars = banded.join(shared, "key").filter("id > first").select(F.col("id").alias("a"), F.col("first").alias("b"))
     stars = scratch.save(stars.distinct(), "stars")
     ids = stars.select(F.explode(F.array("a", "b")).alias("id")).distinct()
