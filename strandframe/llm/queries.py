@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandframe.llm import decontam, embeddings, hmm, licenses, lines, minhash, mixing, sharding, toxicity, warc
+from strandframe.llm import decontam, embeddings, hmm, licenses, lines, minhash, mixing, sharding, tokens, toxicity, warc
 from strandframe.llm._store import ready
 
 
@@ -84,12 +84,23 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(_table(spark, sf_dir, "documents").select("doc_id"), slot_name="slot")
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """Bytes and tokens of every document by a byte-level BPE tokenizer."""
+    if tokenizer is None:
+        import public_tokenizers
+
+        tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    counted = tokens.count(_table(spark, sf_dir, "documents"), tokenizer, columns=["doc_id"])
+    n = F.col("__tokens")
+    return counted.select("doc_id", F.col("__bytes").alias("n_bytes"), n.alias("n_tokens"), (n > 1024).alias("over_limit"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_minhash_near_dedup, op2_mixing, op3_line_dedup, op4_decontamination, op5_toxicity,
-            op6_warc, op7_hmm_scoring, op8_license_scan, op9_embedding_near_dedup, op10_sharding,
+            op6_warc, op7_hmm_scoring, op8_license_scan, op9_embedding_near_dedup, op10_sharding, op13_token_counts,
         )
     }
 
