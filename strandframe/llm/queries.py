@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandframe.llm import decontam, embeddings, hmm, licenses, lines, minhash, mixing, sharding, tokens, toxicity, warc
+from strandframe.llm import decontam, embeddings, hmm, licenses, lines, minhash, mixing, repair, sharding, tokens, toxicity, warc
 from strandframe.llm._store import ready
 
 
@@ -84,6 +84,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(_table(spark, sf_dir, "documents").select("doc_id"), slot_name="slot")
 
 
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation, with a digest of the repaired turns."""
+    return repair.damaged_report(_table(spark, sf_dir, "conversations"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """Bytes and tokens of every document by a byte-level BPE tokenizer."""
     if tokenizer is None:
@@ -100,7 +105,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_minhash_near_dedup, op2_mixing, op3_line_dedup, op4_decontamination, op5_toxicity,
-            op6_warc, op7_hmm_scoring, op8_license_scan, op9_embedding_near_dedup, op10_sharding, op13_token_counts,
+            op6_warc, op7_hmm_scoring, op8_license_scan, op9_embedding_near_dedup, op10_sharding,
+            op12_structure_repair, op13_token_counts,
         )
     }
 
