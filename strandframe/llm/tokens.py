@@ -44,9 +44,11 @@ from strandframe.llm._names import all_of, col, make_room
 from strandframe.llm._store import ready
 
 OUTPUTS = ("__bytes", "__tokens")
-WINDOW, SLICE, REMEMBERED = 1 << 18, 1 << 20, 1 << 17
+WINDOW, SLICE, REMEMBERED = 1 << 18, 1 << 20, 1 << 19
 # Fixed value: the pattern by which byte-level BPE cuts a text.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same for texts of ASCII alone, where its classes are plain.
+_PLAIN = PATTERN.replace("[^\\s\\p{L}\\p{N}]", r"[^\x09-\x0d\x20A-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]").replace(r"\s", r"[\x09-\x0d\x20]").replace(r"\S", r"[^\x09-\x0d\x20]")
 #: Pre-tokens at a window's end that the text behind it can still change.
 OPEN = 3
 _NONE = np.int32(2**31 - 1)
@@ -129,25 +131,27 @@ def symbols_left(words: list[bytes], merges: Merges) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def _cutters():
-    """The pattern, and one for characters that Unicode versions may class differently: there the library cuts."""
+    """The pattern for ASCII and for all texts, characters that Unicode versions may class differently, and the library, which cuts where those are."""
     from tokenizers.pre_tokenizers import ByteLevel
 
-    unknown = np.array([unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)])
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], unknown, [False]]).astype(np.int8))).reshape(-1, 2).tolist()
-    odd = re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b - 1))}" for a, b in edges) + "]")
-    return regex.compile(PATTERN), odd, ByteLevel(add_prefix_space=False, use_regex=True)
+    unsure = np.array([unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)])
+    return re.compile(_PLAIN), regex.compile(PATTERN), unsure, ByteLevel(add_prefix_space=False, use_regex=True)
+
+
+def _cut(part: str) -> list[str]:
+    plain, pattern, unsure, library = _cutters()
+    if part.isascii():
+        return plain.findall(part)
+    if unsure[np.frombuffer(part.encode("utf-32-le"), np.uint32)].any():
+        return [part[a:b] for _, (a, b) in library.pre_tokenize_str(part)]
+    return pattern.findall(part)
 
 
 def pre_tokens(text: str, window: int = WINDOW) -> Iterator[list[str]]:
     """The pre-tokens of a text in lists, window after window."""
-    pattern, odd, library = _cutters()
     at, wide = 0, window
     while at < len(text):
-        part = text[at : at + wide]
-        if part.isascii() or not odd.search(part):
-            found = pattern.findall(part)
-        else:
-            found = [part[a:b] for _, (a, b) in library.pre_tokenize_str(part)]
+        found = _cut(text[at : at + wide])
         if at + wide < len(text):
             if len(found) <= OPEN:
                 wide *= 2
