@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandframe.llm import decontam, embeddings, hmm, licenses, lines, minhash, mixing, repair, sharding, tokens, toxicity, warc
+from strandframe.llm import decontam, embeddings, hmm, licenses, lines, minhash, mixing, repair, sharding, tokens, toxicity, trie, warc
 from strandframe.llm._store import ready
 
 
@@ -84,6 +84,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(_table(spark, sf_dir, "documents").select("doc_id"), slot_name="slot")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the prefix trie of the conversations, rebuilt in groups of five."""
+    return trie.prefix_trie(*trie.rebuild(_table(spark, sf_dir, "conversations")))
+
+
 def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every damaged conversation, with a digest of the repaired turns."""
     return repair.damaged_report(_table(spark, sf_dir, "conversations"))
@@ -106,7 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for f in (
             op1_minhash_near_dedup, op2_mixing, op3_line_dedup, op4_decontamination, op5_toxicity,
             op6_warc, op7_hmm_scoring, op8_license_scan, op9_embedding_near_dedup, op10_sharding,
-            op12_structure_repair, op13_token_counts,
+            op11_prefix_trie, op12_structure_repair, op13_token_counts,
         )
     }
 
