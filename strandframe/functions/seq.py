@@ -113,6 +113,15 @@ def gapped_query(query: Column, segments: Column) -> Column:
     return _joined(segments, lambda x: F.when(x["op"] == "M", F.substring(query, x["q"] + 1, x["n"])).when(x["op"] == "D", F.repeat(F.lit("-"), x["n"])).otherwise(""))
 
 
+def both_sides(ref: Column, query: Column, start: Column, segments: Column) -> tuple[Column, Column]:
+    """Both sides of an alignment, with gaps where the other has bases of its own."""
+    mine = lambda x: F.substring(ref, start + x["r"] + 1, x["n"])
+    theirs = lambda x: F.substring(query, x["q"] + 1, x["n"])
+    gap = lambda x: F.repeat(F.lit("-"), x["n"])
+    first = _joined(segments, lambda x: F.when(x["op"] == "I", gap(x)).otherwise(mine(x)))
+    return first.alias("aligned_ref"), _joined(segments, lambda x: F.when(x["op"] == "D", gap(x)).otherwise(theirs(x))).alias("aligned_seq")
+
+
 def marked_query(query: Column, segments: Column) -> Column:
     """The query along the reference, inserted bases in lower case behind the position they follow."""
     return _joined(segments, lambda x: F.when(x["op"] == "D", F.repeat(F.lit("-"), x["n"])).when(x["op"] == "I", F.lower(F.substring(query, x["q"] + 1, x["n"]))).otherwise(F.substring(query, x["q"] + 1, x["n"])))

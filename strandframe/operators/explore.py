@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from strandframe.functions import seq as S
+from strandframe.operators.align import Scores, align_reads, pairs_aligned
 from strandframe.operators.common import small
 from strandframe.operators.diversity import apply_genotype, consensus, identities
 from strandframe.sources.writers import write_csv, write_fasta
@@ -121,15 +121,16 @@ def on_structure(profile: DataFrame, positions: DataFrame, least_identity: float
 
 
 def align_pairs(df: DataFrame, ref: str = "ref", seq: str = "seq", match: int = 2, mismatch: int = -4, opening: int = -4, extend: int = -2, local: bool = False) -> DataFrame:
-    """Affine pairwise alignment of short sequences: score, aligned_ref, aligned_seq; a substitute for an external aligner.
+    """Affine pairwise alignment of sequences: score, aligned_ref, aligned_seq.
 
     The first base of a gap costs opening + extend, every further one extend.
-    Many pairs are worked off at once, cell by cell; null sequences count as empty.
+    Many pairs are worked off at once, in a band that is as wide as they need; null sequences count as empty.
     """
+    scores = Scores(match, -mismatch, ((-opening, -extend),), 0)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            done = align_many([a or "" for a in pdf[ref]], [b or "" for b in pdf[seq]], match, mismatch, opening, extend, local)
+            done = pairs_aligned([a or "" for a in pdf[ref]], [b or "" for b in pdf[seq]], scores, local)
             yield pdf.assign(score=[d[0] for d in done], aligned_ref=[d[1] for d in done], aligned_seq=[d[2] for d in done])
 
     extra = [T.StructField("score", T.LongType()), T.StructField("aligned_ref", T.StringType()), T.StructField("aligned_seq", T.StringType())]
@@ -139,103 +140,17 @@ def align_pairs(df: DataFrame, ref: str = "ref", seq: str = "seq", match: int =
 def best_hits(reads: DataFrame, refs: DataFrame, k: int = 11) -> DataFrame:
     """(read_id, reference_name, strand, score, aligned_ref, aligned_seq): the reference and strand of the best local alignment of each read.
 
-    reads: read_id, seq; refs: reference_name, alignment_seq. References that share
-    k bases with a read, on either strand, are aligned; ties go to the first
-    name, then the forward strand. Reads without such a reference have no row.
+    reads: read_id, seq; refs: reference_name, alignment_seq. Ties go to the first
+    name, then the forward strand. Every read has a row; the reference of one in which no base aligns is null.
     """
-    words = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - k + 1)), lambda i: F.substring(c, i, F.lit(k))))
-    known = refs.select("reference_name", F.upper("alignment_seq").alias("ref"))
-    seeds = known.select("reference_name", F.explode(words(F.col("ref"))).alias("word"))
-    both = reads.select("read_id", F.upper("seq").alias("fwd")).withColumn("rev", S.reverse_complement(F.col("fwd")))
-    both = both.select("read_id", F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.col("fwd").alias("seq")), F.struct(F.lit("-").alias("strand"), F.col("rev").alias("seq")))).alias("x")).select("read_id", "x.*")
-    # A word is looked up where its read is; equal finds of a task are merged before they move.
-    met = both.select("read_id", "strand", "seq", F.explode(words(F.col("seq"))).alias("word")).join(small(seeds), "word")
-    pairs = met.groupBy("read_id", "strand", "seq", "reference_name").agg(F.count("*").alias("shared")).join(small(known), "reference_name")
-    scored = align_pairs(pairs.select("read_id", "strand", "reference_name", "ref", "seq"), local=True)
-    row = F.struct((-F.col("score")).alias("s"), "reference_name", "strand", "score", "aligned_ref", "aligned_seq")
-    best = scored.groupBy("read_id").agg(F.min(row).alias("b"))
-    return best.select("read_id", "b.reference_name", "b.strand", "b.score", "b.aligned_ref", "b.aligned_seq")
+    hits = align_reads(reads.select("read_id", "seq"), refs, Scores(gaps=((4, 2),), end_bonus=0), k)
+    rows = hits.join(small(refs.select("reference_name", F.upper("alignment_seq").alias("ref"))), "reference_name", "left")
+    ops = S.cigar_ops(F.col("cigar"))
+    rows = rows.withColumn("query", S.aligned_query(F.col("query_seq"), ops)).withColumn("segs", S.cigar_segments(ops))
+    sides = S.both_sides(F.col("ref"), F.col("query"), F.col("ref_start"), F.col("segs"))
+    mapped = F.col("flag") != 4
+    return rows.select("read_id", F.when(mapped, F.col("reference_name")).alias("reference_name"), F.when(mapped, F.when(F.col("flag") == 16, "-").otherwise("+")).alias("strand"), F.coalesce("score", F.lit(0)).cast("long").alias("score"), *sides)
 
 
 def align(a: str, b: str, match: int, mismatch: int, opening: int, extend: int, local: bool) -> tuple[int, str, str]:
-    return align_many([a], [b], match, mismatch, opening, extend, local)[0]
-
-
-def align_many(first: list[str], second: list[str], match: int, mismatch: int, opening: int, extend: int, local: bool, cells: int = 1 << 24) -> list[tuple[int, str, str]]:
-    """Alignments of pairs of texts, in groups of at most so many cells."""
-    out: list = [None] * len(first)
-    order = sorted(range(len(first)), key=lambda k: (len(first[k]), len(second[k])))
-    lo = 0
-    while lo < len(order):
-        hi, wide = lo, 0
-        while hi < len(order):
-            wide = max(wide, len(second[order[hi]]))
-            if hi > lo and (hi - lo + 1) * (len(first[order[hi]]) + 1) * (wide + 1) * 3 > cells:
-                break
-            hi += 1
-        some = order[lo:hi]
-        for k, done in zip(some, _align([first[k] for k in some], [second[k] for k in some], match, mismatch, opening, extend, local), strict=True):
-            out[k] = done
-        lo = hi
-    return out
-
-
-def _codes(texts: list[str], pad: int) -> np.ndarray:
-    out = np.full((max(map(len, texts)), len(texts)), pad, np.int32)
-    for k, t in enumerate(texts):
-        out[: len(t), k] = [ord(c) for c in t]
-    return out
-
-
-def _align(first: list[str], second: list[str], match: int, mismatch: int, opening: int, extend: int, local: bool) -> list[tuple[int, str, str]]:
-    """Three-state dynamic programming (pair, gap in b, gap in a) over all pairs at once, with trace-back."""
-    low, count = -(1 << 28), len(first)
-    x, y = _codes(first, -1), _codes(second, -2)
-    n, m = len(x), len(y)
-    sizes = np.array([len(t) for t in first]), np.array([len(t) for t in second])
-    came = np.zeros((n + 1, m + 1, 3, count), np.int8)
-    turn = np.where(np.eye(3, dtype=bool), extend, opening + extend)[:, :, None]  # turn[state]: cost from each state
-    end = np.full((3, count), low, np.int64)
-    peak, spot = np.zeros(count, np.int64), np.zeros((2, count), np.int64)
-    above = None
-    for i in range(n + 1):
-        row = np.full((m + 1, 3, count), low, np.int64)
-        if not i:
-            row[0, 0] = 0
-        for j in range(m + 1):
-            if i and j:
-                before = above[j - 1]
-                k = before.argmax(axis=0)
-                base = np.take_along_axis(before, k[None], 0)[0]
-                came[i, j, 0] = np.where(base > 0, k, 3) if local else k
-                row[j, 0] = (np.maximum(base, 0) if local else base) + np.where(x[i - 1] == y[j - 1], match, mismatch)
-            for state, source in ((1, above[j] if i else None), (2, row[j - 1] if j else None)):
-                if source is not None:
-                    cost = source + turn[state]
-                    k = cost.argmax(axis=0)
-                    came[i, j, state] = k
-                    row[j, state] = np.take_along_axis(cost, k[None], 0)[0]
-            if local:
-                better = (row[j, 0] > peak) & (i <= sizes[0]) & (j <= sizes[1])
-                peak = np.where(better, row[j, 0], peak)
-                spot[:, better] = [[i], [j]]
-        mine = np.flatnonzero(sizes[0] == i)
-        end[:, mine] = row[sizes[1][mine], :, mine].T
-        above = row
-    out = []
-    for p in range(count):
-        if local:
-            total, (i, j), state = int(peak[p]), spot[:, p].tolist(), 0
-            if total <= 0:
-                out.append((0, "", ""))
-                continue
-        else:
-            i, j, state = len(first[p]), len(second[p]), int(end[:, p].argmax())
-            total = int(end[state, p])
-        mine, a, b, steps = came[:, :, :, p], first[p], second[p], []
-        while (i or j) and state != 3:
-            steps.append((a[i - 1] if state != 2 else "-", b[j - 1] if state != 1 else "-"))
-            back = int(mine[i, j, state])
-            i, j, state = i - (state != 2), j - (state != 1), back
-        out.append((total, "".join(s for s, _ in reversed(steps)), "".join(s for _, s in reversed(steps))))
-    return out
+    return pairs_aligned([a], [b], Scores(match, -mismatch, ((-opening, -extend),), 0), local)[0]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strandframe import config
 from strandframe.functions import seq as S
-from strandframe.operators import enrich, explore, umi, variants
+from strandframe.operators import align, enrich, explore, umi, variants
 from strandframe.plans import synthetic as T
 from strandframe.plans.queries_enrich import GENO, _geno, _geno_ref
 from strandframe.plans.queries_sequence import _CODONS, CALLS, MIN_Q
@@ -144,6 +144,19 @@ def best_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 HITS = f"SELECT read_id, reference_name, CASE WHEN read_id::BIGINT % 3 = 1 THEN '-' ELSE '+' END AS strand FROM ({T.READS})"
 
 
+def aligned_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reads aligned anew, every third given as its reverse complement: place, strand, and bases matched, inserted, deleted and clipped."""
+    turned = F.when(F.col("read_id").cast("long") % 3 == 1, S.reverse_complement(F.col("query_seq"))).otherwise(F.col("query_seq"))
+    a = align.align_reads(T.reads(spark, sf_dir).select("read_id", turned.alias("seq")), T.references(spark))
+    ops = S.cigar_ops(F.col("cigar"))
+    bases = lambda op: F.aggregate(F.filter(ops, lambda x: x["op"] == op), F.lit(0), lambda n, x: n + x["n"]).cast("long").alias(op)
+    return a.select("read_id", "reference_name", "flag", "ref_start", *map(bases, "MIDS"))
+
+
+ALIGNED = f"""SELECT read_id, reference_name, CASE WHEN read_id::BIGINT % 3 = 1 THEN 16 ELSE 0 END AS flag, CASE WHEN cigar = '50M' THEN 10 ELSE 0 END AS ref_start,
+(length(query_seq) - CASE WHEN cigar LIKE '%I%' THEN 2 ELSE 0 END)::BIGINT AS "M", CASE WHEN cigar LIKE '%I%' THEN 2 ELSE 0 END::BIGINT AS "I", CASE WHEN cigar LIKE '%D%' THEN 3 ELSE 0 END::BIGINT AS "D", 0::BIGINT AS "S" FROM ({T.READS})"""
+
+
 def global_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bases and gaps of every read aligned end to end with its reference."""
     d = T.reads(spark, sf_dir).join(T.references(spark).select("reference_name", F.col("alignment_seq").alias("ref")), "reference_name")
@@ -244,7 +257,7 @@ QUERIES = {
     f.__name__: (f, sql)
     for f, sql in (
         (fastq_source, FASTQ), (sam_source, ALIGNMENTS), (bam_source, ALIGNMENTS), (bam_by_reference, BY_REFERENCE), (fasta_source, FASTA), (msa_source, MSA), (csv_source, CSV),
-        (references_source, REFERENCES), (paired_reads_merged, PAIRS), (best_hits, HITS), (global_alignment, GLOBAL), (calls_without_qualities, NO_QUALITIES), (path_columns, PATHS),
+        (references_source, REFERENCES), (paired_reads_merged, PAIRS), (best_hits, HITS), (aligned_reads, ALIGNED), (global_alignment, GLOBAL), (calls_without_qualities, NO_QUALITIES), (path_columns, PATHS),
         (screened_counts, SCREENED), (exported_genotypes, EXPORTED), (structure_residues, STRUCTURE), (configuration_errors, CONFIGURATION),
     )
 }
