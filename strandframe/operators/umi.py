@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from strandframe.functions import seq as S
 from strandframe.operators.common import distribution, fill_both_ways, ranked
+from strandframe.operators.consensus import majority
 from strandframe.scratch import Scratch
 
 
@@ -125,16 +126,12 @@ def groups_log(log: DataFrame) -> DataFrame:
 
 
 def consensus(reads: DataFrame, by: tuple[str, ...] = ("reference_name", "unique_id")) -> DataFrame:
-    """Majority vote per reference position of gapped queries; a substitute for neural polishing.
+    """Majority vote per reference position of gapped queries.
 
-    Ties go to the first letter of A, T, G, C, gap, N. Gaps that win are left out.
+    Ties go to the first letter of A, T, G, C, gap, N. Gaps that win are left out. Reads with
+    insertions, and votes by quality: ``consensus.molecules``.
     """
-    votes = reads.select(*by, F.posexplode(S.chars(F.col("query"))).alias("pos", "c")).groupBy(*by, "pos", "c").agg(F.count("*").alias("n"))
-    order = F.instr(F.lit(S.NT_ALPHABET), F.col("c"))
-    best = votes.groupBy(*by, "pos").agg(F.max(F.struct("n", (-order).alias("o"), "c")).alias("m"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.col("m.c").alias("c")))), lambda x: x["c"]), "")
-    out = best.groupBy(*by).agg(F.replace(joined, F.lit("-"), F.lit("")).alias("consensus"))
-    return out.join(reads.groupBy(*by).agg(F.count("*").alias("reads")), list(by))
+    return majority(reads, list(by))
 
 
 def rca_filter(names: DataFrame, references: DataFrame, least: int, most: int, col: str = "read_name") -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandframe.functions import seq as S
-from strandframe.operators import demux, umi
+from strandframe.operators import consensus, demux, umi
 from strandframe.operators.common import missing, top
 from strandframe.plans import synthetic as T
 
@@ -261,6 +261,40 @@ b AS (SELECT reference_name, unique_id, p, arg_max(c, n * 10 - strpos('ATGC-N',
 SELECT reference_name, unique_id, string_agg(c, '' ORDER BY p) AS consensus, any_value(reads) AS reads FROM b JOIN (SELECT reference_name, unique_id, count(*) AS reads FROM r GROUP BY 1, 2) USING (reference_name, unique_id) GROUP BY 1, 2"""
 
 
+def _member(key: Column, copy: Column, seq: Column) -> Column:
+    """A sequence with one changed base, elsewhere in every copy."""
+    at = (F.lit(12) + (key * 7 + copy * 5) % 30).cast("int")
+    return F.overlay(seq, F.translate(F.substring(seq, at, F.lit(1)), "ACGT", "CGTA"), at)
+
+
+def molecule_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consensus of five copies of every read, insertions and deletions included; each copy has an error, one has no alignment and two bases too many."""
+    d = T.reads(spark, sf_dir).withColumn("key", F.col("read_id").cast("long"))
+    d = d.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(4))))
+    wrong = _member(F.col("key"), F.col("copy"), F.col("query_seq"))
+    odd = F.col("copy") == 3
+    seq = F.when(odd, F.overlay(wrong, F.lit("GC"), F.lit(26), F.lit(0))).otherwise(wrong)
+    d = d.withColumn("query_seq", seq).withColumn("cigar", F.when(~odd, F.col("cigar"))).withColumn("quals", F.lit(None).cast("array<int>"))
+    return consensus.molecules(d, ["reference_name", "read_id"], rounds=2, margin=16)
+
+
+MOLECULES = f"SELECT reference_name, read_id, 5::BIGINT AS reads, CASE WHEN cigar LIKE '3S%' THEN substr(query_seq, 4) ELSE query_seq END AS consensus FROM ({T.READS})"
+
+
+def concatemer_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units of reads that repeat every read five to seven times, with an error in each copy and a base missing in one; filtered by repeats and length."""
+    d = T.reads(spark, sf_dir).select("read_id", "query_seq", F.col("read_id").cast("long").alias("key"))
+    copy = lambda c: F.when(c == 1, F.overlay("query_seq", F.lit(""), (F.lit(22) + F.col("key") % 12).cast("int"), F.lit(1))).otherwise(_member(F.col("key"), c, F.col("query_seq")))
+    whole = F.array_join(F.transform(F.sequence(F.lit(0), (F.col("key") % 3 + 4).cast("int")), copy), "")
+    found = consensus.concatemers(d.select("read_id", whole.alias("seq"), F.lit(None).cast("array<int>").alias("quals")))
+    log = umi.rca_filter(found, T.references(spark), 7, 8)
+    return found.join(log, "read_id").select("read_id", "repeats", "consensus", "original_read_length", "pass/fail")
+
+
+CONCATEMERS = f"""SELECT read_id, repeats, query_seq AS consensus, (repeats * length(query_seq) - 1)::INTEGER AS original_read_length, CASE WHEN repeats BETWEEN 5 AND 6 THEN 'pass' ELSE 'fail' END AS "pass/fail"
+FROM (SELECT read_id, query_seq, read_id::BIGINT % 3 + 5 AS repeats FROM ({T.READS}))"""
+
+
 def rca_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Concatemer reads by repeats and subread length."""
     d = T.table(spark, sf_dir, "orders")
@@ -298,6 +332,6 @@ QUERIES = {
         (barcode_identify, IDENTIFY), (barcode_exact, EXACT), (barcode_nearest, NEAREST), (barcode_group_match, GROUPED), (demux_stats, STATS), (demux_banish, BANISH),
         (demux_zero_fill, ZERO), (label_barcode_stats, LABELS), (top_references, TOP_REFS), (anti_missing, ANTI), (barcode_discovery, DISCOVERY), (coverage_bins, COVERAGE),
         (umi_extract, EXTRACT), (umi_extract_summary, SUMMARY), (umi_group_distribution, GROUP_SIZES), (umi_downsample, DOWNSAMPLE), (umi_ffill, FFILL),
-        (umi_cluster, CLUSTERS), (umi_consensus, CONSENSUS), (rca_filter, RCA), (top_n, TOP_N), (name_parsing, NAMES),
+        (umi_cluster, CLUSTERS), (umi_consensus, CONSENSUS), (molecule_consensus, MOLECULES), (concatemer_consensus, CONCATEMERS), (rca_filter, RCA), (top_n, TOP_N), (name_parsing, NAMES),
     )
 }

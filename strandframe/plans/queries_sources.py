@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strandframe import config
 from strandframe.functions import seq as S
 from strandframe.operators import align, enrich, explore, umi, variants
+from strandframe.operators.common import label_union
 from strandframe.plans import synthetic as T
 from strandframe.plans.queries_enrich import GENO, _geno, _geno_ref
 from strandframe.plans.queries_sequence import _CODONS, CALLS, MIN_Q
@@ -66,6 +67,16 @@ def bam_by_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_bam(spark, path, reference="refB").select("read_id", "reference_name", "ref_start", "cigar")
 
 
+def demuxed_bam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All alignments written as sorted BAM files, one per tag and group, and every file read back by its name."""
+    path = _folder(spark, "groups")
+    d = _aligned(spark, sf_dir).withColumn("output_file_barcodes", F.concat(F.lit("g"), (F.col("read_id").cast("long") % 3).cast("string")))
+    writers.write_bam(d, path, {name: len(seq) for name, seq, _, _ in T.REFERENCES}, ["tag", "output_file_barcodes"], split=False)
+    files = {f"{tag}_g{k}": readers.read_bam(spark, f"{path}/{tag}_g{k}.bam", tag) for tag in ("tagA", "tagB") for k in range(3)}
+    return label_union(files, "file").select("file", "tag", "read_id", "reference_name", "ref_start", "cigar", _sum("quals").alias("quality_sum"))
+
+
+DEMUXED = f"SELECT tag || '_g' || (read_id::BIGINT % 3) AS file, tag, read_id, reference_name, ref_start, cigar, {_QUALITY} AS quality_sum FROM {_READS}"
 ALIGNMENTS = f"SELECT {', '.join(_COLUMNS)}, {_QUALITY} AS quality_sum FROM {_READS}"
 BY_REFERENCE = f"SELECT read_id, reference_name, ref_start, cigar FROM ({T.READS}) WHERE reference_name = 'refB'"
 
@@ -256,7 +267,7 @@ CONFIGURATION = """SELECT * FROM (VALUES ('barcodes', 'True'), ('times', 'time x
 QUERIES = {
     f.__name__: (f, sql)
     for f, sql in (
-        (fastq_source, FASTQ), (sam_source, ALIGNMENTS), (bam_source, ALIGNMENTS), (bam_by_reference, BY_REFERENCE), (fasta_source, FASTA), (msa_source, MSA), (csv_source, CSV),
+        (fastq_source, FASTQ), (sam_source, ALIGNMENTS), (bam_source, ALIGNMENTS), (bam_by_reference, BY_REFERENCE), (demuxed_bam, DEMUXED), (fasta_source, FASTA), (msa_source, MSA), (csv_source, CSV),
         (references_source, REFERENCES), (paired_reads_merged, PAIRS), (best_hits, HITS), (aligned_reads, ALIGNED), (global_alignment, GLOBAL), (calls_without_qualities, NO_QUALITIES), (path_columns, PATHS),
         (screened_counts, SCREENED), (exported_genotypes, EXPORTED), (structure_residues, STRUCTURE), (configuration_errors, CONFIGURATION),
     )

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 
 from strandframe.sources.package import ship
 
@@ -28,6 +29,8 @@ SPLIT, CHUNK, ROWS = 128 << 20, 4 << 20, 8192
 _BGZF = b"\x1f\x8b\x08\x04"
 # Letters of the 4-bit bases and of the operations of a binary alignment, and the empty block that ends a file.
 BASES, OPS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
+# Fixed values too: the bin number that holds statistics, and that of reads without a place. BLOCK is how much a written block takes.
+STATISTICS, UNPLACED, BLOCK = 37450, 4680, 60_000
 END_BLOCK = bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
 
 
@@ -36,8 +39,10 @@ def opened(path: str) -> tuple[fs.FileSystem, str]:
 
 
 class Range(InputPartition):
-    def __init__(self, path: str, lo: int, hi: int):
-        self.path, self.lo, self.hi = path, lo, hi
+    """Bytes of a file; the first record is at exact, a virtual offset, where that is known."""
+
+    def __init__(self, path: str, lo: int, hi: int, exact: int | None = None):
+        self.path, self.lo, self.hi, self.exact = path, lo, hi, exact
 
 
 class Ranges(DataSourceReader):
@@ -226,15 +231,62 @@ def first_block(file, lo: int, size: int) -> int:
 
 
 class BamReader(Ranges):
+    """Files with an index beside them (``.bai``) are read only where the wanted references are; records of others are not decoded."""
+
     endings = (".bam",)
 
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.wanted: set[str] | None = None
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            if isinstance(f, (EqualTo, In)) and f.attribute == ("reference_name",):
+                names = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.wanted = names if self.wanted is None else self.wanted & names
+            else:
+                yield f
+
+    def partitions(self) -> list[Range]:
+        if self.wanted is None:
+            return super().partitions()
+        out = []
+        for path, size in self.files():
+            places = self.places(path)
+            for beg, end in [(0, size << 16)] if places is None else places:
+                lo, hi = beg >> 16, (end >> 16) + (end & 0xFFFF > 0)
+                out += [Range(path, at, min(hi, at + self.split), beg if at == lo and beg else None) for at in range(lo, hi, self.split)]
+        return out
+
+    def places(self, path: str) -> list[tuple[int, int]] | None:
+        """Virtual offsets of the wanted references in a file that has an index; reads without a place are in no index."""
+        store, inner = opened(path)
+        if "*" in self.wanted or store.get_file_info(inner + ".bai").type == fs.FileType.NotFound:
+            return None
+        with store.open_input_file(inner + ".bai") as file, store.open_input_file(inner) as bam:
+            spans = index_spans(file.read())
+            names, _ = self.header(Blocks(bam, bam.size(), 0))
+        out: list[tuple[int, int]] = []
+        for beg, end in sorted(span for name, span in zip(names, spans, strict=False) if name in self.wanted and span):
+            # References that share a block are one range: its records are read once.
+            if out and beg >> 16 <= out[-1][1] >> 16:
+                out[-1] = (out[-1][0], max(end, out[-1][1]))
+            else:
+                out.append((beg, end))
+        return out
+
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # what Spark passes where there are no ranges
+            return
         store, path = opened(partition.path)
         with store.open_input_file(path) as file:
             size = file.size()
             stream = Blocks(file, size, 0)
             references, at = self.header(stream)
-            if partition.lo:
+            ids = None if self.wanted is None else {k for k, name in enumerate(references) if name in self.wanted} | ({-1} if "*" in self.wanted else set())
+            if partition.exact is not None:
+                stream, at = Blocks(file, size, partition.exact >> 16), partition.exact & 0xFFFF
+            elif partition.lo:
                 stream = Blocks(file, size, first_block(file, partition.lo, size))
                 at = self.first(stream, len(references))
             rows = []
@@ -242,7 +294,8 @@ class BamReader(Ranges):
                 length = struct.unpack("<i", stream.get(at, 4))[0]
                 if not stream.fill(at + 4, length):
                     raise ValueError(f"{path} ends inside a record")
-                rows.append(record(bytes(stream.get(at + 4, length)), references))
+                if ids is None or struct.unpack("<i", stream.get(at + 4, 4))[0] in ids:
+                    rows.append(record(bytes(stream.get(at + 4, length)), references))
                 at += 4 + length
                 stream.forget(at)
                 if len(rows) == ROWS:
@@ -339,6 +392,205 @@ def batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, [f.split()[0] for f in ALIGNED.split(", ")])
 
 
+def index_spans(raw: bytes) -> list[tuple[int, int] | None]:
+    """First and last virtual offset of each reference in a BAM index."""
+    if raw[:4] != b"BAI\1":
+        raise ValueError("not a BAM index")
+    count, at, out = struct.unpack_from("<i", raw, 4)[0], 8, []
+    for _ in range(count):
+        bins, at, chunks = struct.unpack_from("<i", raw, at)[0], at + 4, []
+        for _ in range(bins):
+            number, some = struct.unpack_from("<Ii", raw, at)
+            if number != STATISTICS:
+                chunks += [struct.unpack_from("<QQ", raw, at + 8 + 16 * k) for k in range(some)]
+            at += 8 + 16 * some
+        at += 4 + 8 * struct.unpack_from("<i", raw, at)[0]
+        out.append((min(c[0] for c in chunks), max(c[1] for c in chunks)) if chunks else None)
+    return out
+
+
+class BamSink(DataSourceArrowWriter):
+    """BAM files with their indexes: rows come sorted by file, then place. Columns: file, then those of ALIGNED.
+
+    Tasks write into a folder of the job's own; commit moves what the tasks that count have
+    named to its place, and abort or commit delete the folder with all that is left.
+    """
+
+    def __init__(self, options: dict, overwrite: bool):
+        self.path, self.references, self.overwrite = options["path"].rstrip("/"), json.loads(options["references"]), overwrite
+        self.job = f"_temporary-{uuid.uuid4().hex}"
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        store, folder = opened(self.path)
+        mine = f"{folder}/{self.job}/{uuid.uuid4().hex}"
+        store.create_dir(mine, recursive=True)
+        done, now = [], None
+        place = {name: k for k, name in enumerate(self.references)}
+        for batch in batches:
+            for row in batch.to_pylist():
+                if now is None or row["file"] != done[-1]:
+                    if now is not None:
+                        now.close()
+                    done.append(row["file"])
+                    now = BamFile(store, f"{mine}/{row['file']}.bam", self.references)
+                now.add(row, place)
+        if now is not None:
+            now.close()
+        return Written(mine, done)
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        store, folder = opened(self.path)
+        old = {i.path for i in store.get_file_info(fs.FileSelector(folder)) if i.is_file}
+        new = [(f"{m.folder}/{name}{end}", f"{folder}/{name}{end}") for m in messages if m for name in m.names for end in (".bam", ".bam.bai")]
+        if len({b for _, b in new}) < len(new) or (not self.overwrite and any(b in old for _, b in new)):
+            self.abort(messages)
+            raise ValueError("two tasks or writes have a file of one name")
+        if self.overwrite:
+            for path in old:
+                if path.endswith((".bam", ".bam.bai")):
+                    store.delete_file(path)
+        for a, b in new:
+            store.move(a, b)
+        store.delete_dir(f"{folder}/{self.job}")
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        store, folder = opened(self.path)
+        if store.get_file_info(f"{folder}/{self.job}").type != fs.FileType.NotFound:
+            store.delete_dir(f"{folder}/{self.job}")
+
+
+class Written(WriterCommitMessage):
+    def __init__(self, folder: str, names: list[str]):
+        self.folder, self.names = folder, names
+
+
+def spanned(cigar: str) -> int:
+    """Reference bases under an alignment."""
+    total, number = 0, 0
+    for c in "" if cigar == "*" else cigar:
+        if c.isdigit():
+            number = 10 * number + int(c)
+        else:
+            total, number = total + (number if c in "MDN=X" else 0), 0
+    return total
+
+
+def bin_of(start: int, end: int) -> int:
+    """The smallest bin that holds a range of bases: each level has eight times the bins of the one above."""
+    for level in range(5, 0, -1):
+        shift = 29 - 3 * level
+        if start >> shift == (end - 1) >> shift:
+            return ((1 << 3 * level) - 1) // 7 + (start >> shift)
+    return 0
+
+
+class BamFile:
+    """A sorted BAM file and its index, as they are written."""
+
+    def __init__(self, store: fs.FileSystem, path: str, references: dict[str, int]):
+        self.store, self.path, self.out = store, path, store.open_output_stream(path)
+        text = "@HD\tVN:1.6\tSO:coordinate\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in references.items())
+        head = b"BAM\1" + struct.pack("<i", len(text)) + text.encode() + struct.pack("<i", len(references))
+        head += b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in references.items())
+        self.at, self.data = 0, bytearray()
+        self.bins: list[dict[int, list[list[int]]]] = [{} for _ in references]
+        self.windows: list[dict[int, int]] = [{} for _ in references]
+        self.last, self.unplaced = (-1, -1), 0
+        self.put(head)
+
+    def put(self, raw: bytes) -> None:
+        """Append bytes; a block is closed before a record that it has no room for."""
+        if self.data and len(self.data) + len(raw) > BLOCK:
+            self.flush()
+        self.data += raw
+        while len(self.data) > BLOCK:
+            self.flush(BLOCK)
+
+    def flush(self, n: int | None = None) -> None:
+        part = bytes(self.data if n is None else self.data[:n])
+        packed = block(part)
+        self.out.write(packed)
+        self.at += len(packed)
+        del self.data[: len(part)]
+
+    def spot(self) -> int:
+        return self.at << 16 | len(self.data)
+
+    def add(self, row: dict, place: dict[str, int]) -> None:
+        raw = packed(row, place)
+        ref, start = struct.unpack_from("<ii", raw, 4)
+        key = (ref if ref >= 0 else len(self.bins), start)
+        if key < self.last:
+            raise ValueError("alignments are not sorted by reference and place")
+        self.last = key
+        if self.data and len(self.data) + len(raw) > BLOCK:
+            self.flush()
+        begin = self.spot()
+        self.put(raw)
+        if ref < 0:
+            self.unplaced += 1
+            return
+        end = start + max(1, spanned(row["cigar"]))
+        chunks = self.bins[ref].setdefault(bin_of(start, end), [])
+        if chunks and chunks[-1][1] == begin:
+            chunks[-1][1] = self.spot()
+        else:
+            chunks.append([begin, self.spot()])
+        for w in range(start >> 14, (end - 1 >> 14) + 1):
+            self.windows[ref].setdefault(w, begin)
+
+    def close(self) -> None:
+        if self.data:
+            self.flush()
+        self.out.write(END_BLOCK)
+        self.out.close()
+        raw = [b"BAI\1", struct.pack("<i", len(self.bins))]
+        for bins, windows in zip(self.bins, self.windows, strict=True):
+            raw.append(struct.pack("<i", len(bins)))
+            for number, chunks in sorted(bins.items()):
+                raw.append(struct.pack("<Ii", number, len(chunks)) + b"".join(struct.pack("<QQ", *c) for c in chunks))
+            raw.append(struct.pack("<i", max(windows, default=-1) + 1))
+            before = 0
+            for w in range(max(windows, default=-1) + 1):
+                before = windows.get(w, before)
+                raw.append(struct.pack("<Q", before))
+        raw.append(struct.pack("<Q", self.unplaced))
+        with self.store.open_output_stream(self.path + ".bai") as out:
+            out.write(b"".join(raw))
+
+
+def block(data: bytes) -> bytes:
+    """One BGZF block."""
+    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = packer.compress(data) + packer.flush()
+    head = struct.pack("<4BIBBHBBHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25)
+    return head + body + struct.pack("<II", zlib.crc32(data), len(data))
+
+
+def packed(r: dict, place: dict[str, int]) -> bytes:
+    """One record."""
+    name, seq, quals = r["read_id"].encode() + b"\0", r["query_seq"], r["quals"]
+    seq = "" if seq == "*" else seq
+    ops, number = [], ""
+    for c in "" if r["cigar"] == "*" else r["cigar"]:
+        if c.isdigit():
+            number += c
+        else:
+            ops.append(int(number) << 4 | OPS.index(c))
+            number = ""
+    letters = [max(0, BASES.find(c)) for c in seq] + [0] * (len(seq) % 2)
+    start = r["ref_start"]
+    where = bin_of(start, start + max(1, spanned(r["cigar"]))) if start >= 0 else UNPLACED
+    body = struct.pack("<iiBBHHHiiii", place.get(r["reference_name"], -1), start, len(name), 255, where, len(ops), r["flag"] or 0, len(seq), -1, -1, 0)
+    body += name + struct.pack(f"<{len(ops)}I", *ops) + bytes(a << 4 | b for a, b in zip(letters[::2], letters[1::2], strict=True))
+    body += bytes(quals) if quals is not None else b"\xff" * len(seq)
+    if r["nm"] is not None:
+        body += b"NMi" + struct.pack("<i", r["nm"])
+    if r["bc"] is not None:
+        body += b"BCZ" + r["bc"].encode() + b"\0"
+    return struct.pack("<i", len(body)) + body
+
+
 class FastqSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -362,9 +614,18 @@ class BamSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return BamReader(self.options)
 
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return BamSink(self.options, overwrite)
 
-def load(spark: SparkSession, source: type[DataSource], paths: str | list[str], split: int) -> DataFrame:
+
+def register(spark: SparkSession, source: type[DataSource]) -> None:
+    """Make a source known to the session, and let it take filters."""
     ship(spark)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(source)
+
+
+def load(spark: SparkSession, source: type[DataSource], paths: str | list[str], split: int) -> DataFrame:
+    register(spark, source)
     every = [paths] if isinstance(paths, str) else list(paths)
     return spark.read.format(source.name()).option("paths", json.dumps(every)).option("split", str(split)).load()

@@ -53,7 +53,10 @@ def read_fastq(spark: SparkSession, paths: str | list[str], split: int = SPLIT)
 
 
 def read_bam(spark: SparkSession, paths: str | list[str], tag: str | None = None, reference: str | None = None, split: int = SPLIT) -> DataFrame:
-    """Alignments of BAM files or folders in the alignment schema; reference picks one. Files are split by bytes."""
+    """Alignments of BAM files or folders in the alignment schema; reference picks one. Files are split by bytes.
+
+    A filter on reference_name goes to the source: files with an index are read only where that reference is.
+    """
     rows = load(spark, BamSource, paths, split).withColumn("tag", F.lit(tag).cast("string"))
     rows = rows.filter(F.col("reference_name") == reference) if reference else rows
     return rows.select(*(f.split()[0] for f in ALIGNMENTS.split(", ")))

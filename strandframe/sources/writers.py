@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-import struct
-import uuid
-import zlib
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from strandframe.sources.package import ship
-from strandframe.sources.ranges import BASES, END_BLOCK, OPS, opened
+from strandframe.sources.ranges import BamSource, register
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -62,61 +56,27 @@ def write_sam(df: DataFrame, path: str) -> None:
     df.select(F.concat_ws("\t", *fields).alias("value")).write.mode("overwrite").text(path)
 
 
-def _block(data: bytes) -> bytes:
-    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
-    body = packer.compress(data) + packer.flush()
-    head = struct.pack("<4BIBBHBBHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25)
-    return head + body + struct.pack("<II", zlib.crc32(data), len(data))
-
-
-def _packed(r: dict, place: dict[str, int]) -> bytes:
-    name, seq, quals = r["read_id"].encode() + b"\0", r["query_seq"], r["quals"]
-    seq = "" if seq == "*" else seq
-    ops, number = [], ""
-    for c in "" if r["cigar"] == "*" else r["cigar"]:
-        if c.isdigit():
-            number += c
-        else:
-            ops.append(int(number) << 4 | OPS.index(c))
-            number = ""
-    codes = [max(0, BASES.find(c)) for c in seq] + [0] * (len(seq) % 2)
-    body = struct.pack("<iiBBHHHiiii", place.get(r["reference_name"], -1), r["ref_start"], len(name), 255, 4680, len(ops), r["flag"] or 0, len(seq), -1, -1, 0)
-    body += name + struct.pack(f"<{len(ops)}I", *ops) + bytes(a << 4 | b for a, b in zip(codes[::2], codes[1::2], strict=True))
-    body += bytes(quals) if quals is not None else b"\xff" * len(seq)
-    if r["nm"] is not None:
-        body += b"NMi" + struct.pack("<i", r["nm"])
-    if r["bc"] is not None:
-        body += b"BCZ" + r["bc"].encode() + b"\0"
-    return struct.pack("<i", len(body)) + body
-
-
-def write_bam(df: DataFrame, path: str, references: dict[str, int]) -> int:
-    """Alignments as one BAM file per partition below path; references: lengths by name. Returns the number of rows.
-
-    A task writes beside its file and renames at its end, so one that is run again leaves one file.
-    """
-    ship(df.sparkSession)
-    place = {name: k for k, name in enumerate(references)}
-    text = "@HD\tVN:1.6\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in references.items())
-    head = b"BAM\1" + struct.pack("<i", len(text)) + text.encode() + struct.pack("<i", len(references))
-    head += b"".join(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in references.items())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, folder = opened(path)
-        store.create_dir(folder, recursive=True)
-        final = f"{folder.rstrip('/')}/part-{TaskContext.get().partitionId():05d}.bam"
-        beside, count, data = f"{folder.rstrip('/')}/.{uuid.uuid4().hex}", 0, head
-        with store.open_output_stream(beside) as out:
-            for batch in batches:
-                for r in batch.to_pylist():
-                    data += _packed(r, place)
-                    count += 1
-                    while len(data) > 60_000:
-                        out.write(_block(data[:60_000]))
-                        data = data[60_000:]
-            out.write(_block(data) + END_BLOCK)
-        store.move(beside, final)
-        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], ["n"])
+def write_bam(df: DataFrame, path: str, references: dict[str, int], by: list[str] | None = None, split: bool = True, mode: str = "overwrite") -> int:
+    """Alignments as sorted BAM files with indexes below path; references: lengths by name, in order. Returns the number of rows.
 
+    With by (tag and barcode group, say) every file holds one group and bears its values, joined by ``_``. Groups are
+    spread over tasks by place, each task adding its number to the names; without split each group is one file of one task.
+    A task that fails or is run twice leaves nothing: files get their names when all is written.
+    """
+    spark = df.sparkSession
+    register(spark, BamSource)
+    order = F.coalesce(F.array_position(F.array(*(F.lit(n) for n in references)).cast("array<string>"), F.coalesce("reference_name", F.lit("*"))), F.lit(0))
+    order = F.when(order > 0, order).otherwise(len(references) + 1)
+    name = F.concat_ws("_", *(F.coalesce(F.regexp_replace(F.col(c).cast("string"), "[^A-Za-z0-9.+-]", "-"), F.lit("")) for c in by)) if by else F.lit("part")
+    rows = df.withColumn("file", name).withColumn("__ref", order).withColumn("ref_start", F.when(order > len(references), -1).otherwise(F.col("ref_start")))
+    keys = ["file", "__ref", "ref_start"]
+    if split:
+        rows = rows.repartitionByRange(*keys).withColumn("file", F.concat("file", F.format_string(".%05d", F.spark_partition_id())))
+    else:
+        rows = rows.repartition("file")
+    rows = rows.sortWithinPartitions(*keys, "read_id")
+    seen = Observation()
     wanted = ["read_id", "reference_name", "ref_start", "flag", "cigar", "query_seq", "quals", "bc", "nm"]
-    return df.select(*wanted).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows")).select("file", *wanted)
+    counted.write.format(BamSource.name()).option("path", path).option("references", json.dumps(references)).mode(mode).save()
+    return seen.get["rows"]

@@ -48,6 +48,8 @@ def test_bam_is_read_back_whatever_the_split(spark, tmp_path):
         got = readers.read_bam(spark, f"{tmp_path}/bam", "t", split=split)
         assert sorted(map(tuple, got.select(*names).collect()), key=repr) == sorted(rows, key=repr)
     assert readers.read_bam(spark, f"{tmp_path}/bam", reference="refB").filter("reference_name <> 'refB'").count() == 0
+    assert readers.read_bam(spark, f"{tmp_path}/bam", reference="refB").count() == sum(r[1] == "refB" for r in rows)
+    assert readers.read_bam(spark, f"{tmp_path}/bam", reference="*").count() == sum(r[1] == "*" for r in rows)
     assert readers.read_bam(spark, f"{tmp_path}/bam", split=20_011).rdd.getNumPartitions() > 5
 
 
@@ -57,3 +59,74 @@ def test_sam_and_fastq_round_trips(spark, tmp_path):
     writers.write_sam(df, f"{tmp_path}/sam")
     assert sorted(map(tuple, readers.read_sam(spark, f"{tmp_path}/sam", "t").collect())) == sorted(rows, key=lambda r: r[0])
     assert readers.read_sam(spark, f"{tmp_path}/sam", "t").agg(F.sum("nm")).first()[0] == 2 * len(rows)
+
+
+ALIGNED = "read_id string, reference_name string, ref_start int, flag int, cigar string, query_seq string, quals array<int>, bc string, nm int"
+
+
+def aligned(n, references, seed=7):
+    rnd = random.Random(seed)
+    rows = []
+    for k in range(n):
+        name = rnd.choice([*references, *references, "*"])
+        seq = "".join(rnd.choice("ACGT") for _ in range(80))
+        rows.append((f"r{k}", name, -1 if name == "*" else rnd.randrange(references[name] - 90), 4 if name == "*" else 0, "*" if name == "*" else "30M5D50M", seq, [30] * 80, None, None))
+    return rows
+
+
+def test_only_the_ranges_of_a_reference_are_read(spark, tmp_path):
+    from strandframe.sources import ranges
+
+    references = {"a": 3_000_000, "b": 40_000, "c": 500_000, "empty": 100}
+    rows = aligned(9000, {n: s for n, s in references.items() if n != "empty"})
+    df = spark.createDataFrame(rows, ALIGNED)
+    assert writers.write_bam(df, f"{tmp_path}/one", references, split=False) == len(rows)
+    whole = readers.read_bam(spark, f"{tmp_path}/one", split=10_000)
+    everything = whole.rdd.getNumPartitions()
+    for name in ("a", "b", "c"):
+        some = whole.filter(F.col("reference_name") == name)
+        assert 0.2 * everything < some.rdd.getNumPartitions() < 0.45 * everything
+        assert sorted(r.read_id for r in some.collect()) == sorted(r[0] for r in rows if r[1] == name)
+    assert whole.filter(F.col("reference_name") == "empty").count() == whole.filter(F.col("reference_name") == "other").count() == 0
+    both = whole.filter(F.col("reference_name").isin("a", "b") & (F.col("ref_start") < 20_000))
+    assert sorted(r.read_id for r in both.collect()) == sorted(r[0] for r in rows if r[1] in ("a", "b") and r[2] < 20_000)
+    assert ranges.bin_of(0, 1) == 4681 and ranges.bin_of(0, 1 << 14) == 4681 and ranges.bin_of(0, (1 << 14) + 1) == 585 and ranges.bin_of(1 << 14, (1 << 14) + 1) == 4682 and ranges.bin_of(0, 1 << 29) == 0
+    assert readers.read_bam(spark, f"{tmp_path}/one").agg(F.count("*"), F.countDistinct("read_id")).first()[:] == (len(rows), len(rows))
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_one_sorted_file_per_group(spark, tmp_path, split):
+    import os
+
+    references = {"a": 3_000_000, "b": 40_000}
+    rows = aligned(2000, references, 3)
+    df = spark.createDataFrame(rows, ALIGNED).withColumn("tag", F.lit("t1")).withColumn("output_file_barcodes", F.when(F.hash("read_id") % 3 == 0, "g/1").when(F.hash("read_id") % 3 == 1, "g2"))
+    folder = f"{tmp_path}/groups"
+    for _ in range(2):
+        assert writers.write_bam(df, folder, references, ["tag", "output_file_barcodes"], split) == len(rows)
+    files = sorted(f for f in os.listdir(folder) if f.endswith(".bam"))
+    assert {f.split(".")[0] for f in files} == {"t1_g-1", "t1_g2", "t1_"} and (split or len(files) == 3)
+    assert sorted(f + ".bai" for f in files) == sorted(f for f in os.listdir(folder) if not f.endswith(".bam"))
+    for group, name in (("g/1", "t1_g-1"), ("g2", "t1_g2"), (None, "t1_")):
+        mine = [f"{folder}/{f}" for f in files if f.split(".")[0] == name]
+        got = readers.read_bam(spark, mine)
+        assert sorted(r.read_id for r in got.collect()) == sorted(r.read_id for r in df.filter(F.col("output_file_barcodes").eqNullSafe(group)).collect())
+        for f in mine:
+            places = [(r.reference_name == "*", r.reference_name, r.ref_start) for r in readers.read_bam(spark, f).collect()]
+            assert places == sorted(places)
+    with pytest.raises(Exception, match="of one name"):
+        writers.write_bam(df, folder, references, ["tag", "output_file_barcodes"], split, mode="append")
+
+
+def test_a_failed_task_leaves_no_file(spark, tmp_path):
+    import os
+
+    references = {"a": 3_000_000}
+    df = spark.createDataFrame(aligned(400, references), ALIGNED).repartition(4)
+    bad = F.when(F.col("read_id") == "r77", F.raise_error(F.lit("broken"))).otherwise(F.col("query_seq"))
+    with pytest.raises(Exception, match="broken"):
+        writers.write_bam(df.withColumn("query_seq", bad), f"{tmp_path}/bad", references)
+    assert not os.path.isdir(f"{tmp_path}/bad") or os.listdir(f"{tmp_path}/bad") == []
+    with pytest.raises(Exception):
+        writers.write_bam(df.withColumn("cigar", F.when(F.col("read_id") == "r77", "3Z").otherwise(F.col("cigar"))), f"{tmp_path}/worse", references)
+    assert not os.path.isdir(f"{tmp_path}/worse") or os.listdir(f"{tmp_path}/worse") == []
