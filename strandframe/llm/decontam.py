@@ -11,16 +11,17 @@ it. Item-sized windows are tried on the diagonal of each segment found and up to
 ``k`` words farther, which the embedding bears with and ``recall`` accounts for.
 
 *Embedding.* A random walk (CGK) reads a window and repeats or advances at
-each of ``3n`` steps as a random function of step and word says; a few word
+each step as a random function of step and word says; a few word
 edits cost few mismatches, so edit distance turns into Hamming distance.
 
-*LSH.* Each repetition walks anew and samples ``SAMPLED`` coordinates; a
-window and an item of its length that agree on them are a candidate pair. The
-repetitions that an item length needs follow from ``recall``: texts of that
-length with the most edits allowed are searched for with the keys in use, until
-so few are missed. All items of a block get the most that any of their lengths
-needs. A length that needs more than ``MOST_REPETITIONS`` does without LSH: all
-of its windows are verified.
+*LSH.* Each repetition walks anew and samples ``SAMPLED`` coordinates of the first
+``REACH`` n steps; a window and an item of its length that agree on them are a
+candidate pair. What a walk shows behind the end of its text agrees with nothing,
+so unrelated texts meet by chance words alone. The repetitions that an item length
+needs follow from ``recall``: texts of the nearest lengths tried, with the most edits
+allowed, are searched for with the keys in use, until so few are missed. Lengths
+that need more than ``MOST_REPETITIONS``, or are longer than those tried
+(``LONGEST_TRIED`` words), do without LSH: all of their windows are verified.
 
 *Verification.* Candidates are aligned exactly (semi-global edit distance).
 
@@ -50,43 +51,46 @@ from strandframe.llm._store import ready
 from strandframe.llm._words import mix64, word_hashes, word_slices
 
 _U = np.uint64
-SAMPLED, SHIFTS, MOST_REPETITIONS = 2, 2, 48
-TRIALS = 600
-_PAD = _U(0x5851F42D4C957F2D)
+SAMPLED, SHIFTS, MOST_REPETITIONS = 2, 2, 96
+#: Steps of a walk that are sampled, as a multiple of the words: nearly all walks end behind that.
+REACH = 1.8
+#: Trials of a length, within so many words altogether; the longest length that is tried.
+TRIALS, TRIED_WORDS, LONGEST_TRIED = 600, 1 << 23, 256
+_ITEM_PAD, _PAD = _U(0x9E6C63D0876A9A35), _U(0x5851F42D4C957F2D)
 _BITS = 20
 
 
-def walk(windows: np.ndarray, seed: int) -> np.ndarray:
-    """CGK embedding of rows of words: (rows, 3n)."""
+def walk(windows: np.ndarray, seed: int, steps: int, pad: np.uint64) -> np.ndarray:
+    """The first steps of the CGK embedding of rows of words: (steps, rows). Behind a row's end it shows pad."""
     count, n = windows.shape
-    padded = np.concatenate([windows, np.full((count, 1), _PAD, _U)], axis=1)
-    factors = np.random.default_rng(seed).integers(1, 1 << 63, 3 * n, dtype=np.uint64) * _U(2) + _U(1)
-    out, at, rows = np.empty((count, 3 * n), _U), np.zeros(count, np.int64), np.arange(count)
-    for j in range(3 * n):
-        word = padded[rows, at]
-        out[:, j] = word
+    flat = np.concatenate([windows, np.full((count, 1), pad, _U)], axis=1).ravel()
+    factors = np.random.default_rng(seed).integers(1, 1 << 63, steps, dtype=np.uint64) * _U(2) + _U(1)
+    out, at, rows = np.empty((steps, count), _U), np.zeros(count, np.int64), np.arange(count) * (n + 1)
+    for j in range(steps):
+        word = flat[rows + at]
+        out[j] = word
         at += ((word * factors[j]) >> _U(63)).astype(np.int64)
         np.minimum(at, n, out=at)
     return out
 
 
-def lsh_key(windows: np.ndarray, r: int) -> np.ndarray:
-    """(rows,): sampled coordinates of the walk of repetition r, as one key."""
+def lsh_key(windows: np.ndarray, r: int, pad: np.uint64) -> np.ndarray:
+    """(rows,): sampled coordinates of the walk of repetition r, as one key. Windows and items have another pad each, so an end never agrees."""
     count, n = windows.shape
     seed = 1000003 * n + r
-    picks = np.random.default_rng(seed + 1).integers(0, 3 * n, SAMPLED)
+    picks = np.sort(np.random.default_rng(seed + 1).integers(0, max(1, int(REACH * n)), SAMPLED))
     key = np.full(count, seed, _U)
-    walked = walk(windows, seed)
+    walked = walk(windows, seed, int(picks[-1]) + 1, pad)
     for p in picks:
-        key = mix64(key ^ walked[:, p])
+        key = mix64(key ^ walked[p])
     return key
 
 
-def lsh_keys(windows: np.ndarray, repetitions: int) -> np.ndarray:
+def lsh_keys(windows: np.ndarray, repetitions: int, pad: np.uint64) -> np.ndarray:
     """(rows, repetitions): the keys of all repetitions."""
     keys = np.empty((len(windows), repetitions), _U)
     for r in range(repetitions):
-        keys[:, r] = lsh_key(windows, r)
+        keys[:, r] = lsh_key(windows, r, pad)
     return keys
 
 
@@ -115,7 +119,8 @@ def enough(n: int, k: int, recall: float) -> int | None:
     if not k:
         return 4
     rnd = np.random.default_rng(1000003 * n + k)
-    trials = [_trial(rnd, n, k) for _ in range(TRIALS)]
+    count = max(100, min(TRIALS, TRIED_WORDS // ((k + 1) * (2 * SHIFTS + 1) * n)))
+    trials = [_trial(rnd, n, k) for _ in range(count)]
     for r in range(MOST_REPETITIONS):
         left, lo = [], 0
         while lo < len(trials):
@@ -123,17 +128,32 @@ def enough(n: int, k: int, recall: float) -> int | None:
             while lo < len(trials) and (not part or rows < 4096):
                 part.append(trials[lo])
                 rows, lo = rows + len(trials[lo][1]), lo + 1
-            items, windows = lsh_key(np.stack([i for i, _ in part]), r), lsh_key(np.concatenate([w for _, w in part]), r)
+            items, windows = lsh_key(np.stack([i for i, _ in part]), r, _ITEM_PAD), lsh_key(np.concatenate([w for _, w in part]), r, _PAD)
             owner = np.repeat(np.arange(len(part)), [len(w) for _, w in part])
             met = np.zeros(len(part), bool)
             met[owner[windows == items[owner]]] = True
             left += [t for t, m in zip(part, met, strict=True) if not m]
         trials = left
-        if len(trials) <= TRIALS * (1 - recall) / 2:
+        if len(trials) <= count * (1 - recall) / 2:
             return max(4, r + 1)
     return None
 
 
+def repetitions(n: int, rate: float, recall: float) -> int | None:
+    """Repetitions for items of n words: what the lengths tried on both sides of n need, so that no item sets those of another.
+
+    None, for verification of all windows, beyond the lengths tried or MOST_REPETITIONS.
+    """
+    if not math.floor(rate * n + 1e-9):
+        return 4
+    tried = sorted({round(2 ** (e / 2)) for e in range(2, 2 * LONGEST_TRIED.bit_length() - 1)})
+    if n > tried[-1]:
+        return None
+    around = {max(t for t in tried if t <= n), min(t for t in tried if t >= n)} if n >= tried[0] else {tried[0]}
+    found = [enough(t, max(1, math.floor(rate * t + 1e-9)), recall) for t in around]
+    return None if None in found else max(found)
+
+
 def closest(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """(distance, start, end): the run of text nearest to item; ties: shortest, then first."""
     width = len(text) + 1
@@ -158,11 +178,7 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, np.ndarray]], rate: float, recall: float):
         self.items = [(i, w) for i, w in items if len(w)]
         self.edits = [math.floor(rate * len(w) + 1e-9) for _, w in self.items]
-        lengths = {len(w): k for (_, w), k in zip(self.items, self.edits, strict=True)}
-        needed = {n: enough(n, k, recall) for n, k in sorted(lengths.items())}
-        # Edits of real passages are not spread like those of the trials: no length gets fewer than another needs.
-        most = max((r for r in needed.values() if r), default=4)
-        self.repetitions = {n: r and most for n, r in needed.items()}
+        self.repetitions = {n: repetitions(n, rate, recall) for n in sorted({len(w) for _, w in self.items})}
         seeds: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
         by_length: dict[int, list[int]] = defaultdict(list)
         for x, ((_, words), k) in enumerate(zip(self.items, self.edits, strict=True)):
@@ -180,7 +196,7 @@ class ItemIndex:
         for n, members in by_length.items():
             if self.repetitions[n] is None:
                 continue
-            keys = lsh_keys(np.stack([self.items[x][1] for x in members]), self.repetitions[n])
+            keys = lsh_keys(np.stack([self.items[x][1] for x in members]), self.repetitions[n], _ITEM_PAD)
             self.keys[n] = [defaultdict(list) for _ in range(self.repetitions[n])]
             for row, x in zip(keys, members, strict=True):
                 for r, key in enumerate(row.tolist()):
@@ -227,7 +243,7 @@ class ItemIndex:
                 index = part[:, 1][:, None] + np.arange(n)
                 inside = (index >= low[:, None]) & (index < high[:, None])
                 windows = np.where(inside, words[np.clip(index, 0, len(words) - 1)], _PAD)
-                keys = lsh_keys(windows, self.repetitions[n])
+                keys = lsh_keys(windows, self.repetitions[n], _PAD)
                 for r, table in enumerate(self.keys[n]):
                     for w, key in enumerate(keys[:, r].tolist()):
                         for x in table.get(key, ()):

@@ -1,7 +1,9 @@
 import random
+import time
 import re
 
 import numpy as np
+import pytest
 
 from strandframe.llm import decontam
 
@@ -160,3 +162,43 @@ def test_every_length_reaches_the_recall_at_the_most_edits():
 def test_lengths_beyond_the_repetitions_verify_all_windows(monkeypatch):
     monkeypatch.setattr(decontam, "enough", lambda n, k, recall: None)
     assert found_share(60, items=100) == 1
+
+
+@pytest.mark.parametrize("n", [5, 15, 25, 40, 60, 100, 200])
+def test_unrelated_windows_rarely_collide_in_any_repetition(n):
+    rnd = np.random.default_rng(n)
+    items, windows = (rnd.integers(1, 1 << 62, (400, n)).astype(np.uint64) for _ in range(2))
+    # Half of the places hold one of 50 words, as texts do.
+    common = rnd.integers(1, 1 << 62, 50).astype(np.uint64)
+    for part in (items, windows):
+        usual = rnd.random(part.shape) < 0.5
+        part[usual] = rnd.choice(common, int(usual.sum()))
+    for r in range(decontam.repetitions(n, 0.2, 0.99) or 48):
+        a, b = decontam.lsh_key(items, r, decontam._ITEM_PAD), decontam.lsh_key(windows, r, decontam._PAD)
+        assert (a[:, None] == b).mean() < 0.01
+
+
+def test_selective_repetitions_alone_reach_the_recall():
+    for n in (25, 40, 60, 100):
+        assert decontam.repetitions(n, 0.2, 0.99) is not None and found_share(n, items=150) >= 0.98
+
+
+def test_unrelated_texts_are_hardly_verified():
+    class Counting(decontam.ItemIndex):
+        checks = 0
+
+        def _verify(self, *rest):
+            self.checks += 1
+            super()._verify(*rest)
+
+    rnd = np.random.default_rng(1)
+    vocab = rnd.integers(1, 1 << 62, 30).astype(np.uint64)
+    make = lambda: rnd.choice(vocab, 25)
+    index = Counting([(i, make()) for i in range(200)], 0.2, 0.99)
+    texts = [make() for _ in range(200)]
+    bounds = np.cumsum([0] + [len(t) for t in texts])
+    found, _ = index.windows(np.concatenate(texts), bounds)
+    began = time.time()
+    list(index.search(np.concatenate(texts), bounds))
+    tried = sum(len(v) for v in found.values()) * 200
+    assert index.checks < 0.02 * index.repetitions[25] * max(tried, 1) and time.time() - began < 20
