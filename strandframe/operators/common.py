@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandframe.operators.quantiles import quantile
+
 #: Bytes, by the optimizer's estimate, up to which a lookup side is broadcast.
 SMALL = 64 << 20
 
@@ -63,7 +65,7 @@ def ranked(df: DataFrame, by: list[str], coarse: list[Column], fine: list[Column
 
 def keep_quantile(df: DataFrame, col: str, q: float, upper: bool = True, by: list[str] | None = None) -> DataFrame:
     """Rows at or above (or below) a linear-interpolated quantile of col, per group if given."""
-    edge = df.groupBy(*(by or [])).agg(F.percentile(col, F.lit(q)).alias("__edge"))
+    edge = quantile(df, col, q, by, "__edge")
     joined = df.join(edge, by) if by else df.crossJoin(F.broadcast(edge))
     test = F.col(col) >= F.col("__edge") if upper else F.col(col) <= F.col("__edge")
     return joined.filter(test).drop("__edge")
@@ -82,20 +84,6 @@ def missing(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
     return expected.join(found, key, "left_anti")
 
 
-def weighted_sample(df: DataFrame, size: int, weight: str | None = None, seed: int = 0) -> DataFrame:
-    """size rows without replacement, by weight if given (Efraimidis-Spirakis keys).
-
-    The draw of a row is an MD5 of the seed and its columns as text, so it does
-    not depend on partitions or row order; equal rows draw alike.
-    """
-    text = F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns))
-    drawn = F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("long")
-    u = (drawn + 0.5) / float(1 << 48)
-    key = -F.ln(u) / F.col(weight) if weight else u
-    picked = df.filter(F.col(weight) > 0) if weight else df
-    return picked.withColumn("__key", key).orderBy("__key", text).limit(size).drop("__key")
-
-
 def runs(df: DataFrame, by: list[str], pos: str) -> DataFrame:
     """Gaps and islands: runs of consecutive integers per group as (by, first, length)."""
     w = Window.partitionBy(*by).orderBy(pos)

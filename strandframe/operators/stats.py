@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strandframe.functions.seq import NTS
 from strandframe.operators.common import distribution
+from strandframe.scratch import Scratch
 
 CHANGES = [f"{a}->{b}" for a in NTS for b in NTS if a != b]
 _TRANSITIONS = ("AG", "GA", "TC", "CT")
@@ -84,16 +85,26 @@ def alignment_stats(sam: DataFrame) -> DataFrame:
     )
 
 
-def throughput(stages: dict[str, DataFrame], timed: bool = False) -> DataFrame:
-    """(pipeline_step, sequences): rows of each stage; timed runs them now, one by one, and adds seconds."""
-    out, rows = None, []
-    for name, df in stages.items():
-        row = df.agg(F.count("*").alias("sequences")).select(F.lit(name).alias("pipeline_step"), "sequences")
-        if timed:
-            begun = time.perf_counter()
-            rows.append((name, row.first().sequences, time.perf_counter() - begun))
-        out = row if out is None else out.unionByName(row)
-    return out.sparkSession.createDataFrame(rows, "pipeline_step string, sequences long, seconds double") if timed else out
+class Stopwatch:
+    """Steps of a pipeline, counted and timed while they run.
+
+    A step is written to the shared folder once; its rows are counted by an observation of that very
+    write, and the next step reads what was written, so no step runs twice.
+    """
+
+    def __init__(self, spark: SparkSession, name: str = "steps"):
+        self.spark, self.scratch, self.rows = spark, Scratch(spark, name), []
+
+    def step(self, name: str, df: DataFrame) -> DataFrame:
+        """df as it was written, after its rows and seconds are noted."""
+        seen, begun = Observation(), time.perf_counter()
+        out = self.scratch.save(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+        self.rows.append((name, seen.get["rows"], time.perf_counter() - begun))
+        return out
+
+    def table(self) -> DataFrame:
+        """(pipeline_step, sequences, seconds) of the steps so far, in their order."""
+        return self.spark.createDataFrame(self.rows, "pipeline_step string, sequences long, seconds double")
 
 
 def point_sizes(df: DataFrame, col: str, lo: float = 1.0, hi: float = 20.0) -> DataFrame:

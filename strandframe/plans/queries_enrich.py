@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from strandframe.functions import seq as S
 from strandframe.operators import diversity, enrich, rates, stats, variants
-from strandframe.operators.common import keep_quantile, label_union, runs, weighted_sample
+from strandframe.operators.common import keep_quantile, label_union, runs
+from strandframe.operators.sampling import weighted_sample
 from strandframe.plans import synthetic as T
-from strandframe.plans.queries_sequence import CALLS, _called
+from strandframe.plans.queries_sequence import CALLS, MIN_Q, _called
 
 #: Dense counts, per-sample shares, dropout mask, log ratios and weights.
 DENSE = f"""
@@ -367,12 +368,17 @@ SIZES = "SELECT o_orderkey, round(1 + (o_totalprice - min(o_totalprice) OVER ())
 
 
 def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every stage."""
-    called = _called(spark, sf_dir)
-    return stats.throughput({"reads": T.reads(spark, sf_dir), "called": called, "genotypes": variants.genotypes(called)})
+    """Rows and seconds of every stage, each run once; the seconds, which differ, as whether they were taken."""
+    watch = stats.Stopwatch(spark)
+    reads = watch.step("reads", T.reads(spark, sf_dir))
+    trimmed = watch.step("trimmed", variants.trim(reads, T.references(spark)))
+    called = watch.step("called", variants.call(trimmed, MIN_Q))
+    watch.step("genotypes", variants.genotypes(called))
+    return watch.table().select("pipeline_step", "sequences", (F.col("seconds") > 0).alias("timed"))
 
 
-THROUGHPUT = CALLS + "SELECT 'reads' AS pipeline_step, count(*) AS sequences FROM reads UNION ALL SELECT 'called', count(*) FROM called UNION ALL SELECT 'genotypes', count(*) FROM condensed"
+THROUGHPUT = CALLS + """SELECT 'reads' AS pipeline_step, count(*) AS sequences, TRUE AS timed FROM reads UNION ALL SELECT 'trimmed', count(*), TRUE FROM reads
+UNION ALL SELECT 'called', count(*), TRUE FROM called UNION ALL SELECT 'genotypes', count(*), TRUE FROM condensed"""
 
 
 def log_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:

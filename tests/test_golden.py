@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strandframe import config
 from strandframe.functions import seq as S
-from strandframe.operators import common, demux, diversity, enrich, rates, stats, umi, variants
+from strandframe.operators import common, demux, diversity, enrich, rates, sampling, stats, umi, variants
 from strandframe.plans import registry, synthetic
 from strandframe.sources import readers, writers
 from strandframe.streaming import live
@@ -307,13 +307,13 @@ def test_configuration(spark):
 
 def test_weighted_sample_prefers_weight(spark):
     d = spark.range(2000).withColumn("w", F.when(F.col("id") < 100, 1000).otherwise(1))
-    got = [r.id for r in common.weighted_sample(d, 100, "w").collect()]
+    got = [r.id for r in sampling.weighted_sample(d, 100, "w").collect()]
     assert len(set(got)) == 100 and np.mean([i < 100 for i in got]) > 0.7
 
 
 def test_weighted_sample_does_not_depend_on_partitions(spark):
     d = spark.range(500).withColumn("w", F.col("id") % 7)
-    runs = [sorted(r.id for r in common.weighted_sample(x, 40, "w", seed).collect()) for x, seed in ((d, 1), (d.repartition(7), 1), (d.orderBy(F.desc("id")), 1), (d, 2))]
+    runs = [sorted(r.id for r in sampling.weighted_sample(x, 40, "w", seed).collect()) for x, seed in ((d, 1), (d.repartition(7), 1), (d.orderBy(F.desc("id")), 1), (d, 2))]
     assert runs[0] == runs[1] == runs[2] != runs[3]
 
 
@@ -456,5 +456,15 @@ def test_structure_files(spark, tmp_path):
 
 
 def test_throughput_with_seconds(spark):
-    got = stats.throughput({"a": spark.range(5), "b": spark.range(2)}, timed=True).collect()
+    watch = stats.Stopwatch(spark)
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        runs.add(1)
+        yield from batches
+
+    first = watch.step("a", spark.range(5).coalesce(1).mapInArrow(count, "id long"))
+    watch.step("b", first.filter("id < 2"))
+    got = watch.table().collect()
     assert [(r.pipeline_step, r.sequences) for r in got] == [("a", 5), ("b", 2)] and all(r.seconds > 0 for r in got)
+    assert runs.value == 1 and watch.step("c", first.limit(0)).count() == 0
