@@ -73,56 +73,6 @@ def consensus(counts: DataFrame, alphabet: str = S.NT_ALPHABET) -> DataFrame:
     return best.groupBy("reference_name").agg(F.array_join(F.transform(letters, lambda x: x["c"]), "").alias("consensus"))
 
 
-def hamming_distribution(genotypes: DataFrame, by: tuple[str, ...] = ("reference_name",), compat: bool = False) -> DataFrame:
-    """Distribution of distances of all pairs of sequences.
-
-    genotypes: by, id, count, points; different ids are different genotypes.
-    The distance of two is n_i + n_j minus shared positions minus shared
-    (position, letter), so only genotypes that share a position are joined; the
-    pairs that share none are counted from the histogram of n. Points are taken
-    from the consensus first: a change that most genotypes have is nobody's point,
-    and those without it have one, which leaves all distances as they are and no
-    position where most meet. compat counts a pair with the count of the
-    genotype of the larger id alone.
-    """
-    g = _from_consensus(genotypes.select(*by, "id", F.col("count").cast("long").alias("count"), "points"), by).withColumn("n", F.size("points"))
-    sites = g.select(*by, "id", "count", "n", F.explode("points").alias("p")).select(*by, "id", "count", "n", "p.pos", "p.mut")
-    left = sites.select(*by, "pos", F.col("id").alias("i"), F.col("count").alias("ci"), F.col("n").alias("ni"), F.col("mut").alias("mi"))
-    shared = sites.join(left, [*by, "pos"]).filter(F.col("i") < F.col("id"))
-    per = shared.groupBy(*by, "id", "i").agg(F.first("count").alias("c"), F.first("ci").alias("ci"), F.first("n").alias("n"), F.first("ni").alias("ni"), F.count("*").alias("s"), F.sum((F.col("mut") == F.col("mi")).cast("int")).alias("e"))
-    weight = F.col("c") if compat else F.col("c") * F.col("ci")
-    met = per.groupBy(*by, (F.col("n") + F.col("ni") - F.col("s") - F.col("e")).alias("d")).agg(F.sum(weight).alias("w"))
-    back = per.groupBy(*by, (F.col("n") + F.col("ni")).alias("d")).agg((-F.sum(weight)).alias("w"))
-    own = g.groupBy(*by, F.lit(0).alias("d")).agg(F.sum((F.col("count") * (F.col("count") - 1) / 2).cast("long")).alias("w"))
-    if compat:
-        # Pairs by (n of the earlier, n of the later genotype): a running count of the earlier ones.
-        ns = g.select(*by, F.col("n").alias("m")).distinct()
-        pairs = g.join(ns, list(by)).withColumn("k", F.sum((F.col("n") == F.col("m")).cast("long")).over(Window.partitionBy(*by, "m").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)))
-        every = pairs.groupBy(*by, (F.col("n") + F.col("m")).alias("d")).agg(F.sum(F.col("count") * F.coalesce("k", F.lit(0))).alias("w"))
-    else:
-        hist = g.groupBy(*by, "n").agg(F.sum("count").alias("a"), F.sum(F.col("count") * F.col("count")).alias("sq"))
-        other = hist.select(*by, F.col("n").alias("m"), F.col("a").alias("b"))
-        cross = hist.join(other, list(by)).filter(F.col("n") <= F.col("m"))
-        w = F.when(F.col("n") == F.col("m"), ((F.col("a") * F.col("b") - F.col("sq")) / 2).cast("long")).otherwise(F.col("a") * F.col("b"))
-        every = cross.groupBy(*by, (F.col("n") + F.col("m")).alias("d")).agg(F.sum(w).alias("w"))
-    total = met.unionByName(back).unionByName(own).unionByName(every).groupBy(*by, "d").agg(F.sum("w").cast("long").alias("w")).filter("w > 0")
-    return distribution(total, "d", list(by), "w")
-
-
-def _from_consensus(g: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """g with points (pos, mut) counted from the letters that most genotypes have; "=" is the reference's letter."""
-    whole = g.groupBy(*by).agg(F.count("*").alias("__all"))
-    point = F.explode("points").alias("p")
-    often = g.select(*by, point).groupBy(*by, "p").agg(F.count("*").alias("__c")).join(whole, list(by)).filter(F.col("__c") * 2 > F.col("__all"))
-    often = often.groupBy(*by).agg(F.collect_list(F.struct(F.col("p.pos").alias("pos"), F.col("p.mut").alias("mut"))).alias("__often"))
-    plain = F.transform("points", lambda x: F.struct(x["pos"].alias("pos"), x["mut"].alias("mut")))
-    rows = g.withColumn("points", plain).join(often, list(by), "left")
-    changed = F.transform("points", lambda x: x["pos"])
-    lacks = F.transform(F.filter("__often", lambda x: ~F.array_contains(changed, x["pos"])), lambda x: F.struct(x["pos"].alias("pos"), F.lit("=").alias("mut")))
-    turned = F.concat(F.filter("points", lambda x: ~F.array_contains("__often", x)), lacks)
-    return rows.withColumn("points", F.when(F.col("__often").isNull(), F.col("points")).otherwise(turned)).drop("__often")
-
-
 def abundance_bins(genotypes: DataFrame, by: tuple[str, ...] = (), count: str = "count") -> DataFrame:
     """Reads by order of magnitude of their genotype's count: bins (0,1], (1,10], (10,100], ..."""
     log = F.when(F.col(count) <= 1, 0).otherwise(F.length((F.col(count) - 1).cast("string")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandframe.functions import seq as S
-from strandframe.operators import diversity, enrich, rates, stats, variants
+from strandframe.operators import distances, diversity, enrich, rates, stats, variants
 from strandframe.operators.common import keep_quantile, label_union, runs
 from strandframe.operators.sampling import weighted_sample
 from strandframe.plans import synthetic as T
@@ -226,7 +226,7 @@ CONSENSUS = GENO + ", v AS (SELECT p, arg_max(c, n * 10 - strpos('ATGC', c)) AS
 
 def hamming_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances of all pairs of reads."""
-    d = diversity.hamming_distribution(_geno(spark, sf_dir))
+    d = distances.hamming_distribution(_geno(spark, sf_dir))
     return d.select("x", "total", F.round("proportion", 9).alias("proportion"), F.round("cumulative", 9).alias("cumulative"))
 
 
@@ -238,7 +238,7 @@ SELECT x::INT AS x, coalesce(w, 0)::BIGINT AS total, round(coalesce(w, 0) / sum(
 
 def hamming_distribution_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distances with every pair counted by its later genotype alone."""
-    d = diversity.hamming_distribution(_geno(spark, sf_dir), compat=True)
+    d = distances.hamming_distribution(_geno(spark, sf_dir), compat=True)
     return d.select("x", "total", F.round("proportion", 9).alias("proportion"), F.round("cumulative", 9).alias("cumulative"))
 
 

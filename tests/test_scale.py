@@ -63,3 +63,24 @@ def test_samples_without_weights_and_of_odd_rows(spark):
     assert sampling.weighted_sample(df, 2).count() == 2 and sampling.weighted_sample(df, 0).count() == 0 and sampling.weighted_sample(df.limit(0), 3).count() == 0
     many = spark.range(100_000).select(F.lit("same").alias("a"), F.lit(None).cast("int").alias("b"))
     assert sampling.weighted_sample(many, 7).count() == 7
+
+
+def test_block_histograms_count_every_pair_once(monkeypatch):
+    from strandframe.operators import distances
+
+    monkeypatch.setattr(distances, "COLUMNS", 3)
+    rnd = random.Random(2)
+    rows = [(k, rnd.choice([1, 2, 1 << 28]), [(p, rnd.choice("ACG")) for p in range(12) if rnd.random() < 0.4]) for k in range(40)]
+    rnd.shuffle(rows)
+    for compat in (False, True):
+        want = Counter({0: sum(c * (c - 1) // 2 for _, c, _ in rows)})
+        for x in range(40):
+            for y in range(x):
+                (i, ci, a), (j, cj, b) = rows[x], rows[y]
+                d = len({p for p, _ in a} | {p for p, _ in b}) - len(set(a) & set(b))
+                want[d] += (ci if i > j else cj) if compat else ci * cj
+        got = Counter()
+        for part in (distances.histogram(rows[:15], rows[:15], True, compat), distances.histogram(rows[15:], rows[15:], True, compat), distances.histogram(rows[:15], rows[15:], False, compat)):
+            for d, w in part.items():
+                got[d] += w
+        assert +got == +want
