@@ -30,12 +30,12 @@ def _sum(quals: str):
 
 
 def fastq_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All reads written as FASTQ in a folder per tag, and read back as one table."""
+    """All reads written as FASTQ in a folder per tag, one of them gzipped, found by the tags' run names, and read back as one table."""
     d, root = T.reads(spark, sf_dir).select("read_id", F.col("tag").alias("description"), F.col("query_seq").alias("seq"), "quals"), _folder(spark, "fastq")
-    paths = []
-    for tag in ("tagA", "tagB"):
-        writers.write_fastq(d.filter(F.col("description") == tag), f"{root}/{tag}")
-        paths.append(f"{root}/{tag}")
+    tags = [{"tag": r.description, "runname": [f"run_{r.description}"], "bs_project_ID": "unused"} for r in d.select("description").distinct().orderBy("description").collect()]
+    for k, tag in enumerate(tags):
+        writers.write_fastq(d.filter(F.col("description") == tag["tag"]), f"{root}/{k}/{tag['runname'][0]}/fastq_pass", gzip=k == 0)
+    paths = [p for tag in tags for p in readers.find_fastqs(root, tag[readers.choose_source(tag)], "fastq_pass")]
     return readers.read_fastq(spark, paths).select("read_id", "description", "seq", _sum("quals").alias("quality_sum"))
 
 

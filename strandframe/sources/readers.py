@@ -2,40 +2,45 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandframe.sources.ranges import SPLIT, BamSource, FastqSource, load
+from strandframe.sources.ranges import SPLIT, BamSource, FastqReader, FastqSource, load, opened
+
+FASTQ_ENDINGS = FastqReader.endings
 
-FASTQ_ENDINGS = (".fastq.gz", ".fq.gz", ".fastq")
 ALIGNMENTS = "read_id string, tag string, reference_name string, ref_start int, flag int, cigar string, query_seq string, quals array<int>, bc string, nm int"
 
 
 def find_fastqs(root: str, names: list[str], subfolder: str = "", select: str = "") -> list[str]:
-    """FASTQ files: names are files (each found exactly once below root) or folders, scanned in their subfolders."""
-    base = Path(root)
+    """FASTQ files: names are files (each found exactly once below root) or folders, scanned in their subfolders.
+
+    root is a local path or an address of any store that Arrow reaches; only names are listed.
+    """
+    store, inner = opened(root)
+    base = inner.rstrip("/") + "/"
+    below = [(i.path.removeprefix(base), i.is_file) for i in store.get_file_info(fs.FileSelector(base, recursive=True))]
+    full = lambda paths: [f"{root.rstrip('/')}/{p}" for p in sorted(paths)]
+    called = lambda path, name: f"/{path}".endswith(f"/{name.strip('/')}")
+    out = []
     if all(n.endswith(FASTQ_ENDINGS) for n in names):
-        out = []
         for n in names:
-            hits = sorted(base.rglob(n))
+            hits = [p for p, file in below if file and called(p, n)]
             if len(hits) != 1:
                 raise FileNotFoundError(f"{len(hits)} files named {n} below {root}")
-            out.append(str(hits[0]))
+            out += full(hits)
         return out
-    out = []
     for n in names:
-        folders = [p for p in base.rglob(n) if p.is_dir()]
+        folders = [p for p, file in below if not file and called(p, n)]
         if len(folders) != 1:
             raise FileNotFoundError(f"{len(folders)} folders named {n} below {root}")
-        wanted = [s for s in subfolder.split(",") if s] or ["."]
-        for sub in wanted:
-            places = [folders[0]] if sub == "." else [p for p in folders[0].rglob(sub.strip()) if p.is_dir()]
-            files = sorted(f for p in places for f in p.iterdir() if f.name.endswith(FASTQ_ENDINGS) and (not select or f.name == select))
+        for sub in [s.strip() for s in subfolder.split(",") if s.strip()] or ["."]:
+            inside = [folders[0]] if sub == "." else [p for p, file in below if not file and p.startswith(f"{folders[0]}/") and called(p, sub)]
+            files = [p for p, file in below if file and p.rpartition("/")[0] in inside and p.endswith(FASTQ_ENDINGS) and (not select or p.rpartition("/")[2] == select)]
             if not files:
                 raise FileNotFoundError(f"no FASTQ files in {n}/{sub}")
-            out.extend(map(str, files))
+            out += full(files)
     return out
 
 

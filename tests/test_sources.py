@@ -130,3 +130,20 @@ def test_a_failed_task_leaves_no_file(spark, tmp_path):
     with pytest.raises(Exception):
         writers.write_bam(df.withColumn("cigar", F.when(F.col("read_id") == "r77", "3Z").otherwise(F.col("cigar"))), f"{tmp_path}/worse", references)
     assert not os.path.isdir(f"{tmp_path}/worse") or os.listdir(f"{tmp_path}/worse") == []
+
+
+def test_fastqs_are_found_below_a_path_or_an_address(tmp_path):
+    for name in ("a/run1/fastq_pass/x.fastq", "a/run1/fastq_pass/y.fastq.gz", "a/run1/fastq_fail/z.fq", "a/run1/notes.md", "b/run2/w.fastq", "b/deep/only.fastq", "c/run3/.keep", "b/same.fq.gz", "c/same.fq.gz"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).touch()
+    for root in (str(tmp_path), f"file://{tmp_path}", f"{tmp_path}/"):
+        short = lambda found: [p.removeprefix(root.rstrip("/") + "/") for p in found]  # noqa: E731, B023
+        assert short(readers.find_fastqs(root, ["run1"], "fastq_pass, fastq_fail")) == ["a/run1/fastq_pass/x.fastq", "a/run1/fastq_pass/y.fastq.gz", "a/run1/fastq_fail/z.fq"]
+        assert short(readers.find_fastqs(root, ["run1"], "fastq_pass", "x.fastq")) == ["a/run1/fastq_pass/x.fastq"]
+        assert short(readers.find_fastqs(root, ["run2"])) == ["b/run2/w.fastq"] and short(readers.find_fastqs(root, ["only.fastq", "w.fastq"])) == ["b/deep/only.fastq", "b/run2/w.fastq"]
+        for wrong in (["run3"], ["run9"], ["same.fq.gz"], ["none.fastq"], ["run1"]):
+            with pytest.raises(FileNotFoundError):
+                readers.find_fastqs(root, wrong)
+    assert readers.choose_source({"fwdReads": "f", "runname": ["r"]}) == "fwdReads" and readers.choose_source({"runname": ["r"], "bs_project_ID": 1}) == "runname"
+    with pytest.raises(ValueError):
+        readers.choose_source({"runname": []})
