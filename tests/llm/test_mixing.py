@@ -109,3 +109,57 @@ def test_odd_rows_and_whole_documents(spark):
     words = sum(len(WORD.findall(r.text)) for r in whole.collect())
     assert abs(words - total) < 0.15 * total
     assert mixing.mix(docs.limit(0), weigh=mixing.rotating).count() == 0
+
+
+def test_sums_of_floors_and_counts_of_words_are_those_of_listed_blocks():
+    rnd = np.random.default_rng(5)
+    for _ in range(400):
+        n, m, a, b = (int(rnd.integers(lo, 60)) for lo in (0, 1, 0, 0))
+        got = mixing.floor_sums(*(np.array([x], np.int64) for x in (n, m, a, b)))
+        assert got[0] == sum((a * i + b) // m for i in range(n))
+    for _ in range(300):
+        width, blocks = int(rnd.integers(1, 6)), int(rnd.integers(1, 40))
+        size = width * blocks - int(rnd.integers(0, width))
+        step, shift = mixing._order("s", blocks, int(rnd.integers(0, 99)))
+        lo, hi = sorted(int(x) for x in rnd.integers(0, size + 1, 2))
+        reach = np.sort(rnd.integers(0, 3 * blocks + 1, 4))
+        want = [sum(((q - (w // width * step + shift) % blocks) + blocks - 1) // blocks for w in range(lo, hi)) for q in reach.tolist()]
+        got = mixing.words_taken([lo], [hi], [width], [blocks], [step], [shift], reach[None, :])
+        assert got[0].tolist() == want
+    # A text of 10^9 words in a line of 10^13: no block is listed, and half of the order takes about half of it.
+    blocks = 10**13 // 64
+    step, shift = mixing._order("s", blocks, 1)
+    half = mixing.words_taken([5 * 10**12], [5 * 10**12 + 10**9], [64], [blocks], [step], [shift], np.array([[blocks // 2, blocks]]))[0]
+    assert abs(half[0] - 5 * 10**8) < 10**7 and half[1] == 10**9
+
+
+def test_small_sources_come_near_their_targets(spark):
+    def check(sizes):
+        rows = [(k, "w " * n, f"s{k:02d}") for k, n in enumerate(sizes)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+        got = mixing.mix(docs, weigh=mixing.rotating).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert abs(r["__taken"] - r["__target"]) <= max(8, 0.1 * r["__target"]), r
+            assert 0 <= r["__taken"] <= 3 * r["__size"] and sum(r["__by_shard"]) == r["__taken"]
+
+    check([50] * 40)
+    check([30, 10, 25])
+    check([100_000, 3, 700, 20])
+
+
+def test_equal_rows_share_one_stretch(spark, monkeypatch):
+    rows = [(7, "same words here too", "a")] * 900 + [(i, "x y z", "b") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+
+    def run():
+        got = mixing.mix(docs, weigh=mixing.rotating, columns=["doc_id"]).collect()
+        assert len(got) == len(rows)
+        for size in (4, 3):
+            some = [r for r in got if r["__size"] == size]
+            assert abs(sum(r["__taken"] for r in some) - some[0]["__target"]) <= 64 and max(r["__taken"] for r in some) <= 3 * size
+        return sorted((r.doc_id, r["__taken"]) for r in got)
+
+    whole = run()
+    monkeypatch.setattr(mixing, "MANY_EQUAL", 100)
+    assert run() == whole
