@@ -46,9 +46,25 @@ _OPENINGS = (
     "all rights reserved", "licensed under", "released under", "spdx license identifier",
 )
 _OPENING = "(" + "|".join(p.replace(" ", "[^a-z0-9]+") for p in _OPENINGS) + ")"
+# Words of license texts that follow "copyright", and further phrases that end a notice paragraph.
+_NO_NOTICE = (
+    "and", "act", "disclaimer", "holder", "holders", "infringement", "interest", "interests", "is", "law", "laws", "license", "licenses",
+    "licence", "licences", "notice", "notices", "or", "owner", "owners", "protection", "rights", "statement", "statements", "treaty", "under",
+)
+_BEHIND = (
+    "distributed under", "this source code form", "this file is", "this work is", "this project is", "use of this source code",
+    "to the extent possible", "the above copyright notice", "licensees", "boost software license", "mit license", "the mit license",
+)
+_GOES_ON = "|".join(p.replace(" ", "[^a-z0-9P]+") for p in (*_OPENINGS, *_BEHIND) if p != "all rights reserved")
 # Fixed values: (pattern, replacement) of the canonical form, applied in this order to lower-case text; {1} is the first group.
+# A capital P, which lower-case text lacks, marks both ends of a blank stretch while notice paragraphs are dropped.
 STEPS = (
     (r"\r", ""),
+    (r"(\n[^a-z0-9]*\n)", "P{1}P"),
+    (r"copyright([^a-z0-9]+(?:" + "|".join(_NO_NOTICE) + r")\b)", "copyright-{1}"),
+    (r"(?:^|P)[^a-z0-9P]*copyright[ \t:,(©][^P]*?(" + _GOES_ON + r"|P|$)", "P {1}"),
+    (r"\n[^a-z0-9\nP]*copyright[ \t:,(©][^\nP]*(P|$)", "{1}"),
+    (r"P", ""),
     (_NOTICE + r"(?:[^\n]|\n[^\n]){0,300}?\n?" + _OPENING, " {1}"),
     (_NOTICE + r"[^\n]*", " "),
     (r"all[^a-z0-9]+rights[^a-z0-9]+reserved", " "),
@@ -253,13 +269,18 @@ distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
     "LGPL-2.1": ("SPDX-License-Identifier: LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1-only", "SPDX-License-Identifier: LGPL-2.1-or-later"),
     "LGPL-3.0": ("SPDX-License-Identifier: LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0-only", "SPDX-License-Identifier: LGPL-3.0-or-later"),
     "CC0-1.0": ("SPDX-License-Identifier: CC0-1.0",),
+    "EPL-2.0": ("SPDX-License-Identifier: EPL-2.0",),
+    "CC-BY-4.0": ("SPDX-License-Identifier: CC-BY-4.0", "Licensed under CC BY 4.0.", "This work is licensed under CC BY 4.0."),
+    "CC-BY-SA-4.0": ("SPDX-License-Identifier: CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0.", "This work is licensed under CC BY-SA 4.0."),
+    "BSD-4-Clause": ("SPDX-License-Identifier: BSD-4-Clause",),
+    "Python-2.0": ("SPDX-License-Identifier: Python-2.0", "SPDX-License-Identifier: PSF-2.0"),
 }
 
 # MD5 of the canonical forms of long licenses, entire and up to the end of their terms. All hold the word license.
 DIGESTS = {
     "Apache-2.0": ("df39b8d4fc3e54e48d722d79c1398b9a", "ce36663597a6b79e9551f08427dfcae0", "d1d3cdf041c0b67a6181241542e4537a"),
-    "GPL-1.0": ("e5fd842fec56252356c4b59ff4c25396", "dbf3c47f5a8f127e58d08cabc1ebb916", "21fa8693acc5194a648fe02e11f65a72"),
-    "GPL-2.0": ("cb1eb18b44b31180cc7a0abc196d0eb5", "08fc7904273686408e9b590734de5b14", "1e83b1b574a812bb7576a0263f6c43f4"),
+    "GPL-1.0": ("e5fd842fec56252356c4b59ff4c25396", "dbf3c47f5a8f127e58d08cabc1ebb916", "21fa8693acc5194a648fe02e11f65a72", "fc612179e94c9cb3923841860cfa9a4e", "afac96b8c62558cadd07811086828eb9", "ed18f57e6f8be34d9ff1e08bcf9104cb", "3aecf3f85b2a7e1cf719c688a1c214fa"),
+    "GPL-2.0": ("cb1eb18b44b31180cc7a0abc196d0eb5", "08fc7904273686408e9b590734de5b14", "1e83b1b574a812bb7576a0263f6c43f4", "67c1be874bd60f18ad25eef20e31722c"),
     "GPL-3.0": ("a76fdf9cb02340d2ac76e603fe1941d9", "444f95dc767ede978b60cfb20fbd0bca", "17e434cc6db7003444b088cb4cc81e91"),
     "LGPL-2.0": ("0a25d2aecfda735541d43229ff8080bd", "2ea042204e231b3b068b34aabcb576c6", "d752037074cd8d64e1f84d039d32252e"),
     "LGPL-2.1": ("289ba0a8647a7ad2647bd232a2712184", "779e2ace56e0d116674a950a1728889b", "3d336ae8378f651a02209b0a2d01c86d"),
@@ -291,16 +312,22 @@ def digest_of(text: str) -> str:
     return hashlib.md5(canonical_text(text).encode()).hexdigest()
 
 
-#: What a text must hold, one of each, for the steps up to the last to change it.
-_HELD = (("\r",), ("copyright", "(c)", "©"), ("copyright", "(c)", "©"), ("rights",), ("licence",), ("sub-",), ("non-",), ("merchantibility",), ("http",))
+#: (number of steps, what a text must hold, one of it, for these steps to change it), up to the last step.
+_HELD = (
+    (1, ("\r",)), (5, ("copyright",)), (2, ("copyright", "(c)", "©")), (1, ("rights",)), (1, ("licence",)), (1, ("sub-",)), (1, ("non-",)),
+    (1, ("merchantibility",)), (1, ("http",)),
+)
 
 
 def with_canonical(docs: DataFrame, text: Column, name: str) -> DataFrame:
     """docs with the canonical form; steps that cannot change a text are not tried on it."""
-    out = docs.withColumn(name, F.lower(text))
-    for (pattern, new), held in zip(STEPS, _HELD, strict=False):
+    out, at = docs.withColumn(name, F.lower(text)), 0
+    for steps, held in _HELD:
         some = reduce(Column.__or__, (F.contains(F.col(name), F.lit(h)) for h in held))
-        out = out.withColumn(name, F.when(some, F.regexp_replace(name, pattern, new.replace("{1}", "$1"))).otherwise(F.col(name)))
+        changed = F.col(name)
+        for pattern, new in STEPS[at : at + steps]:
+            changed = F.regexp_replace(changed, pattern, new.replace("{1}", "$1"))
+        out, at = out.withColumn(name, F.when(some, changed).otherwise(F.col(name))), at + steps
     return out.withColumn(name, F.trim(F.regexp_replace(name, *STEPS[-1])))
 
 

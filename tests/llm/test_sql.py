@@ -76,8 +76,29 @@ def test_stock_files(spark):
     assert got == {1: ("MIT", []), 2: ("BSD-3-Clause", []), 3: (None, []), 4: (None, ["MIT"])}
 
 
+def test_notices_without_a_year_and_long_ones(spark):
+    mit, bsd = licenses.KNOWN["MIT"][0], licenses.KNOWN["BSD-3-Clause"][0]
+    ten = "Copyright (c) 2020 " + ",\n".join(f"A Very Long Holder Name, Number {i}, of Somewhere" for i in range(10))
+    found = [
+        ("Copyright Joe Bloggs and contributors. All rights reserved.\n\n" + mit, "MIT"), ("Copyright The Foo Authors.\n\n" + bsd, "BSD-3-Clause"),
+        ("MIT License\nCopyright Joe Bloggs\n\n" + mit, "MIT"), (ten + "\n\n" + mit, "MIT"), (ten + "\n" + mit, "MIT"),
+        ("Copyright A. All rights reserved.\nCopyright B.\n\nCopyright C\n" + mit, "MIT"),
+        (" * Copyright The Foo Authors.\n *\n" + textwrap.indent(textwrap.fill(mit, 70), " * "), "MIT"),
+        ("Copyright The Foo Authors " + "x" * 200_000 + "\n\n" + mit, "MIT"), ("Copyright X\n" + "line\n" * 50_000 + "\n" + mit, "MIT"),
+        (mit + "\n\nCopyright holders must be paid.", None), ("Copyright Joe\n\nPay me.\n\n" + mit, None),
+        ("Copyright Joe\n\n" + mit.replace("COPYRIGHT HOLDERS", ""), None), ("Copyright Joe Bloggs", None),
+    ]
+    found += [("Copyright 2020 The X Authors\n" + t, name) for name, texts in licenses.KNOWN.items() for t in texts]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(found)], "doc_id long, text string")
+    got = {r.doc_id: r["__license"] for r in licenses.scan(docs).collect()}
+    assert [got[i] for i in range(len(found))] == [n for _, n in found]
+    table, con = docs.toPandas(), duckdb.connect()
+    con.register("documents", table)
+    assert dict(con.execute(f"SELECT doc_id, license FROM ({licenses.oracle()})").fetchall()) == got
+
+
 def test_long_licenses_are_known_by_digest(spark):
-    folder, files = "/usr/share/common-licenses", {"Apache-2.0": "Apache-2.0", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    folder, files = "/usr/share/common-licenses", {"Apache-2.0": "Apache-2.0", "GPL-1.0": "GPL-1", "GPL-2.0": "GPL-2", "GPL-3.0": "GPL-3", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
     if not all(os.path.exists(f"{folder}/{f}") for f in files.values()):
         pytest.skip("no license files on this machine")
     texts = {n: open(f"{folder}/{f}").read() for n, f in files.items()}
