@@ -89,7 +89,10 @@ def word_slices(column: pa.Array, punctuation: bool = False) -> Iterator[Words]:
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE, "right")) - 1)
-        yield _slice(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], first, last, blank)
+        if last == first + 1 and offsets[last] - offsets[first] > SLICE:
+            yield _long(data[offsets[first] : offsets[last]], first, blank)
+        else:
+            yield _slice(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], first, last, blank)
         first = last
 
 
@@ -112,11 +115,40 @@ def _slice(raw: np.ndarray, offsets: np.ndarray, first: int, last: int, blank: n
     np.cumsum(_VALUES[raw] * power[:n], out=sums[1:])
     hashes = mix64((sums[stop] - sums[start]) * inverse[start])
     for k in np.flatnonzero(stop - start > LONGEST).tolist():
-        word = _LOWER[raw[start[k] : stop[k]]].tobytes()
-        hashes[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        hashes[k] = _digest(raw[start[k] : stop[k]])
     return Words(first, last, hashes, np.searchsorted(start, offsets), _LOWER[raw[stop - 1]])
 
 
+def _long(raw: np.ndarray, first: int, blank: np.ndarray) -> Words:
+    """The words of one long row, read in parts that end at blanks; what a part needs beside its words is freed after it."""
+    parts, at, n = [], 0, len(raw)
+    while at < n:
+        end = stop = min(n, at + SLICE)
+        while stop < n:
+            some = np.flatnonzero(blank[raw[stop : stop + SLICE]])
+            stop += int(some[0]) if len(some) else min(SLICE, n - stop)
+            if len(some):
+                break
+        if stop - end > LONGEST:
+            some = np.flatnonzero(blank[raw[at:end]])
+            cut = at + int(some[-1]) + 1 if len(some) else at
+            parts += [_slice(raw[at:cut], np.array([0, cut - at]), 0, 1, blank), _one(raw[cut:stop])]
+        else:
+            parts.append(_slice(raw[at:stop], np.array([0, stop - at]), 0, 1, blank))
+        at = stop
+    hashes = np.concatenate([p.hashes for p in parts])
+    return Words(first, first + 1, hashes, np.array([0, len(hashes)]), np.concatenate([p.tails for p in parts]))
+
+
+def _digest(word: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(_LOWER[word].tobytes(), digest_size=8).digest(), "little")
+
+
+def _one(word: np.ndarray) -> Words:
+    """A row that is one word longer than LONGEST."""
+    return Words(0, 1, np.array([_digest(word)], _U), np.array([0, 1]), _LOWER[word[-1:]])
+
+
 def word_hashes(text: str, punctuation: bool = False) -> np.ndarray:
     """The words of one text."""
     return np.concatenate([w.hashes for w in word_slices(pa.array([text]), punctuation)] or [np.zeros(0, _U)])

@@ -20,7 +20,9 @@ every round.
 
 *Scoring.* The scaled forward recursion gives the exact likelihood. Texts are
 cut into pieces of ``PIECE`` tokens whose transfer matrices are multiplied for
-all pieces at once and then chained, which is the same product regrouped.
+all pieces at once and then chained, which is the same product regrouped. A text of
+more than ``TOKENS`` tokens is worked off in runs of so many: the state is carried
+from run to run, in training also back, so that the tables of one run are held.
 
 Defined cases: null and empty texts are one end token. Without training texts
 every count is 0 and all words are equally likely in every state. Repeated
@@ -39,6 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandframe.llm._names import col
 from strandframe.llm._store import Scratch
 from strandframe.llm._words import text_buffers, word_slices
 
@@ -48,11 +51,12 @@ PIECE, RESCALE = 64, 8
 TOKENS = 1 << 17
 TAILS = 256
 START_ROUNDS = 12
+MOST_TASKS = 4096
 
 
 def held_out(id_col: str, parts: int = 7, part: int = 2):
     """Whether a row is kept from learning: crc32 of the id as text. Null ids are not."""
-    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts)) == part, F.lit(False))
+    return F.coalesce(F.pmod(F.crc32(col(id_col).cast("string").cast("binary")), F.lit(parts)) == part, F.lit(False))
 
 
 def token_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -141,7 +145,7 @@ def count_words(train: DataFrame, text_col: str) -> DataFrame:
                 tails = np.concatenate([p[1] for p in parts])[first]
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(tails, pa.int16()), pa.array(c, pa.int64())], ["h", "tail", "c"])
 
-    rows = train.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "h long, tail short, c long")
+    rows = train.select(col(text_col).cast("string").alias("text")).mapInArrow(run, "h long, tail short, c long")
     return rows.groupBy("h").agg(F.min("tail").alias("tail"), F.sum("c").alias("c"))
 
 
@@ -226,8 +230,11 @@ class Lattice:
         """Scaled emissions of the t-th tokens of all pieces."""
         return self.emitted[:, self.at[t] : self.at[t + 1]]
 
-    def forward(self) -> np.ndarray:
-        """Natural log-likelihood of every document."""
+    def forward(self, enter: np.ndarray | None = None) -> np.ndarray:
+        """Natural log-likelihood of every document; enter: (S, 1) shares of the states before a lone document's tokens.
+
+        ``left`` are those behind them.
+        """
         s, move = len(self.model.start), self.model.move.T
         self.transfer, logs = np.empty((s, s, self.pieces)), np.zeros(self.pieces)  # (to, from, piece)
         now = move[:, :, None] * self.step(0)[:, None, :]
@@ -242,7 +249,7 @@ class Lattice:
                 logs[:a] += np.log(top)
         self.transfer[:, :, : now.shape[2]] = now
         self.entering = np.empty((s, self.pieces))
-        v = np.repeat(self.model.start[:, None], len(self.docs), axis=1)
+        v = np.repeat(self.model.start[:, None], len(self.docs), axis=1) if enter is None else enter.copy()
         out = np.zeros(len(self.docs))
         for at in self.chain:
             n = len(at)
@@ -251,15 +258,18 @@ class Lattice:
             total = w.sum(axis=0)
             v[:, :n] = w / total
             out[:n] += np.log(total) + logs[at]
-        result = np.empty(len(self.docs))
+        self.left, result = v, np.empty(len(self.docs))
         result[self.docs] = out
         return result + self.log_top
 
-    def expected(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected counts of starts (S,), moves (S, S) and emissions (classes, S)."""
-        self.forward()
+    def expected(self, enter: np.ndarray | None = None, after: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Expected counts of starts (S,), moves (S, S) and emissions (classes, S).
+
+        after: (S, 1) what follows a lone document's tokens says of the state behind them; ``before`` is the same of the state before them.
+        """
+        self.forward(enter)
         move, s = self.model.move, len(self.model.start)
-        leaving, beta = np.ones((s, self.pieces)), np.ones((s, len(self.docs)))
+        leaving, beta = np.ones((s, self.pieces)), np.ones((s, len(self.docs))) if after is None else after.copy()
         for at in reversed(self.chain):
             n = len(at)
             leaving[:, at] = beta[:, :n]
@@ -287,13 +297,39 @@ class Lattice:
             b /= b.sum(axis=0)
             beta[:, :a] = b
         at = self.chain[0]
-        post = self.entering[:, at] * beta[:, at]
+        self.before = beta[:, at]
+        post = self.entering[:, at] * self.before
         starts = (post / post.sum(axis=0)).sum(axis=1)
         n = len(self.model.emit)
         emits = np.stack([np.bincount(self.classes, weights=seen[k], minlength=n) for k in range(s)], axis=1)
         return starts, moves * move, emits
 
 
+def runs(tokens: int, bounds: np.ndarray) -> list[slice]:
+    """Of a slice's tokens: all at once, or, of a lone long document, TOKENS at a time."""
+    step = TOKENS if len(bounds) == 2 else max(1, tokens)
+    return [slice(at, min(at + step, tokens)) for at in range(0, tokens, step)]
+
+
+def expected_counts(model: Model, classes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lattice.expected, of a lone long document run by run: the states forward, then the counts backward."""
+    parts = runs(len(classes), bounds)
+    if len(parts) == 1:
+        return Lattice(model, classes.astype(np.int64), bounds).expected()
+    enters, after = [model.start[:, None]], None
+    lattice_of = lambda part: Lattice(model, classes[part].astype(np.int64), np.array([0, part.stop - part.start]))
+    for part in parts[:-1]:
+        lattice = lattice_of(part)
+        lattice.forward(enters[-1])
+        enters.append(lattice.left)
+    moves, emits = 0.0, 0.0
+    for part, enter in zip(reversed(parts), reversed(enters), strict=True):
+        lattice = lattice_of(part)
+        starts, m, e = lattice.expected(enter, after)
+        moves, emits, after = moves + m, emits + e, lattice.before
+    return starts, moves, emits
+
+
 def reestimate(starts, moves, emits, prior: np.ndarray, strength: float = 200.0) -> Model:
     emits = emits + strength * prior[:, None]
     moves, starts = moves + 0.1, starts + 0.1
@@ -320,11 +356,13 @@ def encode(train: DataFrame, text_col: str, words: Vocabulary) -> DataFrame:
         words = shared.value
         for batch in batches:
             for _, _, h, t, b in token_slices(batch.column(0)):
-                codes = words.classes(words.table.find(h), t).astype(kind)
+                codes = np.empty(len(h), kind)
+                for part in runs(len(h), b):
+                    codes[part] = words.classes(words.table.find(h[part]), t[part])
                 offsets = pa.py_buffer((b * kind.itemsize).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), len(b) - 1, [None, offsets, pa.py_buffer(codes)])], ["codes"])
 
-    return train.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "codes binary")
+    return train.select(col(text_col).cast("string").alias("text")).mapInArrow(run, "codes binary")
 
 
 def code_slices(column: pa.Array, kind: np.dtype) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -334,7 +372,7 @@ def code_slices(column: pa.Array, kind: np.dtype) -> Iterator[tuple[np.ndarray,
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + TOKENS * kind.itemsize, "right")) - 1)
         part = np.frombuffer(data[offsets[first] : offsets[last]].tobytes(), kind)
-        yield part.astype(np.int64), (offsets[first : last + 1] - offsets[first]) // kind.itemsize
+        yield part, (offsets[first : last + 1] - offsets[first]) // kind.itemsize
         first = last
 
 
@@ -348,7 +386,7 @@ def baum_welch(coded: DataFrame, words: Vocabulary, model: Model) -> Model:
         total = np.zeros((size + 1 + states, states))
         for batch in batches:
             for classes, b in code_slices(batch.column(0), kind):
-                starts, moves, emits = Lattice(model, classes, b).expected()
+                starts, moves, emits = expected_counts(model, classes, b)
                 total[:size] += emits
                 total[size] += starts
                 total[size + 1 :] += moves
@@ -356,6 +394,8 @@ def baum_welch(coded: DataFrame, words: Vocabulary, model: Model) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *(pa.array(total[some, k]) for k in range(states))], names)
 
     names = ["row", *(f"s{k}" for k in range(states))]
+    # A task sends up to a row per class: fewer, longer tasks where there are far more partitions than cores.
+    coded = coded.coalesce(max(MOST_TASKS, 4 * context.defaultParallelism))
     rows = coded.mapInArrow(run, "row int, " + ", ".join(f"{n} double" for n in names[1:]))
     got = rows.groupBy("row").agg(*(F.sum(n).alias(n) for n in names[1:])).collect()
     shared.unpersist()
@@ -400,16 +440,20 @@ def score(
         serial = TaskContext.get().partitionId() << 40
         for batch in batches:
             for first, last, h, t, b in token_slices(batch.column(2)):
-                ranks = words.table.find(h)
-                classes = words.classes(ranks, t)
-                own = np.where(ranks >= 0, known[np.maximum(ranks, 0)], 0.0)
-                in_class = classes >= words.symbols
-                hmm = Lattice(model, classes, b).forward() / math.log(10)
-                hmm += np.add.reduceat(np.where(in_class, own - inside[t], 0.0), b[:-1])
-                found = np.add.reduceat((ranks >= 0).astype(np.int64), b[:-1]) if words.tokens else np.zeros(last - first, np.int64)
-                n = np.diff(b)
-                base = np.add.reduceat(own, b[:-1]) - n * per_token
-                rest = ranks < 0
+                n, per_run, enter = np.diff(b), [], None
+                for part in runs(len(h), b):
+                    ranks = words.table.find(h[part])
+                    classes = words.classes(ranks, t[part])
+                    own = np.where(ranks >= 0, known[np.maximum(ranks, 0)], 0.0)
+                    begins = b[:-1] - part.start if part.stop - part.start == len(h) else np.zeros(1, np.int64)
+                    lattice = Lattice(model, classes, np.append(begins, len(classes)))
+                    hmm = lattice.forward(enter) / math.log(10)
+                    hmm += np.add.reduceat(np.where(classes >= words.symbols, own - inside[t[part]], 0.0), begins)
+                    per_run.append((hmm, np.add.reduceat(own, begins), np.add.reduceat((ranks >= 0).astype(np.int64), begins), ranks < 0))
+                    enter = lattice.left
+                hmm, base, found = (sum(r[k] for r in per_run) for k in range(3))
+                base, found = base - n * per_token, found if words.tokens else np.zeros(last - first, np.int64)
+                rest = np.concatenate([r[3] for r in per_run])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(serial + np.arange(last - first)), batch.column(0).slice(first, last - first), batch.column(1).slice(first, last - first),
@@ -420,7 +464,7 @@ def score(
                 )
                 serial += last - first
 
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), out_of.alias("out"), F.col(text_col).cast("string").alias("text"))
+    slim = docs.select(col(id_col).cast("long").alias("id"), out_of.alias("out"), col(text_col).cast("string").alias("text"))
     local = scratch.save(
         slim.mapInArrow(run, "row long, id long, out boolean, n long, found long, base double, hmm double, rare array<long>"), "local"
     )

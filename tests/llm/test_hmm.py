@@ -136,3 +136,50 @@ def test_every_round_covers_all_training_texts(spark):
         want = hmm.reestimate(*(sum(x) for x in zip(*sums, strict=True)), words.prior())
     got = hmm.fit(train, "text", words, 3, 4, hmm.Scratch(spark, "hmm"))
     assert np.allclose(got.start, want.start) and np.allclose(got.move, want.move) and np.allclose(got.emit, want.emit)
+
+
+def test_long_texts_are_worked_off_in_runs(spark, monkeypatch):
+    model, rnd = tiny_model(), np.random.default_rng(6)
+    classes = rnd.integers(0, 40, 1000)
+    bounds = np.array([0, 1000])
+    want = plain_forward(model, classes)
+    monkeypatch.setattr(hmm, "TOKENS", 96)
+    assert len(hmm.runs(1000, bounds)) == 11 and len(hmm.runs(1000, np.array([0, 400, 1000]))) == 1
+    for got, right in zip(hmm.expected_counts(model, classes.astype(np.uint16), bounds), want[1:], strict=True):
+        assert np.allclose(got, right, rtol=1e-9)
+
+
+def test_long_texts_score_as_short_runs_do(spark):
+    rnd = np.random.default_rng(8)
+    long = " ".join(f"w{x}" for x in rnd.integers(0, 3000, 400_000))
+    rows = [(1, long), (2, "w1 w2"), (3, None), (4, "x" * 3_000_000 + " w1"), (9, long[:5000])]
+    got = check_scores(spark, rows, passes=-10, lookup=1000, symbols=500)
+    assert got[1].n_tokens == 400_001 and all(math.isfinite(r.score) for r in got.values())
+    model, classes = tiny_model(), rnd.integers(0, 40, 300_000)
+    enter, total = None, 0.0
+    for part in hmm.runs(len(classes), np.array([0, len(classes)])):
+        lattice = hmm.Lattice(model, classes[part], np.array([0, part.stop - part.start]))
+        total, enter = total + lattice.forward(enter)[0], lattice.left
+    assert math.isclose(total, hmm.Lattice(model, classes, np.array([0, len(classes)])).forward()[0], rel_tol=1e-9)
+
+
+def test_memory_of_a_long_text_is_bounded():
+    import tracemalloc
+
+    model, tokens = tiny_model(4, 300), 3_000_000
+    text = pa.array([" ".join(["alpha", "beta", "gamma delta"] * (tokens // 4))], pa.large_string())
+    tracemalloc.start()
+    for _, _, h, t, b in hmm.token_slices(text):
+        before = tracemalloc.get_traced_memory()[0]
+        tracemalloc.reset_peak()
+        hmm.expected_counts(model, (h % np.uint64(300)).astype(np.uint16), b)
+        beside = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert len(h) == tokens + 1 and beside < 110e6
+    model_bytes = beside  # what a run needs does not grow with the text; 20 million tokens hold 20 * 10^6 * 19 bytes beside it
+    assert model_bytes + 20e6 * 19 < 1e9
+
+
+def test_columns_with_dots(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "`the.id` long, `the.text` string")
+    assert {r[0]: r.n_tokens for r in hmm.score(docs, "the.id", "the.text", passes=-11).collect()} == {1: 3, 2: 1}
