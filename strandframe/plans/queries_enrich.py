@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandframe.functions import seq as S
-from strandframe.operators import distances, diversity, enrich, rates, stats, variants
+from strandframe.operators import distances, diversity, enrich, manifold, rates, stats, variants
 from strandframe.operators.common import keep_quantile, label_union, runs
 from strandframe.operators.sampling import weighted_sample
 from strandframe.plans import synthetic as T
@@ -404,6 +404,16 @@ def genotype_pca(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diversity.embed(_geno(spark, sf_dir)).select("id", "PCA1", "PCA2")
 
 
+def genotype_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest others of every genotype, by descent over a neighbour graph."""
+    return manifold.neighbours(_geno(spark, sf_dir), by=()).select("id", "neighbour", "distance")
+
+
+def genotype_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The genotypes in the plane, neighbours kept together."""
+    return manifold.embed(_geno(spark, sf_dir), by=()).select("id", "EMB1", "EMB2")
+
+
 QUERIES = {
     f.__name__: (f, sql)
     for f, sql in (
@@ -413,6 +423,6 @@ QUERIES = {
         (consensus, CONSENSUS), (hamming_distribution, _distances("a.n_reads * b.n_reads")), (hamming_distribution_compat, _distances("a.n_reads")), (moi_labels, MOI),
         (conspicuous_positions, CONSPICUOUS), (deletion_runs, RUNS), (mutation_rate_regr, RATE), (mutation_rate_p, None), (mutation_rate_summary, RATE_SUMMARY),
         (mutation_spectrum, SPECTRUM), (melt, MELT), (union_label, UNION), (reference_abundance, ABUNDANCE), (point_sizes, SIZES), (throughput, THROUGHPUT),
-        (log_fractions, FRACTIONS), (sampled_genotypes, SAMPLED), (genotype_pca, None),
+        (log_fractions, FRACTIONS), (sampled_genotypes, SAMPLED), (genotype_pca, None), (genotype_neighbours, None), (genotype_embedding, None),
     )
 }
