@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandframe.functions import seq as S
-from strandframe.operators import diversity, explore, variants
+from strandframe.operators import diversity, explore, selections, variants
 from strandframe.plans import synthetic as T
 from strandframe.plans.queries_sequence import CALLS, _called
 
@@ -22,6 +22,21 @@ SELECTED = CALLS + """SELECT CASE WHEN wild THEN 'wildtype' ELSE genotype_rank::
 WHERE reference_name = 'refA' AND NT_substitutions_count BETWEEN 1 AND 2 AND "count" >= 5 AND NT_insertions = '' AND NT_deletions = ''"""
 
 
+def indexed_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Genotypes changed in the first or second ten positions but not in the next ten, by bitmaps of letters and labels."""
+    g = variants.genotypes(_called(spark, sf_dir)).withColumn("points", diversity.parse_genotype(F.col("NT_substitutions")))
+    built = selections.index(g, ("reference_name", "NT_insertions"), "called")
+    ten = lambda k: [selections.letter(p, c) for p in range(k, k + 10) for c in "ACGT"]
+    having = [[*ten(0), *ten(10)], [selections.label("NT_insertions", "")]]
+    chosen = built.select(having, ten(20)).select("reference_name", "NT_substitutions", "NT_deletions", "count")
+    # How many there are, by the bitmaps alone, beside each.
+    return chosen.join(F.broadcast(built.count(having, ten(20)).withColumnRenamed("n", "selected")), F.lit(True), "left")
+
+
+INDEXED = CALLS + """SELECT reference_name, NT_substitutions, NT_deletions, "count", count(*) OVER () AS selected FROM ranked
+WHERE NT_insertions = '' AND regexp_matches(NT_substitutions, '(^|, )[A-Z]([1-9]|1[0-9]|20)[ACGT](,|$)') AND NOT regexp_matches(NT_substitutions, '(^|, )[A-Z](2[1-9]|30)[ACGT](,|$)')"""
+
+
 def sequence_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads behind the genotypes of every reference."""
     return explore.count_sequences(variants.genotypes(_called(spark, sf_dir)), ["reference_name"])
@@ -85,7 +100,7 @@ PARTITIONS = "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n
 QUERIES = {
     f.__name__: (f, sql)
     for f, sql in (
-        (selected_genotypes, SELECTED), (sequence_counts, COUNTS), (read_summary, SUMMARY), (traced_reads, TRACED), (position_profile, PROFILE),
+        (selected_genotypes, SELECTED), (indexed_selection, INDEXED), (sequence_counts, COUNTS), (read_summary, SUMMARY), (traced_reads, TRACED), (position_profile, PROFILE),
         (integer_encoding, ENCODING), (demux_partitions, PARTITIONS),
     )
 }

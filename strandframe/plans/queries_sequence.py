@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandframe.functions import seq as S
 from strandframe.scratch import Scratch
 from strandframe.operators import stats, variants
-from strandframe.operators.common import distribution
+from strandframe.operators.common import distribution, ranked
 from strandframe.plans import synthetic as T
 
 MIN_Q = 14
@@ -271,9 +271,10 @@ def longest_orf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier names as bc1..bcN in natural order."""
     d = T.table(spark, sf_dir, "supplier").select(F.concat(F.lit("bc"), F.col("s_suppkey").cast("string")).alias("name"))
-    from pyspark.sql.window import Window
-
-    return d.select("name", F.row_number().over(Window.orderBy(S.natural_key(F.col("name")))).cast("long").alias("place"))
+    # Letters, then the length of the number and its first digits: names are numbered in the runs that these make.
+    number = F.regexp_replace("name", r"^\D*0*", "")
+    coarse = [F.regexp_extract("name", r"^\D*", 0), F.length(number), F.substring(number, 1, 3)]
+    return ranked(d, [], coarse, [S.natural_key(F.col("name"))], "place").select("name", "place")
 
 
 NATURAL = "SELECT 'bc' || s_suppkey AS name, row_number() OVER (ORDER BY s_suppkey) AS place FROM supplier"
