@@ -37,8 +37,8 @@ def apply_genotype(ref: Column, points: Column) -> Column:
 
 def call_mutations(seqs: DataFrame, ref_col: str = "ref", seq_col: str = "seq", by: tuple[str, ...] = ("id",)) -> DataFrame:
     """(by, substitutions, deletions) of aligned sequences of reference length; both 1-based."""
-    pairs = F.arrays_zip(S.chars(F.col(ref_col)).alias("w"), S.chars(F.col(seq_col)).alias("m"))
-    rows = seqs.select(*by, F.posexplode(pairs).alias("pos", "x")).filter("x.w != x.m")
+    pairs = F.transform(F.arrays_zip(S.chars(F.col(ref_col)).alias("w"), S.chars(F.col(seq_col)).alias("m")), lambda x, i: F.struct(i.alias("pos"), x["w"].alias("w"), x["m"].alias("m")))
+    rows = seqs.select(*by, F.explode(F.filter(pairs, lambda x: x["w"] != x["m"])).alias("x")).withColumn("pos", F.col("x.pos"))
     item = F.concat("x.w", (F.col("pos") + 1).cast("string"), "x.m")
     ordered = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(c)), lambda x: x["t"]), ", ")
     subs = rows.filter("x.m != '-'").groupBy(*by).agg(ordered(F.struct("pos", item.alias("t"))).alias("substitutions"))

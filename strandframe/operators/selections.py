@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandframe.operators.common import ranked
-from strandframe.scratch import shared_dir
+from strandframe.scratch import Scratch, shared_dir
 
 #: Runs of rows that are numbered for themselves.
 RUNS = 4096
@@ -98,10 +98,14 @@ def index(genotypes: DataFrame, labels: tuple[str, ...] = (), name: str = "genot
     key = "\n".join((of or version(genotypes), *labels, "", genotypes.schema.json()))
     root = f"{shared_dir(spark)}/index-{name}-{sha256(key.encode()).hexdigest()[:32]}"
     if not _there(spark, f"{root}/bitmaps/_SUCCESS"):
+        # Written once: numbering and sorting read their input several times.
+        scratch = Scratch(spark, "selections")
+        genotypes = scratch.save(genotypes)
         whole = F.xxhash64(F.to_json(F.struct(*(F.col(f"`{c}`") for c in genotypes.columns))))
         placed = ranked(genotypes, [], [F.pmod(whole, F.lit(RUNS))], [whole], "__n")
         placed = placed.withColumns({"__bucket": F.expr("bitmap_bucket_number(__n)"), "__place": F.expr("bitmap_bit_position(__n)")})
         placed.repartitionByRange("__bucket").sortWithinPartitions("__bucket").write.mode("overwrite").parquet(f"{root}/rows")
+        scratch.drop(0)
         stored = spark.read.parquet(f"{root}/rows")
         changed = F.transform(F.filter("points", lambda p: p["pos"].isNotNull() & p["mut"].isNotNull()), lambda p: F.concat(F.lit("@"), p["pos"].cast("string"), F.lit(":"), p["mut"]))
         named = [F.when(F.col(f"`{c}`").isNull(), F.lit(f"#{c}!")).otherwise(F.concat(F.lit(f"#{c}="), F.col(f"`{c}`").cast("string"))) for c in labels]
