@@ -41,6 +41,8 @@ K, W, MARGIN = 11, 5, 48
 SPACED = (tuple(range(7)), (0, 1, 2, 3, 4, 5, 6, 8, 9, 10))
 #: Chains of a read that score this share of its best are extended; seeds that a chain looks back over; cells worked off at once.
 NEAR, LOOK_BACK, CELLS = 0.6, 64, 1 << 24
+#: Letters whose seeds are found at once, and diagonals besides those from corner to corner that are tried first.
+TEXT, CLOSE = 1 << 20, 12
 #: A word that a reference holds more often is no seed (low complexity); such reads meet by their other words, or in full.
 REPEATS = 64
 _LOW = np.int32(-(1 << 28))
@@ -90,22 +92,43 @@ def minimizers(value: np.ndarray, places: np.ndarray, w: int) -> tuple[np.ndarra
     return value[least], places[least]
 
 
+def seeds(texts: list[str], patterns: tuple[tuple[int, ...], ...], w: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, word, place) of the minimizers of texts. They are laid end to end, with unknown bases between that no word spans."""
+    between = "-" * (max(p[-1] for p in patterns) + 1)
+    bases = codes(between.join(texts))
+    begins = np.cumsum([0] + [len(t) + len(between) for t in texts])[:-1]
+    rows, found, at = [], [], []
+    for number, offsets in enumerate(patterns):
+        value, places = words(bases, offsets)
+        row = np.searchsorted(begins, places, "right") - 1
+        keep = np.ones(len(value), bool)
+        if w > 1 and len(value):
+            # As minimizers does for one text; the words of a text with w or fewer all stay.
+            keep = np.bincount(row, minlength=len(texts))[row] <= w
+            if len(value) > w:
+                hashed = (value * np.int64(0x2545F4914F6CDD1D)) >> 20
+                within = np.flatnonzero(row[: len(row) - w + 1] == row[w - 1 :])
+                keep[np.lib.stride_tricks.sliding_window_view(hashed, w)[within].argmin(axis=1) + within] = True
+        rows.append(row[keep])
+        found.append(value[keep] * len(patterns) + number)
+        at.append((places - begins[row])[keep])
+    return np.concatenate(rows), np.concatenate(found), np.concatenate(at)
+
+
 def _seeds(df: DataFrame, patterns: tuple[tuple[int, ...], ...], w: int) -> DataFrame:
     """(id, strand, word, place) of texts (id, strand, seq)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, found, at = [], [], []
-            for row, text in enumerate(batch.column(2).to_pylist()):
-                bases = codes(text or "")
-                for number, offsets in enumerate(patterns):
-                    value, places = minimizers(*words(bases, offsets), w)
-                    rows.append(np.full(len(value), row))
-                    found.append(value * len(patterns) + number)
-                    at.append(places)
-            take = pa.array(np.concatenate(rows)) if rows else pa.array([], pa.int64())
-            out = [batch.column(0).take(take), batch.column(1).take(take), pa.array(np.concatenate(found or [np.zeros(0, np.int64)])), pa.array(np.concatenate(at or [np.zeros(0, np.int64)]).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(out, ["id", "strand", "word", "place"])
+            texts = [t or "" for t in batch.column(2).to_pylist()]
+            lo, room = 0, 0
+            for hi, text in enumerate(texts, 1):
+                room += len(text)
+                if room > TEXT or hi == len(texts):
+                    rows, found, at = seeds(texts[lo:hi], patterns, w)
+                    take = pa.array(rows + lo)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(found), pa.array(at.astype(np.int32))], ["id", "strand", "word", "place"])
+                    lo, room = hi, 0
 
     return df.select("id", "strand", "seq").mapInArrow(run, "id string, strand string, word long, place int")
 
@@ -132,6 +155,23 @@ def chain(r: np.ndarray, q: np.ndarray, size: int) -> tuple[int, int, int]:
     return score, int(low), int(high)
 
 
+def chains(ends: np.ndarray, r: np.ndarray, q: np.ndarray, size: int) -> list[np.ndarray]:
+    """Scores, lowest and highest diagonals of the chains of many lists of seeds. Where all lie on one diagonal they all follow each other."""
+    first, n = ends[:-1], np.diff(ends)
+    row = np.repeat(np.arange(len(n)), n)
+    r, q = r[ends[0] : ends[-1]].astype(np.int64), q[ends[0] : ends[-1]].astype(np.int64)
+    order = np.lexsort((r, row))
+    diagonal, at = r - q, r[order]
+    step = np.zeros(len(r), np.int64)
+    step[1:] = np.where(row[1:] == row[:-1], np.minimum(np.diff(at), size), 0)
+    starts = first - ends[0]
+    score, low, high = size + np.add.reduceat(step, starts), np.minimum.reduceat(diagonal, starts), np.maximum.reduceat(diagonal, starts)
+    for k in np.flatnonzero(low != high):
+        a, b = starts[k], starts[k] + n[k]
+        score[k], low[k], high[k] = chain(r[a:b], q[a:b], size)
+    return [score, low, high]
+
+
 def _chains(anchors: DataFrame, size: int) -> DataFrame:
     """(read_id, strand, reference_name, chain, lo, hi) of the seeds shared."""
     names = ["read_id", "strand", "reference_name", "chain", "lo", "hi"]
@@ -142,8 +182,7 @@ def _chains(anchors: DataFrame, size: int) -> DataFrame:
             ends = lists.offsets.to_numpy()
             pairs = lists.values
             r, q = (pairs.field(k).to_numpy() for k in (0, 1))
-            done = [chain(r[a:b], q[a:b], size) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            found = [pa.array(c, pa.int32()) for c in zip(*done, strict=True)] if done else [pa.array([], pa.int32())] * 3
+            found = [pa.array(c.astype(np.int32)) for c in chains(ends, r, q, size)] if len(batch) else [pa.array([], pa.int32())] * 3
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *found], names)
 
     met = anchors.groupBy("read_id", "strand", "reference_name").agg(F.collect_list(F.struct("rpos", "qpos")).alias("pairs"))
@@ -265,6 +304,38 @@ def extend(jobs: list[tuple[np.ndarray, np.ndarray, int, int]], scores: Scores,
     bonus, ``global`` spans both sides. Score 0 and ``*`` where nothing aligns.
     """
     out: list = [None] * len(jobs)
+    if kind == "global":
+        for p, job in enumerate(jobs):
+            out[p] = _straight(job, scores)
+    else:
+        # A path beyond these diagonals leaves more than CLOSE bases of the query out, behind a gap or at an end.
+        tried = [(r, q, max(lo, min(0, len(r) - len(q)) - CLOSE), min(hi, max(0, len(r) - len(q)) + CLOSE)) for r, q, lo, hi in jobs]
+        some = [p for p, (job, close) in enumerate(zip(jobs, tried, strict=True)) if 0 <= 2 * (close[3] - close[2]) <= job[3] - job[2]]
+        bonus = scores.end_bonus if kind == "ends" else 0
+        for p, done in zip(some, _in_parts([tried[p] for p in some], scores, kind), strict=True):
+            n = len(jobs[p][1])
+            if done[0] > max(0, scores.match * (n - CLOSE - 1) + 2 * bonus - min(bonus, scores.gap(1))):
+                out[p] = done
+    rest = [p for p in range(len(jobs)) if out[p] is None]
+    for p, done in zip(rest, _in_parts([jobs[p] for p in rest], scores, kind), strict=True):
+        out[p] = done
+    return out
+
+
+def _straight(job: tuple[np.ndarray, np.ndarray, int, int], scores: Scores) -> tuple[int, int, str, int] | None:
+    """A global alignment of texts of one length with so few changes that two gaps, which a path with any gap has, cost more."""
+    ref, query, lo, hi = job
+    if len(ref) != len(query) or not len(ref) or lo > 0 or hi < 0 or scores.unknown > scores.match:
+        return None
+    changes = int((ref != query).sum())
+    if changes * (scores.match + scores.mismatch) >= 2 * scores.gap(1) + scores.match or (ref == 4).any() or (query == 4).any():
+        return None
+    return scores.match * len(ref) - changes * (scores.match + scores.mismatch), 0, f"{len(ref)}M", changes
+
+
+def _in_parts(jobs: list, scores: Scores, kind: str) -> list[tuple[int, int, str, int]]:
+    """Jobs of similar size together, within CELLS."""
+    out: list = [None] * len(jobs)
     order = sorted(range(len(jobs)), key=lambda p: (len(jobs[p][1]), jobs[p][3] - jobs[p][2]))
     lo = 0
     while lo < len(order):
@@ -373,10 +444,16 @@ def _traced(job, peak: int, i: int, c: int, came: np.ndarray, first_row: np.ndar
         if state == 0:
             state = code & 7
             if state in (0, 1):
-                changes += int(ref[j] != query[i])
-                steps.append((1, "M"))
-                i -= 1
-                if state == 0:
+                # A run along the diagonal, up to where it began or a gap ended.
+                run = came[i::-1, c] & 7
+                other = np.flatnonzero(run != 1)
+                n = int(other[0]) if len(other) else i + 1
+                begun = n <= i and run[n] == 0
+                n += begun
+                changes += int((ref[j - n + 1 : j + 1] != query[i - n + 1 : i + 1]).sum())
+                steps.append((n, "M"))
+                i -= n
+                if begun:
                     break
                 state = 0
             continue

@@ -15,7 +15,9 @@ insertions and deletions do not add up. The units between the cuts vote.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandframe.functions import seq as S
-from strandframe.operators.align import _OPS, Scores, codes, extend, words
+from strandframe.operators.align import _CODE, _OPS, TEXT, Scores, codes, extend, words
 from strandframe.scratch import Scratch
 
 LETTERS = S.NT_ALPHABET
@@ -115,6 +117,76 @@ class Pile:
         return "".join([*out, text[done:].tobytes().decode()]).replace("-", "")
 
 
+def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+    """All letters of texts in a row, and where each text ends and the next begins; None where letters are not single bytes."""
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, ends, data = texts.buffers()
+    letters = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    ends = np.frombuffer(ends, wide)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64) if len(texts) else np.zeros(1, np.int64)
+    return None if (letters[ends[0] : ends[-1]] > 127).any() else (letters, ends)
+
+
+def _parts(sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Numbers of rows, so many at once as have TEXT letters, or one."""
+    step = (np.cumsum(sizes) // TEXT).astype(np.int64)
+    yield from np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(step)) + 1) if len(sizes) else ()
+
+
+def _spans(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place) of every place of rows that begin somewhere."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    return row, np.arange(len(row)) + np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
+
+
+@lru_cache(1 << 16)
+def _whole(cigar: str) -> tuple[int, int] | None:
+    """(first base, bases) of an alignment without gaps."""
+    m = re.fullmatch(r"(?:(\d+)S)?(\d+)[M=X](?:\d+S)?", cigar)
+    return m and (int(m[1] or 0), int(m[2]))
+
+
+def vote(piles: list[Pile], texts: pa.Array, quals: list[np.ndarray | None], places: list[tuple[int, str] | None]) -> None:
+    """Votes of reads with their (start, cigar), as Pile.aligned counts them; None has no vote. Reads without gaps are counted together."""
+    flat = _flat(texts)
+    size = np.diff(flat[1]) if flat else None
+    rows, spans = [], []
+    for k, place in enumerate(places):
+        span = _whole(place[1]) if place and flat else None
+        if span and span[0] + span[1] <= size[k]:
+            rows.append(k)
+            spans.append((place[0], *span))
+        elif place:
+            piles[k].aligned(texts[k].as_py(), quals[k], *place)
+    if not rows:
+        return
+    at, begin, n = np.array(spans, np.int64).T
+    letters, ends = flat
+    for part in _parts(n):
+        mine = [rows[k] for k in part]
+        number: dict[int, int] = {}
+        which = np.array([number.setdefault(id(piles[k]), len(number)) for k in mine])
+        reach = np.zeros(len(number), np.int64)
+        np.maximum.at(reach, which, (at + n)[part])
+        base = np.cumsum(reach) - reach
+        row, place = _spans(ends[mine] + begin[part], n[part])
+        cell = place - (ends[mine] + begin[part])[row] + (base[which] + at[part])[row]
+        weight = None
+        if any(quals[k] is not None for k in mine):
+            weight = np.concatenate([np.ones(n[p]) if quals[k] is None else np.maximum(quals[k][begin[p] : begin[p] + n[p]], 1) for k, p in zip(mine, part, strict=True)])
+        sums = np.bincount(cell * len(LETTERS) + _PLACE[letters[place]], weight, int(reach.sum()) * len(LETTERS)).astype(np.int64).reshape(-1, len(LETTERS))
+        found = {id(piles[k]): piles[k] for k in mine}
+        for name, p in number.items():
+            found[name].room(reach[p])
+            found[name].votes[: reach[p]] += sums[base[p] : base[p] + reach[p]]
+        for k in mine:
+            piles[k].reads += 1
+
+
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0] + [len(p) for p in parts]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])))
+
+
 def _keys_schema(df: DataFrame, by: list[str]) -> list[T.StructField]:
     return [df.schema[c] for c in by]
 
@@ -134,9 +206,10 @@ def _voted(df: DataFrame, by: list[str], fill: Callable[[list[Pile], list[list]]
             if called:
                 yield pa.RecordBatch.from_arrays([*columns, pa.array([p.called() for _, p in part], pa.string())], [*by, "reads", "consensus"])
                 continue
-            wide = pa.list_(pa.int64())
             used = [p.votes[: int(np.flatnonzero(p.votes.any(axis=1)).max(initial=-1)) + 1].ravel() for _, p in part]
-            columns += [pa.array(used, wide), pa.array([list(p.extra) for _, p in part], wide), pa.array([np.concatenate([*p.extra.values(), np.zeros(0, np.int64)]) for _, p in part], wide)]
+            none = np.zeros(0, np.int64)
+            keys = [np.array(list(p.extra), np.int64) if p.extra else none for _, p in part]
+            columns += [_lists(used), _lists(keys), _lists([np.concatenate(list(p.extra.values())) if p.extra else none for _, p in part])]
             yield pa.RecordBatch.from_arrays(columns, [*by, "reads", "votes", "keys", "extra"])
 
     def pile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,6 +260,8 @@ def majority(reads: DataFrame, by: list[str], query: str = "query") -> DataFrame
 
 
 def _quals(column: pa.Array) -> list[np.ndarray | None]:
+    if column.null_count == len(column):
+        return [None] * len(column)
     ends, values, null = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False), column.is_null().to_pylist()
     return [None if none else values[a:b] for a, b, none in zip(ends[:-1], ends[1:], null, strict=True)]
 
@@ -195,29 +270,38 @@ def by_alignment(reads: DataFrame, by: list[str]) -> DataFrame:
     """(by, reads, consensus) of reads (by, query_seq, quals, ref_start, cigar) by their given alignments; places without votes are left out."""
 
     def fill(piles: list[Pile], columns: list[pa.Array]) -> None:
-        rows = zip(piles, columns[0].to_pylist(), _quals(columns[1]), columns[2].to_pylist(), columns[3].to_pylist(), strict=True)
-        for pile, seq, quals, start, cigar in rows:
-            if start is not None and start >= 0 and cigar and cigar != "*":
-                pile.aligned(seq, quals, start, cigar)
+        rows = zip(columns[2].to_pylist(), columns[3].to_pylist(), strict=True)
+        vote(piles, columns[0], _quals(columns[1]), [(start, cigar) if start is not None and start >= 0 and cigar and cigar != "*" else None for start, cigar in rows])
 
     return _voted(reads.select(*by, "query_seq", F.col("quals").cast("array<int>"), "ref_start", "cigar"), by, fill)
 
 
-def _jobs(seqs: list[str], drafts: list[str], margin: int) -> list[tuple[int, str]]:
+def _jobs(seqs: pa.Array, drafts: pa.Array, margin: int) -> list[tuple[int, str]]:
     """(start, cigar) of each read on its draft. Texts of one length with so few differences that no pair of gaps can pay are placed without a table."""
-    out: list = [None] * len(seqs)
-    jobs, where = [], []
     few = 2 * SCORES.gap(1) // (SCORES.match + SCORES.mismatch)
-    for k, (seq, draft) in enumerate(zip(seqs, drafts, strict=True)):
-        a, b = codes(draft), codes(seq)
-        if len(a) == len(b) and int((a != b).sum()) <= few:
-            out[k] = (0, f"{len(seq)}M" if seq else "")
-            continue
+    flat = [_flat(seqs), _flat(drafts)]
+    if None in flat:
+        # Letters of several bytes count as one.
+        plain = lambda texts: pa.array([t.encode("ascii", "replace").decode() for t in texts.to_pylist()], pa.string())
+        flat = [_flat(plain(seqs)), _flat(plain(drafts))]
+    (read, at), (draft, start) = flat
+    n = np.diff(at)
+    close = n == np.diff(start)
+    equal = np.flatnonzero(close)
+    for part in _parts(n[equal]):
+        mine = equal[part]
+        row, place = _spans(at[mine], n[mine])
+        apart = _CODE[read[place]] != _CODE[draft[place + (start[mine] - at[mine])[row]]]
+        close[mine] = np.bincount(row[apart], minlength=len(mine)) <= few
+    out: list = [(0, f"{k}M" if k else "") for k in n.tolist()]
+    where = np.flatnonzero(~close).tolist()
+    jobs = []
+    for k in where:
+        a, b = _CODE[draft[start[k] : start[k + 1]]], _CODE[read[at[k] : at[k + 1]]]
         apart = len(a) - len(b)
         jobs.append((a, b, min(0, apart) - margin, max(0, apart) + margin))
-        where.append(k)
-    for k, (_, start, cigar, _) in zip(where, extend(jobs, SCORES), strict=True):
-        out[k] = (start, cigar)
+    for k, (_, begin, cigar, _) in zip(where, extend(jobs, SCORES), strict=True):
+        out[k] = (begin, cigar)
     return out
 
 
@@ -232,10 +316,7 @@ def polished(reads: DataFrame, drafts: DataFrame, by: list[str], rounds: int = R
     now = scratch.save(drafts.select(*by, "consensus"))
 
     def fill(piles: list[Pile], columns: list[pa.Array]) -> None:
-        seqs, quals, first = columns[0].to_pylist(), _quals(columns[1]), columns[2].to_pylist()
-        for pile, seq, q, (start, cigar) in zip(piles, seqs, quals, _jobs(seqs, first, margin), strict=True):
-            if cigar != "*":
-                pile.aligned(seq, q, start, cigar)
+        vote(piles, columns[0], _quals(columns[1]), [None if place[1] == "*" else place for place in _jobs(columns[0], columns[2], margin)])
 
     for _ in range(rounds):
         named = now.select(*(F.col(c).alias(f"__{c}") for c in by), F.col("consensus").alias("__draft"))
@@ -350,9 +431,9 @@ def concatemers(reads: DataFrame, splint: str | None = None, shortest: int = SHO
 def _turned(df: DataFrame, splint: str) -> DataFrame:
     turn = str.maketrans(S.IUPAC, S.COMPLEMENTS)
     sides = [splint.upper(), splint.upper().translate(turn)[::-1]]
+    where = df.columns.index("consensus")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where = [f.name for f in df.schema.fields].index("consensus")
         for batch in batches:
             texts = batch.column(where).to_pylist()
             jobs = [(codes(t + t[: len(splint)]), codes(s), -len(splint), len(t) + len(splint)) for t in texts for s in sides]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandframe import config
 from strandframe.functions import seq as S
 from strandframe.operators import align, enrich, explore, umi, variants
-from strandframe.operators.common import label_union
+from strandframe.operators.common import label_union, small
 from strandframe.plans import synthetic as T
 from strandframe.plans.queries_enrich import GENO, _geno, _geno_ref
 from strandframe.plans.queries_sequence import _CODONS, CALLS, MIN_Q
@@ -170,7 +170,7 @@ ALIGNED = f"""SELECT read_id, reference_name, CASE WHEN read_id::BIGINT % 3 = 1
 
 def global_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bases and gaps of every read aligned end to end with its reference."""
-    d = T.reads(spark, sf_dir).join(T.references(spark).select("reference_name", F.col("alignment_seq").alias("ref")), "reference_name")
+    d = T.reads(spark, sf_dir).join(small(T.references(spark).select("reference_name", F.col("alignment_seq").alias("ref"))), "reference_name")
     a = explore.align_pairs(d.select("read_id", "ref", F.col("query_seq").alias("seq")))
     gaps = lambda c: (F.length(c) - F.length(F.replace(c, F.lit("-"), F.lit("")))).cast("long")
     return a.select("read_id", F.replace("aligned_ref", F.lit("-"), F.lit("")).alias("ref"), F.replace("aligned_seq", F.lit("-"), F.lit("")).alias("seq"), (gaps(F.col("aligned_ref")) - gaps(F.col("aligned_seq"))).alias("net_gaps"))

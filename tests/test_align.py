@@ -143,3 +143,47 @@ def test_every_read_has_a_row(spark):
     assert got["none"].flag == got["null"].flag == 4 and got["none"].cigar == "*" and got["tiny"].flag != 4
     empty = spark.createDataFrame([], "read_id string, seq string")
     assert A.align_reads(empty, spark.createDataFrame(refs.items(), "reference_name string, alignment_seq string")).count() == 0
+
+
+def test_seeds_of_many_texts_are_those_of_each():
+    rnd = random.Random(11)
+    texts = ["", "ACGT", bases(rnd, 11), bases(rnd, 15), bases(rnd, 16), bases(rnd, 80) + "N" + bases(rnd, 9), "A" * 40, *(bases(rnd, rnd.randint(5, 300)) for _ in range(40)), ""]
+    for patterns, w in (((tuple(range(11)),), 5), (A.SPACED, 1), (((0, 1, 3),), 3)):
+        want = set()
+        for row, text in enumerate(texts):
+            for number, offsets in enumerate(patterns):
+                value, places = A.minimizers(*A.words(A.codes(text), offsets), w)
+                want |= {(row, int(v) * len(patterns) + number, int(p)) for v, p in zip(value, places, strict=True)}
+        got = list(zip(*(x.tolist() for x in A.seeds(texts, patterns, w)), strict=True))
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_chains_of_many_lists_are_those_of_each():
+    rnd = random.Random(12)
+    lists = [[(q + d, q) for q in rnd.sample(range(200), rnd.randint(1, 30)) for d in ([7] if k % 2 else rnd.sample([0, 1, 5, 90], 2))] for k in range(60)]
+    lists.append([(5, 5), (5, 5), (9, 9)])
+    r, q = (np.array([x[k] for one in lists for x in one], np.int32) for k in (0, 1))
+    ends = np.cumsum([0] + [len(one) for one in lists])
+    want = [A.chain(r[a:b], q[a:b], 11) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    assert list(zip(*(x.tolist() for x in A.chains(ends, r, q, 11)), strict=True)) == want
+    assert list(zip(*(x.tolist() for x in A.chains(ends[3:], r, q, 11)), strict=True)) == want[3:]
+
+
+@pytest.mark.parametrize("kind", ["ends", "local", "global"])
+@pytest.mark.parametrize("scores", [A.Scores(), A.Scores(gaps=((4, 2),), end_bonus=0)])
+def test_narrow_bands_and_straight_texts_give_what_whole_bands_give(kind, scores, monkeypatch):
+    rnd = random.Random(13)
+    jobs = []
+    for k in range(120):
+        ref = bases(rnd, rnd.randint(1, 90)) if k % 3 else "ACACAC" * rnd.randint(1, 12)
+        seq = worn(rnd, ref, rnd.choice([0.0, 0.02, 0.1, 0.4])) or "A"
+        seq = bases(rnd, rnd.randint(0, 25)) + seq if k % 5 == 0 else seq[rnd.randint(0, 30) :] or "C" if k % 7 == 0 else seq
+        apart = len(ref) - len(seq)
+        jobs.append((A.codes(ref), A.codes(seq), min(0, apart) - 60, max(0, apart) + 60))
+    if kind == "global":
+        jobs = [(r + np.int8(8), q + np.int8(8), max(lo, -len(q)), min(hi, len(r))) for r, q, lo, hi in jobs]
+    tried = []
+    real = A._in_parts
+    monkeypatch.setattr(A, "_in_parts", lambda some, *more: tried.append(len(some)) or real(some, *more))
+    assert A.extend(jobs, scores, kind) == real(jobs, scores, kind)
+    assert tried[-1] < len(jobs)

@@ -94,3 +94,50 @@ def test_splint_is_cut_out_on_both_strands(spark):
         rows.append((f"r{k}", text.translate(TURN)[::-1] if k % 2 else text, None))
     got = C.concatemers(spark.createDataFrame(rows, "read_id string, seq string, quals array<int>"), splint).collect()
     assert [A.pairs_aligned([insert], [r.consensus], A.Scores(), False)[0][0] >= 590 for r in got] == [True] * 4
+
+
+def test_votes_of_many_reads_are_those_of_each(monkeypatch):
+    import pyarrow as pa
+
+    rnd = random.Random(6)
+    rows = []
+    for k in range(90):
+        seq = bases(rnd, rnd.randint(0, 30)) if k % 17 else "ACÄGT"
+        n = len(seq)
+        cigar = rnd.choice([f"{n}M", f"2S{n - 2}M", f"{n - 3}M3S", f"3M1I{n - 4}M", f"3M2D{n - 3}M"]) if n > 5 else f"{n}M" if n else ""
+        quals = None if k % 3 else np.array([rnd.randint(0, 40) for _ in seq])
+        rows.append((k % 4, seq, quals, None if k % 11 == 0 else (rnd.randint(0, 5), cigar)))
+    for part in (rows, [r for r in rows if r[1].isascii()]):
+        for text in (C.TEXT, 40):
+            monkeypatch.setattr(C, "TEXT", text)
+            want, got = [C.Pile() for _ in range(4)], [C.Pile() for _ in range(4)]
+            for g, seq, quals, place in part:
+                if place:
+                    want[g].aligned(seq, quals, *place)
+            column = pa.array(["skipped", *(r[1] for r in part)])[1:]
+            C.vote([got[r[0]] for r in part], column, [r[2] for r in part], [r[3] for r in part])
+            for a, b in zip(want, got, strict=True):
+                n = max(len(a.votes), len(b.votes))
+                a.room(n), b.room(n)
+                assert a.reads == b.reads and {k: v.tolist() for k, v in a.extra.items()} == {k: v.tolist() for k, v in b.extra.items()}
+                m = min(len(a.votes), len(b.votes))
+                assert (a.votes[:m] == b.votes[:m]).all() and not a.votes[m:].any() and not b.votes[m:].any()
+
+
+def test_reads_are_placed_on_their_drafts_as_one_by_one():
+    import pyarrow as pa
+
+    rnd = random.Random(7)
+    drafts = [bases(rnd, rnd.randint(20, 70)) for _ in range(60)]
+    seqs = [worn(rnd, d, rnd.choice([0, 0.02, 0.1])) for d in drafts] + ["", "ACÄGT"]
+    drafts += ["", "ACGGT"]
+    for some in (slice(None), slice(0, -1)):
+        want = []
+        for seq, draft in zip(seqs[some], drafts[some], strict=True):
+            a, b = A.codes(draft), A.codes(seq)
+            if len(a) == len(b) and int((a != b).sum()) <= 2:
+                want.append((0, f"{len(b)}M" if seq else ""))
+                continue
+            apart = len(a) - len(b)
+            want.append(A._in_parts([(a, b, min(0, apart) - 48, max(0, apart) + 48)], C.SCORES, "ends")[0][1:3])
+        assert C._jobs(pa.array(seqs[some], pa.string()), pa.array(drafts[some], pa.string()), 48) == want

@@ -84,3 +84,25 @@ def test_block_histograms_count_every_pair_once(monkeypatch):
             for d, w in part.items():
                 got[d] += w
         assert +got == +want
+
+
+def test_rows_from_the_driver_are_a_lookup_side(spark):
+    """References are few and their size unknown to the optimizer: no read may be shuffled by its reference."""
+    from strandframe.operators import variants
+    from strandframe.plans import synthetic as T
+
+    assert "BroadcastHashJoin" in spark.range(9).join(common.small(spark.createDataFrame([(1,)], "id long")), "id")._jdf.queryExecution().executedPlan().toString()
+    row = ("r", "refA", 0, 0, "60M", T.FORWARD[1], [30] * 60, None)
+    reads = spark.createDataFrame([row], "read_id string, reference_name string, ref_start int, flag int, cigar string, query_seq string, quals array<int>, bc string")
+    plan = variants.trim(reads, T.references(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_parts_of_reads_do_not_grow_with_the_table(spark, tmp_path, monkeypatch):
+    from strandframe.plans import synthetic as T
+
+    spark.range(1, 3001).selectExpr("id as o_orderkey", "id % 90 as o_custkey").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(T, "PART", 1000)
+    plan = T.reads(spark, str(tmp_path))
+    sizes = [len(p) for p in plan.select("read_id").rdd.glom().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 600
