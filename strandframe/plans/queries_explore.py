@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from strandframe.functions import seq as S
 from strandframe.operators import diversity, explore, selections, variants
 from strandframe.plans import synthetic as T
-from strandframe.plans.queries_sequence import CALLS, _called
+from strandframe.plans.queries_sequence import CALLS, _called, _kept
 
 
 def selected_genotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ FROM n JOIN q USING (reference_name) JOIN (SELECT reference_name, max(n) AS n50
 
 def traced_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reads behind the most abundant mutated genotype, along the reference."""
-    called = _called(spark, sf_dir)
+    called = _kept(spark, sf_dir)
     ids = variants.seq_ids(called, variants.genotypes(called))
     return explore.trace_reads(T.reads(spark, sf_dir), ids, T.references(spark), "1")
 

@@ -106,3 +106,11 @@ def test_parts_of_reads_do_not_grow_with_the_table(spark, tmp_path, monkeypatch)
     plan = T.reads(spark, str(tmp_path))
     sizes = [len(p) for p in plan.select("read_id").rdd.glom().collect()]
     assert sum(sizes) == 3000 and max(sizes) < 600
+
+
+def test_reads_of_one_genotype_are_not_shuffled_together(spark, sf):
+    """Calls are written once, genotypes sent to them: neither a reference nor a genotype names the task of a read."""
+    from strandframe.plans import registry
+
+    plan = registry.queries()["seq_ids"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("aggregate") == 0
