@@ -71,7 +71,8 @@ def write_bam(df: DataFrame, path: str, references: dict[str, int], by: list[str
     rows = df.withColumn("file", name).withColumn("__ref", order).withColumn("ref_start", F.when(order > len(references), -1).otherwise(F.col("ref_start")))
     keys = ["file", "__ref", "ref_start"]
     if split:
-        rows = rows.repartitionByRange(*keys).withColumn("file", F.concat("file", F.format_string(".%05d", F.spark_partition_id())))
+        # Reads of one place are cut by name too: a place may hold most of them.
+        rows = rows.repartitionByRange(*keys, "read_id").withColumn("file", F.concat("file", F.format_string(".%05d", F.spark_partition_id())))
     else:
         rows = rows.repartition("file")
     rows = rows.sortWithinPartitions(*keys, "read_id")

@@ -147,3 +147,16 @@ def test_fastqs_are_found_below_a_path_or_an_address(tmp_path):
     assert readers.choose_source({"fwdReads": "f", "runname": ["r"]}) == "fwdReads" and readers.choose_source({"runname": ["r"], "bs_project_ID": 1}) == "runname"
     with pytest.raises(ValueError):
         readers.choose_source({"runname": []})
+
+
+def test_reads_of_one_place_are_spread_over_files(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.range(4000).selectExpr("cast(id as string) as read_id", "'r' as reference_name", "0 as ref_start", "0 as flag", "'4M' as cigar", "'ACGT' as query_seq", "cast(null as array<int>) as quals", "cast(null as string) as bc", "1 as nm")
+    path = f"file://{tmp_path}/bam"
+    try:
+        assert writers.write_bam(df, path, {"r": 4}) == 4000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    got = readers.read_bam(spark, path)
+    assert got.count() == 4000 and got.select("read_id").distinct().count() == 4000
+    assert len([p for p in (tmp_path / "bam").iterdir() if p.name.endswith(".bam")]) > 1
