@@ -41,6 +41,8 @@ K, W, MARGIN = 11, 5, 48
 SPACED = (tuple(range(7)), (0, 1, 2, 3, 4, 5, 6, 8, 9, 10))
 #: Chains of a read that score this share of its best are extended; seeds that a chain looks back over; cells worked off at once.
 NEAR, LOOK_BACK, CELLS = 0.6, 64, 1 << 24
+#: Chains of reads behind a task of extension.
+READS = 50_000
 #: Letters whose seeds are found at once, and diagonals besides those from corner to corner that are tried first.
 TEXT, CLOSE = 1 << 20, 12
 #: A word that a reference holds more often is no seed (low complexity); such reads meet by their other words, or in full.
@@ -214,13 +216,16 @@ def align_reads(reads: DataFrame, refs: DataFrame, scores: Scores = Scores(), k:
     both = _strands(reads.select("read_id", F.coalesce("seq", F.lit("")).alias("seq")))
     found = scratch.save(_met(both, known, (tuple(range(k)),), w))
     left = scratch.save(both.join(found.select(F.col("read_id").alias("id")).distinct(), "id", "left_anti"))
+    rows = found.count() + left.count()
     if not left.isEmpty():
         more = scratch.save(_met(left, known, SPACED, 1))
         left = left.join(more.select(F.col("read_id").alias("id")).distinct(), "id", "left_anti").filter("seq <> ''")
         full = left.crossJoin(small(known)).select(F.col("id").alias("read_id"), "strand", "reference_name", F.lit(1).alias("chain"), (-F.length("seq")).alias("lo"), F.length("ref").alias("hi"))
         found = found.unionByName(more).unionByName(full)
+    # Extension is the work: its parts are cut by reads, not by the bytes of their chains, which are few.
+    parts = max(reads.sparkSession.sparkContext.defaultParallelism, -(-rows // READS))
     best = F.max("chain").over(Window.partitionBy("read_id"))
-    near = found.withColumn("best", best).filter(F.col("chain") >= NEAR * F.col("best"))
+    near = found.repartition(parts, "read_id").withColumn("best", best).filter(F.col("chain") >= NEAR * F.col("best"))
     pairs = near.join(both.withColumnRenamed("id", "read_id"), ["read_id", "strand"]).join(small(known), "reference_name")
     done = _extended(pairs.select("read_id", "strand", "reference_name", "ref", "seq", (F.col("lo") - margin).alias("lo"), (F.col("hi") + margin).alias("hi")), scores)
     row = F.struct((-F.col("score")).alias("s"), "reference_name", "strand", "ref_start", "cigar", "nm", "score")
