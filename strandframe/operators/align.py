@@ -453,7 +453,7 @@ def _traced(job, peak: int, i: int, c: int, came: np.ndarray, first_row: np.ndar
                 run = came[i::-1, c] & 7
                 other = np.flatnonzero(run != 1)
                 n = int(other[0]) if len(other) else i + 1
-                begun = n <= i and run[n] == 0
+                begun = n <= i and int(run[n]) == 0
                 n += begun
                 changes += int((ref[j - n + 1 : j + 1] != query[i - n + 1 : i + 1]).sum())
                 steps.append((n, "M"))

@@ -93,28 +93,45 @@ class Pile:
     def add(self, reads: int, votes: np.ndarray, keys: np.ndarray, extra: np.ndarray) -> None:
         self.reads += reads
         votes = votes.reshape(-1, len(LETTERS))
-        self.room(len(votes))
-        self.votes[: len(votes)] += votes
+        if len(self.votes):
+            self.room(len(votes))
+            self.votes[: len(votes)] += votes
+        else:
+            self.votes = votes.copy()
         for key, v in zip(keys.tolist(), extra.reshape(-1, len(LETTERS)), strict=True):
             self._insert(key)[:] += v
 
     def called(self) -> str:
         """The letters with most votes, the first of the alphabet if equal; inserted ones where they outweigh their absence."""
-        total = self.votes.sum(axis=1)
-        best = np.where(total > 0, self.votes.argmax(axis=1), _GAP)
-        text = np.frombuffer(LETTERS.encode(), np.uint8)[best]
+        return called([self])[0]
+
+    def _with_inserted(self, text: str, total: np.ndarray) -> str:
         out, done = [], 0
         for key in sorted(k for k in self.extra if k % INSERTED == 0):
             at = key // INSERTED
-            said = total[min(max(at - 1, 0), len(total) - 1)] if len(total) else 0
+            said = int(total[min(max(at - 1, 0), len(total) - 1)]) if len(total) else 0
             more = []
-            while key in self.extra and 2 * self.extra[key].sum() > said:
+            while key in self.extra and 2 * int(self.extra[key].sum()) > said:
                 more.append(LETTERS[int(self.extra[key].argmax())])
                 key += 1
             if more:
-                out += [text[done:at].tobytes().decode(), "".join(more)]
+                out += [text[done:at], "".join(more)]
                 done = at
-        return "".join([*out, text[done:].tobytes().decode()]).replace("-", "")
+        return "".join([*out, text[done:]])
+
+
+def called(piles: list[Pile]) -> list[str]:
+    """What Pile.called says of each of many piles."""
+    if not piles:
+        return []
+    flat, out, lo = np.concatenate([p.votes for p in piles]), [], 0
+    total = flat.sum(axis=1)
+    text = np.frombuffer(LETTERS.encode(), np.uint8)[np.where(total > 0, flat.argmax(axis=1), _GAP)].tobytes().decode()
+    for p in piles:
+        hi = lo + len(p.votes)
+        out.append((p._with_inserted(text[lo:hi], total[lo:hi]) if p.extra else text[lo:hi]).replace("-", ""))
+        lo = hi
+    return out
 
 
 def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
@@ -139,47 +156,81 @@ def _spans(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 @lru_cache(1 << 16)
-def _whole(cigar: str) -> tuple[int, int] | None:
-    """(first base, bases) of an alignment without gaps."""
-    m = re.fullmatch(r"(?:(\d+)S)?(\d+)[M=X](?:\d+S)?", cigar)
-    return m and (int(m[1] or 0), int(m[2]))
+def _path(cigar: str) -> tuple[tuple, tuple, int]:
+    """Runs (place, base, size) of an alignment, its gaps (operation, place, base, size), and the bases it needs; places count from its start."""
+    runs, gaps, i, j = [], [], 0, 0
+    for size, op in _OPS.findall(cigar):
+        n = int(size)
+        if op in "M=X":
+            runs.append((i, j, n))
+            i, j = i + n, j + n
+        elif op == "D":
+            gaps.append((op, i, j, n))
+            i += n
+        elif op in "IS":
+            if op == "I":
+                gaps.append((op, i, j, n))
+            j += n
+    return tuple(runs), tuple(gaps), j
 
 
 def vote(piles: list[Pile], texts: pa.Array, quals: list[np.ndarray | None], places: list[tuple[int, str] | None]) -> None:
-    """Votes of reads with their (start, cigar), as Pile.aligned counts them; None has no vote. Reads without gaps are counted together."""
+    """Votes of reads with their (start, cigar), as Pile.aligned counts them; None has no vote. Runs without gaps are counted together."""
     flat = _flat(texts)
-    size = np.diff(flat[1]) if flat else None
-    rows, spans = [], []
+    size = np.diff(flat[1]).tolist() if flat else []
+    rows, spans, gapped = [], [], []
     for k, place in enumerate(places):
-        span = _whole(place[1]) if place and flat else None
-        if span and span[0] + span[1] <= size[k]:
-            rows.append(k)
-            spans.append((place[0], *span))
-        elif place:
+        if not place:
+            continue
+        runs, gaps, need = _path(place[1])
+        if not flat or need > size[k]:
             piles[k].aligned(texts[k].as_py(), quals[k], *place)
-    if not rows:
-        return
-    at, begin, n = np.array(spans, np.int64).T
+            continue
+        piles[k].reads += 1
+        for i, j, n in runs:
+            rows.append(k)
+            spans.append((place[0] + i, j, n))
+        if gaps:
+            gapped.append((k, place[0], gaps))
+    if rows:
+        _count(piles, flat, quals, rows, *np.array(spans, np.int64).T)
+    for k, start, gaps in gapped:
+        weight = None if quals[k] is None else np.maximum(quals[k], 1)
+        for op, i, j, n in gaps:
+            i += start
+            if op == "D":
+                piles[k].room(i + n)
+                around = () if weight is None else weight[max(0, j - 1) : j + 1]
+                piles[k].votes[i : i + n, _GAP] += int(around.mean()) if len(around) else 1
+                continue
+            begin = int(flat[1][k]) + j
+            for m, letter in enumerate(_PLACE[flat[0][begin : begin + min(n, INSERTED)]].tolist()):
+                piles[k]._insert(i * INSERTED + m)[letter] += 1 if weight is None else weight[j + m]
+
+
+def _count(piles: list[Pile], flat: tuple[np.ndarray, np.ndarray], quals: list[np.ndarray | None], rows: list[int], at: np.ndarray, begin: np.ndarray, n: np.ndarray) -> None:
+    """Votes of runs of reads (rows), from a place and a base on."""
     letters, ends = flat
     for part in _parts(n):
-        mine = [rows[k] for k in part]
+        mine = [rows[k] for k in part.tolist()]
         number: dict[int, int] = {}
         which = np.array([number.setdefault(id(piles[k]), len(number)) for k in mine])
         reach = np.zeros(len(number), np.int64)
         np.maximum.at(reach, which, (at + n)[part])
         base = np.cumsum(reach) - reach
         row, place = _spans(ends[mine] + begin[part], n[part])
-        cell = place - (ends[mine] + begin[part])[row] + (base[which] + at[part])[row]
+        cell = place + (base[which] + at[part] - ends[mine] - begin[part])[row]
         weight = None
         if any(quals[k] is not None for k in mine):
             weight = np.concatenate([np.ones(n[p]) if quals[k] is None else np.maximum(quals[k][begin[p] : begin[p] + n[p]], 1) for k, p in zip(mine, part, strict=True)])
-        sums = np.bincount(cell * len(LETTERS) + _PLACE[letters[place]], weight, int(reach.sum()) * len(LETTERS)).astype(np.int64).reshape(-1, len(LETTERS))
+        sums = np.bincount(cell * len(LETTERS) + _PLACE[letters[place]], weight, int(reach.sum()) * len(LETTERS)).astype(np.int64, copy=False).reshape(-1, len(LETTERS))
         found = {id(piles[k]): piles[k] for k in mine}
-        for name, p in number.items():
-            found[name].room(reach[p])
-            found[name].votes[: reach[p]] += sums[base[p] : base[p] + reach[p]]
-        for k in mine:
-            piles[k].reads += 1
+        for p, lo, size in zip(map(found.get, number), base.tolist(), reach.tolist(), strict=True):
+            if len(p.votes):
+                p.room(size)
+                p.votes[:size] += sums[lo : lo + size]
+            else:
+                p.votes = sums[lo : lo + size]
 
 
 def _lists(parts: list[np.ndarray]) -> pa.Array:
@@ -197,14 +248,14 @@ def _voted(df: DataFrame, by: list[str], fill: Callable[[list[Pile], list[list]]
     sums = [T.StructField("reads", T.LongType()), T.StructField("votes", T.ArrayType(T.LongType())), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("extra", T.ArrayType(T.LongType()))]
     n = len(by)
 
-    def out(piles: dict[tuple, Pile], types: list[pa.DataType], called: bool) -> Iterator[pa.RecordBatch]:
+    def out(piles: dict[tuple, Pile], types: list[pa.DataType], last: bool) -> Iterator[pa.RecordBatch]:
         items = list(piles.items())
         for lo in range(0, len(items), 512):
             part = items[lo : lo + 512]
             columns = [pa.array([key[k] for key, _ in part], types[k]) for k in range(n)]
             columns.append(pa.array([p.reads for _, p in part], pa.int64()))
-            if called:
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([p.called() for _, p in part], pa.string())], [*by, "reads", "consensus"])
+            if last:
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(called([p for _, p in part]), pa.string())], [*by, "reads", "consensus"])
                 continue
             used = [p.votes[: int(np.flatnonzero(p.votes.any(axis=1)).max(initial=-1)) + 1].ravel() for _, p in part]
             none = np.zeros(0, np.int64)
@@ -276,6 +327,62 @@ def by_alignment(reads: DataFrame, by: list[str]) -> DataFrame:
     return _voted(reads.select(*by, "query_seq", F.col("quals").cast("array<int>"), "ref_start", "cigar"), by, fill)
 
 
+def _one_gap(read: np.ndarray, draft: np.ndarray, reads: np.ndarray, drafts: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Where one gap lies in each read that begins at a place of all letters, on its draft; 0 where another path may score as much.
+
+    With one base missing, or one or two too many, and one change at most, these are all paths that could: none or one
+    gap of another size, or two gaps of one base. They are excluded by the runs without changes at both ends of their diagonals.
+    """
+    reach, side = int(n.max()), 4
+    column = np.arange(reach)
+    inside = column < n[:, None]
+    a = np.where(inside, _CODE[read[np.minimum(reads[:, None] + column, len(read) - 1)]], 5)
+    b = np.full((len(n), reach + 2 * side), 6, np.int8)
+    there = column < m[:, None]
+    b[:, side : side + reach] = np.where(there, _CODE[draft[np.minimum(drafts[:, None] + column, len(draft) - 1)]], 6)
+    # A draft may be a base longer than the longest read.
+    last = np.flatnonzero(m > reach)
+    b[last, side + reach] = _CODE[draft[drafts[last] + reach]]
+    plain = ~((a == 4).any(axis=1) | (b == 4).any(axis=1))
+    off = {d: (a != b[:, side + d : side + d + reach]) & inside for d in range(-3, 4)}
+    front = {d: np.where(x.any(axis=1), x.argmax(axis=1), n) for d, x in off.items()}
+    back = {d: np.where(x.any(axis=1), n - reach + x[:, ::-1].argmax(axis=1), n) for d, x in off.items()}
+    before = {d: np.cumsum(x, axis=1, dtype=np.int32) for d, x in off.items() if d != 2 and d != 3}
+    out = np.zeros(len(n), np.int64)
+    changes = np.full(len(n), 9)
+    worth = SCORES.match + SCORES.mismatch
+    for k in (-1, 1, 2):
+        some = np.flatnonzero((n - m == k) & plain & (n > 3) & (m > 1))
+        if not len(some):
+            continue
+        # Changes with the gap behind p bases, p from 1 on.
+        ahead, behind = before[0][some], before[-k][some]
+        gone = max(k, 0)
+        last = np.concatenate([behind[:, gone:], np.repeat(behind[:, -1:], gone, axis=1)], axis=1)
+        cost = ahead + behind[:, -1:] - last
+        cost = np.where(column + 1 <= (n[some] - max(k, 1))[:, None], cost, 9)
+        at, least = cost.argmin(axis=1), cost.min(axis=1)
+        good = least <= 1
+        f, e, size = {d: x[some] for d, x in front.items()}, {d: x[some] for d, x in back.items()}, n[some]
+        clear = lambda x, y, gap: f[x] + e[y] + gap < size  # noqa: E731, B023
+        one = least == 1
+        if k == -1:
+            for d in (0, 1):
+                good &= worth * before[d][some][:, -1] > worth * least + SCORES.gap(1)
+            rest = clear(0, -1, 1) & clear(1, 0, 1) & clear(2, 1, 1) & clear(0, -2, 2) & clear(1, -1, 2) & clear(2, 0, 2) & clear(3, 1, 2)
+        elif k == 1:
+            rest = clear(0, -2, 2) & clear(1, -1, 2)
+        else:
+            # Two gaps of one base: the diagonal between must hold a change, wherever they are.
+            lo, hi, middle = f[0], size - e[-2] - 1, before[-1][some]
+            row = np.arange(len(some))
+            between = np.where(hi > lo + 1, middle[row, np.clip(hi - 1, 0, reach - 1)] - middle[row, np.clip(lo, 0, reach - 1)], 0)
+            rest = clear(0, -3, 3) & clear(1, -2, 3) & (between > 0)
+        good &= ~one | rest
+        out[some], changes[some] = np.where(good, at + 1, 0), least
+    return out
+
+
 def _jobs(seqs: pa.Array, drafts: pa.Array, margin: int) -> list[tuple[int, str]]:
     """(start, cigar) of each read on its draft. Texts of one length with so few differences that no pair of gaps can pay are placed without a table."""
     few = 2 * SCORES.gap(1) // (SCORES.match + SCORES.mismatch)
@@ -294,6 +401,17 @@ def _jobs(seqs: pa.Array, drafts: pa.Array, margin: int) -> list[tuple[int, str]
         apart = _CODE[read[place]] != _CODE[draft[place + (start[mine] - at[mine])[row]]]
         close[mine] = np.bincount(row[apart], minlength=len(mine)) <= few
     out: list = [(0, f"{k}M" if k else "") for k in n.tolist()]
+    apart, far = n - np.diff(start), np.flatnonzero(~close)
+    # Paths with one gap are known for the costs that SCORES has.
+    single = far[(apart[far] >= -1) & (apart[far] <= 2) & (apart[far] != 0) & (n[far] <= TEXT)] if SCORES == Scores() and margin >= 3 else far[:0]
+    single = single[np.argsort(n[single], kind="stable")]
+    for part in _parts(n[single] * 64):
+        mine = single[part]
+        for k, p in zip(mine.tolist(), _one_gap(read, draft, at[mine], start[mine], n[mine], np.diff(start)[mine]).tolist(), strict=True):
+            if p:
+                size = int(apart[k])
+                close[k], rest = True, int(n[k]) - p - max(size, 0)
+                out[k] = (0, f"{p}M{abs(size)}{'I' if size > 0 else 'D'}" + (f"{rest}M" if rest else ""))
     where = np.flatnonzero(~close).tolist()
     jobs = []
     for k in where:
@@ -344,69 +462,92 @@ def molecules(reads: DataFrame, by: list[str], rounds: int = ROUNDS, margin: int
     return polished(reads.select(*by, seq.alias("seq"), quals.alias("quals")), by_alignment(reads, by), by, rounds, margin)
 
 
-def period(bases: np.ndarray, shortest: int = SHORTEST) -> tuple[int, np.ndarray, np.ndarray]:
-    """Length of the unit of a concatemer (0 if none recurs), and the places of words that recur one unit later with the distance."""
-    value, places = words(bases, tuple(range(WORD)))
-    order = np.lexsort((places, value))
-    same = value[order][1:] == value[order][:-1]
-    at, later = places[order][:-1][same], places[order][1:][same]
-    apart = later - at
-    at, apart = at[apart >= shortest], apart[apart >= shortest]
-    if not len(apart):
-        return 0, at, apart
-    votes = np.bincount(apart)
-    # Copies differ in length: neighbouring distances count together.
-    wide = np.maximum(1, (np.arange(len(votes)) * 0.02).astype(int))
+def periods(bases: np.ndarray, ends: np.ndarray, shortest: int = SHORTEST) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lengths of the units of concatemers that lie end to end (0 if none recurs), and the rows and places of words that recur one unit later, with the distance."""
+    count, size = len(ends) - 1, np.diff(ends)
+    value, place = words(bases, tuple(range(WORD)))
+    row = np.searchsorted(ends, place, "right") - 1
+    whole = place + WORD <= ends[row + 1]
+    value, row, at = value[whole], row[whole], (place - ends[row])[whole]
+    order = np.argsort(row * np.int64(4 ** (WORD + 1)) + value, kind="stable")
+    value, row, at = value[order], row[order], at[order]
+    same = np.flatnonzero((value[1:] == value[:-1]) & (row[1:] == row[:-1]))
+    row, at, apart = row[same], at[same], at[same + 1] - at[same]
+    row, at, apart = row[apart >= shortest], at[apart >= shortest], apart[apart >= shortest]
+    # Every read has cells for the distances up to its length.
+    base = np.concatenate([[0], np.cumsum(size + 1)])
+    votes = np.bincount(base[row] + apart, minlength=int(base[-1]))
     sums = np.concatenate([[0], np.cumsum(votes)])
-    index = np.arange(len(votes))
-    around = sums[np.minimum(index + wide + 1, len(votes))] - sums[np.maximum(index - wide, 0)]
-    top = int(np.where(votes > 0, around, 0).argmax())
-    if around[top] < max(4, 0.08 * top):
-        return 0, at[:0], apart[:0]
-    lo, hi = max(0, top - wide[top]), min(len(votes), top + wide[top] + 1)
-    unit = lo + int(votes[lo:hi].argmax())
-    near = np.abs(apart - unit) <= np.maximum(2, SLACK * unit)
-    by_place = np.argsort(at[near], kind="stable")
-    return unit, at[near][by_place], apart[near][by_place]
+    # Copies differ in length: neighbouring distances count together. Only distances that occur can be the unit.
+    seen = np.flatnonzero(votes)
+    of = np.searchsorted(base, seen, "right") - 1
+    wide = np.maximum(1, ((seen - base[of]) * 0.02).astype(int))
+    around = sums[np.minimum(seen + wide + 1, base[of + 1])] - sums[np.maximum(seen - wide, base[of])]
+    unit = np.zeros(count, np.int64)
+    # The first of those with most votes around, then the first of those with most votes within its reach.
+    best = np.lexsort((seen, -around, of))
+    best = best[np.flatnonzero(np.diff(of[best], prepend=-1))]
+    for k in best[around[best] >= np.maximum(4, 0.08 * (seen - base[of])[best])].tolist():
+        r = int(of[k])
+        lo = max(int(seen[k] - wide[k]), int(base[r]))
+        unit[r] = lo - base[r] + int(votes[lo : min(int(seen[k] + wide[k] + 1), int(base[r + 1]))].argmax())
+    near = (unit[row] > 0) & (np.abs(apart - unit[row]) <= np.maximum(2, SLACK * unit[row]))
+    row, at, apart = row[near], at[near], apart[near]
+    order = np.lexsort((at, row))
+    return unit, row[order], at[order], apart[order]
+
+
+def cuts_of(bases: np.ndarray, ends: np.ndarray, shortest: int = SHORTEST) -> list[list[int]]:
+    """As cuts, for reads that lie end to end; all reads go from cut to cut together."""
+    size = np.diff(ends)
+    unit, row, at, apart = periods(bases, ends, shortest)
+    out = [[0] for _ in range(len(size))]
+    first = np.searchsorted(row, np.arange(len(size) + 1))
+    key = ends[row] + row + at
+    open_, now = np.flatnonzero((unit > 0) & (np.diff(first) > 0)), np.zeros(len(size), np.int64)
+    while len(open_):
+        here, u = now[open_], unit[open_]
+        k = np.searchsorted(key, ends[open_] + open_ + here)
+        lo, hi = first[open_], first[open_ + 1] - 1
+        left, right = np.maximum(k - 1, lo), np.minimum(k, hi)
+        best = np.where(np.abs(at[left] - here) <= np.abs(at[right] - here), left, right)
+        # The distance where the next recurring word is; far from all of them, the usual one.
+        ahead = np.where(np.abs(at[best] - here) <= u / 2, apart[best], u)
+        go = (here + u <= size[open_] + SLACK * u) & (here + ahead <= size[open_])
+        open_ = open_[go]
+        now[open_] = (here + ahead)[go]
+        for r, x in zip(open_.tolist(), now[open_].tolist(), strict=True):
+            out[r].append(x)
+    return out
 
 
 def cuts(bases: np.ndarray, shortest: int = SHORTEST) -> list[int]:
     """Places where the units of a concatemer begin and end, from its first base on; one only if nothing recurs."""
-    unit, at, apart = period(bases, shortest)
-    out = [0]
-    while unit:
-        now = out[-1]
-        if now + unit > len(bases) + SLACK * unit or not len(at):
-            break
-        k = int(np.searchsorted(at, now))
-        near = [j for j in (k - 1, k) if 0 <= j < len(at)]
-        best = min(near, key=lambda j: abs(int(at[j]) - now))
-        # The distance where the next recurring word is; far from all of them, the usual one.
-        ahead = int(apart[best]) if abs(int(at[best]) - now) <= unit / 2 else unit
-        if now + ahead > len(bases):
-            break
-        out.append(now + ahead)
-    return out
+    return cuts_of(bases, np.array([0, len(bases)]), shortest)[0]
 
 
-def units(reads: DataFrame, shortest: int = SHORTEST) -> DataFrame:
-    """(read_id, part, parts, seq, quals, length, quality) of the whole units in reads (read_id, seq, quals); reads without a repeat are one unit."""
-    schema = "read_id string, part int, parts int, seq string, quals array<int>, length int, quality double"
-    names = [f.split()[0] for f in schema.split(", ")]
+def _units(texts: list[str], shortest: int) -> list[list[int]]:
+    """Ends of the whole units of reads; reads without a repeat are one unit."""
+    bases, ends = codes("".join(texts)), np.cumsum([0, *map(len, texts)])
+    return [e if len(e) > 1 else [0, len(t)] for e, t in zip(cuts_of(bases, ends, shortest), texts, strict=True)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.string(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.int32()), pa.int32(), pa.float64()]
-        for batch in batches:
-            rows = []
-            for name, seq, quals in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _quals(batch.column(2)), strict=True):
-                ends = cuts(codes(seq), shortest)
-                ends = ends if len(ends) > 1 else [0, len(seq)]
-                quality = 0.0 if quals is None or not len(quals) else float(quals.mean())
-                rows += [(name, k, len(ends) - 1, seq[a:b], None if quals is None else quals[a:b], len(seq), quality) for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True))]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    return reads.filter("seq is not null").select("read_id", "seq", F.col("quals").cast("array<int>")).mapInArrow(run, schema)
+def _settled(texts: list[str], quals: list[np.ndarray | None], group: list[int], drafts: list[str], rounds: int, margin: int = MARGIN) -> list[str]:
+    """What polished says of groups that lie in one task. A draft that its reads repeat stays as it is, so only the others go on."""
+    now, left = list(drafts), set(range(len(drafts)))
+    for _ in range(rounds):
+        rows = [k for k, g in enumerate(group) if g in left]
+        piles = {g: Pile() for g in sorted(left)}
+        seqs, qs = pa.array([texts[k] for k in rows], pa.string()), [quals[k] for k in rows]
+        places = _jobs(seqs, pa.array([now[group[k]] for k in rows], pa.string()), margin)
+        vote([piles[group[k]] for k in rows], seqs, qs, [None if place[1] == "*" else place for place in places])
+        new = dict(zip(piles, called(list(piles.values())), strict=True))
+        left = {g for g, text in new.items() if text != now[g]}
+        for g in left:
+            now[g] = new[g]
+        if not left:
+            break
+    return now
 
 
 def concatemers(reads: DataFrame, splint: str | None = None, shortest: int = SHORTEST, rounds: int = ROUNDS) -> DataFrame:
@@ -416,12 +557,29 @@ def concatemers(reads: DataFrame, splint: str | None = None, shortest: int = SHO
     looked for around the circle of the consensus, on both strands, and cut out: the consensus
     then begins behind it, on the splint's strand.
     """
-    scratch = Scratch(reads.sparkSession, "units")
-    parts = scratch.save(units(reads, shortest))
-    # The draft is the unit of middle place: the first and the last are more often cut short.
-    drafts = parts.filter(F.col("part") == F.floor(F.col("parts") / 2)).select("read_id", F.col("seq").alias("consensus"))
-    facts = parts.filter("part = 0").select("read_id", F.col("parts").cast("long").alias("repeats"), "length", F.round("quality", 2).alias("quality"))
-    out = polished(parts, drafts, ["read_id"], rounds).join(facts, "read_id")
+    names = ["read_id", "consensus", "repeats", "length", "quality"]
+    types = [pa.string(), pa.string(), pa.int64(), pa.int32(), pa.float64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, seqs, quals = batch.column(0).to_pylist(), batch.column(1).to_pylist(), _quals(batch.column(2))
+            for some in _parts(np.array([len(s) for s in seqs])):
+                lo, hi = int(some[0]), int(some[-1]) + 1
+                texts, ends = seqs[lo:hi], _units(seqs[lo:hi], shortest)
+                spans = [(k, a, b) for k, e in enumerate(ends) for a, b in zip(e[:-1], e[1:], strict=True)]
+                # The draft is the unit of middle place: the first and the last are more often cut short.
+                middle = [(len(e) - 1) // 2 for e in ends]
+                drafts = [t[e[m] : e[m + 1]] for t, e, m in zip(texts, ends, middle, strict=True)]
+                parts = [None if quals[lo + k] is None else quals[lo + k][a:b] for k, a, b in spans]
+                made = _settled([texts[k][a:b] for k, a, b in spans], parts, [k for k, _, _ in spans], drafts, rounds)
+                quality = [0.0 if q is None or not len(q) else float(q.mean()) for q in quals[lo:hi]]
+                columns = (ids[lo:hi], made, [len(e) - 1 for e in ends], list(map(len, texts)), quality)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    # The units of a read never leave its task; what is said of them is written once.
+    slim = reads.filter("seq is not null").select(F.col("read_id").cast("string").alias("read_id"), "seq", F.col("quals").cast("array<int>"))
+    out = Scratch(reads.sparkSession, "concatemers").save(slim.mapInArrow(run, "read_id string, consensus string, repeats long, length int, quality double"))
+    out = out.withColumn("quality", F.round("quality", 2))
     if splint:
         out = _turned(out, splint)
     name = F.concat_ws("_", "read_id", F.col("quality").cast("string"), F.col("length").cast("string"), F.col("repeats").cast("string"), F.length("consensus").cast("string"))

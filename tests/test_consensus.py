@@ -141,3 +141,43 @@ def test_reads_are_placed_on_their_drafts_as_one_by_one():
             apart = len(a) - len(b)
             want.append(A._in_parts([(a, b, min(0, apart) - 48, max(0, apart) + 48)], C.SCORES, "ends")[0][1:3])
         assert C._jobs(pa.array(seqs[some], pa.string()), pa.array(drafts[some], pa.string()), 48) == want
+
+
+def test_one_gap_is_placed_as_the_band_places_it():
+    import pyarrow as pa
+
+    rnd = random.Random(8)
+    seqs, drafts, want = [], [], []
+    for _ in range(1500):
+        draft = "".join(rnd.choice(rnd.choice(["ACGT", "AC", "AAAC"])) for _ in range(rnd.choice([3, 6, 20, 60])))
+        seq = list(draft)
+        seq[rnd.randrange(len(seq))] = rnd.choice("ACGTN")
+        at, k = rnd.randrange(len(seq) + 1), rnd.choice([-1, 1, 2])
+        seq[at : at + (k < 0)] = bases(rnd, max(k, 0)) if rnd.random() < 0.8 else "A" * max(k, 0)
+        a, b = A.codes(draft), A.codes("".join(seq))
+        if len(a) == len(b):
+            continue
+        seqs.append("".join(seq)), drafts.append(draft)
+        want.append(A._in_parts([(a, b, min(0, len(a) - len(b)) - 16, max(0, len(a) - len(b)) + 16)], C.SCORES, "ends")[0][1:3])
+    assert C._jobs(pa.array(seqs), pa.array(drafts), 16) == want
+    flat = [C._flat(pa.array(x)) for x in (seqs, drafts)]
+    found = C._one_gap(flat[0][0], flat[1][0], flat[0][1][:-1], flat[1][1][:-1], *(np.diff(f[1]) for f in flat))
+    assert (found > 0).mean() > 0.2
+
+
+def test_cuts_of_many_reads_are_those_of_each():
+    rnd = random.Random(9)
+    texts = ["", "A", "A" * 90, *("".join(worn(rnd, u, 0.05) for _ in range(rnd.randint(1, 9))) for u in (bases(rnd, rnd.choice([8, 30, 90])) for _ in range(60))), ""]
+    got = C._units(texts, C.SHORTEST)
+    alone = [C.cuts(A.codes(t)) for t in texts]
+    assert got == [e if len(e) > 1 else [0, len(t)] for e, t in zip(alone, texts, strict=True)]
+    assert sum(len(e) > 3 for e in got) > 20
+    unit = bases(rnd, 50)
+    assert C.cuts(A.codes(unit * 3 + unit[:20])) == [0, 50, 100, 150]
+
+
+def test_units_of_a_concatemer_stay_in_their_task(spark):
+    unit = bases(random.Random(10), 60)
+    found = C.concatemers(spark.createDataFrame([("r", unit * 5, None)], "read_id string, seq string, quals array<int>"))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [("r", "r_0.0_300_5_60", 5, unit)]
