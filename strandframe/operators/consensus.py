@@ -6,7 +6,8 @@ task sums those of the reads it meets, and only these sums, one row per group
 and task, are shuffled and added. So a group of any size is never gathered.
 
 *Rounds.* The first draft is the reference, or one of the reads. Each round aligns the
-reads to the draft of the round before and votes anew, until no draft changes.
+reads to the draft of the round before and votes anew, until no draft changes. Groups of
+few letters are brought together once and go through all rounds in one task.
 
 *Concatemers.* Words that recur in a read at one distance name the length of its
 unit; cuts follow from one unit to the next by the recurring words next to them, so
@@ -21,7 +22,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +39,8 @@ _GAP = LETTERS.index("-")
 #: Cells of sums that a task holds before it hands them on; inserted letters that are told apart behind one place.
 HELD, INSERTED = 1 << 22, 1 << 16
 SCORES, MARGIN, ROUNDS = Scores(), 48, 4
+#: Letters of a group that one task settles, and of the groups behind a task; what a row weighs besides its letters.
+TOGETHER, PART, ROW = TEXT, 1 << 27, 64
 #: Length of the words that find a unit, the shortest unit, and by how much its copies may differ in length.
 WORD, SHORTEST, SLACK = 8, 20, 0.15
 
@@ -317,12 +321,16 @@ def _quals(column: pa.Array) -> list[np.ndarray | None]:
     return [None if none else values[a:b] for a, b, none in zip(ends[:-1], ends[1:], null, strict=True)]
 
 
+def _places(starts: pa.Array, cigars: pa.Array) -> list[tuple[int, str] | None]:
+    rows = zip(starts.to_pylist(), cigars.to_pylist(), strict=True)
+    return [(start, cigar) if start is not None and start >= 0 and cigar and cigar != "*" else None for start, cigar in rows]
+
+
 def by_alignment(reads: DataFrame, by: list[str]) -> DataFrame:
     """(by, reads, consensus) of reads (by, query_seq, quals, ref_start, cigar) by their given alignments; places without votes are left out."""
 
     def fill(piles: list[Pile], columns: list[pa.Array]) -> None:
-        rows = zip(columns[2].to_pylist(), columns[3].to_pylist(), strict=True)
-        vote(piles, columns[0], _quals(columns[1]), [(start, cigar) if start is not None and start >= 0 and cigar and cigar != "*" else None for start, cigar in rows])
+        vote(piles, columns[0], _quals(columns[1]), _places(columns[2], columns[3]))
 
     return _voted(reads.select(*by, "query_seq", F.col("quals").cast("array<int>"), "ref_start", "cigar"), by, fill)
 
@@ -448,18 +456,85 @@ def polished(reads: DataFrame, drafts: DataFrame, by: list[str], rounds: int = R
     return now
 
 
+@lru_cache(1 << 16)
+def _clips(cigar: str) -> tuple[int, int]:
+    """Clipped bases at both ends of a query."""
+    ops = [(int(n), op) for n, op in _OPS.findall(cigar) if op != "H"]
+    return ops[0][0] if ops and ops[0][1] == "S" else 0, ops[-1][0] if len(ops) > 1 and ops[-1][1] == "S" else 0
+
+
+def _by_group(reads: DataFrame, by: list[str], parts: int, rounds: int, margin: int) -> DataFrame:
+    """As molecules, of groups that a task can hold: all rows of a group meet once, and only its consensus leaves the task."""
+    n = len(by)
+
+    def settle(rows: pa.RecordBatch, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Groups that lie end to end, from edge to edge, so many at once as have TEXT letters."""
+        size = pc.binary_length(rows.column(n)).to_numpy(zero_copy_only=False)
+        for some in _parts(np.add.reduceat(size, edges[:-1])):
+            ends = edges[some[0] : some[-1] + 2]
+            part = rows.slice(int(ends[0]), int(ends[-1] - ends[0]))
+            group = np.repeat(np.arange(len(some)), np.diff(ends)).tolist()
+            seqs, quals, cigars = part.column(n), _quals(part.column(n + 1)), part.column(n + 3)
+            piles = [Pile() for _ in range(len(some))]
+            vote([piles[g] for g in group], seqs, quals, _places(part.column(n + 2), cigars))
+            texts = seqs.to_pylist()
+            for k, cigar in enumerate(cigars.to_pylist()):
+                if cigar and "S" in cigar:
+                    head, tail = _clips(cigar)
+                    whole = slice(head, max(head, len(texts[k]) - tail))
+                    texts[k], quals[k] = texts[k][whole], None if quals[k] is None else quals[k][whole]
+            made, said = _settled(texts, quals, group, called(piles), rounds, margin)
+            if not rounds:
+                said = [p.reads for p in piles]
+            first = part.take(pa.array(ends[:-1] - ends[0]))
+            yield pa.RecordBatch.from_arrays([*first.columns[:n], pa.array(said, pa.int64()), pa.array(made, pa.string())], [*by, "reads", "consensus"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, begins, size, last = [], [], 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = list(zip(*(c.to_pylist() for c in batch.columns[:n]), strict=True))
+            new = [size + k for k, (key, before) in enumerate(zip(keys, [last, *keys], strict=False)) if key != before]
+            last, size = keys[-1], size + len(keys)
+            begins += new
+            held.append(batch)
+            # The last group may go on in the next batch.
+            if new and len(begins) > 1:
+                rows, cut = pa.concat_batches(held), begins[-1]
+                yield from settle(rows.slice(0, cut), np.array(begins))
+                held, begins, size = [rows.slice(cut)], [0], size - cut
+        if size:
+            yield from settle(pa.concat_batches(held), np.array([*begins, size]))
+
+    schema = T.StructType([*_keys_schema(reads, by), T.StructField("reads", T.LongType()), T.StructField("consensus", T.StringType())])
+    return reads.repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(run, schema)
+
+
 def molecules(reads: DataFrame, by: list[str], rounds: int = ROUNDS, margin: int = MARGIN) -> DataFrame:
     """(by, reads, consensus) of groups of aligned reads (by, query_seq, quals, ref_start, cigar).
 
     The reference is the first draft: given alignments vote along it. The reads' aligned parts are then
     aligned to what they said, which settles gaps that were placed differently; reads without an
-    alignment join here. Clipped bases have no vote.
+    alignment join here. Clipped bases have no vote. Groups of more than TOGETHER letters are
+    spread over tasks, which add their votes each round; the others are settled in one task each.
     """
+    scratch, weight = Scratch(reads.sparkSession, "molecules"), Observation()
+    plain = reads.select(*by, "query_seq", F.col("quals").cast("array<int>").alias("quals"), "ref_start", "cigar").filter("query_seq is not null")
+    sizes = plain.groupBy(*by).agg(F.sum(F.length("query_seq")).alias("__letters"), F.count("*").alias("__rows"))
+    sizes = sizes.observe(weight, F.sum(F.col("__letters") + ROW * F.col("__rows")).alias("weight"))
+    large = scratch.save(sizes.filter(F.col("__letters") > TOGETHER).select(*(F.col(c).alias(f"__{c}") for c in by)))
+    parts = max(reads.sparkSession.sparkContext.defaultParallelism, -(-(weight.get["weight"] or 0) // PART))
+    if large.isEmpty():
+        return scratch.save(_by_group(plain, by, parts, rounds, margin))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
+    out = scratch.save(_by_group(plain.join(large, same, "left_anti"), by, parts, rounds, margin))
+    spread = plain.join(large, same, "left_semi")
     ops = S.cigar_ops(F.col("cigar"))
     mapped = F.col("cigar").isNotNull() & (F.col("cigar") != "*")
     seq = F.when(mapped, S.aligned_query(F.col("query_seq"), ops)).otherwise(F.col("query_seq"))
     quals = F.when(mapped, S.aligned_quals(F.col("quals"), ops)).otherwise(F.col("quals"))
-    return polished(reads.select(*by, seq.alias("seq"), quals.alias("quals")), by_alignment(reads, by), by, rounds, margin)
+    return out.unionByName(polished(spread.select(*by, seq.alias("seq"), quals.alias("quals")), by_alignment(spread, by), by, rounds, margin))
 
 
 def periods(bases: np.ndarray, ends: np.ndarray, shortest: int = SHORTEST) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -532,9 +607,9 @@ def _units(texts: list[str], shortest: int) -> list[list[int]]:
     return [e if len(e) > 1 else [0, len(t)] for e, t in zip(cuts_of(bases, ends, shortest), texts, strict=True)]
 
 
-def _settled(texts: list[str], quals: list[np.ndarray | None], group: list[int], drafts: list[str], rounds: int, margin: int = MARGIN) -> list[str]:
-    """What polished says of groups that lie in one task. A draft that its reads repeat stays as it is, so only the others go on."""
-    now, left = list(drafts), set(range(len(drafts)))
+def _settled(texts: list[str], quals: list[np.ndarray | None], group: list[int], drafts: list[str], rounds: int, margin: int = MARGIN) -> tuple[list[str], list[int]]:
+    """What polished says of groups that lie in one task, and how many reads had a vote. A draft that its reads repeat stays as it is, so only the others go on."""
+    now, left, said = list(drafts), set(range(len(drafts))), [0] * len(drafts)
     for _ in range(rounds):
         rows = [k for k, g in enumerate(group) if g in left]
         piles = {g: Pile() for g in sorted(left)}
@@ -542,12 +617,14 @@ def _settled(texts: list[str], quals: list[np.ndarray | None], group: list[int],
         places = _jobs(seqs, pa.array([now[group[k]] for k in rows], pa.string()), margin)
         vote([piles[group[k]] for k in rows], seqs, qs, [None if place[1] == "*" else place for place in places])
         new = dict(zip(piles, called(list(piles.values())), strict=True))
+        for g, p in piles.items():
+            said[g] = p.reads
         left = {g for g, text in new.items() if text != now[g]}
         for g in left:
             now[g] = new[g]
         if not left:
             break
-    return now
+    return now, said
 
 
 def concatemers(reads: DataFrame, splint: str | None = None, shortest: int = SHORTEST, rounds: int = ROUNDS) -> DataFrame:
@@ -571,7 +648,7 @@ def concatemers(reads: DataFrame, splint: str | None = None, shortest: int = SHO
                 middle = [(len(e) - 1) // 2 for e in ends]
                 drafts = [t[e[m] : e[m + 1]] for t, e, m in zip(texts, ends, middle, strict=True)]
                 parts = [None if quals[lo + k] is None else quals[lo + k][a:b] for k, a, b in spans]
-                made = _settled([texts[k][a:b] for k, a, b in spans], parts, [k for k, _, _ in spans], drafts, rounds)
+                made, _ = _settled([texts[k][a:b] for k, a, b in spans], parts, [k for k, _, _ in spans], drafts, rounds)
                 quality = [0.0 if q is None or not len(q) else float(q.mean()) for q in quals[lo:hi]]
                 columns = (ids[lo:hi], made, [len(e) - 1 for e in ends], list(map(len, texts)), quality)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)

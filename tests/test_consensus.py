@@ -181,3 +181,39 @@ def test_units_of_a_concatemer_stay_in_their_task(spark):
     found = C.concatemers(spark.createDataFrame([("r", unit * 5, None)], "read_id string, seq string, quals array<int>"))
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
     assert [tuple(r) for r in found.collect()] == [("r", "r_0.0_300_5_60", 5, unit)]
+
+
+def _members(rnd):
+    rows = []
+    for group in range(12):
+        ref = bases(rnd, rnd.randint(20, 90))
+        for k in range(rnd.randint(1, 9)):
+            seq = worn(rnd, ref, 0.08)
+            _, start, cigar, _ = A.extend([(A.codes(ref), A.codes(seq), -60, 60)], A.Scores())[0]
+            quals = [rnd.randint(0, 40) for _ in seq] if group % 3 else None
+            if k % 4 == 1:
+                seq, cigar, quals = "GG" + seq + "T", f"1H2S{cigar}1S", quals and [1, 2, *quals, 3]
+            rows.append((group or None, k % 2, seq, quals, *((start, cigar) if k % 4 != 2 else (None, None))))
+    return [*rows, (20, 0, "ACGT", None, -1, "*"), (21, 0, "", None, 0, ""), (22, 0, None, None, 0, "3M"), (23, 1, "ACÄGT", None, 0, "5M")]
+
+
+def test_groups_settled_together_are_those_that_are_spread(spark, monkeypatch):
+    rows = _members(random.Random(11))
+    df = spark.createDataFrame(rows, "g int, h int, query_seq string, quals array<int>, ref_start int, cigar string").repartition(5)
+    got = []
+    for together, rounds in ((C.TOGETHER, 3), (150, 3), (-1, 3), (C.TOGETHER, 0)):
+        monkeypatch.setattr(C, "TOGETHER", together)
+        got.append({(r.g, r.h): (r.reads, r.consensus) for r in C.molecules(df, ["g", "h"], rounds, 16).collect()})
+    assert got[0] == got[1] == got[2] and len(got[0]) == len({r[:2] for r in rows if r[2] is not None}) == len(got[3])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    monkeypatch.setattr(C, "TEXT", 100)
+    assert {(r.g, r.h): (r.reads, r.consensus) for r in C.molecules(df, ["g", "h"], 3, 16).collect()} == got[0]
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_groups_of_few_letters_shuffle_no_votes(spark, monkeypatch):
+    monkeypatch.setattr(C, "_voted", None)
+    rows = [(g, "ACGTACGT"[: 8 - (k == 2)], None, 0, f"{8 - (k == 2)}M") for g in range(5) for k in range(3)]
+    df = spark.createDataFrame(rows, "g int, query_seq string, quals array<int>, ref_start int, cigar string")
+    assert sorted(tuple(r) for r in C.molecules(df, ["g"]).collect()) == [(g, 3, "ACGTACGT") for g in range(5)]
+    assert C.molecules(df.limit(0), ["g"]).count() == 0
