@@ -23,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +41,8 @@ HELD, INSERTED = 1 << 22, 1 << 16
 SCORES, MARGIN, ROUNDS = Scores(), 48, 4
 #: Letters of a group that one task settles, and of the groups behind a task; what a row weighs besides its letters.
 TOGETHER, PART, ROW = TEXT, 1 << 27, 64
+#: Letters of groups that a task brings together before it works them off, at most so many at once.
+HOLD, SOME = TEXT, 2 * TEXT
 #: Length of the words that find a unit, the shortest unit, and by how much its copies may differ in length.
 WORD, SHORTEST, SLACK = 8, 20, 0.15
 
@@ -147,9 +149,9 @@ def _flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
     return None if (letters[ends[0] : ends[-1]] > 127).any() else (letters, ends)
 
 
-def _parts(sizes: np.ndarray) -> Iterator[np.ndarray]:
-    """Numbers of rows, so many at once as have TEXT letters, or one."""
-    step = (np.cumsum(sizes) // TEXT).astype(np.int64)
+def _parts(sizes: np.ndarray, letters: int | None = None) -> Iterator[np.ndarray]:
+    """Numbers of rows, so many at once as have TEXT letters (or others), or one."""
+    step = (np.cumsum(sizes) // (letters or TEXT)).astype(np.int64)
     yield from np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(step)) + 1) if len(sizes) else ()
 
 
@@ -237,6 +239,76 @@ def _count(piles: list[Pile], flat: tuple[np.ndarray, np.ndarray], quals: list[n
                 p.votes = sums[lo : lo + size]
 
 
+def _tallied(group: np.ndarray, count: int, letters: np.ndarray, weight: np.ndarray | None, at: np.ndarray, n: np.ndarray, begin: np.ndarray, code: np.ndarray, cigars: list[str]) -> tuple[list[str], np.ndarray]:
+    """What count groups say, and by how many reads: what vote and called give, for reads that lie in one array of letters, from a place on, n each.
+
+    Each read has a first place on its draft and the number of its alignment; those of number -1 have no vote.
+    """
+    paths = [_path(c) for c in cigars]
+    rows = np.flatnonzero(code >= 0)
+    of = code[rows]
+
+    def rolled(parts: list[list[tuple]], width: int) -> tuple[np.ndarray, ...]:
+        """Pieces of the alignments of all rows: the row of each, then its columns."""
+        number = np.array([len(x) for x in parts], np.int64)
+        table = np.array([x for part in parts for x in part], np.int64).reshape(-1, width)
+        which, piece = _spans((np.cumsum(number) - number)[of], number[of])
+        return rows[which], *table[piece].T
+
+    mine, place, base, size = rolled([p[0] for p in paths], 3)
+    place = begin[mine] + place
+    cut, lost, before, gone = rolled([[x[1:] for x in p[1] if x[0] == "D"] for p in paths], 3)
+    lost = begin[cut] + lost
+    put, there, first, more = rolled([[x[1:] for x in p[1] if x[0] == "I"] for p in paths], 3)
+    more = np.minimum(more, INSERTED)
+    if (base + size > n[mine]).any() or (first + more > n[put]).any():
+        raise ValueError("an alignment names more bases than its read has")
+    reach = np.zeros(count, np.int64)
+    np.maximum.at(reach, group[mine], place + size)
+    np.maximum.at(reach, group[cut], lost + gone)
+    ends = np.cumsum(reach)
+    start, total = ends - reach, int(reach.sum())
+    row, cell = _spans(start[group[mine]] + place, size)
+    where = cell + (at[mine] + base - start[group[mine]] - place)[row]
+    votes = np.bincount(cell + total * _PLACE[letters[where]], None if weight is None else weight[where], len(LETTERS) * total).astype(np.int64, copy=False).reshape(len(LETTERS), total)
+    if len(cut):
+        row, cell = _spans(start[group[cut]] + lost, gone)
+        worth = np.ones(len(cut), np.int64)
+        if weight is not None:
+            # The mean of the bases beside the gap.
+            some = n[cut] > 0
+            left, right = np.maximum(before - 1, 0)[some], np.minimum(before, n[cut] - 1)[some]
+            worth[some] = (weight[at[cut[some]] + left] + weight[at[cut[some]] + right]) // 2
+        votes[_GAP] += np.bincount(cell, worth[row], total).astype(np.int64)
+    most, best = votes[0], np.zeros(total, np.int64)
+    for k in range(1, len(LETTERS)):
+        best[votes[k] > most] = k
+        most = np.maximum(most, votes[k])
+    best[most == 0] = _GAP
+    kept = np.concatenate([[0], np.cumsum(best != _GAP)])
+    text, lo, hi = np.frombuffer(LETTERS.encode(), np.uint8)[best], kept[start].tolist(), kept[ends].tolist()
+    said = text[best != _GAP].tobytes().decode()
+    out = [said[a:b] for a, b in zip(lo, hi, strict=True)]
+    if len(put):
+        row, k = _spans(np.zeros(len(put), np.int64), more)
+        key, who = (begin[put] + there)[row] * INSERTED + k, group[put][row]
+        letter = _PLACE[letters[(at[put] + first)[row] + k]]
+        order = np.lexsort((key, who))
+        new = np.concatenate([[True], (np.diff(key[order]) != 0) | (np.diff(who[order]) != 0)])
+        worth = None if weight is None else weight[(at[put] + first)[row] + k][order]
+        extra = np.bincount((np.cumsum(new) - 1) * len(LETTERS) + letter[order], worth, int(new.sum()) * len(LETTERS)).astype(np.int64).reshape(-1, len(LETTERS))
+        key, who = key[order][new], who[order][new]
+        # Groups where an inserted letter outweighs its absence are spelled one by one.
+        beside = np.concatenate([votes.sum(axis=0), [0]])[np.where(reach[who] > 0, start[who] + np.clip(key // INSERTED - 1, 0, np.maximum(reach[who] - 1, 0)), total)]
+        for g in np.unique(who[(key % INSERTED == 0) & (2 * extra.sum(axis=1) > beside)]).tolist():
+            a, b = np.searchsorted(who, [g, g + 1])
+            pile = Pile()
+            pile.extra = dict(zip(key[a:b].tolist(), extra[a:b], strict=True))
+            whole = slice(int(start[g]), int(ends[g]))
+            out[g] = pile._with_inserted(text[whole].tobytes().decode(), votes[:, whole].sum(axis=0)).replace("-", "")
+    return out, np.bincount(group[rows], minlength=count)
+
+
 def _lists(parts: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0] + [len(p) for p in parts]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])))
@@ -314,11 +386,17 @@ def majority(reads: DataFrame, by: list[str], query: str = "query") -> DataFrame
     return _voted(reads.select(*by, query), by, fill)
 
 
+def _sent(quals: str = "quals") -> Column:
+    """Qualities as they go to Python, an empty list where there are none: Arrow's writer passes over the null lists of a batch anew for each of them."""
+    return F.coalesce(F.col(quals).cast("array<int>"), F.array().cast("array<int>")).alias("quals")
+
+
 def _quals(column: pa.Array) -> list[np.ndarray | None]:
-    if column.null_count == len(column):
+    ends = column.offsets.to_numpy()
+    if ends[0] == ends[-1]:
         return [None] * len(column)
-    ends, values, null = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False), column.is_null().to_pylist()
-    return [None if none else values[a:b] for a, b, none in zip(ends[:-1], ends[1:], null, strict=True)]
+    values = column.values.to_numpy(zero_copy_only=False)
+    return [values[a:b] if a < b else None for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def _places(starts: pa.Array, cigars: pa.Array) -> list[tuple[int, str] | None]:
@@ -332,7 +410,7 @@ def by_alignment(reads: DataFrame, by: list[str]) -> DataFrame:
     def fill(piles: list[Pile], columns: list[pa.Array]) -> None:
         vote(piles, columns[0], _quals(columns[1]), _places(columns[2], columns[3]))
 
-    return _voted(reads.select(*by, "query_seq", F.col("quals").cast("array<int>"), "ref_start", "cigar"), by, fill)
+    return _voted(reads.select(*by, "query_seq", _sent(), "ref_start", "cigar"), by, fill)
 
 
 def _one_gap(read: np.ndarray, draft: np.ndarray, reads: np.ndarray, drafts: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -392,43 +470,55 @@ def _one_gap(read: np.ndarray, draft: np.ndarray, reads: np.ndarray, drafts: np.
 
 
 def _jobs(seqs: pa.Array, drafts: pa.Array, margin: int) -> list[tuple[int, str]]:
-    """(start, cigar) of each read on its draft. Texts of one length with so few differences that no pair of gaps can pay are placed without a table."""
+    """(start, cigar) of each read on its draft."""
+    (read, ends), (draft, stops) = _laid(seqs.to_pylist()), _laid(drafts.to_pylist())
+    begin, code, cigars = _placed(read, ends[:-1], np.diff(ends), draft, stops[:-1], np.diff(stops), margin)
+    return [(b, cigars[c] if c >= 0 else "*") for b, c in zip(begin.tolist(), code.tolist(), strict=True)]
+
+
+def _laid(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All letters of texts in a row, and where each text ends and the next begins. Letters of several bytes count as one."""
+    return np.frombuffer("".join(texts).encode("ascii", "replace"), np.uint8), np.cumsum([0, *map(len, texts)])
+
+
+def _placed(read: np.ndarray, at: np.ndarray, n: np.ndarray, draft: np.ndarray, start: np.ndarray, m: np.ndarray, margin: int) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """First place and number of the alignment of each read on its draft, and the alignments; -1 where no base fits.
+
+    Reads and drafts lie in arrays of letters. Texts of one length with so few differences that no pair of gaps can pay are placed without a table.
+    """
     few = 2 * SCORES.gap(1) // (SCORES.match + SCORES.mismatch)
-    flat = [_flat(seqs), _flat(drafts)]
-    if None in flat:
-        # Letters of several bytes count as one.
-        plain = lambda texts: pa.array([t.encode("ascii", "replace").decode() for t in texts.to_pylist()], pa.string())
-        flat = [_flat(plain(seqs)), _flat(plain(drafts))]
-    (read, at), (draft, start) = flat
-    n = np.diff(at)
-    close = n == np.diff(start)
+    apart = n - m
+    close = apart == 0
     equal = np.flatnonzero(close)
     for part in _parts(n[equal]):
         mine = equal[part]
         row, place = _spans(at[mine], n[mine])
-        apart = _CODE[read[place]] != _CODE[draft[place + (start[mine] - at[mine])[row]]]
-        close[mine] = np.bincount(row[apart], minlength=len(mine)) <= few
-    out: list = [(0, f"{k}M" if k else "") for k in n.tolist()]
-    apart, far = n - np.diff(start), np.flatnonzero(~close)
+        other = _CODE[read[place]] != _CODE[draft[place + (start[mine] - at[mine])[row]]]
+        close[mine] = np.bincount(row[other], minlength=len(mine)) <= few
+    sizes, code = np.unique(n, return_inverse=True)
+    cigars, begin = [f"{k}M" if k else "" for k in sizes.tolist()], np.zeros(len(n), np.int64)
+    far = np.flatnonzero(~close)
     # Paths with one gap are known for the costs that SCORES has.
     single = far[(apart[far] >= -1) & (apart[far] <= 2) & (apart[far] != 0) & (n[far] <= TEXT)] if SCORES == Scores() and margin >= 3 else far[:0]
     single = single[np.argsort(n[single], kind="stable")]
     for part in _parts(n[single] * 64):
         mine = single[part]
-        for k, p in zip(mine.tolist(), _one_gap(read, draft, at[mine], start[mine], n[mine], np.diff(start)[mine]).tolist(), strict=True):
-            if p:
-                size = int(apart[k])
-                close[k], rest = True, int(n[k]) - p - max(size, 0)
-                out[k] = (0, f"{p}M{abs(size)}{'I' if size > 0 else 'D'}" + (f"{rest}M" if rest else ""))
+        gap = _one_gap(read, draft, at[mine], start[mine], n[mine], m[mine])
+        mine, gap = mine[gap > 0], gap[gap > 0]
+        kinds, which = np.unique(np.stack([n[mine], gap, apart[mine]]), axis=1, return_inverse=True)
+        close[mine], code[mine] = True, len(cigars) + which.ravel()
+        for size, p, k in kinds.T.tolist():
+            rest = size - p - max(k, 0)
+            cigars.append(f"{p}M{abs(k)}{'I' if k > 0 else 'D'}" + (f"{rest}M" if rest else ""))
     where = np.flatnonzero(~close).tolist()
     jobs = []
     for k in where:
-        a, b = _CODE[draft[start[k] : start[k + 1]]], _CODE[read[at[k] : at[k + 1]]]
-        apart = len(a) - len(b)
-        jobs.append((a, b, min(0, apart) - margin, max(0, apart) + margin))
-    for k, (_, begin, cigar, _) in zip(where, extend(jobs, SCORES), strict=True):
-        out[k] = (begin, cigar)
-    return out
+        a, b = _CODE[draft[start[k] : start[k] + m[k]]], _CODE[read[at[k] : at[k] + n[k]]]
+        jobs.append((a, b, min(0, len(a) - len(b)) - margin, max(0, len(a) - len(b)) + margin))
+    for k, (_, first, cigar, _) in zip(where, extend(jobs, SCORES), strict=True):
+        begin[k], code[k] = first, -1 if cigar == "*" else len(cigars)
+        cigars.append(cigar)
+    return begin, code, cigars
 
 
 def polished(reads: DataFrame, drafts: DataFrame, by: list[str], rounds: int = ROUNDS, margin: int = MARGIN) -> DataFrame:
@@ -438,7 +528,7 @@ def polished(reads: DataFrame, drafts: DataFrame, by: list[str], rounds: int = R
     whole draft: the lengths of both may differ, but the rest of the path stays within margin of its diagonals.
     """
     scratch = Scratch(reads.sparkSession, "consensus")
-    slim = reads.select(*by, "seq", F.col("quals").cast("array<int>").alias("quals")).filter("seq is not null")
+    slim = reads.select(*by, "seq", _sent()).filter("seq is not null")
     now = scratch.save(drafts.select(*by, "consensus"))
 
     def fill(piles: list[Pile], columns: list[pa.Array]) -> None:
@@ -468,30 +558,30 @@ def _by_group(reads: DataFrame, by: list[str], parts: int, rounds: int, margin:
     n = len(by)
 
     def settle(rows: pa.RecordBatch, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Groups that lie end to end, from edge to edge, so many at once as have TEXT letters."""
+        """Groups that lie end to end, from edge to edge, so many at once as have SOME letters."""
         size = pc.binary_length(rows.column(n)).to_numpy(zero_copy_only=False)
-        for some in _parts(np.add.reduceat(size, edges[:-1])):
+        for some in _parts(np.add.reduceat(size, edges[:-1]), SOME):
             ends = edges[some[0] : some[-1] + 2]
             part = rows.slice(int(ends[0]), int(ends[-1] - ends[0]))
-            group = np.repeat(np.arange(len(some)), np.diff(ends)).tolist()
-            seqs, quals, cigars = part.column(n), _quals(part.column(n + 1)), part.column(n + 3)
-            piles = [Pile() for _ in range(len(some))]
-            vote([piles[g] for g in group], seqs, quals, _places(part.column(n + 2), cigars))
-            texts = seqs.to_pylist()
-            for k, cigar in enumerate(cigars.to_pylist()):
-                if cigar and "S" in cigar:
-                    head, tail = _clips(cigar)
-                    whole = slice(head, max(head, len(texts[k]) - tail))
-                    texts[k], quals[k] = texts[k][whole], None if quals[k] is None else quals[k][whole]
-            made, said = _settled(texts, quals, group, called(piles), rounds, margin)
-            if not rounds:
-                said = [p.reads for p in piles]
+            group = np.repeat(np.arange(len(some)), np.diff(ends))
+            letters, stops = _laid(part.column(n).to_pylist())
+            at, width, weight = stops[:-1], np.diff(stops), _weights(_quals(part.column(n + 1)), np.diff(stops))
+            begin = part.column(n + 2).fill_null(-1).to_numpy().astype(np.int64)
+            named = part.column(n + 3).fill_null("*").dictionary_encode()
+            cigars, code = named.dictionary.to_pylist(), named.indices.to_numpy().astype(np.int64)
+            given = np.where((begin >= 0) & np.array([c not in ("", "*") for c in cigars])[code], code, -1)
+            drafts, said = _tallied(group, len(some), letters, weight, at, width, begin, given, cigars)
+            # The aligned parts, without the clipped bases.
+            head, tail = np.array([_clips(c) for c in cigars])[code].T
+            made, said = _polished(letters, weight, at + np.minimum(head, width), np.maximum(width - head - tail, 0), group, drafts, said, rounds, margin)
             first = part.take(pa.array(ends[:-1] - ends[0]))
             yield pa.RecordBatch.from_arrays([*first.columns[:n], pa.array(said, pa.int64()), pa.array(made, pa.string())], [*by, "reads", "consensus"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, begins, size, last = [], [], 0, None
+        held, begins, size, letters, last = [], [], 0, 0, None
         for batch in batches:
+            # Tested here: a filter would have the sequences made before they are dealt out, and again behind.
+            batch = batch.filter(batch.column(n).is_valid())
             if not batch.num_rows:
                 continue
             keys = list(zip(*(c.to_pylist() for c in batch.columns[:n]), strict=True))
@@ -499,16 +589,17 @@ def _by_group(reads: DataFrame, by: list[str], parts: int, rounds: int, margin:
             last, size = keys[-1], size + len(keys)
             begins += new
             held.append(batch)
+            letters += pc.sum(pc.binary_length(batch.column(n))).as_py()
             # The last group may go on in the next batch.
-            if new and len(begins) > 1:
+            if len(begins) > 1 and letters > HOLD:
                 rows, cut = pa.concat_batches(held), begins[-1]
                 yield from settle(rows.slice(0, cut), np.array(begins))
-                held, begins, size = [rows.slice(cut)], [0], size - cut
+                held, begins, size, letters = [rows.slice(cut)], [0], size - cut, 0
         if size:
             yield from settle(pa.concat_batches(held), np.array([*begins, size]))
 
     schema = T.StructType([*_keys_schema(reads, by), T.StructField("reads", T.LongType()), T.StructField("consensus", T.StringType())])
-    return reads.repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(run, schema)
+    return reads.withColumn("quals", _sent()).repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(run, schema)
 
 
 def molecules(reads: DataFrame, by: list[str], rounds: int = ROUNDS, margin: int = MARGIN) -> DataFrame:
@@ -520,7 +611,7 @@ def molecules(reads: DataFrame, by: list[str], rounds: int = ROUNDS, margin: int
     spread over tasks, which add their votes each round; the others are settled in one task each.
     """
     scratch, weight = Scratch(reads.sparkSession, "molecules"), Observation()
-    plain = reads.select(*by, "query_seq", F.col("quals").cast("array<int>").alias("quals"), "ref_start", "cigar").filter("query_seq is not null")
+    plain = reads.select(*by, "query_seq", F.col("quals").cast("array<int>").alias("quals"), "ref_start", "cigar")
     sizes = plain.groupBy(*by).agg(F.sum(F.length("query_seq")).alias("__letters"), F.count("*").alias("__rows"))
     sizes = sizes.observe(weight, F.sum(F.col("__letters") + ROW * F.col("__rows")).alias("weight"))
     large = scratch.save(sizes.filter(F.col("__letters") > TOGETHER).select(*(F.col(c).alias(f"__{c}") for c in by)))
@@ -529,7 +620,7 @@ def molecules(reads: DataFrame, by: list[str], rounds: int = ROUNDS, margin: int
         return scratch.save(_by_group(plain, by, parts, rounds, margin))
     same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]
     out = scratch.save(_by_group(plain.join(large, same, "left_anti"), by, parts, rounds, margin))
-    spread = plain.join(large, same, "left_semi")
+    spread = plain.filter("query_seq is not null").join(large, same, "left_semi")
     ops = S.cigar_ops(F.col("cigar"))
     mapped = F.col("cigar").isNotNull() & (F.col("cigar") != "*")
     seq = F.when(mapped, S.aligned_query(F.col("query_seq"), ops)).otherwise(F.col("query_seq"))
@@ -607,26 +698,37 @@ def _units(texts: list[str], shortest: int) -> list[list[int]]:
     return [e if len(e) > 1 else [0, len(t)] for e, t in zip(cuts_of(bases, ends, shortest), texts, strict=True)]
 
 
-def _settled(texts: list[str], quals: list[np.ndarray | None], group: list[int], drafts: list[str], rounds: int, margin: int = MARGIN) -> tuple[list[str], list[int]]:
-    """What polished says of groups that lie in one task, and how many reads had a vote. A draft that its reads repeat stays as it is, so only the others go on."""
-    now, left, said = list(drafts), set(range(len(drafts))), [0] * len(drafts)
+def _weights(quals: list[np.ndarray | None], n: np.ndarray) -> np.ndarray | None:
+    """Votes of every base of reads that lie end to end; None if each has one."""
+    if all(q is None for q in quals):
+        return None
+    return np.concatenate([np.ones(k, np.int64) if q is None else np.maximum(q[:k], 1).astype(np.int64) for q, k in zip(quals, n.tolist(), strict=True)])
+
+
+def _polished(letters: np.ndarray, weight: np.ndarray | None, at: np.ndarray, n: np.ndarray, group: np.ndarray, drafts: list[str], said: np.ndarray, rounds: int, margin: int) -> tuple[list[str], np.ndarray]:
+    """What polished says of groups that lie in one task, and by how many reads. A draft that its reads repeat stays as it is, so only the others go on."""
+    now, said, rows, left = list(drafts), said.copy(), np.arange(len(group)), np.arange(len(drafts))
     for _ in range(rounds):
-        rows = [k for k, g in enumerate(group) if g in left]
-        piles = {g: Pile() for g in sorted(left)}
-        seqs, qs = pa.array([texts[k] for k in rows], pa.string()), [quals[k] for k in rows]
-        places = _jobs(seqs, pa.array([now[group[k]] for k in rows], pa.string()), margin)
-        vote([piles[group[k]] for k in rows], seqs, qs, [None if place[1] == "*" else place for place in places])
-        new = dict(zip(piles, called(list(piles.values())), strict=True))
-        for g, p in piles.items():
-            said[g] = p.reads
-        left = {g for g, text in new.items() if text != now[g]}
-        for g in left:
-            now[g] = new[g]
-        if not left:
+        of = np.searchsorted(left, group[rows])
+        draft, stops = _laid([now[g] for g in left.tolist()])
+        begin, code, cigars = _placed(letters, at[rows], n[rows], draft, stops[:-1][of], np.diff(stops)[of], margin)
+        new, said[left] = _tallied(of, len(left), letters, weight, at[rows], n[rows], begin, code, cigars)
+        moved = np.array([text != now[g] for g, text in zip(left.tolist(), new, strict=True)], bool)
+        for g, text in zip(left.tolist(), new, strict=True):
+            now[g] = text
+        left, rows = left[moved], rows[moved[of]]
+        if not len(left):
             break
     return now, said
 
 
+def _settled(texts: list[str], quals: list[np.ndarray | None], group: list[int], drafts: list[str], rounds: int, margin: int = MARGIN) -> list[str]:
+    """As _polished, of texts."""
+    letters, ends = _laid(texts)
+    n = np.diff(ends)
+    return _polished(letters, _weights(quals, n), ends[:-1], n, np.array(group, np.int64), drafts, np.zeros(len(drafts), np.int64), rounds, margin)[0]
+
+
 def concatemers(reads: DataFrame, splint: str | None = None, shortest: int = SHORTEST, rounds: int = ROUNDS) -> DataFrame:
     """(read_id, read_name, repeats, consensus) of concatemer reads (read_id unique, seq, quals).
 
@@ -639,6 +741,8 @@ def concatemers(reads: DataFrame, splint: str | None = None, shortest: int = SHO
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            # Tested here: a filter would have the sequences made before they are dealt out, and again behind.
+            batch = batch.filter(batch.column(1).is_valid())
             ids, seqs, quals = batch.column(0).to_pylist(), batch.column(1).to_pylist(), _quals(batch.column(2))
             for some in _parts(np.array([len(s) for s in seqs])):
                 lo, hi = int(some[0]), int(some[-1]) + 1
@@ -648,13 +752,13 @@ def concatemers(reads: DataFrame, splint: str | None = None, shortest: int = SHO
                 middle = [(len(e) - 1) // 2 for e in ends]
                 drafts = [t[e[m] : e[m + 1]] for t, e, m in zip(texts, ends, middle, strict=True)]
                 parts = [None if quals[lo + k] is None else quals[lo + k][a:b] for k, a, b in spans]
-                made, _ = _settled([texts[k][a:b] for k, a, b in spans], parts, [k for k, _, _ in spans], drafts, rounds)
+                made = _settled([texts[k][a:b] for k, a, b in spans], parts, [k for k, _, _ in spans], drafts, rounds)
                 quality = [0.0 if q is None or not len(q) else float(q.mean()) for q in quals[lo:hi]]
                 columns = (ids[lo:hi], made, [len(e) - 1 for e in ends], list(map(len, texts)), quality)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     # The units of a read never leave its task; what is said of them is written once.
-    slim = reads.filter("seq is not null").select(F.col("read_id").cast("string").alias("read_id"), "seq", F.col("quals").cast("array<int>"))
+    slim = reads.select(F.col("read_id").cast("string").alias("read_id"), "seq", _sent())
     out = Scratch(reads.sparkSession, "concatemers").save(slim.mapInArrow(run, "read_id string, consensus string, repeats long, length int, quality double"))
     out = out.withColumn("quality", F.round("quality", 2))
     if splint:

@@ -206,7 +206,8 @@ def test_groups_settled_together_are_those_that_are_spread(spark, monkeypatch):
         got.append({(r.g, r.h): (r.reads, r.consensus) for r in C.molecules(df, ["g", "h"], rounds, 16).collect()})
     assert got[0] == got[1] == got[2] and len(got[0]) == len({r[:2] for r in rows if r[2] is not None}) == len(got[3])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
-    monkeypatch.setattr(C, "TEXT", 100)
+    for name in ("TEXT", "HOLD", "SOME"):
+        monkeypatch.setattr(C, name, 100)
     assert {(r.g, r.h): (r.reads, r.consensus) for r in C.molecules(df, ["g", "h"], 3, 16).collect()} == got[0]
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
