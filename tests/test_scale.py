@@ -114,3 +114,39 @@ def test_reads_of_one_genotype_are_not_shuffled_together(spark, sf):
 
     plan = registry.queries()["seq_ids"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("aggregate") == 0
+
+
+READ_QUERIES = [
+    "genotype_best_quality", "genotype_rank", "indexed_selection", "sequence_counts", "selected_genotypes", "throughput", "mutation_calls", "cigar_fold",
+    "mutation_stats", "aa_mutations_tidy", "nt_mutations_tidy", "position_profile", "conspicuous_positions",
+]
+
+
+@pytest.mark.parametrize("name", READ_QUERIES)
+def test_reads_are_counted_before_they_are_shuffled(spark, sf, name, monkeypatch):
+    """Above a scan of reads an aggregate comes first, or no shuffle at all but that by their own key: few references never name the task of a read."""
+    from strandframe.plans import registry
+    from strandframe.scratch import Scratch
+
+    plans, save = [], Scratch.save
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(Scratch, "save", lambda self, df: plans.append(plan(df)) or save(self, df))
+    # The reads of the test tables are few; nothing is sent around for its small size alone.
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans.append(plan(registry.queries()[name](spark, sf)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    scans = 0
+    for text in plans:
+        above = []
+        for line in text.splitlines():
+            node = line.lstrip(" :+-")
+            depth = len(line) - len(node)
+            above = [(d, n) for d, n in above if d < depth] + [(depth, node)]
+            if "FileScan parquet" in node and ("o_orderkey" in node or "read_id" in node):
+                scans += 1
+                met = [n for _, n in above if "Aggregate(" in n or ("Exchange hashpartitioning" in n and "REPARTITION" not in n)]
+                assert not met or "Aggregate(" in met[-1], met[-1]
+    assert scans
