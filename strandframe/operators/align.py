@@ -12,7 +12,7 @@ distances. A chain names the diagonals along which the read lies.
 ``margin`` more on both sides, under gap costs of several pieces (the cheapest
 counts), with a bonus for reaching an end of the read. Memory is band times length.
 
-Reads that share no seed are looked up by spaced words, every one of them; those
+Equal reads are aligned once. Reads that share no seed are looked up by spaced words, every one of them; those
 that share none of these either are aligned to every reference in full. So every
 read is aligned as far as any of its bases can be.
 
@@ -41,8 +41,8 @@ K, W, MARGIN = 11, 5, 48
 SPACED = (tuple(range(7)), (0, 1, 2, 3, 4, 5, 6, 8, 9, 10))
 #: Chains of a read that score this share of its best are extended; seeds that a chain looks back over; cells worked off at once.
 NEAR, LOOK_BACK, CELLS = 0.6, 64, 1 << 24
-#: Chains of reads behind a task of extension.
-READS = 50_000
+#: Texts, and chains of texts, behind a task; bytes of the alignments of texts up to which they are broadcast to the reads.
+READS, HITS = 50_000, 16 << 20
 #: Letters whose seeds are found at once, and diagonals besides those from corner to corner that are tried first.
 TEXT, CLOSE = 1 << 20, 12
 #: A word that a reference holds more often is no seed (low complexity); such reads meet by their other words, or in full.
@@ -132,7 +132,7 @@ def _seeds(df: DataFrame, patterns: tuple[tuple[int, ...], ...], w: int) -> Data
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(found), pa.array(at.astype(np.int32))], ["id", "strand", "word", "place"])
                     lo, room = hi, 0
 
-    return df.select("id", "strand", "seq").mapInArrow(run, "id string, strand string, word long, place int")
+    return df.select("id", "strand", "seq").mapInArrow(run, f"id {df.schema['id'].dataType.simpleString()}, strand string, word long, place int")
 
 
 def chain(r: np.ndarray, q: np.ndarray, size: int) -> tuple[int, int, int]:
@@ -175,8 +175,8 @@ def chains(ends: np.ndarray, r: np.ndarray, q: np.ndarray, size: int) -> list[np
 
 
 def _chains(anchors: DataFrame, size: int) -> DataFrame:
-    """(read_id, strand, reference_name, chain, lo, hi) of the seeds shared."""
-    names = ["read_id", "strand", "reference_name", "chain", "lo", "hi"]
+    """(id, strand, reference_name, chain, lo, hi) of the seeds shared."""
+    names = ["id", "strand", "reference_name", "chain", "lo", "hi"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,22 +187,21 @@ def _chains(anchors: DataFrame, size: int) -> DataFrame:
             found = [pa.array(c.astype(np.int32)) for c in chains(ends, r, q, size)] if len(batch) else [pa.array([], pa.int32())] * 3
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *found], names)
 
-    met = anchors.groupBy("read_id", "strand", "reference_name").agg(F.collect_list(F.struct("rpos", "qpos")).alias("pairs"))
-    return met.mapInArrow(run, "read_id string, strand string, reference_name string, chain int, lo int, hi int")
+    met = anchors.groupBy("id", "strand", "reference_name").agg(F.collect_list(F.struct("rpos", "qpos")).alias("pairs"))
+    return met.mapInArrow(run, "id long, strand string, reference_name string, chain int, lo int, hi int")
 
 
 def _met(both: DataFrame, known: DataFrame, patterns: tuple[tuple[int, ...], ...], w: int) -> DataFrame:
-    """Chains of the reads (id, strand, seq) by the seeds that they share with references (reference_name, ref)."""
+    """Chains of the texts (id, strand, seq) by the seeds that they share with references (reference_name, ref)."""
     index = _seeds(known.select(F.col("reference_name").alias("id"), F.lit("+").alias("strand"), F.col("ref").alias("seq")), patterns, w)
     index = index.select("word", F.col("id").alias("reference_name"), F.col("place").alias("rpos"), F.count("*").over(Window.partitionBy("word", "id")).alias("times")).filter(F.col("times") <= REPEATS)
-    reads = _seeds(both, patterns, w).select(F.col("id").alias("read_id"), "strand", "word", F.col("place").alias("qpos"))
-    return _chains(reads.join(small(index), "word"), max(len(p) for p in patterns))
+    texts = _seeds(both, patterns, w).select("id", "strand", "word", F.col("place").alias("qpos"))
+    return _chains(texts.join(small(index), "word"), max(len(p) for p in patterns))
 
 
-def _strands(reads: DataFrame) -> DataFrame:
-    fwd = F.upper("seq")
-    sides = F.array(F.struct(F.lit("+").alias("strand"), fwd.alias("seq")), F.struct(F.lit("-").alias("strand"), S.reverse_complement(fwd).alias("seq")))
-    return reads.select(F.col("read_id").alias("id"), F.explode(sides).alias("x")).select("id", "x.*")
+def _strands(texts: DataFrame) -> DataFrame:
+    sides = F.array(F.struct(F.lit("+").alias("strand"), "seq"), F.struct(F.lit("-").alias("strand"), S.reverse_complement(F.col("seq")).alias("seq")))
+    return texts.select("id", F.explode(sides).alias("x")).select("id", "x.*")
 
 
 def align_reads(reads: DataFrame, refs: DataFrame, scores: Scores = Scores(), k: int = K, w: int = W, margin: int = MARGIN) -> DataFrame:
@@ -213,24 +212,32 @@ def align_reads(reads: DataFrame, refs: DataFrame, scores: Scores = Scores(), k:
     """
     scratch = Scratch(reads.sparkSession, "aligned")
     known = refs.select("reference_name", F.upper("alignment_seq").alias("ref"))
-    both = _strands(reads.select("read_id", F.coalesce("seq", F.lit("")).alias("seq")))
-    found = scratch.save(_met(both, known, (tuple(range(k)),), w))
-    left = scratch.save(both.join(found.select(F.col("read_id").alias("id")).distinct(), "id", "left_anti"))
-    rows = found.count() + left.count()
-    if not left.isEmpty():
-        more = scratch.save(_met(left, known, SPACED, 1))
-        left = left.join(more.select(F.col("read_id").alias("id")).distinct(), "id", "left_anti").filter("seq <> ''")
-        full = left.crossJoin(small(known)).select(F.col("id").alias("read_id"), "strand", "reference_name", F.lit(1).alias("chain"), (-F.length("seq")).alias("lo"), F.length("ref").alias("hi"))
+    # Reads that are equal share an alignment. The rest works on the texts by a number, and reads find theirs by its digest.
+    texts = reads.select(F.upper("seq").alias("seq")).distinct().select(F.monotonically_increasing_id().alias("id"), "seq")
+    texts = scratch.save(texts).filter("seq <> ''")
+    # The work is cut by texts and chains, not by their bytes, which are few.
+    parts = lambda rows: max(reads.sparkSession.sparkContext.defaultParallelism, -(-rows // READS))
+    dealt = texts.repartition(parts(texts.count()), "id")
+    found = scratch.save(_met(_strands(dealt), known, (tuple(range(k)),), w))
+    left = scratch.save(texts.join(found.select("id").distinct(), "id", "left_anti"))
+    lost = left.count()
+    if lost:
+        both = _strands(left.repartition(parts(lost), "id"))
+        more = scratch.save(_met(both, known, SPACED, 1))
+        full = both.join(more.select("id").distinct(), "id", "left_anti").crossJoin(small(known))
+        full = full.select("id", "strand", "reference_name", F.lit(1).alias("chain"), (-F.length("seq")).alias("lo"), F.length("ref").alias("hi"))
         found = found.unionByName(more).unionByName(full)
-    # Extension is the work: its parts are cut by reads, not by the bytes of their chains, which are few.
-    parts = max(reads.sparkSession.sparkContext.defaultParallelism, -(-rows // READS))
-    best = F.max("chain").over(Window.partitionBy("read_id"))
-    near = found.repartition(parts, "read_id").withColumn("best", best).filter(F.col("chain") >= NEAR * F.col("best"))
-    pairs = near.join(both.withColumnRenamed("id", "read_id"), ["read_id", "strand"]).join(small(known), "reference_name")
-    done = _extended(pairs.select("read_id", "strand", "reference_name", "ref", "seq", (F.col("lo") - margin).alias("lo"), (F.col("hi") + margin).alias("hi")), scores)
+    best = F.max("chain").over(Window.partitionBy("id"))
+    near = found.repartition(parts(found.count()), "id").withColumn("best", best).filter(F.col("chain") >= NEAR * F.col("best"))
+    # Merged, as a broadcast of the chains would leave their parts to the files of the texts.
+    pairs = near.hint("merge").join(texts, "id").join(small(known), "reference_name")
+    seq = F.when(F.col("strand") == "-", S.reverse_complement(F.col("seq"))).otherwise(F.col("seq"))
+    done = _extended(pairs.select("id", "strand", "reference_name", "ref", seq.alias("seq"), (F.col("lo") - margin).alias("lo"), (F.col("hi") + margin).alias("hi")), scores)
     row = F.struct((-F.col("score")).alias("s"), "reference_name", "strand", "ref_start", "cigar", "nm", "score")
-    hit = done.filter("score > 0").groupBy("read_id").agg(F.min(row).alias("b")).select("read_id", "b.*")
-    out = reads.join(hit, "read_id", "left")
+    hit = done.filter("score > 0").groupBy("id").agg(F.min(row).alias("b")).select("id", "b.*")
+    # Saved, so that its size is known: where texts are few, reads need not be dealt out to meet theirs.
+    hit = scratch.save(hit.join(texts, "id").select(F.sha2("seq", 256).alias("text"), "reference_name", "strand", "ref_start", "cigar", "nm", "score"))
+    out = reads.withColumn("text", F.sha2(F.upper("seq"), 256)).join(small(hit, HITS), "text", "left")
     back = F.col("strand") == "-"
     have = lambda c, kind: F.col(c) if c in reads.columns else F.lit(None).cast(kind)
     quals = have("quals", "array<int>")
@@ -243,16 +250,16 @@ def align_reads(reads: DataFrame, refs: DataFrame, scores: Scores = Scores(), k:
 
 
 def _extended(pairs: DataFrame, scores: Scores) -> DataFrame:
-    """(read_id, strand, reference_name, score, ref_start, cigar, nm) of pairs with the band of their diagonals."""
+    """(id, strand, reference_name, score, ref_start, cigar, nm) of pairs with the band of their diagonals."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             refs, seqs, lo, hi = (c.to_pylist() for c in batch.columns[3:])
             done = extend(list(zip(map(codes, refs), map(codes, seqs), lo, hi, strict=True)), scores)
             out = [pa.array(c, t) for c, t in zip(zip(*done, strict=True), (pa.int32(), pa.int32(), pa.string(), pa.int32()), strict=True)] if done else [pa.array([], t) for t in (pa.int32(), pa.int32(), pa.string(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *out], ["read_id", "strand", "reference_name", "score", "ref_start", "cigar", "nm"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *out], ["id", "strand", "reference_name", "score", "ref_start", "cigar", "nm"])
 
-    return pairs.mapInArrow(run, "read_id string, strand string, reference_name string, score int, ref_start int, cigar string, nm int")
+    return pairs.mapInArrow(run, "id long, strand string, reference_name string, score int, ref_start int, cigar string, nm int")
 
 
 def pairs_aligned(first: list[str], second: list[str], scores: Scores, local: bool) -> list[tuple[int, str, str]]:

@@ -10,6 +10,7 @@ import pytest
 from strandframe.operators import align as A
 
 TURN = str.maketrans("ACGT", "TGCA")
+TURN_BASE = dict(zip("ACGT", "TGCA", strict=True))
 
 
 def bases(rnd, n):
@@ -145,6 +146,25 @@ def test_every_read_has_a_row(spark):
     assert A.align_reads(empty, spark.createDataFrame(refs.items(), "reference_name string, alignment_seq string")).count() == 0
 
 
+def test_equal_reads_are_aligned_once_and_all_have_rows(spark, monkeypatch):
+    rnd = random.Random(5)
+    refs = {"a": bases(rnd, 120), "b": bases(rnd, 120)}
+    rare = "".join(c if k % 6 else TURN_BASE[c] for k, c in enumerate(refs["b"][20:80]))
+    texts = [refs["a"][10:90], refs["a"][10:50] + refs["a"][53:100], refs["b"][5:100].translate(TURN)[::-1], rare, "ACG", ""]
+    rows = [(f"r{k}", texts[k % 6].lower() if k % 12 < 6 else texts[k % 6]) for k in range(600)] + [("null", None), ("null too", None)]
+    ref_rows = spark.createDataFrame(refs.items(), "reference_name string, alignment_seq string")
+    alone = {r.read_id: r for r in A.align_reads(spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], "read_id string, seq string"), ref_rows).collect()}
+    saved, real = [], A.Scratch.save
+    monkeypatch.setattr(A.Scratch, "save", lambda self, df: saved.append(out := real(self, df)) or out)
+    got = A.align_reads(spark.createDataFrame(rows, "read_id string, seq string").repartition(7), ref_rows).collect()
+    assert sorted(r.read_id for r in got) == sorted(r[0] for r in rows)
+    for r in got:
+        assert r[1:] == alone[str(int(r.read_id[1:]) % 6)][1:] if r.read_id[0] == "r" else r.flag == 4
+    # Chains are those of the texts, on both strands, along both references.
+    chained = [df.count() for df in saved if "chain" in df.columns]
+    assert len(chained) == 2 and max(chained) <= 4 * len(texts)
+
+
 def test_seeds_of_many_texts_are_those_of_each():
     rnd = random.Random(11)
     texts = ["", "ACGT", bases(rnd, 11), bases(rnd, 15), bases(rnd, 16), bases(rnd, 80) + "N" + bases(rnd, 9), "A" * 40, *(bases(rnd, rnd.randint(5, 300)) for _ in range(40)), ""]
