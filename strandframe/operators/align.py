@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +39,8 @@ from strandframe.scratch import Scratch
 K, W, MARGIN = 11, 5, 48
 #: Offsets of the spaced words for reads without a shared seed: a run of seven, and one around a changed base.
 SPACED = (tuple(range(7)), (0, 1, 2, 3, 4, 5, 6, 8, 9, 10))
-#: Chains of a read that score this share of its best are extended; seeds that a chain looks back over; cells worked off at once.
-NEAR, LOOK_BACK, CELLS = 0.6, 64, 1 << 24
+#: Chains of a read that score this share of its best are extended; seeds that a chain looks back over; cells worked off at once, and of one row (near caches hold them).
+NEAR, LOOK_BACK, CELLS, ROW = 0.6, 64, 1 << 24, 1 << 15
 #: Texts, and chains of texts, behind a task; bytes of the alignments of texts up to which they are broadcast to the reads.
 READS, HITS = 50_000, 16 << 20
 #: Letters whose seeds are found at once, and diagonals besides those from corner to corner that are tried first.
@@ -67,6 +67,12 @@ class Scores:
     def gap(self, n: int) -> int:
         return min(o + e * n for o, e in self.gaps) if n else 0
 
+    def within(self, lost: int) -> Scores:
+        """The same without the second piece, where it is the cheaper one only for gaps that cost so much or more."""
+        (o, e), *more = self.gaps
+        needed = self.unknown > self.match or e <= 0 or any(b + c * n < min(o + e * n, lost) for b, c in more for n in range(1, max(1, (lost - o) // e + 1) + 1))
+        return self if needed else replace(self, gaps=self.gaps[:1])
+
 
 def codes(text: str) -> np.ndarray:
     """Bases as 0 to 3, all other letters as 4."""
@@ -255,7 +261,8 @@ def _extended(pairs: DataFrame, scores: Scores) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             refs, seqs, lo, hi = (c.to_pylist() for c in batch.columns[3:])
-            done = extend(list(zip(map(codes, refs), map(codes, seqs), lo, hi, strict=True)), scores)
+            known = {r: codes(r) for r in set(refs)}
+            done = extend([(known[r], codes(q), a, b) for r, q, a, b in zip(refs, seqs, lo, hi, strict=True)], scores)
             out = [pa.array(c, t) for c, t in zip(zip(*done, strict=True), (pa.int32(), pa.int32(), pa.string(), pa.int32()), strict=True)] if done else [pa.array([], t) for t in (pa.int32(), pa.int32(), pa.string(), pa.int32())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *out], ["id", "strand", "reference_name", "score", "ref_start", "cigar", "nm"])
 
@@ -324,9 +331,9 @@ def extend(jobs: list[tuple[np.ndarray, np.ndarray, int, int]], scores: Scores,
         tried = [(r, q, max(lo, min(0, len(r) - len(q)) - CLOSE), min(hi, max(0, len(r) - len(q)) + CLOSE)) for r, q, lo, hi in jobs]
         some = [p for p, (job, close) in enumerate(zip(jobs, tried, strict=True)) if 0 <= 2 * (close[3] - close[2]) <= job[3] - job[2]]
         bonus = scores.end_bonus if kind == "ends" else 0
-        for p, done in zip(some, _in_parts([tried[p] for p in some], scores, kind), strict=True):
-            n = len(jobs[p][1])
-            if done[0] > max(0, scores.match * (n - CLOSE - 1) + 2 * bonus - min(bonus, scores.gap(1))):
+        lost = scores.match * (CLOSE + 1) + min(bonus, scores.gap(1))
+        for p, done in zip(some, _in_parts([tried[p] for p in some], scores.within(lost), kind), strict=True):
+            if done[0] > max(0, scores.match * len(jobs[p][1]) + 2 * bonus - lost):
                 out[p] = done
     rest = [p for p in range(len(jobs)) if out[p] is None]
     for p, done in zip(rest, _in_parts([jobs[p] for p in rest], scores, kind), strict=True):
@@ -346,7 +353,7 @@ def _straight(job: tuple[np.ndarray, np.ndarray, int, int], scores: Scores) -> t
 
 
 def _in_parts(jobs: list, scores: Scores, kind: str) -> list[tuple[int, int, str, int]]:
-    """Jobs of similar size together, within CELLS."""
+    """Jobs of similar size together, within CELLS, and ROW in a row."""
     out: list = [None] * len(jobs)
     order = sorted(range(len(jobs)), key=lambda p: (len(jobs[p][1]), jobs[p][3] - jobs[p][2]))
     lo = 0
@@ -354,7 +361,7 @@ def _in_parts(jobs: list, scores: Scores, kind: str) -> list[tuple[int, int, str
         hi, wide = lo, 0
         while hi < len(order):
             wide = max(wide, jobs[order[hi]][3] - jobs[order[hi]][2] + 1)
-            if hi > lo and (hi - lo + 1) * len(jobs[order[hi]][1]) * wide > CELLS:
+            if hi > lo and (hi - lo + 1) * wide * max(len(jobs[order[hi]][1]), CELLS // ROW) > CELLS:
                 break
             hi += 1
         some = order[lo:hi]
@@ -365,77 +372,126 @@ def _in_parts(jobs: list, scores: Scores, kind: str) -> list[tuple[int, int, str
 
 
 def _banded(jobs: list, scores: Scores, kind: str) -> list[tuple[int, int, str, int]]:
-    """Rows are bases of the queries, columns diagonals from the lowest of each job on; gaps in a row come from running maxima."""
+    """Rows are bases of the queries, columns diagonals from the lowest of each job on, and jobs lie side by side; gaps in a row come from running maxima."""
     count, width = len(jobs), max(hi - lo + 1 for _, _, lo, hi in jobs)
     longest = max(len(q) for _, q, _, _ in jobs)
     sizes = np.array([len(q) for _, q, _, _ in jobs])
     lows = np.array([lo for _, _, lo, _ in jobs])
     lengths = np.array([len(r) for r, _, _, _ in jobs])
+    if len(scores.gaps) > 2:
+        raise ValueError("gap costs have one or two pieces")
+    bonus = scores.end_bonus if kind == "ends" else 0
+    # Scores of short queries fit narrow numbers, far above what stands for no path.
+    most = longest * max(scores.match, scores.mismatch, abs(scores.unknown)) + 2 * bonus + sum(o + e * (width + longest) for o, e in scores.gaps)
+    number, none = (np.int16, -(1 << 14)) if most < 1 << 13 else (np.int32, int(_LOW))
     # Each reference as its band sees it: the base of row i, column c is at i + c.
-    refs = np.full((count, longest + width), -1, np.int32)
-    query = np.full((count, longest), -2, np.int32)
+    letters = np.int8 if all(r.dtype == q.dtype == np.int8 for r, q, _, _ in jobs) else np.int32
+    refs = np.full((count, longest + width), -1, letters)
+    query = np.full((count, longest), -2, letters)
     for p, (r, q, lo, _) in enumerate(jobs):
         a, b = max(0, lo), min(len(r), lo + longest + width)
         if b > a:
             refs[p, a - lo : b - lo] = r[a:b]
         query[p, : len(q)] = q
-    if len(scores.gaps) > 2:
-        raise ValueError("gap costs have one or two pieces")
-    bonus = scores.end_bonus if kind == "ends" else 0
-    column = np.arange(width, dtype=np.int32)
-    h = np.full((count, width + 1), _LOW, np.int32)
+    refs, query = np.ascontiguousarray(refs.T), np.ascontiguousarray(query.T)
+    # What a cell may be worth by a gap, and by its base: nothing beyond the reference. Masks are numbers here, as these are far quicker.
+    place, free = np.arange(longest + width)[:, None] + lows, np.iinfo(number).max
+    inside = np.where((place >= -1) & (place < lengths), free, none).astype(number)
+    based = np.where(refs >= 0, free, none).astype(number)
+    open_gap, open_base = (inside == free).all(axis=1), (based == free).all(axis=1)
+    unknown = bool((refs == 4).any() or (query == 4).any())
+    column = np.arange(width, dtype=number)[:, None]
+    h = np.full((width + 1, count), none, number)
     if kind == "global":
         # Before the first row: bases of the reference left out in front.
-        ahead = lows[:, None] + column
+        ahead = lows + np.arange(width)[:, None]
         costs = np.min([o + e * ahead for o, e in scores.gaps], axis=0)
-        h[:, :width] = np.where((ahead > 0) & (ahead <= lengths[:, None]), -costs, np.where(ahead == 0, 0, _LOW))
-    ups = [np.full((count, width + 1), _LOW, np.int32) for _ in scores.gaps]
+        h[:width] = np.where((ahead > 0) & (ahead <= lengths), -costs, np.where(ahead == 0, 0, none))
+    ups = [np.full((width + 1, count), none, number) for _ in scores.gaps]
     first_row = h.copy()
-    came = np.zeros((longest, count, width), np.uint8)
-    peak, spot = np.full(count, _LOW if kind == "global" else 0, np.int64), np.full((count, 2), -1)
+    came = np.zeros((longest, width, count), np.uint8)
+    peak, spot = np.full(count, none if kind == "global" else 0, np.int64), np.full((count, 2), -1)
+    left, opened, lowest = (np.full((width, count), none, number) for _ in range(3))
+    fresh = lowest if kind == "global" else np.full((width, count), bonus, number)
+    right, differ = number(width - 1) - column, number(scores.match + scores.mismatch)
     for i in range(longest):
-        base, letter = refs[:, i : i + width], query[:, i][:, None]
-        worth = np.where(base == letter, np.int32(scores.match), np.int32(-scores.mismatch))
-        worth = np.where((base == 4) | (letter == 4), np.int32(scores.unknown), worth)
-        fresh = _LOW if kind == "global" else np.int32(bonus if i == 0 else 0)
-        before = h[:, :width]
-        now = np.where(base < 0, _LOW, np.maximum(before, fresh) + worth)
-        source = np.where(before > fresh, 1, 0).astype(np.uint8)
-        inside = (i + column + lows[:, None] >= -1) & (i + column + lows[:, None] < lengths[:, None])
+        base, letter = refs[i : i + width], query[i]
+        worth = (base == letter) * differ
+        worth -= number(scores.mismatch)
+        if unknown:
+            worth = np.where((base == 4) | (letter == 4), number(scores.unknown), worth)
+        before = h[:width]
+        now = np.maximum(before, fresh)
+        now += worth
+        if not open_base[i : i + width].all():
+            np.minimum(now, based[i : i + width], out=now)
+        # What a cell comes from, of which each later is better, and whether its gaps go on.
+        source, longs, all_in = (before > fresh).view(np.uint8), came[i], open_gap[i : i + width].all()
         for g, (o, e) in enumerate(scores.gaps):
-            opened, longer = h[:, 1:] - (o + e), ups[g][:, 1:] - e
-            up = np.where(inside, np.maximum(opened, longer), _LOW)
-            source |= np.where(longer > opened, np.uint8(8 << g), np.uint8(0)).astype(np.uint8)
-            better = up > now
-            source = np.where(better, (source & 0xF8) | np.uint8(2 + g), source)
-            now = np.where(better, up, now)
-            ups[g][:, :width] = up
+            fewer, longer = h[1:] - number(o + e), ups[g][1:] - number(e)
+            longs |= (longer > fewer).view(np.uint8) * np.uint8(8 << g)
+            up = np.maximum(fewer, longer, out=ups[g][:width])
+            if not all_in:
+                np.minimum(up, inside[i : i + width], out=up)
+            np.maximum(source, (up > now).view(np.uint8) * np.uint8(2 + g), out=source)
+            np.maximum(now, up, out=now)
         straight = now
         for g, (o, e) in enumerate(scores.gaps):
-            reach = np.maximum.accumulate(straight + e * column, axis=1)
-            left = np.full((count, width), _LOW, np.int32)
-            left[:, 1:] = reach[:, :-1] - (o + e * column[1:])
-            left = np.where(inside, left, _LOW)
-            opened = np.full((count, width), _LOW, np.int32)
-            opened[:, 1:] = straight[:, :-1] - (o + e)
-            source |= np.where(left > opened, np.uint8(32 << g), np.uint8(0)).astype(np.uint8)
-            better = left > now
-            source = np.where(better, (source & 0xF8) | np.uint8(4 + g), source)
-            now = np.where(better, left, now)
-        now = np.maximum(now, _LOW)
-        came[i] = source
-        h[:, :width] = now
+            reach = straight + column * number(e)
+            _running(reach)
+            np.subtract(reach[:-1], number(o) + number(e) * column[1:], out=left[1:])
+            if not all_in:
+                np.minimum(left, inside[i : i + width], out=left)
+            np.subtract(straight[:-1], number(o + e), out=opened[1:])
+            longs |= (left > opened).view(np.uint8) * np.uint8(32 << g)
+            np.maximum(source, (left > now).view(np.uint8) * np.uint8(4 + g), out=source)
+            now = np.maximum(now, left)
+        now = np.maximum(now, lowest, out=h[:width])
+        longs |= source
+        if i == 0 and kind != "global":
+            fresh = np.zeros((width, count), number)
         if kind == "global":
             mine = np.flatnonzero(sizes == i + 1)
             at = lengths[mine] - 1 - i - lows[mine]
-            peak[mine], spot[mine, 0], spot[mine, 1] = now[mine, at], i, at
+            peak[mine], spot[mine, 0], spot[mine, 1] = now[at, mine], i, at
         else:
-            valued = now + np.where(sizes == i + 1, bonus, 0)[:, None]
-            c = valued.argmax(axis=1)
-            top = valued[np.arange(count), c]
+            last = sizes == i + 1
+            valued = now + np.where(last, number(bonus), number(0)) if bonus and last.any() else now
+            top = valued.max(axis=0)
             better = (top > peak) & (i < sizes)
-            peak[better], spot[better, 0], spot[better, 1] = top[better], i, c[better]
-    return [_traced(jobs[p], int(peak[p]), int(spot[p, 0]), int(spot[p, 1]), came[:, p], first_row[p], scores, kind) for p in range(count)]
+            if better.any():
+                c = width - 1 - ((valued == top) * right).max(axis=0)
+                peak[better], spot[better, 0], spot[better, 1] = top[better], i, c[better]
+    out = _runs(jobs, peak, spot, came, refs, query) if kind != "global" else [None] * count
+    return [done or _traced(jobs[p], int(peak[p]), int(spot[p, 0]), int(spot[p, 1]), came[:, :, p], first_row[:, p], scores, kind) for p, done in enumerate(out)]
+
+
+def _running(x: np.ndarray) -> None:
+    """Maxima down to each row, in place."""
+    if x.shape[1] > 4 * len(x):
+        for c in range(1, len(x)):
+            np.maximum(x[c], x[c - 1], out=x[c])
+    else:
+        step = 1
+        while step < len(x):
+            np.maximum(x[step:], x[:-step], out=x[step:])
+            step *= 2
+
+
+def _runs(jobs: list, peak: np.ndarray, spot: np.ndarray, came: np.ndarray, refs: np.ndarray, query: np.ndarray) -> list[tuple[int, int, str, int] | None]:
+    """Alignments that run along one diagonal; None for the others."""
+    rows, every = np.arange(len(came))[:, None], np.arange(len(jobs))
+    end, c = spot[:, 0], spot[:, 1]
+    kinds = came[rows, c, every] & 7
+    begin = np.where((kinds != 1) & (rows <= end), rows, -1).max(axis=0)
+    plain = (end >= 0) & ((begin < 0) | (kinds[begin, every] == 0))
+    begin = np.maximum(begin, 0)
+    changes = ((refs[rows + c, every] != query) & (rows >= begin) & (rows <= end)).sum(axis=0)
+    out: list = [None] * len(jobs)
+    for p, score, a, b, n, at in zip(every[plain].tolist(), *(x[plain].tolist() for x in (peak, begin, end, changes, c)), strict=True):
+        behind = len(jobs[p][1]) - 1 - b
+        out[p] = score, a + jobs[p][2] + at, (f"{a}S" if a else "") + f"{b - a + 1}M" + (f"{behind}S" if behind else ""), n
+    return out
 
 
 def _traced(job, peak: int, i: int, c: int, came: np.ndarray, first_row: np.ndarray, scores: Scores, kind: str) -> tuple[int, int, str, int]:

@@ -207,3 +207,33 @@ def test_narrow_bands_and_straight_texts_give_what_whole_bands_give(kind, scores
     monkeypatch.setattr(A, "_in_parts", lambda some, *more: tried.append(len(some)) or real(some, *more))
     assert A.extend(jobs, scores, kind) == real(jobs, scores, kind)
     assert tried[-1] < len(jobs)
+
+
+def test_short_jobs_are_worked_off_in_near_memory_by_narrow_numbers(monkeypatch):
+    rnd = random.Random(14)
+    jobs = []
+    for k in range(3000):
+        ref = bases(rnd, 60)
+        seq = worn(rnd, ref, rnd.choice([0.02, 0.1, 0.3])) or "A"
+        jobs.append((A.codes(ref), A.codes(seq), -60, 60))
+    rows, real = [], A._banded
+    monkeypatch.setattr(A, "_banded", lambda some, *more: rows.append(len(some) * max(hi - lo + 1 for _, _, lo, hi in some)) or real(some, *more))
+    got = A.extend(jobs, A.Scores())
+    # A row of all at once would have 3000 times 25 cells and more, in several arrays of 4 bytes.
+    assert max(rows) <= A.ROW < 3000 * 25
+    # Beside a long query the numbers are wide.
+    ref = bases(rnd, 4000)
+    long = (A.codes(ref), A.codes(worn(rnd, ref, 0.1)), -80, 80)
+    for kind in ("ends", "local"):
+        assert real([*jobs[:100], long], A.Scores(), kind)[:100] == real(jobs[:100], A.Scores(), kind)
+    assert got[:100] == real(jobs[:100], A.Scores(), "ends")
+
+
+def test_pieces_of_gap_costs_are_left_out_only_where_they_change_nothing():
+    assert A.Scores().within(34).gaps == ((6, 2),)
+    assert A.Scores().within(43).gaps == ((6, 2),) and A.Scores().within(44) == A.Scores()
+    assert A.Scores(gaps=((24, 1), (6, 2))).within(34).gaps == ((24, 1), (6, 2))
+    for gaps in (((3, 2), (5, 1)), ((6, 2), (9, 1)), ((4, 3), (20, 1)), ((2, 0), (1, 1))):
+        for lost in range(1, 60):
+            less = A.Scores(gaps=gaps).within(lost)
+            assert all(A.Scores(gaps=gaps).gap(n) == less.gap(n) or A.Scores(gaps=gaps).gap(n) >= lost for n in range(1, 100))
