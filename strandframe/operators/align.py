@@ -174,12 +174,50 @@ def chains(ends: np.ndarray, r: np.ndarray, q: np.ndarray, size: int) -> list[np
     step[1:] = np.where(row[1:] == row[:-1], np.minimum(np.diff(at), size), 0)
     starts = first - ends[0]
     score, low, high = size + np.add.reduceat(step, starts), np.minimum.reduceat(diagonal, starts), np.maximum.reduceat(diagonal, starts)
-    for k in np.flatnonzero(low != high):
-        a, b = starts[k], starts[k] + n[k]
-        score[k], low[k], high[k] = chain(r[a:b], q[a:b], size)
+    bent = np.flatnonzero(low != high)
+    bent = bent[np.argsort(n[bent], kind="stable")]
+    lo = 0
+    while lo < len(bent):
+        # Lists of similar length side by side; of one alone a step has little to do.
+        hi = lo + 1
+        while hi < len(bent) and (hi - lo + 1) * min(n[bent[hi]], LOOK_BACK) <= ROW and (hi - lo + 1) * n[bent[hi]] <= CELLS:
+            hi += 1
+        some = bent[lo:hi]
+        score[some], low[some], high[some] = _chained(r, q, starts[some], n[some], size)
+        lo = hi
     return [score, low, high]
 
 
+def _chained(r: np.ndarray, q: np.ndarray, starts: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As chain, of lists from some starts on; seeds are rows, lists are columns."""
+    count, longest = len(n), int(n.max())
+    row = np.repeat(np.arange(count), n)
+    at = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    place = np.repeat(starts, n) + at
+    place = place[np.lexsort((q[place], r[place], row))]
+    rs, qs = np.zeros((longest, count), np.int64), np.zeros((longest, count), np.int64)
+    rs[at, row], qs[at, row] = r[place], q[place]
+    best, came, every = np.full((longest, count), size, np.int64), np.full((longest, count), -1), np.arange(count)
+    best[np.arange(longest)[:, None] >= n] = _LOW
+    for i in range(1, longest):
+        lo = max(0, i - LOOK_BACK)
+        dr, dq = rs[i] - rs[lo:i], qs[i] - qs[lo:i]
+        apart = np.abs(dr - dq)
+        gain = np.minimum(np.minimum(dr, dq), size) - (1 + apart // 8) * (apart > 0)
+        total = np.where((dr > 0) & (dq > 0), best[lo:i] + gain, _LOW)
+        j = total.argmax(axis=0)
+        total = total[j, every]
+        longer = (total > size) & (i < n)
+        best[i], came[i] = np.where(longer, total, best[i]), np.where(longer, lo + j, -1)
+    i = best.argmax(axis=0)
+    score, low, high = best[i, every], rs[i, every] - qs[i, every], rs[i, every] - qs[i, every]
+    while len(some := np.flatnonzero(i >= 0)):
+        diagonal = rs[i[some], some] - qs[i[some], some]
+        low[some], high[some] = np.minimum(low[some], diagonal), np.maximum(high[some], diagonal)
+        i[some] = came[i[some], some]
+    return score, low, high
+
+
 def _chains(anchors: DataFrame, size: int) -> DataFrame:
     """(id, strand, reference_name, chain, lo, hi) of the seeds shared."""
     names = ["id", "strand", "reference_name", "chain", "lo", "hi"]

@@ -237,3 +237,21 @@ def test_pieces_of_gap_costs_are_left_out_only_where_they_change_nothing():
         for lost in range(1, 60):
             less = A.Scores(gaps=gaps).within(lost)
             assert all(A.Scores(gaps=gaps).gap(n) == less.gap(n) or A.Scores(gaps=gaps).gap(n) >= lost for n in range(1, 100))
+
+
+def test_chains_of_bent_lists_are_found_side_by_side(monkeypatch):
+    rng = np.random.default_rng(15)
+    lists = []
+    for k in range(150):
+        q = rng.integers(0, 60 if k % 3 else 4000, int(rng.integers(2, 400 if k % 10 == 0 else 20)))
+        lists.append((q + 100 + rng.choice([0, 3, 40, -7][: 1 + k % 4], len(q)), q))
+    r, q = (np.concatenate([x[k] for x in lists]).astype(np.int32) for k in (0, 1))
+    want, real, alone = [A.chain(a, b, 11) for a, b in lists], A._chained, []
+    bent = {k for k, (a, b) in enumerate(lists) if len(set((a - b).tolist())) > 1}
+    monkeypatch.setattr(A, "chain", lambda *a: alone.append(a))
+    monkeypatch.setattr(A, "ROW", 1 << 10)
+    together = []
+    monkeypatch.setattr(A, "_chained", lambda r, q, starts, n, size: together.append(n) or real(r, q, starts, n, size))
+    got = list(zip(*(x.tolist() for x in A.chains(np.cumsum([0] + [len(x[0]) for x in lists]), r, q, 11)), strict=True))
+    assert all(got[k] == want[k] for k in bent) and not alone
+    assert sum(map(len, together)) == len(bent) and 1 < len(together) < len(bent) / 4
